@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from bikenet import schema as S
 from bikenet.operators.cleaning import detect_schema, missing_columns
-from bikenet.sources.trips import FILE_COLUMN, file_headers, header_columns, read_csv_group
+from bikenet.sources.trips import FILE_COLUMN, files_by_header, header_columns, read_csv_group
 
 REPORT_COLUMNS = (
     "schema_version", "row_count", "missing_required_columns", "null_rate",
@@ -67,27 +67,19 @@ def validate_csv(
 ) -> DataFrame:
     """One report per CSV file below ``path``, with ``source_file``.
 
-    Files with the same header are measured in one grouped aggregation; a file without rows, or
-    empty altogether, still gets its report.
+    Files with the same header are measured in one grouped aggregation; a file of which only the
+    header line exists still gets its report.
     """
-    headers = file_headers(spark, path)
-    distinct = [r["header"] for r in headers.select("header").distinct().collect()]
     reports = []
-    for header in distinct:
-        if header is None:
-            mine, columns = headers.where(F.col("header").isNull()), []
-            stats = mine.select(FILE_COLUMN, F.lit(0).cast("long").alias("row_count"))
-            reports.append(_report(stats, columns, FILE_COLUMN))
-            continue
+    for header, files in files_by_header(spark, path).items():
         columns = header_columns(header)
-        mine = headers.where(F.col("header") == header).select(FILE_COLUMN)
-        files = [r[FILE_COLUMN] for r in mine.collect()]
         rows = read_csv_group(spark, files, columns)
         rows = rows.select(FILE_COLUMN, *(
             F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")).alias(c) for c in columns
         ))
         measured = rows.groupBy(FILE_COLUMN).agg(*_measures(rows.drop(FILE_COLUMN)))
-        stats = mine.join(measured, FILE_COLUMN, "left").fillna(0, ["row_count"])
+        listed = spark.createDataFrame([(f,) for f in files], f"{FILE_COLUMN} string")
+        stats = listed.join(measured, FILE_COLUMN, "left").fillna(0, ["row_count"])
         reports.append(_report(stats, columns, FILE_COLUMN))
     return reduce(DataFrame.unionByName, reports)
 

@@ -111,7 +111,7 @@ def join_stations_to_neighborhoods(
     cell and is never copied. Pass a ``grid`` to reuse a measurement.
     """
     lat, lng = find_lat_lng(stations.columns)
-    px, py = F.col(lng).cast("double"), F.col(lat).cast("double")
+    px, py = _number(lng), _number(lat)
     grid = grid or measure_grid(neighborhoods)
     located = stations.withColumns({
         "_x": px, "_y": py,
@@ -212,6 +212,12 @@ def map_scores(neighborhoods: DataFrame, scores: DataFrame) -> DataFrame:
     return neighborhoods.join(scores, list(AREA_COLUMNS), "left")
 
 
+def _number(name: str) -> Column:
+    """Column as double, with NaN as NULL: Spark orders NaN above all numbers."""
+    value = F.col(f"`{name}`").cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _with_edges(neighborhoods: DataFrame) -> DataFrame:
     edges = neighborhoods.withColumn("_edges", G.edges(F.col("geometry")))
     return edges.where(F.size("_edges") > 0)

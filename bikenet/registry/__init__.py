@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 from types import ModuleType
 
-_GROUPS = ("cleaning_queries", "serving_queries", "spatial_queries")
+_GROUPS = ("cleaning_queries", "serving_queries", "spatial_queries", "layer_queries")
 
 
 def load() -> ModuleType:

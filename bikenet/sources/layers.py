@@ -34,8 +34,7 @@ def read_hive_glob(spark: SparkSession, root: str, pattern: str = "*") -> DataFr
 def read_plain_glob(spark: SparkSession, root: str) -> DataFrame:
     """Every Parquet file below ``root`` without partition columns.
 
-    For the output of a streaming query use :func:`read_layer` or :func:`read_status_layer`:
-    a recursive listing would also see files of uncommitted batches.
+    Of the output of a streaming query Spark reads committed files only, here as well.
     """
     return spark.read.option("recursiveFileLookup", True).parquet(root)
 

@@ -15,35 +15,35 @@ FILE_COLUMN = "source_file"
 
 
 def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``source_file`` and its first line as ``header`` (NULL when empty).
+    """One row per file: ``source_file`` and its first line as ``header``.
 
     A file's first split lies in a single task, where row ids grow in reading order, so the first
     line is the one with the least id; map-side aggregation leaves one row per file to shuffle.
+    Spark lists no files of zero bytes.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select(_plain_path().alias(FILE_COLUMN))
-    )
-    first_lines = (
+    return (
         spark.read.option("recursiveFileLookup", True).text(path)
         .where(F.col("_metadata.file_block_start") == 0)
         .select(
-            _plain_path().alias(FILE_COLUMN),
-            "value",
+            _plain_path().alias(FILE_COLUMN), "value",
             F.monotonically_increasing_id().alias("position"),
         )
         .groupBy(FILE_COLUMN)
         .agg(F.min_by("value", "position").alias("header"))
     )
-    return files.join(first_lines, FILE_COLUMN, "left")
 
 
-def files_by_header(spark: SparkSession, path: str) -> dict[str | None, list[str]]:
-    """Files that share a header line, so that each group can be read by its own column order."""
-    groups = file_headers(spark, path).groupBy("header").agg(
-        F.sort_array(F.collect_set(FILE_COLUMN)).alias("files"),
-    )
-    return {row["header"]: row["files"] for row in groups.collect()}
+def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files that share a header line, so that each group can be read by its own column order.
+
+    Like any file listing this is driver-side: one short string per file.
+    """
+    groups: dict[str, list[str]] = {}
+    for row in file_headers(spark, path).collect():
+        groups.setdefault(row["header"], []).append(row[FILE_COLUMN])
+    if not groups:
+        raise ValueError(f"no files with contents below {path}")
+    return groups
 
 
 def header_columns(header: str) -> list[str]:
@@ -68,15 +68,11 @@ def read_raw_trips(spark: SparkSession, path: str, legacy_key: str = "ride") ->
     """
     parts = []
     for header, files in files_by_header(spark, path).items():
-        if header is None:
-            continue
         columns = header_columns(header)
         if detect_schema(columns) == "unknown":
             raise ValueError(f"unrecognised trip columns {columns} in {files[:3]}")
         raw = read_csv_group(spark, files, columns).drop(FILE_COLUMN)
         parts.append(conform(normalise(raw, legacy_key)))
-    if not parts:
-        raise ValueError(f"no trip files with a header below {path}")
     return reduce(DataFrame.unionByName, parts)
 
 
