@@ -54,21 +54,34 @@ def to_wgs84(geometry: Column, epsg: int) -> Column:
 
 
 def edges(geometry: Column) -> Column:
-    """All edges of all rings as ``array<struct<x1, y1, x2, y2>>``, zero-length ones left out."""
+    """All edges of all rings, each from its lower to its upper end.
+
+    An edge is ``struct<x_lo, y_lo, y_hi, dx, dy, x_min, x_max>``; ``dx`` and ``dy`` lead from
+    the lower end to the upper one. The common direction makes two polygons that share an edge
+    judge a point by the same arithmetic. Edges of zero length, as from closed rings, are left out.
+    """
+    def edge(a: Column, b: Column) -> Column:
+        rising = a[1] <= b[1]
+        low_x, high_x = F.when(rising, a[0]).otherwise(b[0]), F.when(rising, b[0]).otherwise(a[0])
+        return F.struct(
+            low_x.alias("x_lo"),
+            F.least(a[1], b[1]).alias("y_lo"),
+            F.greatest(a[1], b[1]).alias("y_hi"),
+            (high_x - low_x).alias("dx"),
+            F.abs(a[1] - b[1]).alias("dy"),
+            F.least(a[0], b[0]).alias("x_min"),
+            F.greatest(a[0], b[0]).alias("x_max"),
+        )
+
     def of_ring(ring: Column) -> Column:
-        pairs = F.transform(
+        return F.transform(
             F.sequence(F.lit(1), F.size(ring)),
-            lambda i: F.struct(
-                ring[i - 1][0].alias("x1"),
-                ring[i - 1][1].alias("y1"),
-                ring[i % F.size(ring)][0].alias("x2"),
-                ring[i % F.size(ring)][1].alias("y2"),
-            ),
+            lambda i: edge(ring[i - 1], ring[i % F.size(ring)]),
         )
-        return F.filter(pairs, lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
 
     rings = F.filter(F.flatten(geometry), lambda ring: F.size(ring) > 0)
-    return F.flatten(F.transform(rings, of_ring))
+    every = F.flatten(F.transform(rings, of_ring))
+    return F.filter(every, lambda e: (e["dx"] != 0) | (e["dy"] != 0))
 
 
 def ring_area(ring: Column) -> Column:
@@ -109,25 +122,18 @@ def area_km2(geometry: Column, area: str = "mercator") -> Column:
 
 
 def within(px: Column, py: Column, edge_list: Column) -> Column:
-    """True when the point is strictly inside; boundary points are outside.
+    """True when the point is strictly inside, NULL or false otherwise; boundaries are outside.
 
-    A ray to the right crosses an odd number of edges from the inside. The sign of the cross
-    product tells on which side of an edge the point lies, zero means on its line.
+    A ray to the right meets an odd number of edges from the inside. An edge the point lies on
+    scores NULL, which makes the sum NULL, so one pass decides both.
     """
-    def side(e: Column) -> Column:
-        return (e["x2"] - e["x1"]) * (py - e["y1"]) - (e["y2"] - e["y1"]) * (px - e["x1"])
-
-    def crosses(e: Column) -> Column:
-        upward = (e["y1"] <= py) & (py < e["y2"]) & (side(e) > 0)
-        downward = (e["y2"] <= py) & (py < e["y1"]) & (side(e) < 0)
-        return upward | downward
-
-    def touches(e: Column) -> Column:
+    def score(e: Column) -> Column:
+        side = e["dx"] * (py - e["y_lo"]) - (px - e["x_lo"]) * e["dy"]
+        met = (py < e["y_hi"]).cast("int")
         return (
-            (side(e) == 0)
-            & px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-            & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+            F.when((py < e["y_lo"]) | (py > e["y_hi"]) | (px > e["x_max"]), 0)
+            .when((px < e["x_min"]) | (side > 0), met)
+            .when(side < 0, 0)
         )
 
-    odd = F.size(F.filter(edge_list, crosses)) % 2 == 1
-    return odd & ~F.exists(edge_list, touches)
+    return F.aggregate(edge_list, F.lit(0), lambda acc, e: acc + score(e)) % 2 == 1

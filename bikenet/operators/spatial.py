@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,8 @@ from bikenet.sources.geo import geometry_json
 
 AREA_COLUMNS = ("neighborhood_id", "neighborhood_name", "borough")
 BROADCAST_LIMIT = 64 * 1024 * 1024
+ROWS_PER_WIDTH = 8
+_BOX = ("min_x", "max_x", "min_y", "max_y")
 _EDGE_BYTES = 80  # seven 8-byte fields, null bits and the array slot
 _CELL_BYTES = 256
 
@@ -38,64 +40,69 @@ def stations_to_points(stations: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Grid:
-    """Cell size for a polygon table and an upper bound on the bytes of its cell table."""
+    """Cell width and height for a polygon table, and a bound on the bytes of its cell table."""
 
-    size: float
+    width: float
+    height: float
     cell_table_bytes: float
 
 
 def measure_grid(neighborhoods: DataFrame) -> Grid:
-    """Choose the cell size by one aggregation over the polygons; one row reaches the driver.
+    """Choose the cells by one aggregation over the polygons; one row reaches the driver.
 
-    The size is the root mean square extent of the bounding boxes. A polygon of width w and
-    height h covers at most (w/size + 2)(h/size + 2) cells, so the polygons cover fewer than
-    eight cells each on average, however their sizes vary. An edge spanning dy is kept in at most
-    dy/size + 2 rows of its polygon's at most w/size + 2 columns, which bounds the cell table.
+    The width W is the root mean square extent of the bounding boxes and the height H an eighth
+    of it, so that a cell keeps few of its polygon's edges. A polygon of width w and height h lies
+    in at most (w/W + 2)(h/H + 2) cells, and an edge that rises by dy is kept in at most dy/H + 2
+    rows of at most w/W + 2 columns. Summed up, this bounds the cell table by a multiple of the
+    polygon table, however the polygons vary in size.
     """
-    rise = F.aggregate(
-        "_edges", F.lit(0.0), lambda acc, e: acc + F.abs(e["y2"] - e["y1"]),
+    measured = _with_box(_with_edges(neighborhoods)).select(
+        (F.col("max_x") - F.col("min_x")).alias("w"),
+        (F.col("max_y") - F.col("min_y")).alias("h"),
+        F.aggregate("_edges", F.lit(0.0), lambda acc, e: acc + e["dy"]).alias("rise"),
+        F.size("_edges").alias("n"),
     )
-    w, h = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
-    row = _with_box(_with_edges(neighborhoods)).select(
-        w.alias("w"), h.alias("h"), rise.alias("p"), F.size("_edges").alias("e"),
-    ).agg(
-        F.count("*").alias("n"),
-        F.sqrt(F.avg(F.expr("w * w + h * h"))).alias("size"),
-        F.sum(F.expr("w * p")).alias("wp"), F.sum(F.expr("w * e")).alias("we"),
-        F.sum("p").alias("p"), F.sum("e").alias("e"),
+    sums = ("w * h", "w", "h", "w * rise", "w * n", "rise", "n")
+    row = measured.agg(
+        F.sqrt(F.avg(F.expr("w * w + h * h"))), F.count("*"), *(F.sum(F.expr(x)) for x in sums),
     ).first()
-    if not row["n"] or not row["size"]:
-        return Grid(1.0, 0.0)
-    size = row["size"]
-    copies = row["wp"] / size**2 + 2 * (row["we"] + row["p"]) / size + 4 * row["e"]
-    return Grid(size, copies * _EDGE_BYTES + 8 * row["n"] * _CELL_BYTES)
+    width, polygons, *totals = row
+    if not width:
+        return Grid(1.0, 1.0, 0.0)
+    wh, w, h, w_rise, w_n, rise, n = totals
+    height = width / ROWS_PER_WIDTH
+    cells = wh / (width * height) + 2 * (w / width + h / height) + 4 * polygons
+    copies = w_rise / (width * height) + 2 * (w_n / width + rise / height) + 4 * n
+    return Grid(width, height, cells * _CELL_BYTES + copies * _EDGE_BYTES)
 
 
-def polygon_cells(neighborhoods: DataFrame, size: float) -> DataFrame:
+def polygon_cells(neighborhoods: DataFrame, grid: Grid) -> DataFrame:
     """One row per grid cell a polygon may reach, with the edges that matter inside that cell.
 
     For a point in the cell, a ray to the right meets only edges that reach the cell's row and
     do not end left of its column; all others are left out of the row. No shuffle is involved.
     """
-    def cell(ordinate: Column) -> Column:
-        return F.floor(ordinate / size).cast("long")
+    def column_of(x: Column) -> Column:
+        return F.floor(x / grid.width).cast("long")
+
+    def row_of(y: Column) -> Column:
+        return F.floor(y / grid.height).cast("long")
+
+    def cover(cell: Callable, low: str, high: str) -> Column:
+        return F.explode(F.sequence(cell(F.col(low)), cell(F.col(high))))
 
     boxed = _with_box(_with_edges(neighborhoods))
-    ranged = boxed.withColumn("_edges", F.transform("_edges", lambda e: F.struct(
-        e["x1"], e["y1"], e["x2"], e["y2"],
-        cell(F.least(e["y1"], e["y2"])).alias("row_from"),
-        cell(F.greatest(e["y1"], e["y2"])).alias("row_to"),
-        cell(F.greatest(e["x1"], e["x2"])).alias("col_to"),
-    )))
-    rows = ranged.withColumn(
-        "cell_y", F.explode(F.sequence(cell(F.col("min_y")), cell(F.col("max_y")))),
-    ).withColumn(
-        "_edges", F.filter("_edges", lambda e: F.col("cell_y").between(e["row_from"], e["row_to"])),
+    rows = boxed.withColumn("cell_y", cover(row_of, "min_y", "max_y")).withColumn(
+        "_edges", F.filter("_edges", lambda e: F.col("cell_y").between(
+            row_of(e["y_lo"]), row_of(e["y_hi"]),
+        )),
+    )
+    cells = rows.withColumn("cell_x", cover(column_of, "min_x", "max_x")).withColumn(
+        "_edges", F.filter("_edges", lambda e: column_of(e["x_max"]) >= F.col("cell_x")),
+    )
+    return cells.where(F.size("_edges") > 0).select(
+        *AREA_COLUMNS, "cell_x", "cell_y", *_BOX, "_edges",
     )
-    cells = rows.withColumn(
-        "cell_x", F.explode(F.sequence(cell(F.col("min_x")), cell(F.col("max_x")))),
-    ).withColumn("_edges", F.filter("_edges", lambda e: e["col_to"] >= F.col("cell_x")))
-    return cells.where(F.size("_edges") > 0).select(*AREA_COLUMNS, "cell_x", "cell_y", "_edges")
 
 
 def join_stations_to_neighborhoods(
@@ -105,25 +112,27 @@ def join_stations_to_neighborhoods(
     """Left join of points to the polygons they lie strictly inside of.
 
     A point on a boundary or outside gets NULLs, a point in several polygons several rows. The
-    join is an equi-join on grid cells with the inside test as an extra condition. The cells are
-    broadcast when their measured bound keeps below ``broadcast_limit`` bytes; larger ones are
-    shuffled by cell, where adaptive execution splits a crowded cell. A point is in exactly one
-    cell and is never copied. Pass a ``grid`` to reuse a measurement.
+    join is an equi-join on grid cells; the bounding box and then the inside test are extra
+    conditions. The cells are broadcast when their measured bound keeps below ``broadcast_limit``
+    bytes; larger ones are shuffled by cell, where adaptive execution splits a crowded cell. A
+    point is in exactly one cell and is never copied. Pass a ``grid`` to reuse a measurement.
     """
     lat, lng = find_lat_lng(stations.columns)
     px, py = _number(lng), _number(lat)
     grid = grid or measure_grid(neighborhoods)
     located = stations.withColumns({
         "_x": px, "_y": py,
-        "_cell_x": F.floor(px / grid.size).cast("long"),
-        "_cell_y": F.floor(py / grid.size).cast("long"),
+        "_cell_x": F.floor(px / grid.width).cast("long"),
+        "_cell_y": F.floor(py / grid.height).cast("long"),
     })
-    cells = polygon_cells(neighborhoods, grid.size)
+    cells = polygon_cells(neighborhoods, grid)
     if grid.cell_table_bytes <= broadcast_limit:
         cells = F.broadcast(cells)
     inside = (
         (F.col("_cell_x") == F.col("cell_x"))
         & (F.col("_cell_y") == F.col("cell_y"))
+        & (F.col("_x") > F.col("min_x")) & (F.col("_x") < F.col("max_x"))
+        & (F.col("_y") > F.col("min_y")) & (F.col("_y") < F.col("max_y"))
         & G.within(F.col("_x"), F.col("_y"), F.col("_edges"))
     )
     return located.join(cells, inside, "left").select(
@@ -224,10 +233,10 @@ def _with_edges(neighborhoods: DataFrame) -> DataFrame:
 
 
 def _with_box(df: DataFrame) -> DataFrame:
-    """Bounding box; every vertex begins one edge, so first ends suffice."""
-    xs = F.transform("_edges", lambda e: e["x1"])
-    ys = F.transform("_edges", lambda e: e["y1"])
+    def ends(name: str) -> Column:
+        return F.transform("_edges", lambda e: e[name])
+
     return df.withColumns({
-        "min_x": F.array_min(xs), "max_x": F.array_max(xs),
-        "min_y": F.array_min(ys), "max_y": F.array_max(ys),
+        "min_x": F.array_min(ends("x_min")), "max_x": F.array_max(ends("x_max")),
+        "min_y": F.array_min(ends("y_lo")), "max_y": F.array_max(ends("y_hi")),
     })

@@ -26,8 +26,7 @@ FROM (SELECT c_custkey AS station_id,
 LEFT JOIN areas n ON {inside('c.longitude', 'c.latitude')}
 """))
 def place_customers(t: DriverTables) -> DataFrame:
-    placed = spatial.join_stations_to_neighborhoods(t.customer_points(), t.neighborhoods())
-    return placed.drop("latitude", "longitude")
+    return t.placed(t.customer_points()).drop("latitude", "longitude")
 
 
 @query(using(f"""
@@ -38,7 +37,7 @@ GROUP BY ALL
 def place_trip_starts(t: DriverTables) -> DataFrame:
     """Every trip's start point; trips without coordinates stay unplaced."""
     starts = t.trips().select("start_lat", "start_lng")
-    placed = spatial.join_stations_to_neighborhoods(starts, t.neighborhoods())
+    placed = t.placed(starts)
     return placed.groupBy("neighborhood_id", "borough").agg(F.count("*").alias("trips"))
 
 
@@ -50,9 +49,7 @@ GROUP BY ALL
 def place_trip_starts_shuffled(t: DriverTables) -> DataFrame:
     """As above with a cell table taken as too large to broadcast."""
     starts = t.trips().select("start_lat", "start_lng")
-    placed = spatial.join_stations_to_neighborhoods(
-        starts, t.neighborhoods(), broadcast_limit=-1,
-    )
+    placed = t.placed(starts, broadcast_limit=-1)
     return placed.groupBy("neighborhood_id", "borough").agg(F.count("*").alias("trips"))
 
 

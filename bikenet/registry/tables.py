@@ -5,6 +5,8 @@ Coordinates are multiples of 1/256 degree, so that points on polygon boundaries
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -187,12 +189,22 @@ class DriverTables:
             geometry.cast(S.GEOMETRY).alias("geometry"),
         )
 
+    @cached_property
+    def grid(self) -> spatial.Grid:
+        """Measured once for all joins of a query."""
+        return spatial.measure_grid(self.neighborhoods())
+
+    def placed(self, points: DataFrame, **options) -> DataFrame:
+        return spatial.join_stations_to_neighborhoods(
+            points, self.neighborhoods(), self.grid, **options,
+        )
+
     def placed_stations(self) -> DataFrame:
-        return spatial.join_stations_to_neighborhoods(self.stations(), self.neighborhoods())
+        return self.placed(self.stations())
 
     def scores(self) -> DataFrame:
         return spatial.compute_accessibility_scores(
-            self.daily(), self.stations(), self.neighborhoods(),
+            self.daily(), self.stations(), self.neighborhoods(), grid=self.grid,
         )
 
 

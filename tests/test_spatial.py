@@ -108,9 +108,7 @@ def test_random_polygons_of_very_different_sizes(spark):
         expected += [(str(i), k) for k in hits] or [(str(i), "-")]
     areas, stations = polygons(spark, shapes), points(spark, coordinates)
     assert placed(stations, areas) == sorted(expected)
-    assert placed(stations, areas, grid=spatial.Grid(3.7, 0.0), broadcast_limit=-1) == sorted(expected)
-    grid = spatial.measure_grid(areas)
-    assert spatial.polygon_cells(areas, grid.size).count() <= 8 * len(shapes)
+    assert placed(stations, areas, grid=spatial.Grid(3.7, 1.3, 0.0), broadcast_limit=-1) == sorted(expected)
 
 
 def test_bound_covers_the_cell_table(spark):
@@ -118,9 +116,10 @@ def test_bound_covers_the_cell_table(spark):
     areas = polygons(spark, {
         str(i): [[_star(rng, i, i, rng.choice([1, 3, 20]), 40)]] for i in range(20)})
     grid = spatial.measure_grid(areas)
-    cells = spatial.polygon_cells(areas, grid.size)
-    copies = cells.agg(F.sum(F.size("_edges"))).first()[0]
-    assert copies * spatial._EDGE_BYTES <= grid.cell_table_bytes
+    cells, copies = spatial.polygon_cells(areas, grid).agg(
+        F.count("*"), F.sum(F.size("_edges"))).first()
+    actual = cells * spatial._CELL_BYTES + copies * spatial._EDGE_BYTES
+    assert actual <= grid.cell_table_bytes <= 5 * actual
 
 
 def test_plans(spark, fixture_areas):
