@@ -27,7 +27,7 @@ HEADLINE = {
     "top_stations": "lineitem",
     "rideable_shares": "lineitem",
     "hour_day_pivot": "events",
-    "trips_by_area": "lineitem",
+    "neighborhood_trip_summary": "lineitem",
     "equity_gap_stations": "lineitem",
     "current_station_availability": "events",
     "latest_per_station": "events",

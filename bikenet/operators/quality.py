@@ -12,10 +12,6 @@ from bikenet import schema as S
 from bikenet.operators.cleaning import detect_schema, missing_columns
 from bikenet.sources.trips import FILE_COLUMN, files_by_header, header_columns, read_csv_group
 
-REPORT_COLUMNS = (
-    "schema_version", "row_count", "missing_required_columns", "null_rate",
-    "duplicate_count", "warnings", "errors", "is_valid",
-)
 _UNKNOWN = "unrecognised columns: schema version could not be detected"
 
 
@@ -43,9 +39,13 @@ class InvalidTripData(RuntimeError):
     """Raised when a batch is stopped by an invalid report."""
 
 
-def validate_dataframe(df: DataFrame) -> DataFrame:
-    """One report row: version, counts, null rates, warnings, errors, verdict."""
-    return _report(df.agg(*_measures(df)), df.columns)
+def validate_dataframe(df: DataFrame, rsd: float | None = None) -> DataFrame:
+    """One report row: version, counts, null rates, warnings, errors, verdict.
+
+    Counting duplicates exactly shuffles the distinct ride ids. With ``rsd``, a relative standard
+    deviation, they are estimated from a sketch instead and nothing but sketches is shuffled.
+    """
+    return _report(df.agg(*_measures(df, rsd)), df.columns)
 
 
 def null_rates(df: DataFrame) -> DataFrame:
@@ -105,18 +105,20 @@ def _missing(df: DataFrame, name: str) -> Column:
     return column.isNull()
 
 
-def _duplicates(key: Column) -> Column:
+def _duplicates(key: Column, rsd: float | None = None) -> Column:
     null_id = F.coalesce(F.max(key.isNull().cast("long")), F.lit(0))
-    return F.count("*") - F.count_distinct(key) - null_id
+    if rsd is None:
+        return F.count("*") - F.count_distinct(key) - null_id
+    return F.greatest(F.count("*") - F.approx_count_distinct(key, rsd) - null_id, F.lit(0))
 
 
-def _measures(df: DataFrame) -> list[Column]:
+def _measures(df: DataFrame, rsd: float | None = None) -> list[Column]:
     measures = [F.count("*").alias("row_count")]
     for name, actual in _coordinates(df).items():
         measures.append(F.avg(_missing(df, actual).cast("int")).alias(f"_null {name}"))
     if detect_schema(df.columns) == "current":
         key = next(c for c in df.columns if c.lower() == "ride_id")
-        measures.append(_duplicates(F.col(f"`{key}`")).alias("_duplicates"))
+        measures.append(_duplicates(F.col(f"`{key}`"), rsd).alias("_duplicates"))
     return measures
 
 

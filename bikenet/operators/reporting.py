@@ -34,6 +34,31 @@ def station_dominance(top: DataFrame, n: int = 20) -> DataFrame:
     })
 
 
+def casual_trips(df: DataFrame) -> DataFrame:
+    return df.withColumn("casual_trips", F.col("total_trips") - F.col("member_trips"))
+
+
+def classic_trips(df: DataFrame) -> DataFrame:
+    return df.withColumn("classic_trips", F.col("total_trips") - F.col("ebike_trips"))
+
+
+def drop_null_share(df: DataFrame, share: str = "ebike_share") -> DataFrame:
+    """Leave out stations whose share is unknown for want of trips."""
+    return df.where(F.col(share).isNotNull())
+
+
+def positive_capacity(scores: DataFrame) -> DataFrame:
+    return scores.where(F.col("total_capacity") > 0)
+
+
+def area_round(scores: DataFrame) -> DataFrame:
+    """The five display columns, area rounded to two digits."""
+    return scores.select(
+        "neighborhood_name", "borough", "station_count", "total_capacity",
+        F.bround("area_km2", 2).alias("area_km2"),
+    )
+
+
 def vehicle_shares(rideable: DataFrame) -> DataFrame:
     """Vehicle types with display label and share, for a ring chart."""
     return rideable.withColumn("label", vehicle_label(F.col("rideable_type")))
@@ -41,17 +66,14 @@ def vehicle_shares(rideable: DataFrame) -> DataFrame:
 
 def member_casual_split(top: DataFrame, n: int = 15) -> DataFrame:
     """Member and casual trips of the first ``n`` stations."""
-    return top_k(top, n, "total_trips", *_STATION).withColumns({
-        "casual_trips": F.col("total_trips") - F.col("member_trips"),
-        "member_pct": percent(F.col("member_trips"), F.col("total_trips")),
-    })
+    pct = percent(F.col("member_trips"), F.col("total_trips"))
+    return casual_trips(top_k(top, n, "total_trips", *_STATION)).withColumn("member_pct", pct)
 
 
 def vehicle_split(top: DataFrame, n: int = 10) -> DataFrame:
     """E-bike and classic trips of the first ``n`` stations, fewest trips first."""
-    return top_k(top, n, "total_trips", *_STATION).withColumn(
-        "classic_trips", F.col("total_trips") - F.col("ebike_trips"),
-    ).orderBy("total_trips", *_STATION)
+    first = top_k(top, n, "total_trips", *_STATION)
+    return classic_trips(first).orderBy("total_trips", *_STATION)
 
 
 def ebike_share_points(stations: DataFrame, labelled: int = 5, threshold: float = 50) -> DataFrame:
@@ -60,9 +82,8 @@ def ebike_share_points(stations: DataFrame, labelled: int = 5, threshold: float
     The labelled rows come from a top-k of fixed size and are joined back, so the station table
     is never ordered in one task.
     """
-    points = stations.withColumn(
-        "ebike_share", percent(F.col("ebike_trips"), F.col("total_trips")),
-    ).where(F.col("ebike_share").isNotNull())
+    share = percent(F.col("ebike_trips"), F.col("total_trips"))
+    points = drop_null_share(stations.withColumn("ebike_share", share))
     busiest = top_k(points, labelled, "total_trips", *_STATION).select(
         *(F.col(c).alias(f"_{c}") for c in _STATION),
         short_station_name(F.col("start_station_name")).alias("label"),
@@ -76,17 +97,14 @@ def ebike_share_points(stations: DataFrame, labelled: int = 5, threshold: float
 
 def neighborhood_capacity_top(scores: DataFrame, n: int = 20) -> DataFrame:
     """Neighbourhoods with the most docks."""
-    with_docks = scores.where(F.col("total_capacity") > 0)
-    top = top_k(with_docks, n, "total_capacity", "neighborhood_id")
-    return neighborhood_table(top)
+    return neighborhood_table(
+        top_k(positive_capacity(scores), n, "total_capacity", "neighborhood_id"),
+    )
 
 
 def neighborhood_table(scores: DataFrame) -> DataFrame:
-    """The five display columns, largest capacity first, area rounded to two digits."""
-    return scores.orderBy(F.desc_nulls_last("total_capacity"), "neighborhood_id").select(
-        "neighborhood_name", "borough", "station_count", "total_capacity",
-        F.bround("area_km2", 2).alias("area_km2"),
-    )
+    """All neighbourhoods for display, largest capacity first."""
+    return area_round(scores.orderBy(F.desc_nulls_last("total_capacity"), "neighborhood_id"))
 
 
 def hour_day_pivot(hourly: DataFrame) -> DataFrame:
@@ -108,7 +126,9 @@ def day_profile(hourly: DataFrame) -> DataFrame:
 
 def daily_totals(hourly: DataFrame) -> DataFrame:
     """Trips per day name from Monday to Sunday; a day without data shows NULL."""
-    week = hourly.sparkSession.createDataFrame(list(DAY_NAMES.items()), "day_of_week int, day_name string")
+    week = hourly.sparkSession.createDataFrame(
+        list(DAY_NAMES.items()), "day_of_week int, day_name string",
+    )
     sums = hourly.groupBy("day_of_week").agg(F.sum("total_trips").alias("total_trips"))
     return (
         week.join(sums, "day_of_week", "left")

@@ -61,38 +61,35 @@ def gold_smoke(trips_per_station: DataFrame, n: int = 5) -> DataFrame:
     return top
 
 
-def hourly_usage_pattern(hourly_pattern: DataFrame) -> DataFrame:
+def hourly_usage_pattern(pattern: DataFrame) -> DataFrame:
     """Trips per hour, day, vehicle and rider type, in day and hour order."""
-    keys = ("hour_of_day", "day_of_week", "rideable_type", "member_casual")
-    return (
-        hourly_pattern.groupBy(*keys).agg(F.sum("trip_count").alias("total_trips"))
-        .orderBy("day_of_week", "hour_of_day")
-    )
+    keys = ("day_of_week", "hour_of_day", "rideable_type", "member_casual")
+    return pattern.groupBy(*keys).agg(F.sum("trip_count").alias("total_trips")).orderBy(*keys)
 
 
-def hourly_totals(hourly_pattern: DataFrame) -> DataFrame:
+def hourly_pattern(pattern: DataFrame) -> DataFrame:
     """Trips per hour and day, in day and hour order."""
     return (
-        hourly_pattern.groupBy("hour_of_day", "day_of_week")
+        pattern.groupBy("hour_of_day", "day_of_week")
         .agg(F.sum("trip_count").alias("total_trips"))
         .orderBy("day_of_week", "hour_of_day")
     )
 
 
-def rideable_shares(rideable_split: DataFrame, rideable_type: str | None = None) -> DataFrame:
+def rideable_split(split: DataFrame, rideable_type: str | None = None) -> DataFrame:
     """Trips per vehicle type with their share of all trips.
 
     The window without partitions runs on one row per vehicle type.
     """
-    totals = rideable_split.groupBy("rideable_type").agg(F.sum("trip_count").alias("total_trips"))
+    totals = split.groupBy("rideable_type").agg(F.sum("trip_count").alias("total_trips"))
     everything = F.sum("total_trips").over(Window.partitionBy())
     shares = totals.withColumn("pct", percent(F.col("total_trips"), everything, 2))
     if rideable_type:
         shares = shares.where(F.col("rideable_type") == rideable_type)
-    return shares.orderBy(F.desc("total_trips"))
+    return shares.orderBy(F.desc("total_trips"), "rideable_type")
 
 
-def trips_by_area(
+def neighborhood_trip_summary(
     trips_per_station: DataFrame, scores: DataFrame,
     station_to_neighborhood: DataFrame | None = None,
 ) -> DataFrame:
@@ -120,7 +117,7 @@ def trips_by_area(
             F.sum("ebike_trips").alias("total_ebike_trips"),
             percent(F.sum("ebike_trips"), F.sum("total_trips"), 2).alias("ebike_pct"),
         )
-        .orderBy(F.desc_nulls_last("accessibility_score"))
+        .orderBy(F.desc_nulls_last("accessibility_score"), "neighborhood_name", "borough")
     )
 
 

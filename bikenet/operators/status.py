@@ -51,12 +51,15 @@ def current_station_availability(
     status: DataFrame, lookback_minutes: int = 5, as_of: Column | dt.datetime | None = None,
     drop_malformed: bool = False,
 ) -> DataFrame:
-    """The newest reading per station within the look-back, emptiest stations first."""
+    """The newest reading per station within the look-back, emptiest stations first.
+
+    The station id as last sort key lets the sort split the many stations of one level.
+    """
     recent = recent_window(status, lookback_minutes, as_of)
     return latest_per_station(recent, drop_malformed=drop_malformed).select(
         "station_id", "num_bikes_available", "num_docks_available", "is_renting",
         F.col("processed_at").alias("last_seen"),
-    ).orderBy(F.asc_nulls_last("num_bikes_available"))
+    ).orderBy(F.asc_nulls_last("num_bikes_available"), "station_id")
 
 
 def empty_stations(availability: DataFrame) -> DataFrame:

@@ -27,9 +27,9 @@ class Tables:
 
 QUERIES: Mapping[str, Callable[[Tables], DataFrame]] = {
     "top_stations": lambda t: serving.top_stations(t.trips_per_station),
-    "hourly": lambda t: serving.hourly_totals(t.hourly_pattern),
-    "rideable_split": lambda t: serving.rideable_shares(t.rideable_split),
-    "neighborhoods": lambda t: serving.trips_by_area(t.trips_per_station, t.scores),
+    "hourly": lambda t: serving.hourly_pattern(t.hourly_pattern),
+    "rideable_split": lambda t: serving.rideable_split(t.rideable_split),
+    "neighborhoods": lambda t: serving.neighborhood_trip_summary(t.trips_per_station, t.scores),
     "realtime": lambda t: status.current_station_availability(t.status),
     "equity_gap": lambda t: serving.equity_gap_stations(t.trips_per_station, t.status),
 }

@@ -14,12 +14,13 @@ from bikenet.operators.quality import require_valid, validate_csv
 from bikenet.operators.serving import gold_smoke
 from bikenet.operators.spatial import compute_accessibility_scores, geo_scores
 from bikenet.sinks import write_bronze, write_geo_scores, write_gold, write_silver
+from bikenet.sources.archives import ingest_range, land_raw, read_zipped_trips
 from bikenet.sources.geo import read_neighborhoods
 from bikenet.sources.feeds import read_station_info
 from bikenet.sources.layers import read_bronze, read_layer, read_silver
 from bikenet.sources.trips import read_raw_trips
 
-STAGES = ("validate", "bronze", "silver", "gold", "spatial", "smoke")
+STAGES = ("ingest", "validate", "bronze", "silver", "gold", "spatial", "smoke")
 GOLD_SCHEMAS = {
     "trips_per_station": S.TRIPS_PER_STATION_SCHEMA,
     "hourly_pattern": S.HOURLY_PATTERN_SCHEMA,
@@ -36,6 +37,7 @@ class LayerPaths:
     bronze: str
     silver: str
     gold: str
+    archives: str | None = None
     station_info: str | None = None
     neighborhoods: str | None = None
     scores: str | None = None
@@ -45,6 +47,10 @@ class LayerPaths:
         names = ("raw", "bronze", "silver", "gold")
         return cls(**{n: f"{root.rstrip('/')}/{n}" for n in names}, **extra)
 
+    def raw_files(self, yyyymm: str | None = None) -> str:
+        """The raw area, or the folder of one month as the ingest stage lays it out."""
+        return f"{self.raw}/yyyymm={yyyymm}" if yyyymm else self.raw
+
 
 def raw_to_bronze(
     spark: SparkSession, raw: str, bronze: str, yyyymm: str | None = None,
@@ -90,6 +96,17 @@ def score_neighborhoods(spark: SparkSession, paths: LayerPaths) -> DataFrame:
     return spark.read.parquet(paths.scores)
 
 
+def ingest(spark: SparkSession, paths: LayerPaths, yyyymm: str | None = None) -> DataFrame:
+    """Unpack all archives, or land the year of one month and insist on that month."""
+    if yyyymm is None:
+        return land_raw(read_zipped_trips(spark, paths.archives), paths.raw)
+    year = int(yyyymm[:4])
+    landed = ingest_range(spark, paths.archives, paths.raw, year, year)
+    if landed.where(landed["yyyymm"] == yyyymm).isEmpty():
+        raise RuntimeError(f"no archive data for {yyyymm}")
+    return landed
+
+
 def run_batch(
     spark: SparkSession, paths: LayerPaths, yyyymm: str | None = None,
     stages: Iterable[str] = ("bronze", "silver", "gold"),
@@ -99,10 +116,12 @@ def run_batch(
     if wanted - set(STAGES):
         raise ValueError(f"unknown stages {sorted(wanted - set(STAGES))}, expected {STAGES}")
     out: dict[str, DataFrame] = {}
+    if "ingest" in wanted:
+        out["ingest"] = ingest(spark, paths, yyyymm)
     if "validate" in wanted:
-        out["validate"] = require_valid(validate_csv(spark, paths.raw))
+        out["validate"] = require_valid(validate_csv(spark, paths.raw_files(yyyymm)))
     if "bronze" in wanted:
-        out["bronze"] = raw_to_bronze(spark, paths.raw, paths.bronze, yyyymm)
+        out["bronze"] = raw_to_bronze(spark, paths.raw_files(yyyymm), paths.bronze, yyyymm)
     if "silver" in wanted:
         out["silver"] = bronze_to_silver(spark, paths.bronze, paths.silver)
     if "gold" in wanted:

@@ -95,9 +95,9 @@ def _all_scores(t: DriverTables) -> DataFrame:
 @query(using(_AREA_TRIPS.format(
     areas=_ALL_SCORES, trips=_STATION_SUMS, match="d.start_station_id = n.neighborhood_id",
 )))
-def trips_by_area_proxy(t: DriverTables) -> DataFrame:
+def neighborhood_trip_summary_proxy(t: DriverTables) -> DataFrame:
     """Station ids compared with neighbourhood ids, as the reference does."""
-    return serving.trips_by_area(t.daily(), _all_scores(t))
+    return serving.neighborhood_trip_summary(t.daily(), _all_scores(t))
 
 
 @query(using(_AREA_TRIPS.format(
@@ -105,9 +105,9 @@ def trips_by_area_proxy(t: DriverTables) -> DataFrame:
       FROM ({_STATION_SUMS}) x JOIN placed p ON x.start_station_id = p.station_id""",
     match="d.neighborhood_id = n.neighborhood_id",
 )))
-def trips_by_area(t: DriverTables) -> DataFrame:
+def neighborhood_trip_summary(t: DriverTables) -> DataFrame:
     """Stations assigned to neighbourhoods by their position."""
-    return serving.trips_by_area(t.daily(), _all_scores(t), t.placed_stations())
+    return serving.neighborhood_trip_summary(t.daily(), _all_scores(t), t.placed_stations())
 
 
 _SUMMARY = """SELECT station_id, avg(num_bikes_available) AS avg_bikes_available,

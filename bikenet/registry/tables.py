@@ -5,39 +5,53 @@ Coordinates are multiples of 1/256 degree, so that points on polygon boundaries
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from functools import cached_property, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bikenet import schema as S
+from bikenet.functions import geometry as G
 from bikenet.operators import cleaning, gold, serving, spatial
 
 # unit-square outlines by n_nationkey % 4: list of polygons, each a list of closed rings
-_SQUARE = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
-SHAPES = {
-    0: [[[(0, 0), (1, 0), (1, 0.5), (0.5, 0.5), (0.5, 1), (0, 1), (0, 0)]]],
-    1: [[_SQUARE]],
-    2: [[_SQUARE, [(0.25, 0.25), (0.25, 0.5), (0.5, 0.5), (0.5, 0.25), (0.25, 0.25)]]],
-    3: [
-        [[(0, 0), (0.25, 0), (0.25, 1), (0, 1), (0, 0)]],
-        [[(0.5, 0), (1, 0), (1, 1), (0.5, 1), (0.5, 0)]],
-    ],
-}
+_SQUARE = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]
+_HOLE = [[0.25, 0.25], [0.25, 0.5], [0.5, 0.5], [0.5, 0.25], [0.25, 0.25]]
+_CORNER = [[0.0, 0.0], [1.0, 0.0], [1.0, 0.5], [0.5, 0.5], [0.5, 1.0], [0.0, 1.0], [0.0, 0.0]]
+_WEST_STRIP = [[0.0, 0.0], [0.25, 0.0], [0.25, 1.0], [0.0, 1.0], [0.0, 0.0]]
+_EAST_STRIP = [[0.5, 0.0], [1.0, 0.0], [1.0, 1.0], [0.5, 1.0], [0.5, 0.0]]
+SHAPES = {0: [[_CORNER]], 1: [[_SQUARE]], 2: [[_SQUARE, _HOLE]], 3: [[_WEST_STRIP], [_EAST_STRIP]]}
 SIDE = 0.25
 WEST, SOUTH = -74.0, 40.0
 
 
+def once(build: Callable) -> Callable:
+    """Build each (lazy) DataFrame once per query, so that a schema is not inferred again."""
+    @wraps(build)
+    def remembered(self, *args):
+        key = (build.__name__, *args)
+        if key not in self.frames:
+            self.frames[key] = build(self, *args)
+        return self.frames[key]
+
+    return remembered
+
+
 class DriverTables:
     """Lazy DataFrames over one scale-factor directory."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = str(sf_dir).rstrip("/")
+        self.frames: dict[tuple, DataFrame] = {}
 
+    @once
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    @once
     def trips(self) -> DataFrame:
         """Line items as trips: repeated ride ids, missing coordinates, implausible durations."""
         key = F.col("l_suppkey")
@@ -63,6 +77,7 @@ class DriverTables:
             .alias("member_casual"),
         )
 
+    @once
     def event_trips(self) -> DataFrame:
         """Events as trips with real times of day; durations reach below 60 s and above a day."""
         key = F.col("user_id")
@@ -107,24 +122,29 @@ class DriverTables:
             c.cast("string").alias(name) for name, c in columns.items()
         ))
 
+    @once
     def silver(self) -> DataFrame:
         return cleaning.to_silver(self.trips())
 
+    @once
     def event_silver(self) -> DataFrame:
         return cleaning.to_silver(self.event_trips())
 
+    @once
     def daily(self) -> DataFrame:
         return gold.trips_per_station(self.silver())
 
+    @once
     def hourly(self) -> DataFrame:
-        return serving.hourly_totals(gold.hourly_pattern(self.event_silver()))
+        return serving.hourly_pattern(gold.hourly_pattern(self.event_silver()))
 
     def top(self, n: int = 20) -> DataFrame:
         return serving.top_stations(self.daily(), n)
 
     def shares(self) -> DataFrame:
-        return serving.rideable_shares(gold.rideable_split(self.silver()))
+        return serving.rideable_split(gold.rideable_split(self.silver()))
 
+    @once
     def status(self) -> DataFrame:
         """Events as station readings."""
         reported = F.unix_timestamp("ts")
@@ -146,6 +166,7 @@ class DriverTables:
         """The newest reading's time, as a scalar subquery."""
         return self.table("events").agg(F.max("ts").alias("ts")).scalar()
 
+    @once
     def stations(self) -> DataFrame:
         key = F.col("s_suppkey")
         return self.table("supplier").select(
@@ -164,29 +185,24 @@ class DriverTables:
             (WEST + (key * 13 % 331) / 256).alias("longitude"),
         )
 
+    @once
     def neighborhoods(self) -> DataFrame:
         """Nations as areas on a five-by-five grid, regions as boroughs."""
         key = F.col("n_nationkey")
         x0 = WEST + (key % 5) * SIDE
         y0 = SOUTH + F.floor(key / 5) * SIDE
 
-        def ring(points) -> Column:
-            return F.array(*(F.array(x0 + u * SIDE, y0 + v * SIDE) for u, v in points))
-
-        shapes = {
-            kind: F.array(*(F.array(*(ring(r) for r in polygon)) for polygon in polygons))
-            for kind, polygons in SHAPES.items()
-        }
-        geometry = F.when(key % 4 == 0, shapes[0])
-        for kind in (1, 2, 3):
-            geometry = geometry.when(key % 4 == kind, shapes[kind])
+        units = F.lit([SHAPES[kind] for kind in sorted(SHAPES)]).cast(T.ArrayType(S.GEOMETRY))
+        geometry = G.map_vertices(
+            F.get(units, (key % 4).cast("int")), lambda u: x0 + u * SIDE, lambda v: y0 + v * SIDE,
+        )
         regions = self.table("region")
         nations = self.table("nation")
         return nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"]).select(
             key.cast("string").alias("neighborhood_id"),
             F.col("n_name").alias("neighborhood_name"),
             F.col("r_name").alias("borough"),
-            geometry.cast(S.GEOMETRY).alias("geometry"),
+            geometry.alias("geometry"),
         )
 
     @cached_property
@@ -199,9 +215,11 @@ class DriverTables:
             points, self.neighborhoods(), self.grid, **options,
         )
 
+    @once
     def placed_stations(self) -> DataFrame:
         return self.placed(self.stations())
 
+    @once
     def scores(self) -> DataFrame:
         return spatial.compute_accessibility_scores(
             self.daily(), self.stations(), self.neighborhoods(), grid=self.grid,

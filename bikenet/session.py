@@ -34,10 +34,11 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
     Only a local session may run without that setting; it gets a temporary folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="bikenet-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="bikenet-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -1,8 +1,9 @@
 """Writers of the layers and of query results.
 
-Partitioned writes go through a rebalance on the partition column: adaptive execution splits a
-large month or day over several tasks and gathers small ones, so neither one slow task nor a
-file per shuffle task and month results.
+Silver and gold rows come out of a shuffle on other keys, so every task holds rows of every month
+or day. A rebalance on the partition column before the write lets adaptive execution split large
+months over several tasks and gather small ones: no slow task, no file per task and month. Bronze
+rows come straight from month-wise files and are written without a shuffle.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from pyspark.sql import functions as F
 
 
 def _write(df: DataFrame, path: str, partition: str | None, dynamic: bool = False) -> None:
-    writer = df.hint("rebalance", partition) if partition else df
-    writer = writer.write.mode("overwrite")
+    writer = df.write.mode("overwrite")
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition:
@@ -21,6 +21,10 @@ def _write(df: DataFrame, path: str, partition: str | None, dynamic: bool = Fals
     writer.parquet(path)
 
 
+def rebalanced(df: DataFrame, partition: str | None) -> DataFrame:
+    return df.hint("rebalance", partition) if partition else df
+
+
 def write_bronze(df: DataFrame, path: str, one_month: bool = True) -> None:
     """Replace the months present in ``df`` and leave all others.
 
@@ -34,11 +38,11 @@ def write_silver(df: DataFrame, path: str, months: list[str] | None = None) -> N
     """Replace the whole table, or only the ``months`` given."""
     if months is not None:
         df = df.where(F.col("year_month").isin(months))
-    _write(df, path, "year_month", dynamic=months is not None)
+    _write(rebalanced(df, "year_month"), path, "year_month", dynamic=months is not None)
 
 
 def write_gold(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    _write(df, path, partition_col)
+    _write(rebalanced(df, partition_col), path, partition_col)
 
 
 def write_result_csv(df: DataFrame, path: str) -> str:

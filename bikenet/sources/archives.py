@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -50,18 +51,26 @@ def archives_to_fetch(manifest: DataFrame) -> DataFrame:
     return manifest.select("archive").distinct()
 
 
-def list_members(archives: DataFrame, mode: str = "all") -> DataFrame:
-    """CSV members of each archive: the first one or all of them. ``archives`` has ``path``."""
+def list_members(
+    archives: DataFrame, mode: str = "all", skip_broken: bool = False,
+) -> DataFrame:
+    """CSV members of each archive: the first one or all of them. ``archives`` has ``path``.
+
+    An archive that is damaged or holds no CSV file is an error. With ``skip_broken`` it is left
+    out instead, which takes reading it once to check it before any line is passed on.
+    """
     if mode not in ("first", "all"):
         raise ValueError(f"mode must be 'first' or 'all', not {mode!r}")
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                with _open(path) as stream, zipfile.ZipFile(stream) as archive:
-                    names = [n for n in archive.namelist() if _is_trip_file(n)]
-                if not names:
-                    raise ValueError(f"no CSV files in archive {path}")
+                try:
+                    names = _trip_files(path, check=skip_broken)
+                except (ValueError, zipfile.BadZipFile, zlib.error):
+                    if not skip_broken:
+                        raise
+                    continue
                 kept = names[:1] if mode == "first" else names
                 yield pd.DataFrame({"archive": path, "member": kept})
 
@@ -83,16 +92,19 @@ def read_members(members: DataFrame) -> DataFrame:
     return members.repartition("archive", "member").mapInPandas(lines, _LINES)
 
 
-def read_zipped_trips(spark: SparkSession, path: str, mode: str = "all") -> DataFrame:
-    """``archive, member, line_no, line`` of the CSV members of the zip files at ``path``.
-
-    The listing takes paths only; archive contents are never read as one value.
-    """
-    found = (
+def list_archives(spark: SparkSession, path: str) -> DataFrame:
+    """Paths of the zip files below ``path``; archive contents are not read."""
+    return (
         spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
         .option("recursiveFileLookup", True).load(path).select("path")
     )
-    return read_members(list_members(found, mode))
+
+
+def read_zipped_trips(
+    spark: SparkSession, path: str, mode: str = "all", skip_broken: bool = False,
+) -> DataFrame:
+    """``archive, member, line_no, line`` of the CSV members of the zip files at ``path``."""
+    return read_members(list_members(list_archives(spark, path), mode, skip_broken))
 
 
 def member_month(member: Column, archive: Column) -> Column:
@@ -104,17 +116,22 @@ def member_month(member: Column, archive: Column) -> Column:
 
 
 def land_raw(lines: DataFrame, root: str) -> DataFrame:
-    """Write member lines below ``root/yyyymm=<month>/member=<file>`` and list the months landed.
+    """Write member lines by month, archive and member, and list the months present at ``root``.
 
-    Sorting by line number inside each task keeps a file's header in front.
+    A member's lines are all in one task; sorting by line number there keeps its header in front
+    of its one file.
     """
-    keyed = lines.withColumn("yyyymm", member_month(F.col("member"), F.col("archive")))
+    folders = ("yyyymm", "archive", "member")
     (
-        keyed.withColumn("member", F.substring_index("member", "/", -1))
-        .sortWithinPartitions("yyyymm", "member", "line_no")
-        .select("yyyymm", "member", F.col("line").alias("value"))
+        lines.withColumns({
+            "yyyymm": member_month(F.col("member"), F.col("archive")),
+            "archive": F.substring_index("archive", "/", -1),
+            "member": F.replace("member", F.lit("/"), F.lit("__")),
+        })
+        .sortWithinPartitions(*folders, "line_no")
+        .select(*folders, F.col("line").alias("value"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("yyyymm", "member").text(root)
+        .partitionBy(*folders).text(root)
     )
     return landed_months(lines.sparkSession, root)
 
@@ -129,13 +146,45 @@ def landed_months(spark: SparkSession, root: str) -> DataFrame:
     return files.select(key.alias("yyyymm")).where(F.col("yyyymm") != "").distinct()
 
 
+def ingest_range(
+    spark: SparkSession, archive_path: str, raw: str, start_year: int, end_year: int,
+    suffix: str = ARCHIVE_SUFFIX, monthly_mode: str = "all",
+) -> DataFrame:
+    """Unpack the archives of the years given into the raw area; returns the months landed.
+
+    Each archive is read once, also a yearly one. Absent or broken archives are skipped, and
+    :func:`missing_months` tells which months they leave open. ``monthly_mode="first"`` takes
+    only the first file of a monthly archive.
+    """
+    manifest = month_manifest(spark, start_year, end_year, suffix)
+    name = F.substring_index("path", "/", -1)
+    wanted = list_archives(spark, archive_path).withColumn("archive", name).join(
+        manifest.select("archive").distinct(), "archive",
+    )
+    yearly = F.substring_index("archive", "-", 1).rlike(r"^\d{4}$")
+    members = list_members(wanted.where(yearly), "all", skip_broken=True).unionByName(
+        list_members(wanted.where(~yearly), monthly_mode, skip_broken=True),
+    )
+    landed = land_raw(read_members(members), raw)
+    return landed.join(manifest.select("yyyymm"), "yyyymm", "left_semi")
+
+
 def missing_months(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     """Months of the manifest without landed data."""
     return manifest.join(landed, "yyyymm", "left_anti")
 
 
-def _is_trip_file(name: str) -> bool:
-    return name.lower().endswith(".csv") and not name.startswith("__MACOSX")
+def _trip_files(path: str, check: bool) -> list[str]:
+    with _open(path) as stream, zipfile.ZipFile(stream) as archive:
+        names = [
+            n for n in archive.namelist()
+            if n.lower().endswith(".csv") and not n.startswith("__MACOSX")
+        ]
+        if check and (damaged := archive.testzip()):
+            raise zipfile.BadZipFile(f"damaged member {damaged} in {path}")
+    if not names:
+        raise ValueError(f"no CSV files in archive {path}")
+    return names
 
 
 def _open(path: str):

@@ -35,7 +35,7 @@ def build_messages(snapshots: DataFrame, ingested_at: str = "last_updated") -> D
     )
 
 
-def parse_payload(records: DataFrame, drop_malformed: bool = False) -> DataFrame:
+def explode_payload(records: DataFrame, drop_malformed: bool = False) -> DataFrame:
     """Message fields and the record time. An unreadable payload gives a row of NULLs."""
     payload = F.from_json(F.col("value").cast("string"), S.STATUS_SCHEMA)
     parsed = records.select(payload.alias("data"), F.col("timestamp").alias("kafka_timestamp"))
@@ -51,7 +51,7 @@ def stamp_processing(df: DataFrame) -> DataFrame:
 
 def build_status_stream(records: DataFrame, drop_malformed: bool = False) -> DataFrame:
     """Records with ``value`` and ``timestamp`` as rows of the status layer."""
-    return stamp_processing(parse_payload(records, drop_malformed))
+    return stamp_processing(explode_payload(records, drop_malformed))
 
 
 def start_status_sink(

@@ -1,19 +1,21 @@
 from __future__ import annotations
 
 import json
+import zipfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from bikenet import schema as S
 from bikenet.operators.quality import InvalidTripData
 from bikenet.plans import analytics, layers
 from bikenet.session import shared_folder
 from bikenet.sources.layers import read_bronze, read_silver
-from helpers import CURRENT_ROW, csv_text
+from helpers import CURRENT_ROW, csv_text, plan_of
 
 
 def _month(root, yyyymm, n, **changes):
-    folder = root / yyyymm
+    folder = root / f"yyyymm={yyyymm}"
     folder.mkdir(parents=True, exist_ok=True)
     day = f"{yyyymm[:4]}-{yyyymm[4:]}-10"
     rows = [{**CURRENT_ROW, "ride_id": f"{yyyymm}-{i}", "started_at": f"{day} 08:00:00",
@@ -50,7 +52,7 @@ def test_silver_of_chosen_months_leaves_the_others(spark, tmp_path):
     _month(tmp_path / "raw", "202302", 3)
     layers.run_batch(spark, paths, stages=["bronze", "silver"])
     _month(tmp_path / "raw", "202302", 7)
-    layers.raw_to_bronze(spark, str(tmp_path / "raw" / "202302"), paths.bronze, "202302")
+    layers.raw_to_bronze(spark, paths.raw_files("202302"), paths.bronze, "202302")
     layers.bronze_to_silver(spark, paths.bronze, paths.silver, ["202302"])
     counts = {r["year_month"]: r["count"] for r in
               read_silver(spark, paths.silver).groupBy("year_month").count().collect()}
@@ -102,3 +104,53 @@ def test_shared_folder_is_below_the_session_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert one.startswith(root) and one != two
+
+
+def _zip(path, members):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in members.items():
+            z.writestr(name, text)
+
+
+def test_batch_from_an_archive(spark, tmp_path):
+    zips = tmp_path / "zips"
+    zips.mkdir()
+
+    def rows(n):
+        return csv_text([{**CURRENT_ROW, "ride_id": f"{n}-{i}"} for i in range(n)], S.CURRENT_COLUMNS)
+
+    _zip(zips / "2023-tripdata.zip", {
+        "2023/1_January/202301-trips_1.csv": rows(4), "2023/1_January/202301-trips_2.csv": rows(3),
+        "2023/2_February/202302-trips.csv": rows(2)})
+    paths = layers.LayerPaths.below(str(tmp_path), archives=str(zips))
+    out = layers.run_batch(spark, paths, "202301", ["ingest", "validate", "bronze"])
+    assert {r["yyyymm"] for r in out["ingest"].collect()} == {"202301", "202302"}
+    assert out["validate"].count() == 2
+    assert [tuple(r) for r in out["bronze"].groupBy("year_month").count().collect()] == [("202301", 7)]
+    with pytest.raises(RuntimeError, match="no archive data"):
+        layers.run_batch(spark, paths, "202401", ["ingest"])
+
+
+def test_partitioned_writes_are_rebalanced(spark):
+    from bikenet.sinks import rebalanced
+    df = spark.range(10).withColumn("year_month", F.lit("202301"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan_of(rebalanced(df, "year_month"), "simple")
+
+
+def test_cluster_without_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="shared"):
+        shared_folder(Session(), "x")

@@ -104,3 +104,9 @@ def test_gate(spark):
     assert quality.require_valid(good) is good
     with pytest.raises(quality.InvalidTripData, match="empty"):
         quality.require_valid(quality.validate_dataframe(current(spark)))
+
+
+def test_duplicates_from_a_sketch(spark):
+    df = current(spark, *({"ride_id": str(i % 50)} for i in range(200)))
+    row = quality.validate_dataframe(df, rsd=0.02).first()
+    assert 140 <= row["duplicate_count"] <= 160

@@ -53,9 +53,9 @@ def test_shares(spark):
     split = spark.createDataFrame(
         [("a", "electric_bike", 1), ("b", "electric_bike", 1), ("a", "classic_bike", 1)],
         S.RIDEABLE_SPLIT_SCHEMA)
-    rows = [tuple(r) for r in serving.rideable_shares(split).collect()]
+    rows = [tuple(r) for r in serving.rideable_split(split).collect()]
     assert rows == [("electric_bike", 2, 66.67), ("classic_bike", 1, 33.33)]
-    only = serving.rideable_shares(split, "classic_bike").collect()
+    only = serving.rideable_split(split, "classic_bike").collect()
     assert [r["pct"] for r in only] == [33.33]
 
 
@@ -63,7 +63,7 @@ def test_area_summary_keeps_areas_without_trips(spark, daily):
     scores = spark.createDataFrame(
         [("a", "Na", "X", 1.0), ("n", "Nn", "X", 2.0), ("z", "Nz", "Y", None)],
         "neighborhood_id string, neighborhood_name string, borough string, accessibility_score double")
-    rows = serving.trips_by_area(daily, scores).collect()
+    rows = serving.neighborhood_trip_summary(daily, scores).collect()
     assert [r["neighborhood_name"] for r in rows] == ["Nn", "Na", "Nz"]
     assert rows[0]["total_trips"] is None and rows[0]["ebike_pct"] is None
     assert rows[1]["total_trips"] == 45 and rows[1]["ebike_pct"] == 80.0

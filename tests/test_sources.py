@@ -118,6 +118,30 @@ def test_months_and_archives(spark):
     assert archives.month_manifest(spark, 2023, 2023).count() == 12
 
 
+def test_range_ingest_skips_what_is_absent_or_broken(spark, tmp_path):
+    zips = tmp_path / "zips"
+    zips.mkdir()
+    text = csv_text([CURRENT_ROW], S.CURRENT_COLUMNS)
+    _zip(zips / "2023-tripdata.zip", {f"2023{m:02d}.csv": text for m in range(1, 13)})
+    _zip(zips / "202401-tripdata.zip", {"202401_1.csv": text, "202401_2.csv": text})
+    _zip(zips / "202402-tripdata.zip", {"readme.txt": "no"})
+    (zips / "202403-tripdata.zip").write_bytes(b"not a zip")
+    _zip(zips / "202404-tripdata.zip", {"202404.csv": text * 50})
+    whole = (zips / "202404-tripdata.zip").read_bytes()
+    (zips / "202404-tripdata.zip").write_bytes(whole[:60] + b"XXXX" + whole[64:])
+    _zip(zips / "unrelated.zip", {"202405.csv": text})
+    raw = str(tmp_path / "raw")
+    landed = archives.ingest_range(spark, str(zips), raw, 2023, 2024)
+    months = sorted(r["yyyymm"] for r in landed.collect())
+    assert months == [f"2023{m:02d}" for m in range(1, 13)] + ["202401"]
+    assert read_raw_trips(spark, raw).count() == 14
+    first = archives.ingest_range(
+        spark, str(zips), str(tmp_path / "first"), 2024, 2024, monthly_mode="first")
+    assert first.count() == 1 and read_raw_trips(spark, str(tmp_path / "first")).count() == 1
+    missing = archives.missing_months(archives.month_manifest(spark, 2023, 2024), landed)
+    assert missing.count() == 11
+
+
 SNAPSHOT = {
     "last_updated": 1712000000, "ttl": 60,
     "data": {"stations": [
