@@ -14,6 +14,11 @@ from bikenet.registry.tables import DriverTables
 LOOKBACK = 2880  # minutes
 
 
+def as_double(df: DataFrame, *columns: str) -> DataFrame:
+    """Counts that may be NULL as double, the type in which every client shows NULLs alike."""
+    return df.withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
@@ -73,8 +78,8 @@ def rideable_shares(t: DriverTables) -> DataFrame:
 
 _AREA_TRIPS = """
 SELECT n.neighborhood_name, n.borough, n.accessibility_score,
-  CAST(sum(d.total_trips) AS BIGINT) AS total_trips,
-  CAST(sum(d.ebike_trips) AS BIGINT) AS total_ebike_trips,
+  CAST(sum(d.total_trips) AS DOUBLE) AS total_trips,
+  CAST(sum(d.ebike_trips) AS DOUBLE) AS total_ebike_trips,
   round(100.0::DOUBLE * sum(d.ebike_trips) / nullif(sum(d.total_trips), 0), 2) AS ebike_pct
 FROM {areas} n LEFT JOIN ({trips}) d ON {match}
 GROUP BY ALL
@@ -97,7 +102,8 @@ def _all_scores(t: DriverTables) -> DataFrame:
 )))
 def neighborhood_trip_summary_proxy(t: DriverTables) -> DataFrame:
     """Station ids compared with neighbourhood ids, as the reference does."""
-    return serving.neighborhood_trip_summary(t.daily(), _all_scores(t))
+    summary = serving.neighborhood_trip_summary(t.daily(), _all_scores(t))
+    return as_double(summary, "total_trips", "total_ebike_trips")
 
 
 @query(using(_AREA_TRIPS.format(
@@ -107,7 +113,8 @@ def neighborhood_trip_summary_proxy(t: DriverTables) -> DataFrame:
 )))
 def neighborhood_trip_summary(t: DriverTables) -> DataFrame:
     """Stations assigned to neighbourhoods by their position."""
-    return serving.neighborhood_trip_summary(t.daily(), _all_scores(t), t.placed_stations())
+    summary = serving.neighborhood_trip_summary(t.daily(), _all_scores(t), t.placed_stations())
+    return as_double(summary, "total_trips", "total_ebike_trips")
 
 
 _SUMMARY = """SELECT station_id, avg(num_bikes_available) AS avg_bikes_available,
@@ -295,7 +302,7 @@ def ebike_share_points(t: DriverTables) -> DataFrame:
 
 
 _HOURS = ", ".join(
-    f"CAST(sum(total_trips) FILTER (hour_of_day = {h}) AS BIGINT) AS h{h:02d}" for h in range(24)
+    f"CAST(sum(total_trips) FILTER (hour_of_day = {h}) AS DOUBLE) AS h{h:02d}" for h in range(24)
 )
 _DAY = """CASE day_of_week WHEN 1 THEN 'Sun' WHEN 2 THEN 'Mon' WHEN 3 THEN 'Tue'
   WHEN 4 THEN 'Wed' WHEN 5 THEN 'Thu' WHEN 6 THEN 'Fri' WHEN 7 THEN 'Sat' END"""
@@ -303,7 +310,8 @@ _DAY = """CASE day_of_week WHEN 1 THEN 'Sun' WHEN 2 THEN 'Mon' WHEN 3 THEN 'Tue'
 
 @query(using(f"SELECT {_DAY} AS day_name, {_HOURS} FROM hourly GROUP BY 1"))
 def hour_day_pivot(t: DriverTables) -> DataFrame:
-    return reporting.hour_day_pivot(t.hourly())
+    pivot = reporting.hour_day_pivot(t.hourly())
+    return as_double(pivot, *(c for c in pivot.columns if c != "day_name"))
 
 
 @query(using("""
@@ -315,12 +323,13 @@ def day_profile(t: DriverTables) -> DataFrame:
 
 
 @query(using(f"""
-SELECT {_DAY} AS day_name, CAST(sum(total_trips) FILTER (weekday) AS BIGINT) AS total_trips
+SELECT {_DAY} AS day_name, CAST(sum(total_trips) FILTER (weekday) AS DOUBLE) AS total_trips
 FROM (SELECT *, day_of_week BETWEEN 2 AND 6 AS weekday FROM hourly) GROUP BY 1
 """))
 def daily_totals(t: DriverTables) -> DataFrame:
     """Weekdays only; the two days without data stay in the result with NULL."""
-    return reporting.daily_totals(t.hourly().where(F.col("day_of_week").between(2, 6)))
+    weekdays = t.hourly().where(F.col("day_of_week").between(2, 6))
+    return as_double(reporting.daily_totals(weekdays), "total_trips")
 
 
 @query(using("""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bikenet.functions import geometry as G
 from bikenet.operators import spatial
 from bikenet.registry.core import query
-from bikenet.registry.serving_queries import rounded
+from bikenet.registry.serving_queries import as_double, rounded
 from bikenet.registry.sql import area, inside, using
 from bikenet.registry.tables import DriverTables
 
@@ -107,7 +107,8 @@ def accessibility_scores(t: DriverTables) -> DataFrame:
 
 
 @query(using("""
-SELECT a.neighborhood_id, a.neighborhood_name, a.borough, s.station_count, s.accessibility_score,
+SELECT a.neighborhood_id, a.neighborhood_name, a.borough,
+  CAST(s.station_count AS DOUBLE) AS station_count, s.accessibility_score,
   a.shape = 3 AS two_parts
 FROM areas a LEFT JOIN scores s USING (neighborhood_id)
 """))
@@ -117,18 +118,19 @@ def geo_scores(t: DriverTables) -> DataFrame:
     parts = F.size(F.from_json(
         F.get_json_object("geometry_json", "$.coordinates"), "array<array<array<array<double>>>>",
     ))
-    return geo.select(
+    return as_double(geo, "station_count").select(
         "neighborhood_id", "neighborhood_name", "borough", "station_count",
         "accessibility_score", (parts == 2).alias("two_parts"),
     )
 
 
 @query(using("""
-SELECT a.neighborhood_id, a.neighborhood_name, a.borough, s.total_capacity, s.accessibility_score
+SELECT a.neighborhood_id, a.neighborhood_name, a.borough,
+  CAST(s.total_capacity AS DOUBLE) AS total_capacity, s.accessibility_score
 FROM areas a LEFT JOIN scores s USING (neighborhood_id, neighborhood_name, borough)
 """))
 def map_scores(t: DriverTables) -> DataFrame:
-    return spatial.map_scores(t.neighborhoods(), t.scores()).select(
+    return as_double(spatial.map_scores(t.neighborhoods(), t.scores()), "total_capacity").select(
         "neighborhood_id", "neighborhood_name", "borough", "total_capacity",
         "accessibility_score",
     )
