@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from bikenet import schema as S
 from bikenet.functions.temporal import minutes_between
 from bikenet.operators.status import empty_stations
+from bikenet.sources.files import list_files
 
 
 class StaleStream(RuntimeError):
@@ -46,11 +47,8 @@ def file_freshness(
     as_of: Column | dt.datetime | None = None,
 ) -> DataFrame:
     """As :func:`freshness_minutes`, from the modification times of all data files at ``path``."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet").load(path)
-    )
-    return freshness_minutes(files, as_of, threshold, "modificationTime")
+    files = list_files(spark, path, "*.parquet")
+    return freshness_minutes(files, as_of, threshold, "modified")
 
 
 def require_fresh(freshness: DataFrame) -> DataFrame:

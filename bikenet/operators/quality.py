@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from bikenet import schema as S
 from bikenet.operators.cleaning import detect_schema, missing_columns
-from bikenet.sources.trips import FILE_COLUMN, files_by_header, header_columns, read_csv_group
+from bikenet.sources.files import FILE_COLUMN
+from bikenet.sources.trips import files_by_header, header_columns, read_csv_group
 
-_UNKNOWN = "unrecognised columns: schema version could not be detected"
 
 
 @dataclass
@@ -131,23 +131,20 @@ def _report(stats: DataFrame, columns: list[str], *keep: str) -> DataFrame:
     known = F.lit(version != "unknown")
 
     warnings = [
-        F.when(rate > S.MAX_NULL_RATE, F.format_string(
-            f"Column '{name}' has %.1f%% null values", rate * 100,
-        )) for name, rate in rates.items()
+        F.when(rate > S.MAX_NULL_RATE, F.format_string(S.NULLS_MESSAGE, F.lit(name), rate * 100))
+        for name, rate in rates.items()
     ]
     warnings.append(F.when(known & rows.between(1, S.LOW_ROW_COUNT - 1), F.format_string(
-        "Suspiciously low row count: %d", rows,
+        S.FEW_ROWS_MESSAGE, rows,
     )))
     copies = F.lit(0).cast("long")
     if "_duplicates" in stats.columns:
         copies = F.coalesce("_duplicates", F.lit(0))
-        warnings.append(F.when(copies > 0, F.format_string(
-            "%d duplicate ride_id values detected", copies,
-        )))
+        warnings.append(F.when(copies > 0, F.format_string(S.DUPLICATES_MESSAGE, copies)))
     errors = [
-        F.when(~known, F.lit(_UNKNOWN)),
-        F.when(F.lit(bool(absent)), F.lit(f"Missing required columns: {absent}")),
-        F.when(known & (rows == 0), F.lit("DataFrame is empty")),
+        F.when(~known, F.lit(S.UNKNOWN_MESSAGE)),
+        F.when(F.lit(bool(absent)), F.lit(S.MISSING_MESSAGE % absent)),
+        F.when(known & (rows == 0), F.lit(S.EMPTY_MESSAGE)),
     ]
     rate_map = F.create_map(*(
         part for name, rate in rates.items() for part in (F.lit(name), F.bround(rate, 4))

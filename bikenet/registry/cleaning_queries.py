@@ -246,7 +246,7 @@ def validate_legacy(t: DriverTables) -> DataFrame:
 @query("""
 SELECT 'unknown' AS schema_version, CAST(count(*) AS BIGINT) AS row_count,
   CAST(0 AS BIGINT) AS duplicate_count, '' AS missing_required_columns, '' AS null_rate,
-  '' AS warnings, 'unrecognised columns: schema version could not be detected' AS errors,
+  '' AS warnings, 'Could not detect schema version — unrecognised columns' AS errors,
   false AS is_valid
 FROM customer
 """)

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bikenet.sources.files import FILE_COLUMN, list_files, open_file
+
 ARCHIVE_SUFFIX = "-tripdata.zip"
 LAST_ANNUAL_YEAR = 2023
 LINES_PER_BATCH = 20_000
@@ -85,7 +87,7 @@ def read_members(members: DataFrame) -> DataFrame:
     def lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, member in zip(batch["archive"], batch["member"], strict=True):
-                with _open(path) as stream, zipfile.ZipFile(stream) as archive:
+                with open_file(path) as stream, zipfile.ZipFile(stream) as archive:
                     with archive.open(member) as raw:
                         yield from _line_batches(path, member, raw)
 
@@ -94,10 +96,7 @@ def read_members(members: DataFrame) -> DataFrame:
 
 def list_archives(spark: SparkSession, path: str) -> DataFrame:
     """Paths of the zip files below ``path``; archive contents are not read."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
-        .option("recursiveFileLookup", True).load(path).select("path")
-    )
+    return list_files(spark, path, "*.zip").select(F.col(FILE_COLUMN).alias("path"))
 
 
 def read_zipped_trips(
@@ -138,11 +137,8 @@ def land_raw(lines: DataFrame, root: str) -> DataFrame:
 
 def landed_months(spark: SparkSession, root: str) -> DataFrame:
     """Months with at least one file below ``root``; file listing only, no contents."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "part-*").load(root)
-    )
-    key = F.regexp_extract("path", r"yyyymm=(\d{6})", 1)
+    files = list_files(spark, root, "part-*")
+    key = F.regexp_extract(FILE_COLUMN, r"yyyymm=(\d{6})", 1)
     return files.select(key.alias("yyyymm")).where(F.col("yyyymm") != "").distinct()
 
 
@@ -175,7 +171,7 @@ def missing_months(manifest: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def _trip_files(path: str, check: bool) -> list[str]:
-    with _open(path) as stream, zipfile.ZipFile(stream) as archive:
+    with open_file(path) as stream, zipfile.ZipFile(stream) as archive:
         names = [
             n for n in archive.namelist()
             if n.lower().endswith(".csv") and not n.startswith("__MACOSX")
@@ -187,15 +183,6 @@ def _trip_files(path: str, check: bool) -> list[str]:
     return names
 
 
-def _open(path: str):
-    """Seekable stream on a local or object-store path, opened where the task runs."""
-    from pyarrow import fs
-
-    uri = path if "://" in path or not path.startswith("file:") else path.removeprefix("file:")
-    filesystem, inner = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_file(inner)
-
-
 def _line_batches(path: str, member: str, raw) -> Iterator[pd.DataFrame]:
     text = io.TextIOWrapper(raw, encoding="utf-8-sig", errors="replace", newline=None)
     chunk: list[str] = []

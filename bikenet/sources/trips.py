@@ -5,41 +5,21 @@ from __future__ import annotations
 import csv
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from bikenet.operators.cleaning import conform, detect_schema, normalise
-
-FILE_COLUMN = "source_file"
-
-
-def file_headers(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: ``source_file`` and its first line as ``header``.
-
-    A file's first split lies in a single task, where row ids grow in reading order, so the first
-    line is the one with the least id; map-side aggregation leaves one row per file to shuffle.
-    Spark lists no files of zero bytes.
-    """
-    return (
-        spark.read.option("recursiveFileLookup", True).text(path)
-        .where(F.col("_metadata.file_block_start") == 0)
-        .select(
-            _plain_path().alias(FILE_COLUMN), "value",
-            F.monotonically_increasing_id().alias("position"),
-        )
-        .groupBy(FILE_COLUMN)
-        .agg(F.min_by("value", "position").alias("header"))
-    )
+from bikenet.sources.files import FILE_COLUMN, first_lines, list_files, plain_path
 
 
 def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
     """Files that share a header line, so that each group can be read by its own column order.
 
-    Like any file listing this is driver-side: one short string per file.
+    Tasks read the head of each file; like any file listing, one short row per file reaches the
+    driver. Spark lists no files of zero bytes.
     """
     groups: dict[str, list[str]] = {}
-    for row in file_headers(spark, path).collect():
+    for row in first_lines(list_files(spark, path)).collect():
         groups.setdefault(row["header"], []).append(row[FILE_COLUMN])
     if not groups:
         raise ValueError(f"no files with contents below {path}")
@@ -47,8 +27,8 @@ def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
 
 
 def header_columns(header: str) -> list[str]:
-    """Column names of a CSV header line, quotes and byte-order mark removed."""
-    return next(csv.reader([header.removeprefix("\ufeff")]))
+    """Column names of a CSV header line."""
+    return next(csv.reader([header]))
 
 
 def read_csv_group(spark: SparkSession, files: list[str], columns: list[str]) -> DataFrame:
@@ -56,7 +36,7 @@ def read_csv_group(spark: SparkSession, files: list[str], columns: list[str]) ->
     fields = [T.StructField(name, T.StringType()) for name in columns]
     return (
         spark.read.schema(T.StructType(fields)).option("header", True).csv(files)
-        .withColumn(FILE_COLUMN, _plain_path())
+        .withColumn(FILE_COLUMN, plain_path())
     )
 
 
@@ -86,9 +66,3 @@ def read_uniform_trips(spark: SparkSession, path: str, legacy_key: str = "ride")
         .option("recursiveFileLookup", True).csv(path)
     )
     return conform(normalise(raw, legacy_key))
-
-
-def _plain_path() -> Column:
-    """The file path in the form the readers accept back: percent escapes and ``file:`` undone."""
-    uri = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return F.regexp_replace(F.url_decode(uri), "^file:/+", "/")

@@ -215,3 +215,19 @@ def test_partition_month_stays_text(spark, tmp_path):
     df = spark.createDataFrame([("1", "202301")], "ride_id string, year_month string")
     df.write.partitionBy("year_month").parquet(str(tmp_path / "b"))
     assert layers.read_bronze(spark, str(tmp_path / "b")).first()["year_month"] == "202301"
+
+
+def test_first_lines_read_only_the_head(spark, tmp_path):
+    import gzip
+
+    from bikenet.sources import files
+
+    long_header = ",".join(f"column_{i}" for i in range(2000))
+    (tmp_path / "a b%20.csv").write_text(long_header + "\r\n1\n")
+    (tmp_path / "no newline.csv").write_text("x,y")
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as f:
+        f.write("ride_id,started_at\n1,2\n")
+    got = {r["source_file"].rsplit("/", 1)[1]: r["header"]
+           for r in files.first_lines(files.list_files(spark, str(tmp_path))).collect()}
+    assert got == {"a b%20.csv": long_header, "no newline.csv": "x,y",
+                   "z.csv.gz": "ride_id,started_at"}
