@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from bikenet import schema as S
 from bikenet.operators.cleaning import detect_schema, missing_columns
 from bikenet.sources.files import FILE_COLUMN
-from bikenet.sources.trips import files_by_header, header_columns, read_csv_group
+from bikenet.sources.trips import header_groups, read_header_group
 
 
 
@@ -71,15 +71,13 @@ def validate_csv(
     header line exists still gets its report.
     """
     reports = []
-    for header, files in files_by_header(spark, path).items():
-        columns = header_columns(header)
-        rows = read_csv_group(spark, files, columns)
-        rows = rows.select(FILE_COLUMN, *(
+    for group in header_groups(spark, path):
+        columns = group.columns
+        rows = read_header_group(spark, group).select(FILE_COLUMN, *(
             F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")).alias(c) for c in columns
         ))
         measured = rows.groupBy(FILE_COLUMN).agg(*_measures(rows.drop(FILE_COLUMN)))
-        listed = spark.createDataFrame([(f,) for f in files], f"{FILE_COLUMN} string")
-        stats = listed.join(measured, FILE_COLUMN, "left").fillna(0, ["row_count"])
+        stats = group.files.join(measured, FILE_COLUMN, "left").fillna(0, ["row_count"])
         reports.append(_report(stats, columns, FILE_COLUMN))
     return reduce(DataFrame.unionByName, reports)
 

@@ -59,7 +59,7 @@ def raw_to_bronze(
     """Type the raw files. With ``yyyymm`` exactly that month's directory is replaced and all
     rows belong to it; without, months come from the start times and the table is rebuilt."""
     typed = tag_month(read_raw_trips(spark, raw, legacy_key), yyyymm)
-    write_bronze(typed, bronze, one_month=yyyymm is not None)
+    write_bronze(typed, bronze, yyyymm)
     return read_bronze(spark, bronze)
 
 

@@ -25,17 +25,20 @@ def rebalanced(df: DataFrame, partition: str | None) -> DataFrame:
     return df.hint("rebalance", partition) if partition else df
 
 
-def write_bronze(df: DataFrame, path: str, one_month: bool = True) -> None:
-    """Replace the months present in ``df`` and leave all others.
+def write_bronze(df: DataFrame, path: str, yyyymm: str | None = None) -> None:
+    """Replace exactly the directory of month ``yyyymm``, or without it the whole table.
 
-    ``one_month=False`` replaces the whole table, as needed when months are derived from the
-    data: a few strays of another month must not replace that month's directory.
+    Months derived from the data need the whole table: a few strays of another month must not
+    replace that month's directory.
     """
-    _write(df, path, "year_month", dynamic=one_month)
+    if yyyymm is None:
+        _write(df, path, "year_month")
+    else:
+        _write(df.drop("year_month"), f"{path}/year_month={yyyymm}", None)
 
 
 def write_silver(df: DataFrame, path: str, months: list[str] | None = None) -> None:
-    """Replace the whole table, or only the ``months`` given."""
+    """Replace the whole table, or of the ``months`` given those that have rows."""
     if months is not None:
         df = df.where(F.col("year_month").isin(months))
     _write(rebalanced(df, "year_month"), path, "year_month", dynamic=months is not None)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bikenet.sources.files import FILE_COLUMN, list_files, open_file
+from bikenet.sources.files import FILE_COLUMN, list_files, open_file, spread
 
 ARCHIVE_SUFFIX = "-tripdata.zip"
 LAST_ANNUAL_YEAR = 2023
@@ -76,7 +76,7 @@ def list_members(
                 kept = names[:1] if mode == "first" else names
                 yield pd.DataFrame({"archive": path, "member": kept})
 
-    return archives.select("path").mapInPandas(members, _MEMBERS)
+    return spread(archives.select("path")).mapInPandas(members, _MEMBERS)
 
 
 def read_members(members: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def read_members(members: DataFrame) -> DataFrame:
                     with archive.open(member) as raw:
                         yield from _line_batches(path, member, raw)
 
-    return members.repartition("archive", "member").mapInPandas(lines, _LINES)
+    return spread(members).mapInPandas(lines, _LINES)
 
 
 def list_archives(spark: SparkSession, path: str) -> DataFrame:

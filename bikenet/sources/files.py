@@ -33,6 +33,15 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return files.select(plain_path().alias(FILE_COLUMN), F.col("modificationTime").alias("modified"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Deal out rows that each stand for much work evenly over the shuffle partitions.
+
+    The rows are tiny, so without a fixed number adaptive execution would gather them in one task.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(partitions)
+
+
 def open_file(path: str, stream: bool = False):
     """A local or object-store file, seekable unless ``stream``, which undoes gzip and the like."""
     from pyarrow import fs

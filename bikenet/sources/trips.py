@@ -3,39 +3,55 @@
 from __future__ import annotations
 
 import csv
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from bikenet.operators.cleaning import conform, detect_schema, normalise
-from bikenet.sources.files import FILE_COLUMN, first_lines, list_files, plain_path
+from bikenet.sources.files import FILE_COLUMN, first_lines, list_files, plain_path, spread
 
 
-def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files that share a header line, so that each group can be read by its own column order.
+@dataclass(frozen=True)
+class HeaderGroup:
+    """Files with the same header line: what to read, and a ``source_file`` row for each."""
 
-    Tasks read the head of each file; like any file listing, one short row per file reaches the
-    driver. Spark lists no files of zero bytes.
-    """
-    groups: dict[str, list[str]] = {}
-    for row in first_lines(list_files(spark, path)).collect():
-        groups.setdefault(row["header"], []).append(row[FILE_COLUMN])
-    if not groups:
-        raise ValueError(f"no files with contents below {path}")
-    return groups
+    columns: list[str]
+    paths: list[str]
+    files: DataFrame
 
 
-def header_columns(header: str) -> list[str]:
-    """Column names of a CSV header line."""
-    return next(csv.reader([header]))
+def header_groups(spark: SparkSession, path: str) -> list[HeaderGroup]:
+    """The files below ``path`` by header line, so that each group is read by its own columns.
 
-
-def read_csv_group(spark: SparkSession, files: list[str], columns: list[str]) -> DataFrame:
-    """Files with one common header as all-string columns plus ``source_file``."""
-    fields = [T.StructField(name, T.StringType()) for name in columns]
+    Tasks read the head of each file. File names reach the driver only where headers differ;
+    otherwise the group is simply the whole folder. Spark lists no files of zero bytes.
+    """
+    listed = list_files(spark, path)
+    heads = first_lines(spread(listed))
+    headers = [row["header"] for row in heads.select("header").distinct().collect()]
+    if not headers:
+        raise ValueError(f"no files with contents below {path}")
+    if len(headers) == 1:
+        return [HeaderGroup(_columns(headers[0]), [path], listed.select(FILE_COLUMN))]
+    groups: dict[str, list[str]] = {header: [] for header in headers}
+    for row in heads.collect():
+        groups[row["header"]].append(row[FILE_COLUMN])
+    return [
+        HeaderGroup(_columns(header), files, spark.createDataFrame(
+            [(f,) for f in files], f"{FILE_COLUMN} string",
+        ))
+        for header, files in groups.items()
+    ]
+
+
+def read_header_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
+    """The group's rows as all-string columns plus ``source_file``."""
+    fields = [T.StructField(name, T.StringType()) for name in group.columns]
     return (
-        spark.read.schema(T.StructType(fields)).option("header", True).csv(files)
+        spark.read.schema(T.StructType(fields)).option("header", True)
+        .option("recursiveFileLookup", True).csv(group.paths)
         .withColumn(FILE_COLUMN, plain_path())
     )
 
@@ -47,11 +63,10 @@ def read_raw_trips(spark: SparkSession, path: str, legacy_key: str = "ride") ->
     file with another header order by position, silently.
     """
     parts = []
-    for header, files in files_by_header(spark, path).items():
-        columns = header_columns(header)
-        if detect_schema(columns) == "unknown":
-            raise ValueError(f"unrecognised trip columns {columns} in {files[:3]}")
-        raw = read_csv_group(spark, files, columns).drop(FILE_COLUMN)
+    for group in header_groups(spark, path):
+        if detect_schema(group.columns) == "unknown":
+            raise ValueError(f"unrecognised trip columns {group.columns} in {group.paths[:3]}")
+        raw = read_header_group(spark, group).drop(FILE_COLUMN)
         parts.append(conform(normalise(raw, legacy_key)))
     return reduce(DataFrame.unionByName, parts)
 
@@ -66,3 +81,7 @@ def read_uniform_trips(spark: SparkSession, path: str, legacy_key: str = "ride")
         .option("recursiveFileLookup", True).csv(path)
     )
     return conform(normalise(raw, legacy_key))
+
+
+def _columns(header: str) -> list[str]:
+    return next(csv.reader([header]))

@@ -38,6 +38,16 @@ def test_one_month_replaces_only_itself(spark, tmp_path):
     assert counts == {"202301": 2, "202302": 3}
 
 
+def test_an_empty_month_replaces_its_directory(spark, tmp_path):
+    bronze = str(tmp_path / "bronze")
+    raw = _month(tmp_path / "raw", "202301", 5)
+    _month(tmp_path / "raw", "202302", 3)
+    layers.raw_to_bronze(spark, raw, bronze, "202301")
+    layers.raw_to_bronze(spark, str(tmp_path / "raw" / "yyyymm=202302"), bronze, "202302")
+    _month(tmp_path / "raw", "202301", 0)
+    assert layers.raw_to_bronze(spark, raw, bronze, "202301").count() == 3
+
+
 def test_rebuild_derives_months(spark, tmp_path):
     _month(tmp_path / "raw", "202301", 2)
     _month(tmp_path / "raw", "202302", 3)

@@ -110,3 +110,17 @@ def test_duplicates_from_a_sketch(spark):
     df = current(spark, *({"ride_id": str(i % 50)} for i in range(200)))
     row = quality.validate_dataframe(df, rsd=0.02).first()
     assert 140 <= row["duplicate_count"] <= 160
+
+
+def test_folder_with_one_header_is_read_as_a_whole(spark, tmp_path):
+    from bikenet.sources.trips import header_groups
+
+    for name, n in (("a.csv", 2), ("b c.csv", 1), ("sub/d.csv", 0)):
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(csv_text([CURRENT_ROW] * n, S.CURRENT_COLUMNS))
+    groups = header_groups(spark, str(tmp_path))
+    assert [g.paths for g in groups] == [[str(tmp_path)]]
+    rows = quality.validate_csv(spark, str(tmp_path)).collect()
+    counts = {r["source_file"].rsplit("/", 1)[1]: r["row_count"] for r in rows}
+    assert counts == {"a.csv": 2, "b c.csv": 1, "d.csv": 0}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from bikenet import schema as S
 from bikenet.functions import geometry as G
 from bikenet.sources import archives, feeds, geo, layers
-from bikenet.sources.trips import files_by_header, read_raw_trips, read_uniform_trips
+from bikenet.sources.trips import header_groups, read_raw_trips, read_uniform_trips
 from helpers import CURRENT_ROW, LEGACY_ROW, csv_text
 
 
@@ -20,7 +20,7 @@ def test_files_with_different_headers_are_read_by_name(spark, tmp_path):
     (tmp_path / "b.csv").write_text(
         csv_text([{**row, "ride_id": "b"}], list(reversed(S.CURRENT_COLUMNS))))
     (tmp_path / "c.csv").write_text("﻿" + csv_text([LEGACY_ROW], list(LEGACY_ROW)))
-    assert len(files_by_header(spark, str(tmp_path))) == 3
+    assert len(header_groups(spark, str(tmp_path))) == 3
     rows = {r["start_station_name"] + r["rideable_type"] + str(r["ride_id"])[:1]: r
             for r in read_raw_trips(spark, str(tmp_path)).collect()}
     assert len(rows) == 3
@@ -71,6 +71,15 @@ def test_zip_members(spark, tmp_path):
         archives.read_zipped_trips(spark, str(tmp_path), "some")
 
 
+def test_members_are_spread_over_tasks(spark, tmp_path):
+    """The member list is tiny; adaptive execution must not gather it in one task."""
+    _zip(tmp_path / "a.zip", {f"2024{m:02d}.csv": "h\n1\n" for m in range(1, 13)})
+    lines = archives.read_zipped_trips(spark, str(tmp_path))
+    tasks = lines.select(F.spark_partition_id().alias("task"), "member").distinct()
+    per_task = tasks.groupBy("task").count().collect()
+    assert len(per_task) >= 6 and max(r["count"] for r in per_task) <= 2
+
+
 def test_zip_without_csv_is_an_error(spark, tmp_path):
     _zip(tmp_path / "a.zip", {"readme.txt": "no"})
     with pytest.raises(Exception, match="no CSV"):
