@@ -5,6 +5,11 @@ Intermediate tables are written to the shared folder that the session names.
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,13 +24,16 @@ from bikenet.registry.sql import area, using
 from bikenet.registry.tables import DriverTables
 from bikenet.session import shared_folder
 from bikenet.sinks import write_gold, write_result_csv, write_silver
-from bikenet.sources import archives
+from bikenet.sources import archives, feeds
+from bikenet.sources.files import locate
 from bikenet.sources.geo import read_neighborhoods
 from bikenet.sources.layers import (
     read_hive_glob, read_plain_glob, read_result_csv, read_silver, read_status_layer,
 )
-from bikenet.sources.trips import read_uniform_trips
-from bikenet.streaming.status import build_status_stream, start_message_job, start_status_sink
+from bikenet.sources.trips import read_raw_trips, read_uniform_trips
+from bikenet.streaming.status import (
+    build_messages, build_status_stream, start_message_job, start_status_sink,
+)
 
 _TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -125,24 +133,23 @@ def uniform_csv(t: DriverTables) -> DataFrame:
 @query(using("""
 SELECT strftime(started_at, '%Y%m') AS year_month, CAST(count(*) AS BIGINT) AS trips,
   CAST(sum(trip_duration_seconds) AS BIGINT) AS seconds
-FROM silver WHERE started_at >= TIMESTAMP '1996-01-01' GROUP BY 1
+FROM silver GROUP BY 1
 """))
 def silver_by_month(t: DriverTables) -> DataFrame:
-    """Silver written by month and read back with the earlier months pruned."""
+    """Silver written by month and read back; the month stays text."""
     path = shared_folder(t.spark, "silver")
     month = F.date_format("started_at", "yyyyMM")
     write_silver(t.silver().withColumn("year_month", month), path)
-    return read_silver(t.spark, path).where(F.col("year_month") >= "199601").groupBy(
-        "year_month",
-    ).agg(F.count("*").alias("trips"), F.sum("trip_duration_seconds").alias("seconds"))
+    return read_silver(t.spark, path).groupBy("year_month").agg(
+        F.count("*").alias("trips"), F.sum("trip_duration_seconds").alias("seconds"),
+    )
 
 
 @query(using("""
-SELECT CASE WHEN day_of_week = 1 THEN 'hive' ELSE 'plain' END AS reader,
-  CAST(count(*) AS BIGINT) AS cells, CAST(sum(trip_count) AS BIGINT) AS trips
-FROM (SELECT * FROM pattern WHERE day_of_week = 1
-  UNION ALL SELECT hour_of_day, 0, rideable_type, member_casual, trip_count FROM pattern)
-GROUP BY 1
+SELECT 'hive' AS reader, day_of_week, CAST(count(*) AS BIGINT) AS cells,
+  CAST(sum(trip_count) AS BIGINT) AS trips FROM pattern GROUP BY day_of_week
+UNION ALL
+SELECT 'plain', 0, CAST(count(*) AS BIGINT), CAST(sum(trip_count) AS BIGINT) FROM pattern
 """))
 def layer_globs(t: DriverTables) -> DataFrame:
     """A partitioned table read by directory pattern, and as plain files without partitions."""
@@ -151,10 +158,12 @@ def layer_globs(t: DriverTables) -> DataFrame:
         "hour_of_day", "day_of_week", "rideable_type", "member_casual",
     ).agg(F.count("*").alias("trip_count"))
     write_gold(pattern, path, "day_of_week")
-    sunday = read_hive_glob(t.spark, path, "day_of_week=1").where(F.col("day_of_week") == 1)
-    parts = {"hive": sunday, "plain": read_plain_glob(t.spark, path)}
+    parts = {
+        "hive": read_hive_glob(t.spark, path, "day_of_week=*"),
+        "plain": read_plain_glob(t.spark, path).withColumn("day_of_week", F.lit(0)),
+    }
     summed = [
-        df.groupBy(F.lit(name).alias("reader")).agg(
+        df.groupBy(F.lit(name).alias("reader"), "day_of_week").agg(
             F.count("*").alias("cells"), F.sum("trip_count").alias("trips"),
         ) for name, df in parts.items()
     ]
@@ -228,6 +237,81 @@ def status_messages(t: DriverTables) -> DataFrame:
     return lines.select(F.from_json("value", S.STATUS_SCHEMA).alias("m")).select("m.*")
 
 
+@query(using("SELECT station_id, name, lat, lon, capacity FROM stations"))
+def station_feed(t: DriverTables) -> DataFrame:
+    """Stations as station-information documents, one per line, read back."""
+    root = shared_folder(t.spark, "feed")
+    stations = F.array(F.struct(*t.stations().columns))
+    document = F.struct(F.lit(0).alias("last_updated"), F.struct(stations.alias("stations")).alias("data"))
+    t.stations().select(F.to_json(document).alias("value")).write.text(root)
+    return feeds.read_station_info(t.spark, root, multi_line=False)
+
+
+@query(using("SELECT station_id, name, lat, lon, capacity FROM stations"))
+def station_csv(t: DriverTables) -> DataFrame:
+    root = shared_folder(t.spark, "stations")
+    t.stations().write.option("header", True).csv(root)
+    return feeds.read_station_info_csv(t.spark, root)
+
+
+@query(using("""
+SELECT station_id, num_bikes_available, num_docks_available, num_ebikes_available, 0 AS is_installed,
+  is_renting, last_reported, ingested_at FROM status
+"""))
+def status_feed(t: DriverTables) -> DataFrame:
+    """Readings as status documents, one per line, read back and turned into messages."""
+    root = shared_folder(t.spark, "snapshots")
+    fields = [f.name for f in S.STATUS_SCHEMA if f.name not in ("ingested_at", "is_installed")]
+    document = F.struct(
+        F.col("ingested_at").alias("last_updated"),
+        F.struct(F.array(F.struct(*fields)).alias("stations")).alias("data"),
+    )
+    t.status().select(F.to_json(document).alias("value")).write.text(root)
+    return build_messages(feeds.read_status_snapshots(t.spark, root, multi_line=False))
+
+
+def write_archives(t: DriverTables, root: str) -> None:
+    """Event trips as CSV in zip archives, one archive with one member per task."""
+    trips = text_times(t.event_trips(), "started_at", "ended_at")
+    columns = trips.columns
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = TaskContext.get().partitionId()
+        system, folder = locate(root)
+        system.create_dir(folder)
+        path = f"{folder}/202401-{task:05d}-tripdata.zip"
+        rows = 0
+        with system.open_output_stream(path) as out, zipfile.ZipFile(out, "w") as archive:
+            with archive.open(f"202401-trips-{task:05d}.csv", "w") as member:
+                member.write((",".join(columns) + "\n").encode())
+                for batch in batches:
+                    rows += len(batch)
+                    member.write("".join(f"{line}\n" for line in batch["line"]).encode())
+        yield pd.DataFrame({"rows": [rows]})
+
+    lines = trips.select(F.concat_ws(",", *fields).alias("line"))
+    lines.mapInPandas(pack, "rows long").write.format("noop").mode("overwrite").save()
+
+
+@query(using("""
+SELECT start_station_id, rideable_type, CAST(count(*) AS BIGINT) AS trips,
+  CAST(count(start_lat) AS BIGINT) AS located, min(strftime(started_at, '%Y-%m-%d %H:%M:%S'))
+    AS first_start
+FROM event_trips GROUP BY ALL
+"""))
+def zipped_trips(t: DriverTables) -> DataFrame:
+    """Trips unpacked from zip archives into the raw area and read from there."""
+    zips, raw = shared_folder(t.spark, "zips"), shared_folder(t.spark, "raw")
+    write_archives(t, zips)
+    archives.land_raw(archives.read_zipped_trips(t.spark, zips), raw)
+    trips = text_times(read_raw_trips(t.spark, raw), "started_at")
+    return trips.groupBy("start_station_id", "rideable_type").agg(
+        F.count("*").alias("trips"), F.count("start_lat").alias("located"),
+        F.min("started_at").alias("first_start"),
+    )
+
+
 _MONTHS = """
 SELECT strftime(m, '%Y%m') AS yyyymm,
   CASE WHEN year(m) <= 2023 THEN strftime(m, '%Y') ELSE strftime(m, '%Y%m') END

@@ -198,17 +198,18 @@ def empty_station_sample(t: DriverTables) -> DataFrame:
 
 
 def _freshness(t: DriverTables) -> DataFrame:
-    """Age of the newest reading of a renting station, seen from the newest of all."""
-    renting = t.status().where(F.col("is_renting") == 1)
-    return monitoring.freshness_minutes(renting, t.status_end())
+    """Age of the newest reading, seen at the end of the hour in which it was taken."""
+    end = t.table("events").agg(F.max(F.make_timestamp_ntz(
+        F.year("ts"), F.month("ts"), F.day("ts"), F.hour("ts"), F.lit(59), F.lit(59),
+    )).alias("end"))
+    return monitoring.freshness_minutes(t.status(), end.scalar())
 
 
 @query(using(f"""
 SELECT {stamp('latest')} AS latest, round(age, 6) AS age_minutes,
   10 AS threshold_minutes, age > 10 AS stale
-FROM (SELECT max(ts) FILTER (event_type <> 'error') AS latest,
-  date_diff('microsecond', max(ts) FILTER (event_type <> 'error'), max(ts)) / 60000000.0::DOUBLE
-    AS age FROM events)
+FROM (SELECT max(ts) AS latest, date_diff('microsecond', max(ts),
+    date_trunc('hour', max(ts)) + INTERVAL 3599 SECOND) / 60000000.0::DOUBLE AS age FROM events)
 """))
 def freshness(t: DriverTables) -> DataFrame:
     return rounded(text_times(_freshness(t), "latest"), 6, "age_minutes")
@@ -217,8 +218,8 @@ def freshness(t: DriverTables) -> DataFrame:
 @query(using("""
 SELECT 'freshness' AS "check", round(age, 6) AS value, 10.0::DOUBLE AS threshold,
   NOT age > 10 AS ok
-FROM (SELECT date_diff('microsecond', max(ts) FILTER (event_type <> 'error'), max(ts))
-  / 60000000.0::DOUBLE AS age FROM events)
+FROM (SELECT date_diff('microsecond', max(ts),
+    date_trunc('hour', max(ts)) + INTERVAL 3599 SECOND) / 60000000.0::DOUBLE AS age FROM events)
 UNION ALL
 SELECT 'empty_stations', CAST(count(*) FILTER (num_bikes_available = 0) AS DOUBLE), NULL, true
 FROM available
@@ -323,13 +324,10 @@ def day_profile(t: DriverTables) -> DataFrame:
 
 
 @query(using(f"""
-SELECT {_DAY} AS day_name, CAST(sum(total_trips) FILTER (weekday) AS DOUBLE) AS total_trips
-FROM (SELECT *, day_of_week BETWEEN 2 AND 6 AS weekday FROM hourly) GROUP BY 1
+SELECT {_DAY} AS day_name, CAST(sum(total_trips) AS DOUBLE) AS total_trips FROM hourly GROUP BY 1
 """))
 def daily_totals(t: DriverTables) -> DataFrame:
-    """Weekdays only; the two days without data stay in the result with NULL."""
-    weekdays = t.hourly().where(F.col("day_of_week").between(2, 6))
-    return as_double(reporting.daily_totals(weekdays), "total_trips")
+    return as_double(reporting.daily_totals(t.hourly()), "total_trips")
 
 
 @query(using("""

@@ -18,6 +18,13 @@ def place_stations(t: DriverTables) -> DataFrame:
     return t.placed_stations()
 
 
+@query(using("""
+SELECT station_id, lon AS lng, lat FROM stations
+"""))
+def station_points(t: DriverTables) -> DataFrame:
+    return spatial.stations_to_points(t.stations()).select("station_id", "point.lng", "point.lat")
+
+
 @query(using(f"""
 SELECT c.station_id, n.neighborhood_id, n.neighborhood_name, n.borough
 FROM (SELECT c_custkey AS station_id,

@@ -9,9 +9,12 @@ from pyspark.sql import types as T
 from bikenet import schema as S
 
 
-def read_station_info(spark: SparkSession, path: str) -> DataFrame:
-    """One row per station of the station-information documents at ``path``."""
-    docs = spark.read.schema(S.FEED_INFORMATION_SCHEMA).option("multiLine", True).json(path)
+def read_station_info(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """One row per station of the station-information documents at ``path``.
+
+    A file holds one document; with ``multi_line=False`` one document per line.
+    """
+    docs = spark.read.schema(S.FEED_INFORMATION_SCHEMA).option("multiLine", multi_line).json(path)
     return docs.select(F.explode("data.stations").alias("s")).select("s.*")
 
 
@@ -30,10 +33,14 @@ def explode_snapshots(documents: DataFrame) -> DataFrame:
 
 def read_status_snapshots(
     spark: SparkSession, path: str, streaming: bool = False, files_per_trigger: int | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Status documents landed at ``path``, as a batch or as a stream of arriving files."""
+    """Status documents landed at ``path``, as a batch or as a stream of arriving files.
+
+    A file holds one document; with ``multi_line=False`` one document per line.
+    """
     reader = spark.readStream if streaming else spark.read
-    reader = reader.schema(S.FEED_STATUS_SCHEMA).option("multiLine", True)
+    reader = reader.schema(S.FEED_STATUS_SCHEMA).option("multiLine", multi_line)
     if streaming and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return explode_snapshots(reader.json(path))

@@ -42,16 +42,21 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(partitions)
 
 
-def open_file(path: str, stream: bool = False):
-    """A local or object-store file, seekable unless ``stream``, which undoes gzip and the like."""
+def locate(path: str):
+    """Arrow's file system for ``path``, and the path within it."""
     from pyarrow import fs
 
     scheme, separator, rest = path.partition("://")
-    if separator:
-        uri = f"{_SCHEMES.get(scheme, scheme)}://{quote(rest)}"
-        system, inner = fs.FileSystem.from_uri(uri)
-    else:
-        system, inner = fs.LocalFileSystem(), path
+    if not separator:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), rest
+    return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{quote(rest)}")
+
+
+def open_file(path: str, stream: bool = False):
+    """A local or object-store file, seekable unless ``stream``, which undoes gzip and the like."""
+    system, inner = locate(path)
     return system.open_input_stream(inner) if stream else system.open_input_file(inner)
 
 

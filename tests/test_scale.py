@@ -97,3 +97,39 @@ def test_distinct_count_of_a_hot_id(spark):
     from bikenet.operators.quality import validate_dataframe
     row = validate_dataframe(_hot(spark)).first()
     assert row["duplicate_count"] == 19_999
+
+
+@pytest.fixture
+def tight_limits(spark):
+    """Limits lowered to the size of the test data, so that adaptive execution has to act."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def test_crowded_cell_is_split(spark, tight_limits):
+    """Most points in one cell of a cell table too large to broadcast."""
+    from bikenet.operators.spatial import join_stations_to_neighborhoods
+    from bikenet.registry.tables import DriverTables
+
+    areas = DriverTables(spark, SF_DIR).neighborhoods()
+    points = spark.range(200_000, numPartitions=16).select(
+        F.col("id").cast("string").alias("station_id"),
+        F.when(F.col("id") % 3 > 0, -73.99).otherwise(-74 + F.rand(1) * 1.3).alias("lon"),
+        F.when(F.col("id") % 3 > 0, 40.01).otherwise(40 + F.rand(2) * 1.3).alias("lat"),
+    )
+    placed = join_stations_to_neighborhoods(points, areas, broadcast_limit=-1)
+    assert placed.count() == 200_000
+    placed.write.format("noop").mode("overwrite").save()
+    placed.collect()
+    assert "skewed" in plan_of(placed, "simple")
+    assert placed.where("neighborhood_id = '0'").count() >= 133_333
