@@ -7,6 +7,7 @@ systems; these take object-store credentials from the executor's environment.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -46,11 +47,9 @@ def locate(path: str):
     """Arrow's file system for ``path``, and the path within it."""
     from pyarrow import fs
 
-    scheme, separator, rest = path.partition("://")
-    if not separator:
-        return fs.LocalFileSystem(), path
-    if scheme == "file":
-        return fs.LocalFileSystem(), rest
+    if path.startswith(("/", "file:")):
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    scheme, _, rest = path.partition("://")
     return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{quote(rest)}")
 
 
