@@ -101,7 +101,6 @@ def neighborhood_trip_summary(
     totals = trips_per_station.groupBy("start_station_id").agg(
         F.sum("trips_started").alias("total_trips"),
         F.sum("ebike_trips").alias("ebike_trips"),
-        F.sum("member_trips").alias("member_trips"),
     )
     if station_to_neighborhood is None:
         placed = totals.withColumnRenamed("start_station_id", "neighborhood_id")
@@ -109,8 +108,12 @@ def neighborhood_trip_summary(
         placed = totals.withColumnRenamed("start_station_id", "station_id").join(
             station_to_neighborhood.select("station_id", "neighborhood_id"), "station_id",
         )
+    # one row per area before the join, so that a crowded area does not make a crowded join key
+    per_area = placed.groupBy("neighborhood_id").agg(
+        F.sum("total_trips").alias("total_trips"), F.sum("ebike_trips").alias("ebike_trips"),
+    )
     return (
-        scores.join(placed, "neighborhood_id", "left")
+        scores.join(per_area, "neighborhood_id", "left")
         .groupBy("neighborhood_name", "borough", "accessibility_score")
         .agg(
             F.sum("total_trips").alias("total_trips"),

@@ -18,7 +18,7 @@ BROADCAST_LIMIT = 64 * 1024 * 1024
 ROWS_PER_WIDTH = 8
 _BOX = ("min_x", "max_x", "min_y", "max_y")
 _EDGE_BYTES = 80  # seven 8-byte fields, null bits and the array slot
-_CELL_BYTES = 256
+_CELL_BYTES = 160  # cell, box, offsets and alignment; the area's texts come on top
 
 
 def find_lat_lng(columns: Iterable[str]) -> tuple[str, str]:
@@ -61,19 +61,21 @@ def measure_grid(neighborhoods: DataFrame) -> Grid:
         (F.col("max_y") - F.col("min_y")).alias("h"),
         F.aggregate("_edges", F.lit(0.0), lambda acc, e: acc + e["dy"]).alias("rise"),
         F.size("_edges").alias("n"),
+        F.octet_length(F.concat_ws("", *AREA_COLUMNS)).alias("text"),
     )
     sums = ("w * h", "w", "h", "w * rise", "w * n", "rise", "n")
     row = measured.agg(
-        F.sqrt(F.avg(F.expr("w * w + h * h"))), F.count("*"), *(F.sum(F.expr(x)) for x in sums),
+        F.sqrt(F.avg(F.expr("w * w + h * h"))), F.count("*"), F.max("text"),
+        *(F.sum(F.expr(x)) for x in sums),
     ).first()
-    width, polygons, *totals = row
+    width, polygons, text, *totals = row
     if not width:
         return Grid(1.0, 1.0, 0.0)
     wh, w, h, w_rise, w_n, rise, n = totals
     height = width / ROWS_PER_WIDTH
     cells = wh / (width * height) + 2 * (w / width + h / height) + 4 * polygons
     copies = w_rise / (width * height) + 2 * (w_n / width + rise / height) + 4 * n
-    return Grid(width, height, cells * _CELL_BYTES + copies * _EDGE_BYTES)
+    return Grid(width, height, cells * (_CELL_BYTES + text) + copies * _EDGE_BYTES)
 
 
 def polygon_cells(neighborhoods: DataFrame, grid: Grid) -> DataFrame:
