@@ -33,7 +33,9 @@ def clean_trips(t: DriverTables) -> DataFrame:
     return text_times(silver, "started_at", "ended_at")
 
 
-@query(using("SELECT ride_id, start_station_id, member_casual FROM trips WHERE start_lat IS NOT NULL"))
+@query(using("""
+SELECT ride_id, start_station_id, member_casual FROM trips WHERE start_lat IS NOT NULL
+"""))
 def drop_null_critical(t: DriverTables) -> DataFrame:
     return cleaning.drop_null_critical(t.trips()).select(
         "ride_id", "start_station_id", "member_casual",
@@ -186,13 +188,22 @@ def _report_text(report: DataFrame) -> DataFrame:
     )
 
 
+def _rate_sql(expr: str) -> str:
+    return f"avg(CASE WHEN {expr} IS NULL THEN 1.0 ELSE 0.0 END)"
+
+
 def _rates_sql(columns: list[tuple[str, str]]) -> str:
     return " || '|' || ".join(
-        f"'{name}=' || printf('%.4f', round_even(avg(CASE WHEN {expr} IS NULL THEN 1.0 ELSE 0.0 END), 4))"
+        f"'{name}=' || printf('%.4f', round_even({_rate_sql(expr)}, 4))"
         for name, expr in sorted(columns)
     )
 
 
+def _null_warning_sql(column: str) -> str:
+    share = f"printf('%.1f', 100 * {_rate_sql(column)})"
+    return f"'Column ''{column}'' has ' || {share} || '% null values'"
+
+
 @query(using(f"""
 SELECT 'current' AS schema_version, CAST(count(*) AS BIGINT) AS row_count,
   CAST(count(*) - count(DISTINCT ride_id) AS BIGINT) AS duplicate_count,
@@ -214,8 +225,8 @@ SELECT 'current' AS schema_version, CAST(count(*) AS BIGINT) AS row_count,
   'end_lat|end_lng|end_station_id|end_station_name' AS missing_required_columns,
   {_rates_sql([(c, c) for c in ('start_lat', 'start_lng')])} AS null_rate,
   concat_ws('|',
-    'Column ''start_lat'' has ' || printf('%.1f', 100 * avg(CASE WHEN start_lat IS NULL THEN 1.0 ELSE 0.0 END)) || '% null values',
-    'Column ''start_lng'' has ' || printf('%.1f', 100 * avg(CASE WHEN start_lng IS NULL THEN 1.0 ELSE 0.0 END)) || '% null values',
+    {_null_warning_sql('start_lat')},
+    {_null_warning_sql('start_lng')},
     CASE WHEN count(*) < 1000 THEN 'Suspiciously low row count: ' || count(*) END) AS warnings,
   'Missing required columns: [''end_lat'', ''end_lng'', ''end_station_id'', ''end_station_name'']' AS errors,
   false AS is_valid

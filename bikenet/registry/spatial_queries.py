@@ -101,14 +101,10 @@ def neighborhood_area(t: DriverTables) -> DataFrame:
     )
 
 
-_SCORES = """
-SELECT {columns}, round(avg_daily_trips, 9) AS avg_daily_trips, round(area_km2, 6) AS area_km2,
-  accessibility_score
-"""
-
-
-@query(using(_SCORES.format(columns="neighborhood_id, neighborhood_name, borough, station_count, total_capacity")
-             + "FROM scores"))
+@query(using("""
+SELECT * REPLACE (round(avg_daily_trips, 9) AS avg_daily_trips, round(area_km2, 6) AS area_km2)
+FROM scores
+"""))
 def accessibility_scores(t: DriverTables) -> DataFrame:
     return rounded(rounded(t.scores(), 9, "avg_daily_trips"), 6, "area_km2")
 

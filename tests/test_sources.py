@@ -240,3 +240,22 @@ def test_first_lines_read_only_the_head(spark, tmp_path):
            for r in files.first_lines(files.list_files(spark, str(tmp_path))).collect()}
     assert got == {"a b%20.csv": long_header, "no newline.csv": "x,y",
                    "z.csv.gz": "ride_id,started_at"}
+
+
+def test_directory_pattern(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 12)], "v int, day int")
+    df.write.partitionBy("day").parquet(str(tmp_path / "t"))
+    some = layers.read_hive_glob(spark, str(tmp_path / "t"), "day=1*")
+    assert sorted((r["v"], r["day"]) for r in some.collect()) == [(1, 1), (2, 1), (4, 12)]
+    plain = layers.read_plain_glob(spark, str(tmp_path / "t"))
+    assert plain.columns == ["v"] and plain.count() == 4
+
+
+def test_paths_of_tasks():
+    from pyarrow import fs
+
+    from bikenet.sources.files import locate
+
+    for path in ("/a b/c", "file:/a b/c", "file:///a b/c"):
+        system, inner = locate(path)
+        assert isinstance(system, fs.LocalFileSystem) and inner == "/a b/c"
