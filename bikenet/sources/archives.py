@@ -118,13 +118,14 @@ def land_raw(lines: DataFrame, root: str) -> DataFrame:
     """Write member lines by month, archive and member, and list the months present at ``root``.
 
     A member's lines are all in one task; sorting by line number there keeps its header in front
-    of its one file.
+    of its one file. A checksum of the path tells archives of the same name apart.
     """
+    name = F.substring_index("archive", "/", -1)
     folders = ("yyyymm", "archive", "member")
     (
         lines.withColumns({
             "yyyymm": member_month(F.col("member"), F.col("archive")),
-            "archive": F.substring_index("archive", "/", -1),
+            "archive": F.concat_ws("-", name, F.hex(F.crc32(F.col("archive").cast("binary")))),
             "member": F.replace("member", F.lit("/"), F.lit("__")),
         })
         .sortWithinPartitions(*folders, "line_no")
@@ -154,12 +155,10 @@ def ingest_range(
     """
     manifest = month_manifest(spark, start_year, end_year, suffix)
     name = F.substring_index("path", "/", -1)
-    wanted = list_archives(spark, archive_path).withColumn("archive", name).join(
-        manifest.select("archive").distinct(), "archive",
-    )
-    yearly = F.substring_index("archive", "-", 1).rlike(r"^\d{4}$")
-    members = list_members(wanted.where(yearly), "all", skip_broken=True).unionByName(
-        list_members(wanted.where(~yearly), monthly_mode, skip_broken=True),
+    expected = manifest.groupBy("archive").agg((F.count("*") > 1).alias("yearly"))
+    wanted = list_archives(spark, archive_path).withColumn("archive", name).join(expected, "archive")
+    members = list_members(wanted.where("yearly"), "all", skip_broken=True).unionByName(
+        list_members(wanted.where("not yearly"), monthly_mode, skip_broken=True),
     )
     landed = land_raw(read_members(members), raw)
     return landed.join(manifest.select("yyyymm"), "yyyymm", "left_semi")

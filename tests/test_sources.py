@@ -115,6 +115,18 @@ def test_landing_and_reading_back(spark, tmp_path):
     assert missing.count() == 10
 
 
+def test_archives_of_the_same_name_stay_apart(spark, tmp_path):
+    for folder, columns in (("x", S.CURRENT_COLUMNS), ("y", list(reversed(S.CURRENT_COLUMNS)))):
+        (tmp_path / "zips" / folder).mkdir(parents=True)
+        rows = [{**CURRENT_ROW, "ride_id": f"{folder}{i}"} for i in range(20)]
+        _zip(tmp_path / "zips" / folder / "202401-tripdata.zip", {"202401.csv": csv_text(rows, columns)})
+    raw = str(tmp_path / "raw")
+    lines = archives.read_zipped_trips(spark, str(tmp_path / "zips")).coalesce(1)
+    assert archives.land_raw(lines, raw).count() == 1
+    trips = read_raw_trips(spark, raw)
+    assert trips.where("start_station_name = 'Station A' and start_lat > 40").count() == 40
+
+
 def test_months_and_archives(spark):
     rows = archives.month_manifest(spark, 2022, 2024).collect()
     keys = [r["yyyymm"] for r in rows]
