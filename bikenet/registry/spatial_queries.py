@@ -36,6 +36,16 @@ def place_customers(t: DriverTables) -> DataFrame:
     return t.placed(t.customer_points()).drop("latitude", "longitude")
 
 
+@query(using(f"""
+SELECT s.station_id, n.neighborhood_id, n.borough
+FROM stations s LEFT JOIN catchments n ON {inside('s.lon', 's.lat')}
+"""))
+def place_in_catchments(t: DriverTables) -> DataFrame:
+    """Stations in many overlapping polygons, a row for each."""
+    placed = spatial.join_stations_to_neighborhoods(t.stations(), t.catchments())
+    return placed.select("station_id", "neighborhood_id", "borough")
+
+
 @query(using(f"""
 SELECT n.neighborhood_id, n.borough, CAST(count(*) AS BIGINT) AS trips
 FROM trips t LEFT JOIN areas n ON {inside('t.start_lng', 't.start_lat')}
@@ -91,10 +101,10 @@ def neighborhood_stats(t: DriverTables) -> DataFrame:
 
 @query(using(f"""
 SELECT neighborhood_id, round({area()}, 6) AS mercator_km2,
-  round({area(spherical=True)}, 6) AS spherical_km2 FROM areas
+  round({area(spherical=True)}, 6) AS spherical_km2 FROM catchments
 """))
 def neighborhood_area(t: DriverTables) -> DataFrame:
-    return t.neighborhoods().select(
+    return t.catchments().select(
         "neighborhood_id",
         F.round(G.area_km2(F.col("geometry")), 6).alias("mercator_km2"),
         F.round(G.area_km2(F.col("geometry"), "spherical"), 6).alias("spherical_km2"),
@@ -140,12 +150,12 @@ def map_scores(t: DriverTables) -> DataFrame:
 
 
 @query(using(f"""
-SELECT neighborhood_id, round({area()}, 5) AS area_km2 FROM areas
+SELECT neighborhood_id, round({area()}, 5) AS area_km2 FROM catchments
 """))
 def reprojected_area(t: DriverTables) -> DataFrame:
     """Polygons taken to Web Mercator and back before their area is measured."""
     projected = G.map_vertices(F.col("geometry"), G.mercator_x, G.mercator_y)
     restored = G.to_wgs84(projected, 3857)
-    return t.neighborhoods().select(
+    return t.catchments().select(
         "neighborhood_id", F.round(G.area_km2(restored), 5).alias("area_km2"),
     )

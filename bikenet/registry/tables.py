@@ -189,13 +189,7 @@ class DriverTables:
     def neighborhoods(self) -> DataFrame:
         """Nations as areas on a five-by-five grid, regions as boroughs."""
         key = F.col("n_nationkey")
-        x0 = WEST + (key % 5) * SIDE
-        y0 = SOUTH + F.floor(key / 5) * SIDE
-
-        units = F.lit([SHAPES[kind] for kind in sorted(SHAPES)]).cast(T.ArrayType(S.GEOMETRY))
-        geometry = G.map_vertices(
-            F.get(units, (key % 4).cast("int")), lambda u: x0 + u * SIDE, lambda v: y0 + v * SIDE,
-        )
+        geometry = _outline(key, WEST + (key % 5) * SIDE, SOUTH + F.floor(key / 5) * SIDE)
         regions = self.table("region")
         nations = self.table("nation")
         return nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"]).select(
@@ -205,6 +199,18 @@ class DriverTables:
             geometry.alias("geometry"),
         )
 
+    @once
+    def catchments(self) -> DataFrame:
+        """One area per customer, many of them overlapping; their number grows with the data."""
+        key = F.col("c_custkey")
+        geometry = _outline(key, WEST + (key * 13 % 331) / 256, SOUTH + (key * 29 % 337) / 256)
+        return self.table("customer").select(
+            key.cast("string").alias("neighborhood_id"),
+            F.col("c_name").alias("neighborhood_name"),
+            F.col("c_mktsegment").alias("borough"),
+            geometry.alias("geometry"),
+        )
+
     @cached_property
     def grid(self) -> spatial.Grid:
         """Measured once for all joins of a query."""
@@ -226,6 +232,14 @@ class DriverTables:
         )
 
 
+def _outline(key: Column, x0: Column, y0: Column) -> Column:
+    """The unit outline of the key's kind, moved to (x0, y0) and scaled."""
+    units = F.lit([SHAPES[kind] for kind in sorted(SHAPES)]).cast(T.ArrayType(S.GEOMETRY))
+    return G.map_vertices(
+        F.get(units, (key % 4).cast("int")), lambda u: x0 + u * SIDE, lambda v: y0 + v * SIDE,
+    )
+
+
 def station_lat(key: Column) -> Column:
     return SOUTH + (key * 11 % 83) / 64
 
