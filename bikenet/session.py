@@ -4,9 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Tasks that run Python import it. Spark's own file server hands it out, so executors need no
+    copy of their own; with ``--py-files`` or an installed package this changes nothing.
+    """
+    context = spark.sparkContext
+    package = Path(__file__).parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="bikenet-")) / "bikenet.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
 
 def get_spark(app: str = "bikenet", master: str | None = None, **conf: str) -> SparkSession:
     """A UTC session with adaptive execution; cluster sizing stays with the cluster's own settings.

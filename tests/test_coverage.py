@@ -6,7 +6,7 @@ import re
 from importlib import import_module
 from pathlib import Path
 
-import __spark_entry__ as entry_module
+from bikenet.registry import load
 
 ROWS = [
     [cell.strip() for cell in line.strip("|\n").split("|")]
@@ -24,14 +24,14 @@ def test_functions_exist():
 
 
 def test_queries_exist_and_have_sql():
-    queries = set(entry_module.queries())
+    queries = set(load().QUERIES)
     named = {
         q for row in ROWS for part in row[2].split(";") if "tests" not in part
         for q in re.findall(r"\b[a-z]\w*_\w+|\bkpis\b|\bfreshness\b", part)
     }
     assert named <= queries, named - queries
     assert queries <= named, queries - named
-    assert queries == set(entry_module.oracle_sql())
+    assert queries == set(load().ORACLE)
 
 
 def test_every_id_is_listed():

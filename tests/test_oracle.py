@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from bikenet.registry import load
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -33,7 +34,7 @@ def _sorted(rows):
     return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(load().ORACLE))
 def test_matches_sql(spark, duck, name):
     result = entry_module.queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)
