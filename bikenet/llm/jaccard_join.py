@@ -42,6 +42,9 @@ SAMPLE_ONE_IN = 32
 FREQUENT_FROM = 4
 #: At most so many frequent shingles are sent to the tasks (8 bytes each).
 FREQUENT_MOST = 1 << 16
+#: Ids of texts to be read again are sent to all tasks up to so many (about 50 bytes each); beyond
+#: that, texts and ids are shuffled.
+BROADCAST_ROWS = 1 << 20
 #: Rows of a tile that one task searches at once; larger tiles are searched in pairs of segments.
 SEGMENT_ROWS = 2048
 
@@ -77,12 +80,12 @@ def frequent_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
 
 
 def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(id, digest, n_shingles, post): each text's set in short, and the tiles it is posted to."""
+    """(id, digest, n_shingles, counts, post): each text's point, and the tiles it is posted to."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = _slots(frequent)
         for batch in batches:
             ids = batch.column(0)
-            digests, sizes, posts, done = [], [], [], 0
+            digests, sizes, points, posts, done = [], [], [], [], 0
             for hashes in column_shingles(batch.column(1)):
                 n = len(hashes)
                 first = n - (NUMERATOR * n + DENOMINATOR - 1) // DENOMINATOR + 1 if n else 0
@@ -90,20 +93,25 @@ def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 early = hashes[~late][:first]
                 posts.append(np.concatenate((early, hashes[late][: first - len(early)])))
                 sizes.append(n)
+                points.append(np.bincount((hashes >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS))
                 digests.append(set_digest(hashes))
                 if len(sizes) == 1000:
-                    yield packed(ids.slice(done, 1000), digests, sizes, posts)
-                    digests, sizes, posts, done = [], [], [], done + 1000
-            yield packed(ids.slice(done), digests, sizes, posts)
+                    yield packed(ids.slice(done, 1000), digests, sizes, points, posts)
+                    digests, sizes, points, posts, done = [], [], [], [], done + 1000
+            yield packed(ids.slice(done), digests, sizes, points, posts)
 
-    def packed(ids, digests, sizes, posts) -> pa.RecordBatch:
+    def packed(ids, digests, sizes, points, posts) -> pa.RecordBatch:
+        cuts = pa.array(np.arange(0, GROUPS * len(points) + 1, GROUPS, dtype=np.int32))
+        counts = np.concatenate(points).astype(np.int32) if points else np.zeros(0, dtype=np.int32)
         return pa.RecordBatch.from_arrays(
-            [ids, pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), long_lists(posts)],
-            ["id", "digest", "n_shingles", "post"],
+            [ids, pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
+             pa.ListArray.from_arrays(cuts, pa.array(counts)), long_lists(posts)],
+            ["id", "digest", "n_shingles", "counts", "post"],
         )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(describe, f"id {kind}, digest binary, n_shingles bigint, post array<bigint>")
+    return docs.mapInArrow(
+        describe, f"id {kind}, digest binary, n_shingles bigint, counts array<int>, post array<bigint>")
 
 
 def shared_tiles(posts: DataFrame) -> DataFrame:
@@ -142,29 +150,45 @@ def shared_tiles(posts: DataFrame) -> DataFrame:
         runs, "tile bigint, node bigint, least bigint")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n_shingles, shingles, counts) of wanted nodes, from one text of each."""
+def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes of ``points``, from one text of each."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests, nodes = batch.column(1).to_pylist(), batch.column(2).to_pylist()
             for i, hashes in enumerate(column_shingles(batch.column(0))):
                 if set_digest(hashes) == digests[i]:
-                    counts = np.bincount((hashes >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([nodes[i]], pa.int64()), pa.array([len(hashes)], pa.int64()),
-                         long_lists([hashes]), pa.array([counts.astype("<i4").tobytes()], pa.binary())],
-                        ["node", "n_shingles", "shingles", "counts"],
-                    )
+                        [pa.array([nodes[i]], pa.int64()), long_lists([hashes])], ["node", "shingles"])
 
-    built = (
+    wanted = points.select(F.col("id").alias("wanted_id"), "digest", "node")
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    return (
         docs.join(wanted, docs["id"].eqNullSafe(wanted["wanted_id"])).select("text", "digest", "node")
-        .mapInArrow(build, "node bigint, n_shingles bigint, shingles array<bigint>, counts binary")
+        .mapInArrow(build, "node bigint, shingles array<bigint>").dropDuplicates(["node"])
+    )
+
+
+def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose points leave room for the similarity."""
+    def side(name: str) -> DataFrame:
+        return points.select(F.col("node").alias(name), F.col("n_shingles").alias(f"{name}_size"),
+                             F.col("counts").alias(f"{name}_counts"))
+
+    most = F.expr("aggregate(zip_with(a_counts, b_counts, (x, y) -> least(x, y)), 0, (s, x) -> s + x)")
+    return (
+        pairs.join(side("a"), "a").join(side("b"), "b")
+        .filter(most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("a_size") + F.col("b_size")))
+        .select("a", "b")
     )
-    return built.dropDuplicates(["node"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity."""
+    pairs = written(pairs, "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = written(_sets(docs, points.join(nodes, "node", "left_semi")), "sets")
+
     def side(name: str) -> DataFrame:
         return sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
 
@@ -206,7 +230,7 @@ def _candidates(members: DataFrame) -> DataFrame:
     def found(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not table.num_rows:
             return
-        points = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<i4").reshape(-1, GROUPS)
+        points = table.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
         node, label, size, part, i, j = (
             table.column(c).to_numpy() for c in ("node", "label", "n_shingles", "part", "i", "j"))
         left, right = [], []
@@ -257,22 +281,21 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
     tiles = written(shared_tiles(posts), "tiles")
 
     active = tiles.select("node").distinct()
-    wanted = (
+    points = written(
         rows.join(active, rows["row"] == active["node"])
-        .select(F.col("id").alias("wanted_id"), "digest", "node")
+        .select("node", "id", "digest", "n_shingles", "counts"),
+        "points",
     )
-    sets = written(_sets(docs, wanted), "sets")
-
     stars = (
         tiles.filter("node <> least").groupBy("node", "least").count()
         .groupBy(F.col("node").alias("b")).agg(F.max_by("least", F.struct("count", "least")).alias("a"))
     )
-    labels = components(verified(stars, sets))
+    labels = components(verified(bounded(stars, points), points, docs))
 
     labelled = written(
-        sets.select("node", "n_shingles", "counts").join(labels, "node", "left")
+        points.select("node", "n_shingles", "counts").join(labels, "node", "left")
         .withColumn("label", F.coalesce("label", "node")),
-        "points",
+        "labelled",
     )
     sides = tiles.select("tile", "node").join(labelled.select("node", "label"), "node")
     open_tiles = (
@@ -283,7 +306,7 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         .select("tile", "members")
     )
     members = tiles.select("tile", "node").join(open_tiles, "tile").join(labelled, "node")
-    late = verified(_candidates(members), sets)
+    late = verified(_candidates(members), points, docs)
     names_a = labelled.select(F.col("node").alias("a"), F.col("label").alias("low"))
     names_b = labelled.select(F.col("node").alias("b"), F.col("label").alias("high"))
     merged = components(
