@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from bikenet.llm import bpe
 from bikenet.llm.jaccard_join import similar_texts
 from bikenet.session import ship_package
 
@@ -29,6 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of every document, encoded and decoded by the merge automaton."""
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of similarity 0.8 on five-word shingles."""
