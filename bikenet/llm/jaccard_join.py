@@ -33,7 +33,7 @@ from bikenet.llm.rtree import CountTree
 from bikenet.llm.shingles import column_shingles, long_lists, set_digest
 from bikenet.llm.store import written
 
-GROUPS = 64
+GROUPS = 256
 NUMERATOR, DENOMINATOR = 80, 100
 
 #: One text in so many is read to learn which shingles are frequent.
@@ -101,17 +101,15 @@ def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             yield packed(ids.slice(done), digests, sizes, points, posts)
 
     def packed(ids, digests, sizes, points, posts) -> pa.RecordBatch:
-        cuts = pa.array(np.arange(0, GROUPS * len(points) + 1, GROUPS, dtype=np.int32))
-        counts = np.concatenate(points).astype(np.int32) if points else np.zeros(0, dtype=np.int32)
         return pa.RecordBatch.from_arrays(
             [ids, pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-             pa.ListArray.from_arrays(cuts, pa.array(counts)), long_lists(posts)],
+             pa.array([p.astype("<i4").tobytes() for p in points], pa.binary()), long_lists(posts)],
             ["id", "digest", "n_shingles", "counts", "post"],
         )
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(
-        describe, f"id {kind}, digest binary, n_shingles bigint, counts array<int>, post array<bigint>")
+        describe, f"id {kind}, digest binary, n_shingles bigint, counts binary, post array<bigint>")
 
 
 def shared_tiles(posts: DataFrame) -> DataFrame:
@@ -169,17 +167,27 @@ def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
     )
 
 
+def _counts(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<i4").reshape(-1, GROUPS)
+
+
 def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs (a, b) whose points leave room for the similarity."""
     def side(name: str) -> DataFrame:
         return points.select(F.col("node").alias(name), F.col("n_shingles").alias(f"{name}_size"),
                              F.col("counts").alias(f"{name}_counts"))
 
-    most = F.expr("aggregate(zip_with(a_counts, b_counts, (x, y) -> least(x, y)), 0, (s, x) -> s + x)")
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                most = np.minimum(_counts(batch.column(3)), _counts(batch.column(4))).sum(axis=1, dtype=np.int64)
+                enough = most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * batch.column(2).to_numpy()
+                yield batch.filter(pa.array(enough)).select([0, 1])
+
     return (
         pairs.join(side("a"), "a").join(side("b"), "b")
-        .filter(most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.col("a_size") + F.col("b_size")))
-        .select("a", "b")
+        .select("a", "b", F.col("a_size") + F.col("b_size"), "a_counts", "b_counts")
+        .mapInArrow(keep, "a bigint, b bigint")
     )
 
 
@@ -230,7 +238,7 @@ def _candidates(members: DataFrame) -> DataFrame:
     def found(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not table.num_rows:
             return
-        points = table.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
+        points = _counts(table.column("counts"))
         node, label, size, part, i, j = (
             table.column(c).to_numpy() for c in ("node", "label", "n_shingles", "part", "i", "j"))
         left, right = [], []
