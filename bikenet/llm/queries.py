@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bikenet.llm import bpe
 from bikenet.llm.decontamination import find_leaks
 from bikenet.llm.jaccard_join import similar_texts
+from bikenet.llm.toxicity import toxicity
 from bikenet.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +44,12 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of similarity 0.8 on five-word shingles."""
