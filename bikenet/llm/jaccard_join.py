@@ -16,7 +16,8 @@ components by as many comparisons as it has members. A tile whose members are in
 done, and of tiles with the same members one is kept. What is left is searched by the trees, large
 tiles in pairs of bounded segments: nothing is capped.
 
-Every pair that survives its bound is verified on the whole sets.
+Pairs that survive their bound are verified on the whole sets, each component's likeliest pair
+first; a pair whose two texts are by then in one component needs no more.
 """
 
 from __future__ import annotations
@@ -45,6 +46,9 @@ FREQUENT_MOST = 1 << 16
 #: Ids of texts to be read again are sent to all tasks up to so many (about 50 bytes each); beyond
 #: that, texts and ids are shuffled.
 BROADCAST_ROWS = 1 << 20
+#: Rounds in which each component is compared with its likeliest partner only, before all pairs
+#: that are still open are compared. They save comparisons and decide nothing.
+ROUNDS = 1
 #: Rows of a tile that one task searches at once; larger tiles are searched in pairs of segments.
 SEGMENT_ROWS = 2048
 
@@ -209,7 +213,7 @@ def verified(pairs: DataFrame, points: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _candidates(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components whose points leave room for the similarity.
+    """Pairs (a, b, likeness) of different components whose points leave room for the similarity.
 
     ``members`` has a row for each tile and node: (tile, size of the tile, node, label,
     n_shingles, counts).
@@ -241,7 +245,7 @@ def _candidates(members: DataFrame) -> DataFrame:
         points = _counts(table.column("counts"))
         node, label, size, part, i, j = (
             table.column(c).to_numpy() for c in ("node", "label", "n_shingles", "part", "i", "j"))
-        left, right = [], []
+        left, right, likeness = [], [], []
         for low, high in zip(begins[:-1], begins[1:]):
             # both sides of a pair of segments, or one segment against itself
             across = i[low] != j[low]
@@ -249,20 +253,31 @@ def _candidates(members: DataFrame) -> DataFrame:
             asked = np.arange(low, high)[part[low:high] == i[low]]
             tree = CountTree(points[tree_rows], size[tree_rows])
             for row in asked:
-                hits = tree_rows[tree.search(points[row], size[row], NUMERATOR, DENOMINATOR)]
-                hits = hits[(label[hits] != label[row]) & (across | (node[hits] > node[row]))]
+                hits, most = tree.search(points[row], size[row], NUMERATOR, DENOMINATOR)
+                hits = tree_rows[hits]
+                other = (label[hits] != label[row]) & (across | (node[hits] > node[row]))
+                hits, most = hits[other], most[other]
+                likeness.append(most / (size[hits] + size[row] - most))
                 left.append(np.minimum(node[hits], node[row]))
                 right.append(np.maximum(node[hits], node[row]))
         if left:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+                [pa.array(np.concatenate(left)), pa.array(np.concatenate(right)), pa.array(np.concatenate(likeness))],
+                ["a", "b", "likeness"])
 
     return (
         split.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j")
-        .mapInArrow(search, "a bigint, b bigint").distinct()
+        .mapInArrow(search, "a bigint, b bigint, likeness double").distinct()
     )
 
 
+def _best_of_each(pairs: DataFrame) -> DataFrame:
+    """For each component the pair (a, b) that leaves most room."""
+    sides = pairs.withColumn("side", F.explode(F.array("low", "high")))
+    best = sides.groupBy("side").agg(F.max_by(F.struct("a", "b"), "likeness").alias("pair"))
+    return best.select("pair.*").distinct()
+
+
 def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id)`` for every row of ``docs``.
 
@@ -314,17 +329,23 @@ def similar_texts(docs: DataFrame, id_column: str = "doc_id", text: str = "text"
         .select("tile", "members")
     )
     members = tiles.select("tile", "node").join(open_tiles, "tile").join(labelled, "node")
-    late = verified(_candidates(members), points, docs)
-    names_a = labelled.select(F.col("node").alias("a"), F.col("label").alias("low"))
-    names_b = labelled.select(F.col("node").alias("b"), F.col("label").alias("high"))
-    merged = components(
-        late.join(names_a, "a").join(names_b, "b").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    )
-    final = (
-        labelled.select("node", "label")
-        .join(merged.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
-        .select("node", F.coalesce("top", "label").alias("label"))
-    )
+    pairs, names = written(_candidates(members), "candidates"), labelled.select("node", "label")
+    for step in range(ROUNDS + 1):
+        low = names.select(F.col("node").alias("a"), F.col("label").alias("low"))
+        high = names.select(F.col("node").alias("b"), F.col("label").alias("high"))
+        pairs = written(pairs.select("a", "b", "likeness").join(low, "a").join(high, "b").filter("low <> high"), "open")
+        asked = pairs.select("a", "b")
+        if step < ROUNDS:
+            asked = written(_best_of_each(pairs), "asked")
+        links = pairs.join(verified(asked, points, docs), ["a", "b"])
+        tops = components(links.select(F.col("low").alias("a"), F.col("high").alias("b")))
+        names = written(
+            names.join(tops.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
+            .select("node", F.coalesce("top", "label").alias("label")),
+            "names",
+        )
+        pairs = pairs.join(asked, ["a", "b"], "left_anti")
+    final = names
     grouped = classes.join(final, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = grouped.groupBy("label").agg(F.min("least_id").alias("component_id"))
     of_class = grouped.join(least, "label").select("digest", "component_id")
