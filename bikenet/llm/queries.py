@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from bikenet.llm import bpe
 from bikenet.llm.decontamination import find_leaks
 from bikenet.llm.jaccard_join import similar_texts
+from bikenet.llm.quality import quality
+from bikenet.llm.token_counts import token_counts
 from bikenet.llm.toxicity import toxicity
-from bikenet.session import ship_package
+from bikenet.session import shared_folder, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,6 +40,15 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, counted through a new digest cache."""
+    return token_counts(
+        table(spark, sf_dir, "documents"), shared_folder(spark, "token-counts"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document."""
@@ -54,3 +65,9 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under links of similarity 0.8 on five-word shingles."""
     return similar_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
