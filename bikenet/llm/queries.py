@@ -11,6 +11,7 @@ from bikenet.llm import bpe
 from bikenet.llm.decontamination import find_leaks
 from bikenet.llm.jaccard_join import similar_texts
 from bikenet.llm.quality import quality
+from bikenet.llm.secrets import find_secrets
 from bikenet.llm.token_counts import token_counts
 from bikenet.llm.toxicity import toxicity
 from bikenet.session import shared_folder, ship_package
@@ -67,6 +68,12 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of secrets in every document."""
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
