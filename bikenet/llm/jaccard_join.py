@@ -35,6 +35,9 @@ from bikenet.llm.shingles import column_shingles, long_lists, set_digest
 from bikenet.llm.store import written
 
 GROUPS = 256
+#: Texts of so many shingles have a point of ``FINE`` groups; modulo ``GROUPS`` they make the others'.
+#: The larger the sets, the more groups it takes to tell strangers apart.
+FINE_FROM, FINE = 1000, 2048
 NUMERATOR, DENOMINATOR = 80, 100
 
 #: One text in so many is read to learn which shingles are frequent.
@@ -97,7 +100,9 @@ def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 early = hashes[~late][:first]
                 posts.append(np.concatenate((early, hashes[late][: first - len(early)])))
                 sizes.append(n)
-                points.append(np.bincount((hashes >> np.uint64(40)) % np.uint64(GROUPS), minlength=GROUPS))
+                points.append(np.bincount(
+                    (hashes >> np.uint64(40)) % np.uint64(FINE if n >= FINE_FROM else GROUPS),
+                    minlength=FINE if n >= FINE_FROM else GROUPS))
                 digests.append(set_digest(hashes))
                 if len(sizes) == 1000:
                     yield packed(ids.slice(done, 1000), digests, sizes, points, posts)
@@ -107,7 +112,7 @@ def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def packed(ids, digests, sizes, points, posts) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
             [ids, pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()),
-             pa.array([p.astype("<i4").tobytes() for p in points], pa.binary()), long_lists(posts)],
+             pa.array([p.astype("<u2").tobytes() for p in points], pa.binary()), long_lists(posts)],
             ["id", "digest", "n_shingles", "counts", "post"],
         )
 
@@ -171,8 +176,32 @@ def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
     )
 
 
-def _counts(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype="<i4").reshape(-1, GROUPS)
+class _Points:
+    """Points of many texts. All have ``GROUPS`` coordinates; large ones their fine form as well."""
+
+    def __init__(self, column: pa.Array | pa.ChunkedArray):
+        stated = column.to_pylist()
+        self.coarse = np.zeros((len(stated), GROUPS), dtype=np.int32)
+        large = np.array([len(p) > 2 * GROUPS for p in stated], dtype=bool)
+        self.fine_row = np.where(large, np.cumsum(large) - 1, -1)
+        self.fine = np.frombuffer(b"".join(p for p in stated if len(p) > 2 * GROUPS), "<u2").reshape(-1, FINE)
+        self.coarse[~large] = np.frombuffer(
+            b"".join(p for p in stated if len(p) <= 2 * GROUPS), "<u2").reshape(-1, GROUPS)
+        self.coarse[large] = self.fine.reshape(-1, FINE // GROUPS, GROUPS).sum(axis=1)
+
+    def overlaps(self, rows: np.ndarray, other: _Points, others: np.ndarray) -> np.ndarray:
+        """Bounds of the overlaps of pairs; ``rows`` and ``others`` are as long as each other."""
+        most = np.minimum(self.coarse[rows], other.coarse[others]).sum(axis=1, dtype=np.int64)
+        both = np.flatnonzero((self.fine_row[rows] >= 0) & (other.fine_row[others] >= 0))
+        if len(both):
+            a, b = self.fine[self.fine_row[rows[both]]], other.fine[other.fine_row[others[both]]]
+            most[both] = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+        return most
+
+
+def _enough(most: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether overlaps so large leave room for the similarity; ``sizes`` are those of both sets."""
+    return most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * sizes
 
 
 def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -184,9 +213,9 @@ def bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                most = np.minimum(_counts(batch.column(3)), _counts(batch.column(4))).sum(axis=1, dtype=np.int64)
-                enough = most * (NUMERATOR + DENOMINATOR) >= NUMERATOR * batch.column(2).to_numpy()
-                yield batch.filter(pa.array(enough)).select([0, 1])
+                every = np.arange(batch.num_rows)
+                most = _Points(batch.column(3)).overlaps(every, _Points(batch.column(4)), every)
+                yield batch.filter(pa.array(_enough(most, batch.column(2).to_numpy()))).select([0, 1])
 
     return (
         pairs.join(side("a"), "a").join(side("b"), "b")
@@ -242,7 +271,7 @@ def _candidates(members: DataFrame) -> DataFrame:
     def found(table: pa.Table, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not table.num_rows:
             return
-        points = _counts(table.column("counts"))
+        points = _Points(table.column("counts"))
         node, label, size, part, i, j = (
             table.column(c).to_numpy() for c in ("node", "label", "n_shingles", "part", "i", "j"))
         left, right, likeness = [], [], []
@@ -251,12 +280,13 @@ def _candidates(members: DataFrame) -> DataFrame:
             across = i[low] != j[low]
             tree_rows = np.arange(low, high)[part[low:high] == j[low]]
             asked = np.arange(low, high)[part[low:high] == i[low]]
-            tree = CountTree(points[tree_rows], size[tree_rows])
+            tree = CountTree(points.coarse[tree_rows], size[tree_rows])
             for row in asked:
-                hits, most = tree.search(points[row], size[row], NUMERATOR, DENOMINATOR)
-                hits = tree_rows[hits]
-                other = (label[hits] != label[row]) & (across | (node[hits] > node[row]))
-                hits, most = hits[other], most[other]
+                hits = tree_rows[tree.search(points.coarse[row], size[row], NUMERATOR, DENOMINATOR)]
+                hits = hits[(label[hits] != label[row]) & (across | (node[hits] > node[row]))]
+                most = points.overlaps(np.full(len(hits), row), points, hits)
+                enough = _enough(most, size[hits] + size[row])
+                hits, most = hits[enough], most[enough]
                 likeness.append(most / (size[hits] + size[row] - most))
                 left.append(np.minimum(node[hits], node[row]))
                 right.append(np.maximum(node[hits], node[row]))

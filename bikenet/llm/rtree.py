@@ -25,10 +25,8 @@ class CountTree:
                 (np.maximum.reduceat(top, cuts), np.minimum.reduceat(least, cuts), np.maximum.reduceat(most, cuts))
             )
 
-    def search(self, point: np.ndarray, size: int, numerator: int, denominator: int) -> tuple[np.ndarray, np.ndarray]:
-        """All points whose Jaccard similarity with this one can reach the threshold.
-
-        Their positions, and the bounds of the overlaps.
+    def search(self, point: np.ndarray, size: int, numerator: int, denominator: int) -> np.ndarray:
+        """Positions of all points whose Jaccard similarity with this one can reach the threshold.
 
         With overlap o and sizes a and b, o / (a + b - o) >= t means o >= t / (1 + t) * (a + b).
         """
@@ -38,9 +36,9 @@ class CountTree:
             bound = np.minimum(top[nodes], point).sum(axis=1, dtype=np.int64)
             keep = bound * (numerator + denominator) >= numerator * (size + least[nodes])
             keep &= (denominator * size >= numerator * least[nodes]) & (denominator * most[nodes] >= numerator * size)
-            nodes, bound = nodes[keep], bound[keep]
+            nodes = nodes[keep]
             if depth:
                 below = len(self.levels[depth - 1][1])
                 nodes = (nodes[:, None] * FANOUT + np.arange(FANOUT)).ravel()
                 nodes = nodes[nodes < below]
-        return self.order[nodes], bound
+        return self.order[nodes]
