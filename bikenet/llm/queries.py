@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from bikenet.llm import bpe
 from bikenet.llm.decontamination import find_leaks
 from bikenet.llm.jaccard_join import similar_texts
+from bikenet.llm.licenses import scan_licenses
 from bikenet.llm.permutation_index import nearest_neighbours
 from bikenet.llm.quality import quality
+from bikenet.llm.revisits import PAGES_SQL, captures_of_pages, header_lines, resolve_revisits
 from bikenet.llm.secrets import find_secrets
 from bikenet.llm.token_counts import token_counts
 from bikenet.llm.toxicity import toxicity
@@ -58,6 +60,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every revisit of the captures of ``pages`` stands for."""
+    pages = table(spark, sf_dir, "pages").filter("page_id IS NOT NULL")
+    return resolve_revisits(captures_of_pages(pages)).select(
+        "capture_id", "url_key", "status", "response_id", header_lines(F.col("headers")).alias("header_lines"))
+
+
+ORACLE["op4_warc_revisits"] = PAGES_SQL
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document."""
@@ -76,6 +89,12 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+@query
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The license statements of every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spans of secrets in every document."""
