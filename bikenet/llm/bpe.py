@@ -125,7 +125,11 @@ def text_runs(column: pa.Array) -> Iterator[list[str | None]]:
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", tokens: str = "tokens") -> DataFrame:
-    """``docs`` with a column of the tokens of each whole text (null: none)."""
+    """``docs`` with a column of the tokens of each whole text (null: none).
+
+    A column of that name is replaced, unless it is the text. An empty table stays empty.
+    """
+    docs = docs.drop(tokens) if tokens != text else docs
     schema = docs.select("*", F.lit(None).cast("array<int>").alias(tokens)).schema
     place = docs.columns.index(text)
 
@@ -146,7 +150,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", tokens: str = "tokens
 
 
 def decode(docs: DataFrame, path: str, tokens: str = "tokens", text: str = "decoded") -> DataFrame:
-    """``docs`` with a column of the text that its tokens stand for (null: empty)."""
+    """``docs`` with a column of the text that its tokens stand for (null: empty).
+
+    A column of that name is replaced.
+    """
+    docs = docs.drop(text)
     schema = docs.select("*", F.lit(None).cast("string").alias(text)).schema
     place = docs.columns.index(tokens)
 

@@ -170,7 +170,11 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
 
 
 def with_score(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
-    """``docs`` with the score of each whole text (null counts as empty) as a last column."""
+    """``docs`` with the score of each whole text (null counts as empty) as a last column.
+
+    A column of that name is replaced.
+    """
+    docs = docs.drop(score)
     schema = docs.select("*", F.lit(0.0).alias(score)).schema
     lowered = docs.select("*", F.lower(F.col(text)).alias("lowered text"))
 
