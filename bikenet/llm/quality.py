@@ -137,8 +137,9 @@ def train(texts: list[str | None], labels: np.ndarray, share: float) -> Model:
     # the quantile of scores at the share of bad texts, each class weighted by its share of all rows
     weight = np.where(labels == 1, share / len(good), (1 - share) / len(bad))
     order = np.argsort(scores, kind="stable")
-    place = min(int(np.searchsorted(np.cumsum(weight[order]), 1 - share)), len(order) - 1)
-    return Model(middle, spread, weights, float(scores[order[place]]))
+    below = int(np.searchsorted(np.cumsum(weight[order]), 1 - share + 1e-9, side="right"))
+    around = scores[order][max(below - 1, 0) : below + 1]  # the rows on both sides of the quantile
+    return Model(middle, spread, weights, float(around.mean()))
 
 
 def score_column(column: pa.Array, model: Model) -> np.ndarray:

@@ -154,8 +154,8 @@ def score_column(column: pa.Array, model: Model) -> np.ndarray:
     for _, _, words in column_words(column, PUNCTUATION):
         unique, first, at = np.unique(words.hashes(), return_index=True, return_inverse=True)
         buckets, owner = subwords(words, first)
-        of_word = np.bincount(owner, weights=model.weights[buckets], minlength=len(unique))
-        of_word /= np.maximum(np.bincount(owner, minlength=len(unique)), 1)
+        of_word = np.bincount(owner, weights=model.weights[buckets], minlength=len(unique)) / np.maximum(
+            np.bincount(owner, minlength=len(unique)), 1)
         sums = np.concatenate(([0.0], np.cumsum(of_word[at])))
         count = np.diff(words.first)
         out.append((sums[words.first[1:]] - sums[words.first[:-1]]) / np.maximum(count, 1))
