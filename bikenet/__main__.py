@@ -9,13 +9,15 @@ from pyspark.sql import SparkSession
 
 from bikenet.operators.monitoring import file_freshness, health_report
 from bikenet.operators.quality import validate_csv
+from bikenet.operators.spatial import join_stations_to_neighborhoods
 from bikenet.operators.status import current_station_availability
 from bikenet.plans.analytics import QUERIES, Tables, run_analytics
 from bikenet.plans.layers import STAGES, LayerPaths, read_gold, run_batch
 from bikenet.schema import MICRO_BATCH_INTERVAL
 from bikenet.session import get_spark
 from bikenet.sources.archives import ingest_range
-from bikenet.sources.feeds import read_status_stream_kafka
+from bikenet.sources.feeds import read_station_info, read_status_stream_kafka
+from bikenet.sources.geo import read_neighborhoods
 from bikenet.sources.layers import read_scores, read_status_layer
 from bikenet.streaming.status import build_status_stream, start_status_sink
 
@@ -45,6 +47,8 @@ def parser() -> argparse.ArgumentParser:
     query.add_argument("--gold")
     query.add_argument("--status")
     query.add_argument("--scores")
+    query.add_argument("--station-info", help="with --polygons, assigns stations to neighborhoods")
+    query.add_argument("--polygons")
     query.add_argument("--output", required=True)
 
     stream = commands.add_parser("stream", help="append the status topic to the status layer")
@@ -94,6 +98,9 @@ def _query(spark: SparkSession, args) -> int:
         **(read_gold(spark, args.gold) if args.gold else {}),
         status=read_status_layer(spark, args.status) if args.status else None,
         scores=read_scores(spark, args.scores) if args.scores else None,
+        stations=join_stations_to_neighborhoods(
+            read_station_info(spark, args.station_info), read_neighborhoods(spark, args.polygons),
+        ) if args.station_info and args.polygons else None,
     )
     written = run_analytics(tables, args.output, tuple(args.name))
     for name, path in written.items():

@@ -62,6 +62,10 @@ def duplicate_count(df: DataFrame, key: str = "ride_id") -> DataFrame:
     return df.agg(_duplicates(F.col(key)).alias("duplicate_count"))
 
 
+#: Reports that the error of :func:`require_valid` shows; it counts all.
+SHOWN = 20
+
+
 def validate_csv(
     spark: SparkSession, path: str, na_tokens: tuple[str, ...] = S.NA_TOKENS,
 ) -> DataFrame:
@@ -83,10 +87,15 @@ def validate_csv(
 
 
 def require_valid(reports: DataFrame) -> DataFrame:
-    """Pass reports through, or raise when any of them has errors."""
-    bad = reports.where(~F.col("is_valid")).limit(20).collect()
-    if bad:
-        raise InvalidTripData("; ".join(str(row.asDict()) for row in bad))
+    """Pass reports through, or raise when any of them has errors.
+
+    The error tells how many there are and shows the first :data:`SHOWN`.
+    """
+    bad = reports.where(~F.col("is_valid"))
+    shown = bad.limit(SHOWN).collect()
+    if shown:
+        rows = "; ".join(str(row.asDict()) for row in shown)
+        raise InvalidTripData(f"{bad.count()} invalid files, among them: {rows}")
     return reports
 
 

@@ -128,8 +128,9 @@ def join_stations_to_neighborhoods(
         "_cell_y": F.floor(py / grid.height).cast("long"),
     })
     cells = polygon_cells(neighborhoods, grid)
-    if grid.cell_table_bytes <= broadcast_limit:
-        cells = F.broadcast(cells)
+    # the planner's own estimate does not see the edges multiply over the cells, so both sides are told
+    small = grid.cell_table_bytes <= broadcast_limit
+    cells = F.broadcast(cells) if small else cells.hint("merge")
     inside = (
         (F.col("_cell_x") == F.col("cell_x"))
         & (F.col("_cell_y") == F.col("cell_y"))
@@ -162,13 +163,17 @@ def stations_with_trips(
 ) -> DataFrame:
     """Stations with their mean daily trips, 0 where there are none.
 
-    ``crosswalk`` (``station_id``, ``start_station_id``) bridges differing id systems.
+    ``crosswalk`` (``station_id``, ``start_station_id``) bridges differing id systems. Of a station
+    with several trip ids the trips of a day are added up before the mean over its days.
     """
-    daily = avg_daily_trips(trips_per_station)
     if crosswalk is not None:
-        daily = daily.join(crosswalk, "start_station_id").select("station_id", "avg_daily_trips")
-    else:
-        daily = daily.withColumnRenamed("start_station_id", "station_id")
+        pairs = crosswalk.select("start_station_id", "station_id").distinct()
+        trips_per_station = trips_per_station.join(pairs, "start_station_id").drop("start_station_id")
+        if "trip_date" in trips_per_station.columns:
+            trips_per_station = trips_per_station.groupBy("station_id", "trip_date").agg(
+                F.sum("trips_started").alias("trips_started"))
+        trips_per_station = trips_per_station.withColumnRenamed("station_id", "start_station_id")
+    daily = avg_daily_trips(trips_per_station).withColumnRenamed("start_station_id", "station_id")
     return placed.join(daily, "station_id", "left").withColumn(
         "avg_daily_trips", F.coalesce("avg_daily_trips", F.lit(0.0)),
     )

@@ -23,13 +23,18 @@ class Tables:
     rideable_split: DataFrame | None = None
     scores: DataFrame | None = None
     status: DataFrame | None = None
+    #: ``station_id, neighborhood_id`` of placed stations; without it ids are compared directly.
+    stations: DataFrame | None = None
 
 
 QUERIES: Mapping[str, Callable[[Tables], DataFrame]] = {
-    "top_stations": lambda t: serving.top_stations(t.trips_per_station),
-    "hourly": lambda t: serving.hourly_pattern(t.hourly_pattern),
+    "top_stations": lambda t: serving.top_stations_by_trips(t.trips_per_station),
+    "top_stations_minutes": lambda t: serving.top_stations(t.trips_per_station),
+    "hourly": lambda t: serving.hourly_usage_pattern(t.hourly_pattern),
+    "hourly_totals": lambda t: serving.hourly_pattern(t.hourly_pattern),
     "rideable_split": lambda t: serving.rideable_split(t.rideable_split),
-    "neighborhoods": lambda t: serving.neighborhood_trip_summary(t.trips_per_station, t.scores),
+    "neighborhoods": lambda t: serving.neighborhood_trip_summary(
+        t.trips_per_station, t.scores, t.stations),
     "realtime": lambda t: status.current_station_availability(t.status),
     "equity_gap": lambda t: serving.equity_gap_stations(t.trips_per_station, t.status),
 }

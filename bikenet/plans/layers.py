@@ -97,11 +97,11 @@ def score_neighborhoods(spark: SparkSession, paths: LayerPaths) -> DataFrame:
 
 
 def ingest(spark: SparkSession, paths: LayerPaths, yyyymm: str | None = None) -> DataFrame:
-    """Unpack all archives, or land the year of one month and insist on that month."""
+    """Unpack all archives, or land the archive of one month and insist on that month."""
     if yyyymm is None:
         return land_raw(read_zipped_trips(spark, paths.archives), paths.raw)
     year = int(yyyymm[:4])
-    landed = ingest_range(spark, paths.archives, paths.raw, year, year)
+    landed = ingest_range(spark, paths.archives, paths.raw, year, year, months=[yyyymm])
     if landed.where(landed["yyyymm"] == yyyymm).isEmpty():
         raise RuntimeError(f"no archive data for {yyyymm}")
     return landed

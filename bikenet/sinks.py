@@ -12,10 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _write(df: DataFrame, path: str, partition: str | None, dynamic: bool = False) -> None:
+def _write(df: DataFrame, path: str, partition: str | None) -> None:
     writer = df.write.mode("overwrite")
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
     if partition:
         writer = writer.partitionBy(partition)
     writer.parquet(path)
@@ -38,10 +36,13 @@ def write_bronze(df: DataFrame, path: str, yyyymm: str | None = None) -> None:
 
 
 def write_silver(df: DataFrame, path: str, months: list[str] | None = None) -> None:
-    """Replace the whole table, or of the ``months`` given those that have rows."""
-    if months is not None:
-        df = df.where(F.col("year_month").isin(months))
-    _write(rebalanced(df, "year_month"), path, "year_month", dynamic=months is not None)
+    """Replace the whole table, or exactly the ``months`` given, also those left without rows."""
+    if months is None:
+        _write(rebalanced(df, "year_month"), path, "year_month")
+        return
+    for month in months:
+        own = df.where(F.col("year_month") == month).drop("year_month")
+        _write(own.hint("rebalance"), f"{path}/year_month={month}", None)
 
 
 def write_gold(df: DataFrame, path: str, partition_col: str | None = None) -> None:

@@ -145,18 +145,25 @@ def landed_months(spark: SparkSession, root: str) -> DataFrame:
 
 def ingest_range(
     spark: SparkSession, archive_path: str, raw: str, start_year: int, end_year: int,
-    suffix: str = ARCHIVE_SUFFIX, monthly_mode: str = "all",
+    suffix: str = ARCHIVE_SUFFIX, monthly_mode: str = "all", months: list[str] | None = None,
 ) -> DataFrame:
     """Unpack the archives of the years given into the raw area; returns the months landed.
 
-    Each archive is read once, also a yearly one. Absent or broken archives are skipped, and
+    Archives are known by the four or six digits that their names begin with, so a brand between
+    those and the ending makes no difference. Each archive is read once, also a yearly one; with
+    ``months`` only the archives of those months are. Absent or broken archives are skipped, and
     :func:`missing_months` tells which months they leave open. ``monthly_mode="first"`` takes
     only the first file of a monthly archive.
     """
-    manifest = month_manifest(spark, start_year, end_year, suffix)
+    manifest = month_manifest(spark, start_year, end_year, "")
+    asked = manifest if months is None else manifest.where(F.col("yyyymm").isin(months))
     name = F.substring_index("path", "/", -1)
-    expected = manifest.groupBy("archive").agg((F.count("*") > 1).alias("yearly"))
-    wanted = list_archives(spark, archive_path).withColumn("archive", name).join(expected, "archive")
+    expected = archives_to_fetch(asked).withColumn("yearly", F.length("archive") == 4)
+    wanted = (
+        list_archives(spark, archive_path).where(name.endswith(suffix.rsplit("-", 1)[-1]))
+        .withColumn("archive", F.regexp_extract(name, r"^(\d{6}|\d{4})(?!\d)", 1))
+        .join(expected, "archive")
+    )
     members = list_members(wanted.where("yearly"), "all", skip_broken=True).unionByName(
         list_members(wanted.where("not yearly"), monthly_mode, skip_broken=True),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from bikenet import schema as S
 from bikenet.operators.quality import InvalidTripData
+from bikenet.sinks import write_silver
 from bikenet.plans import analytics, layers
 from bikenet.session import shared_folder
 from bikenet.sources.layers import read_bronze, read_silver
@@ -92,10 +93,19 @@ def test_all_stages(spark, tmp_path):
     tables = analytics.Tables(**layers.read_gold(spark, paths.gold), scores=out["spatial"])
     assert analytics.run_query("neighborhoods", tables).first()["neighborhood_name"] == "N"
     written = analytics.run_analytics(
-        tables, str(tmp_path / "out"), ("top_stations", "hourly", "rideable_split", "realtime"))
-    assert set(written) == {"top_stations", "hourly", "rideable_split"}  # realtime has no input
+        tables, str(tmp_path / "out"),
+        ("top_stations", "top_stations_minutes", "hourly", "hourly_totals", "rideable_split", "realtime"))
+    assert set(written) == {  # realtime has no input
+        "top_stations", "top_stations_minutes", "hourly", "hourly_totals", "rideable_split"}
     line = spark.read.option("header", True).csv(written["top_stations"]).first()
-    assert line["total_trips"] == "30" and line["avg_duration_min"] == "20.0"
+    assert line["total_trips"] == "30" and line["avg_duration_seconds"] == "1200.0"
+    line = spark.read.option("header", True).csv(written["top_stations_minutes"]).first()
+    assert line["avg_duration_min"] == "20.0"
+    placed = spark.createDataFrame(
+        [("S001", score["neighborhood_id"])], "station_id string, neighborhood_id string")
+    served = analytics.run_query(
+        "neighborhoods", analytics.Tables(tables.trips_per_station, scores=tables.scores, stations=placed))
+    assert served.first()["total_trips"] == 30
     with pytest.raises(ValueError, match="unknown query"):
         analytics.run_query("nothing", tables)
 
@@ -164,3 +174,13 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(ValueError, match="shared"):
         shared_folder(Session(), "x")
+
+
+def test_emptied_month_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = [("a", "202401"), ("b", "202402"), ("c", "202403")]
+    frame = spark.createDataFrame(rows, "ride_id string, year_month string")
+    write_silver(frame, path)
+    write_silver(frame.where("ride_id = 'b'").withColumn("ride_id", F.lit("new")), path, ["202401", "202402"])
+    left = {(r["ride_id"], str(r["year_month"])) for r in spark.read.parquet(path).collect()}
+    assert left == {("new", "202402"), ("c", "202403")}

@@ -7,9 +7,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 from bikenet import schema as S
-from bikenet.operators import cleaning, gold, serving, status
+from bikenet.operators import cleaning, gold, serving, spatial, status
+from bikenet.registry import load
 from helpers import plan_of
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,9 +17,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchE
              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "CollectLimit")
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(load().QUERIES))
 def test_plan_has_no_unbounded_step(spark, name):
-    plan = plan_of(entry_module.queries()[name](spark, SF_DIR), "simple")
+    plan = plan_of(load().QUERIES[name](spark, SF_DIR), "simple")
     found = [node for node in FORBIDDEN if node in plan]
     assert not found, plan
 
@@ -133,3 +133,22 @@ def test_crowded_cell_is_split(spark, tight_limits):
     placed.collect()
     assert "skewed" in plan_of(placed, "simple")
     assert placed.where("neighborhood_id = '0'").count() >= 133_333
+
+
+def test_large_cell_tables_are_shuffled(spark):
+    shuffled = plan_of(load().QUERIES["place_trip_starts_shuffled"](spark, SF_DIR), "simple")
+    joins = re.findall(r"(\w+Join) \[[^\n]*cell_x", shuffled)
+    assert joins and set(joins) == {"SortMergeJoin"}
+    # many edges in few polygons: the planner's estimate is small, the measured bound is not
+    ring = F.transform(F.sequence(F.lit(0), F.lit(1500)), lambda i: F.array(
+        F.col("id") % 20 + F.cos(i * 0.0041888) * 0.4, F.floor(F.col("id") / 20) + F.sin(i * 0.0041888) * 0.4))
+    areas = spark.range(300).select(
+        F.col("id").cast("string").alias("neighborhood_id"), F.lit("n").alias("neighborhood_name"),
+        F.lit("b").alias("borough"), F.array(F.array(ring)).alias("geometry"))
+    grid = spatial.measure_grid(areas)
+    points = spark.range(1000).select(
+        F.col("id").cast("string").alias("station_id"), (F.col("id") % 15).cast("double").alias("lat"),
+        (F.col("id") % 20).cast("double").alias("lon"))
+    plan = plan_of(spatial.join_stations_to_neighborhoods(
+        points, areas, grid, broadcast_limit=grid.cell_table_bytes - 1), "simple")
+    assert set(re.findall(r"(\w+Join) \[[^\n]*cell_x", plan)) == {"SortMergeJoin"}

@@ -163,6 +163,24 @@ def test_range_ingest_skips_what_is_absent_or_broken(spark, tmp_path):
     assert missing.count() == 11
 
 
+def test_published_names_and_single_months(spark, tmp_path):
+    zips = tmp_path / "zips"
+    zips.mkdir()
+    text = csv_text([CURRENT_ROW], S.CURRENT_COLUMNS)
+    _zip(zips / "2023-somebike-tripdata.zip", {f"2023{m:02d}.csv": text for m in range(1, 13)})
+    for month in ("202401", "202402"):
+        _zip(zips / f"{month}-somebike-tripdata.zip", {f"{month}-part_1.csv": text})
+    _zip(zips / "JC-202403-somebike-tripdata.zip", {"202403.csv": text})
+    raw = str(tmp_path / "raw")
+    landed = archives.ingest_range(spark, str(zips), raw, 2023, 2024)
+    months = sorted(r["yyyymm"] for r in landed.collect())
+    assert months == [f"2023{m:02d}" for m in range(1, 13)] + ["202401", "202402"]
+    own = str(tmp_path / "one")
+    one = archives.ingest_range(spark, str(zips), own, 2024, 2024, months=["202402"])
+    assert [r["yyyymm"] for r in one.collect()] == ["202402"]
+    assert [r["yyyymm"] for r in archives.landed_months(spark, own).collect()] == ["202402"]
+
+
 SNAPSHOT = {
     "last_updated": 1712000000, "ttl": 60,
     "data": {"stations": [

@@ -204,6 +204,19 @@ def test_crosswalk_between_id_systems(spark, network):
         ("a", 0.0), ("b", 99.0), ("q", 0.0), ("out", 0.0)}
 
 
+def test_several_trip_ids_of_one_station(spark, network):
+    stations, _, areas = network
+    daily = spark.createDataFrame(
+        [("x", "2024-01-01", 3), ("y", "2024-01-01", 5), ("y", "2024-01-02", 2)],
+        "start_station_id string, trip_date string, trips_started long")
+    crosswalk = spark.createDataFrame(
+        [("x", "a"), ("y", "a"), ("y", "a")], "start_station_id string, station_id string")
+    placed_rows = spatial.join_stations_to_neighborhoods(stations, areas)
+    usage = spatial.stations_with_trips(placed_rows, daily, crosswalk)
+    assert usage.count() == placed_rows.count()
+    assert usage.where("station_id = 'a'").first()["avg_daily_trips"] == 5.0
+
+
 def test_missing_area_counts_as_one(spark, network):
     stats = spark.createDataFrame([("Z", 4)], "neighborhood_id string, station_count long")
     areas = spatial.neighborhood_area(network[2])
