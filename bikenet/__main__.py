@@ -1,4 +1,4 @@
-"""Command line: ``python -m bikenet <ingest|validate|batch|query|stream|health> ...``."""
+"""Command line: ``python -m bikenet <ingest|validate|batch|query|publish|stream|health> ...``."""
 
 from __future__ import annotations
 
@@ -16,10 +16,12 @@ from bikenet.plans.layers import STAGES, LayerPaths, read_gold, run_batch
 from bikenet.schema import MICRO_BATCH_INTERVAL
 from bikenet.session import get_spark
 from bikenet.sources.archives import ingest_range
-from bikenet.sources.feeds import read_station_info, read_status_stream_kafka
+from bikenet.sources.feeds import (
+    read_station_info, read_status_snapshots, read_status_stream_kafka,
+)
 from bikenet.sources.geo import read_neighborhoods
 from bikenet.sources.layers import read_scores, read_status_layer
-from bikenet.streaming.status import build_status_stream, start_status_sink
+from bikenet.streaming.status import build_status_stream, start_message_job, start_status_sink
 
 
 def parser() -> argparse.ArgumentParser:
@@ -51,6 +53,14 @@ def parser() -> argparse.ArgumentParser:
     query.add_argument("--polygons")
     query.add_argument("--output", required=True)
 
+    publish = commands.add_parser("publish", help="turn status documents into messages")
+    publish.add_argument("feed", help="folder that status documents are put into")
+    publish.add_argument("--checkpoint", required=True)
+    publish.add_argument("--path", help="write text files here instead of a topic")
+    publish.add_argument("--servers")
+    publish.add_argument("--topic")
+    publish.add_argument("--once", action="store_true", help="work off what is there and stop")
+
     stream = commands.add_parser("stream", help="append the status topic to the status layer")
     for name in ("servers", "topic", "layer", "checkpoint"):
         stream.add_argument(f"--{name}", required=True)
@@ -108,6 +118,17 @@ def _query(spark: SparkSession, args) -> int:
     return 0 if len(written) == len(args.name) else 1
 
 
+def _publish(spark: SparkSession, args) -> int:
+    if not args.path and not (args.servers and args.topic):
+        print("publish needs --path, or --servers and --topic")
+        return 1
+    snapshots = read_status_snapshots(spark, args.feed, streaming=True)
+    job = start_message_job(
+        snapshots, args.checkpoint, args.path, args.servers, args.topic, once=args.once)
+    job.awaitTermination()
+    return 0
+
+
 def _stream(spark: SparkSession, args) -> int:
     records = read_status_stream_kafka(spark, args.servers, args.topic)
     job = start_status_sink(
@@ -129,7 +150,7 @@ def _health(spark: SparkSession, args) -> int:
 
 _COMMANDS = {
     "ingest": _ingest, "validate": _validate, "batch": _batch, "query": _query,
-    "stream": _stream, "health": _health,
+    "publish": _publish, "stream": _stream, "health": _health,
 }
 
 if __name__ == "__main__":

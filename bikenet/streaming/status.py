@@ -10,11 +10,17 @@ from bikenet import schema as S
 from bikenet.sinks import message_values
 
 
-def build_messages(snapshots: DataFrame, ingested_at: str = "last_updated") -> DataFrame:
+def build_messages(
+    snapshots: DataFrame, ingested_at: str = "last_updated", missing_id: str = "error",
+) -> DataFrame:
     """The eight published fields of each station; absent numbers are 0, an absent id an error.
 
-    ``ingested_at`` is the time of the feed document.
+    With ``missing_id="drop"`` rows without an id are left out instead. A stream needs that, as it
+    would meet the same row again after each restart; the observation ``status_messages`` in its
+    progress counts them as ``without_station``. ``ingested_at`` is the time of the feed document.
     """
+    if missing_id not in ("error", "drop"):
+        raise ValueError(f"missing_id must be 'error' or 'drop', not {missing_id!r}")
     present = set(snapshots.columns)
 
     def number(name: str, dtype) -> Column:
@@ -24,6 +30,10 @@ def build_messages(snapshots: DataFrame, ingested_at: str = "last_updated") -> D
     if "station_id" not in present:
         raise ValueError("status rows need a station_id")
     station = F.col("station_id").cast("string")
+    if missing_id == "drop":
+        snapshots = snapshots.observe(
+            "status_messages", F.count_if(station.isNull()).alias("without_station"),
+        ).where(station.isNotNull())
     checked = F.when(station.isNull(), F.raise_error("status row without station_id").cast("string"))
     numbers = [
         number(f.name, f.dataType)
@@ -76,10 +86,12 @@ def start_message_job(
     snapshots: DataFrame, checkpoint: str, path: str | None = None, servers: str | None = None,
     topic: str | None = None, once: bool = False, interval: str = "30 seconds",
 ) -> StreamingQuery:
-    """Publish a stream of snapshot rows as messages to a Kafka topic or to text files."""
-    writer = message_values(build_messages(snapshots)).writeStream.option(
-        "checkpointLocation", checkpoint,
-    )
+    """Publish a stream of snapshot rows as messages to a Kafka topic or to text files.
+
+    Rows without a station id are left out and counted, see :func:`build_messages`.
+    """
+    messages = build_messages(snapshots, missing_id="drop")
+    writer = message_values(messages).writeStream.option("checkpointLocation", checkpoint)
     if topic:
         writer = (
             writer.format("kafka").option("kafka.bootstrap.servers", servers)

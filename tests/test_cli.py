@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from bikenet import schema as S
@@ -29,3 +31,21 @@ def test_from_archives_to_results(spark, tmp_path, capsys):
     assert run("validate", tmp_path / "bad.csv") == 1
     with pytest.raises(SystemExit):
         main(["query", "nothing", "--output", "x"], spark)
+
+
+def test_publish_documents_of_many_stations(spark, tmp_path):
+    """Multi-line documents as a feed serves them; a station without an id does not stop the job."""
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for n in range(2):
+        stations = [{"station_id": f"A{i}", "num_bikes_available": n} for i in range(5)]
+        document = {"last_updated": 1712000000 + n, "data": {"stations": [*stations, {"num_bikes_available": 1}]}}
+        (feed / f"{n}.json").write_text(json.dumps(document, indent=2))
+    out = tmp_path / "messages"
+    argv = ["publish", str(feed), "--checkpoint", str(tmp_path / "c"), "--path", str(out), "--once"]
+    for _ in range(2):  # a restart repeats nothing
+        assert main(argv, spark) == 0
+        messages = [json.loads(r["value"]) for r in spark.read.text(str(out)).collect()]
+        assert sorted((m["station_id"], m["num_bikes_available"]) for m in messages) == sorted(
+            (f"A{i}", n) for n in range(2) for i in range(5))
+    assert main(["publish", str(feed), "--checkpoint", "c"], spark) == 1
