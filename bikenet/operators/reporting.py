@@ -172,12 +172,15 @@ def borough_summary(scores: DataFrame) -> DataFrame:
 def kpis(top: DataFrame, rideable: DataFrame, scores: DataFrame) -> DataFrame:
     """One row with the headline figures; each part is a one-row aggregate."""
     electric = F.max(F.when(F.col("rideable_type") == "electric_bike", F.col("pct")))
+    counted = scores.agg(F.struct(
+        F.count_distinct("borough").alias("boroughs"), F.count("*").alias("rows"),
+    ).alias("counted")).scalar()
     return top.agg(
         F.sum("total_trips").alias("total_trips"), F.count("*").alias("stations_tracked"),
     ).withColumns({
         "ebike_share_pct": F.coalesce(
             rideable.agg(electric.alias("pct")).scalar(), F.lit(0.0),
         ),
-        "boroughs": scores.agg(F.countDistinct("borough").alias("n")).scalar(),
-        "neighborhoods_covered": scores.agg(F.count("*").alias("n")).scalar(),
+        "boroughs": counted["boroughs"],
+        "neighborhoods_covered": counted["rows"],
     })

@@ -90,9 +90,9 @@ _ALL_SCORES = """(SELECT neighborhood_id, a.neighborhood_name, a.borough, s.acce
   FROM areas a LEFT JOIN scores s USING (neighborhood_id))"""
 
 
-def _all_scores(t: DriverTables) -> DataFrame:
+def _all_scores(t: DriverTables, stored: bool = False) -> DataFrame:
     """Scores of all areas, those without stations included."""
-    return spatial.geo_scores(t.neighborhoods(), t.scores()).select(
+    return spatial.geo_scores(t.neighborhoods(), t.scores(stored)).select(
         "neighborhood_id", "neighborhood_name", "borough", "accessibility_score",
     )
 
@@ -113,7 +113,8 @@ def neighborhood_trip_summary_proxy(t: DriverTables) -> DataFrame:
 )))
 def neighborhood_trip_summary(t: DriverTables) -> DataFrame:
     """Stations assigned to neighbourhoods by their position."""
-    summary = serving.neighborhood_trip_summary(t.daily(), _all_scores(t), t.placed_stations())
+    summary = serving.neighborhood_trip_summary(
+        t.stored_daily(), _all_scores(t, True), t.placed_stations())
     return as_double(summary, "total_trips", "total_ebike_trips")
 
 
@@ -364,7 +365,7 @@ SELECT CAST((SELECT sum(total_trips) FROM top) AS BIGINT) AS total_trips,
   CAST((SELECT count(*) FROM scores) AS BIGINT) AS neighborhoods_covered
 """))
 def kpis(t: DriverTables) -> DataFrame:
-    return reporting.kpis(t.top(), t.shares(), t.scores())
+    return reporting.kpis(serving.top_stations(t.stored_daily()), t.shares(), t.scores(True))
 
 
 @query(using("""

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from bikenet import schema as S
 from bikenet.functions import geometry as G
 from bikenet.operators import cleaning, gold, serving, spatial
+from bikenet.session import shared_folder
 
 # unit-square outlines by n_nationkey % 4: list of polygons, each a list of closed rings
 _SQUARE = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 1.0], [0.0, 0.0]]
@@ -134,6 +135,13 @@ class DriverTables:
     def daily(self) -> DataFrame:
         return gold.trips_per_station(self.silver())
 
+    @once
+    def stored_daily(self) -> DataFrame:
+        """The daily table as a batch leaves it, for queries that read it more than once."""
+        path = shared_folder(self.spark, "gold")
+        self.daily().write.parquet(path)
+        return self.spark.read.parquet(path)
+
     @once
     def hourly(self) -> DataFrame:
         return serving.hourly_pattern(gold.hourly_pattern(self.event_silver()))
@@ -226,9 +234,10 @@ class DriverTables:
         return self.placed(self.stations())
 
     @once
-    def scores(self) -> DataFrame:
+    def scores(self, stored: bool = False) -> DataFrame:
         return spatial.compute_accessibility_scores(
-            self.daily(), self.stations(), self.neighborhoods(), grid=self.grid,
+            self.stored_daily() if stored else self.daily(), self.stations(), self.neighborhoods(),
+            grid=self.grid,
         )
 
 
