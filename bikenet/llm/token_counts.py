@@ -80,7 +80,8 @@ def token_counts(
         F.unhex(F.sha2(F.concat(F.lit(f"{version}:").cast("binary"), content.cast("binary")), 256)).alias("digest"),
     )
     stored = read_cache(spark, cache)
-    misses = rows.select("digest", "text").join(stored.select("digest"), "digest", "left_anti").dropDuplicates(["digest"])
+    single = rows.select("digest", "text").dropDuplicates(["digest"])
+    misses = single.join(stored.select("digest"), "digest", "left_anti")
     count_texts(misses, model).write.mode("append").parquet(cache)
     # two jobs that met the same miss at once may both have stored it
     known = read_cache(spark, cache).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
