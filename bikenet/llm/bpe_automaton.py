@@ -43,13 +43,16 @@ class Automaton:
         #: there later were not inherited.
         self.ends = {t: ((t << 32, NEVER),) for t in letters}
         self._arcs: dict[int, bool] = {}
+        stated = set(letters)
         for step, (u, v, w) in enumerate(merges):
-            self._add_gadget(step, u, v, w)
+            if u not in stated or v not in stated or w in stated:
+                raise ValueError(f"merge {step} does not join two earlier tokens into a new one")
+            stated.add(w)
+            if u in self.made and v in self.made:  # a token that no text reaches makes none
+                self._add_gadget(step, u, v, w)
         self._compile_labels()
 
     def _add_gadget(self, step: int, u: int, v: int, w: int) -> None:
-        if u not in self.made or v not in self.made or w in self.made:
-            raise ValueError(f"merge {step} does not join two earlier tokens into a new one")
         if self._read_arc(u, v):  # otherwise an earlier merge keeps u and v from ever meeting
             self.made[w] = step
             self.begins[w] = ((w, NEVER), (u, step), *self.begins[u][1:])
