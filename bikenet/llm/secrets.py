@@ -7,14 +7,15 @@ that are too short are dropped afterwards.
 
 **Random strings** are other runs of twenty or more characters of an encoding. The encoding is
 inferred (decimal, hexadecimal, base 32, else base 64), and under the hypothesis that the characters
-are independent and uniform over its alphabet three tests give a p-value each:
+are independent and uniform over its alphabet these tests give a p-value each:
 
 * chi-squared uniformity of the alphabet (too few different characters count against a string, too
-  many do not), standardised by its exact mean and variance at that length;
+  many do not), standardised by its exact mean and variance at that length, and the same over the
+  quarters of the alphabet, where one case of letters alone shows;
 * Wald-Wolfowitz runs above and below the middle of the alphabet;
 * serial correlation of neighbouring characters.
 
-Their least, times three, is the string's p-value. Long strings tell words from noise better than
+The least, times four, is the string's p-value. Long strings tell words from noise better than
 short ones, so the Benjamini-Hochberg procedure is applied within bands of length over the whole
 corpus: randomness is rejected so that at most ``FALSE_SHARE`` of the rejected strings are expected
 to be random. What is not rejected is reported as ``random``. The procedure needs only a histogram
@@ -125,6 +126,10 @@ def p_value(value: Column) -> Column:
             F.array_distinct(x), lambda d: F.pow(F.size(F.filter(x, lambda y: y == d)).cast("double"), F.lit(2.0))))
         uniform = _above((k / n * equal - n - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n))
 
+        quarter = _total(F.transform(F.array(*map(F.lit, range(4))), lambda q: F.pow(
+            F.size(F.filter(x, lambda y: F.floor(4 * y / k) == q)).cast("double"), F.lit(2.0))))
+        quarters = F.when(k % 4 == 0, _above((4 / n * quarter - n - 3) / F.sqrt(6 * (n - 1) / n))).otherwise(1.0)
+
         before, after = F.slice(x, F.lit(1), F.size(x) - 1), F.slice(x, F.lit(2), F.size(x) - 1)
         high = _total(F.transform(x, lambda y: F.when(y >= k / 2, 1.0).otherwise(0.0)))
         runs = 1 + _total(F.zip_with(
@@ -137,7 +142,7 @@ def p_value(value: Column) -> Column:
         variance = _total(F.transform(x, lambda y: (y - mean) * (y - mean)))
         product = _total(F.zip_with(before, after, lambda a, b: (a - mean) * (b - mean)))
         serial = F.when(variance > 0, _two_sided((product / variance + 1 / n) * F.sqrt(n))).otherwise(0.0)
-        return F.least(F.lit(1.0), 3 * F.least(uniform, changes, serial))
+        return F.least(F.lit(1.0), 4 * F.least(uniform, quarters, changes, serial))
 
     # one struct in an array, so that the numbers of the characters are worked out once
     numbers = F.transform(F.split(plain, ""), lambda c: F.instr(alphabet, c) - 1)
