@@ -16,9 +16,9 @@ from bikenet.llm.bpe_automaton import Automaton
 from bikenet.llm.pretokens import split_words
 
 #: Words whose path a worker remembers; beyond it, those not met again since half as many give way.
-WORD_MEMORY = 600_000
+WORD_MEMORY = 200_000
 #: Code points of short texts that are split together.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 
 def _byte_of_character() -> dict[str, int]:

@@ -24,7 +24,7 @@ from collections.abc import Iterable, Sequence
 NEVER = 1 << 62
 
 #: Arcs remembered after they were read off the tables once.
-ARC_MEMORY = 1 << 20
+ARC_MEMORY = 1 << 17
 
 
 class Automaton:

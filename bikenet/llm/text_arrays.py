@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -63,7 +63,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(21, int(size).bit_length()))
+    return _powers(1 << max(20, int(size).bit_length()))
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
