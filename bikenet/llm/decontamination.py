@@ -6,10 +6,12 @@ item's words. Texts are lowered; words are runs of letters and digits.
 1. Windows of an item's size start at every word. Those that by the q-gram lemma cannot hold a hit
    are passed over: k edits leave at least n - 1 - 2k of an item's n - 1 word pairs. This loses
    nothing, as pairs of all items of that size count.
-2. The other windows get their CGK embedding (:mod:`cgk`); a window whose key in any of the
-   repetitions equals that of an item is a candidate. ``tests/llm`` measures the recall at the
-   full distance.
-3. The exact edit distance of each candidate decides.
+2. Up to ``KEYED_WORDS`` words the other windows get their CGK embedding (:mod:`cgk`); a window
+   whose key in any of the repetitions equals that of an item is a candidate. ``tests/llm`` measures
+   the recall at the full distance.
+3. Walks drift apart as edits add up, so for longer items the q-gram lemma is applied to each item
+   by itself: a window that holds enough of one item's word pairs is a candidate. This loses nothing.
+4. The exact edit distance of each candidate decides.
 
 Items are read in blocks of bounded size, each sent to all tasks; texts never move.
 """
@@ -31,9 +33,11 @@ from bikenet.llm.text_arrays import PUNCTUATION, column_words, mix
 ALLOWED = 0.2
 #: Items of fewer words take no part; so short a phrase is no evidence of a leak.
 LEAST_WORDS = 5
+#: Longer items are found by their own word pairs instead of keys, whose recall falls with length.
+KEYED_WORDS = 30
 #: UTF-8 bytes of items that are sent to the tasks at a time.
 BLOCK_BYTES = 4 << 20
-#: Windows of one size that are embedded together.
+#: Windows of one size that are embedded together, or looked up by their pairs.
 WINDOWS = 2048
 
 _SLOTS = 1 << 20
@@ -63,6 +67,29 @@ def passage_distances(items: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return best
 
 
+def distances_from(item: list[int], text: list[int]) -> list[int]:
+    """For each place of the text the least edit distance between the item and a passage that starts there.
+
+    Both are read from behind, where a start is an end: Myers' bit-parallel columns, an integer each.
+    """
+    size = len(item)
+    whole, top = (1 << size) - 1, size - 1
+    places: dict[int, int] = defaultdict(int)
+    for i, word in enumerate(reversed(item)):
+        places[word] |= 1 << i
+    up, down, distance = whole, 0, size
+    out = []
+    for word in reversed(text):
+        same = places.get(word, 0)
+        across = ((((same & up) + up) ^ up) | same) & whole
+        more, less = down | (whole & ~(across | up)), up & across
+        distance += (more >> top & 1) - (less >> top & 1)
+        more, less, along = more << 1, less << 1, same | down
+        up, down = (less | ~(along | more)) & whole, more & along
+        out.append(distance)
+    return out[::-1]
+
+
 class ItemIndex:
     """Word hashes, pair table and keys of a block of items."""
 
@@ -77,11 +104,18 @@ class ItemIndex:
                 by_size[len(own)].append(i)
         self.sizes = sorted(by_size)
         self.slots = np.zeros(_SLOTS, dtype=np.uint64)  # a bit for each size that has the pair
+        #: by size the keys, or of longer items the pairs, in order, and the item of each
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for k, size in enumerate(self.sizes):
             stacked = np.stack([self.words[i] for i in by_size[size]])
             for own in stacked:
                 self.slots[_pairs(own)] |= np.uint64(1 << (k % 64))
+            if size > KEYED_WORDS:
+                pairs = [np.unique(_pairs(own)) for own in stacked]
+                found = np.concatenate(pairs)
+                order = np.argsort(found, kind="stable")
+                self.tables[size] = found[order], np.repeat(by_size[size], [len(p) for p in pairs])[order]
+                continue
             found = cgk.keys(stacked, size).ravel()
             order = np.argsort(found, kind="stable")
             self.tables[size] = found[order], np.repeat(by_size[size], cgk.REPETITIONS)[order]
@@ -92,7 +126,7 @@ class ItemIndex:
         waiting: dict[int, list] = defaultdict(list)
         count = defaultdict(int)
         for low, _, words in column_words(column, PUNCTUATION):
-            for size, rows, starts, windows in self._windows(words):
+            for size, rows, starts, windows in self._windows(words, low, hits):
                 waiting[size].append((rows + low, starts, windows))
                 count[size] += len(rows)
                 if count[size] >= WINDOWS:
@@ -102,12 +136,16 @@ class ItemIndex:
             self._judge(size, parts, hits)
         return hits
 
-    def _windows(self, words) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Windows that may hold a hit: size, row, first word in the row, words and some behind."""
+    def _windows(self, words, low: int, hits: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows that may hold a hit: size, row, first word in the row, words and some behind.
+
+        Those of longer items are judged at once.
+        """
         own = words.hashes()
         if len(own) < 2 or not self.sizes:
             return
-        seen = self.slots[_pairs(own)]
+        pairs = _pairs(own)
+        seen = self.slots[pairs]
         last = words.first[1:] - 1
         last = last[(words.first[1:] > words.first[:-1]) & (last < len(seen))]
         seen[last] = 0  # no pair reaches into the next text
@@ -133,11 +171,49 @@ class ItemIndex:
                 if not len(starts):
                     continue
                 rows = row_of[starts]
+                if size > KEYED_WORDS:
+                    self._judge_by_pairs(size, own, pairs, words.first, rows, starts, low, hits)
+                    continue
                 at = starts[:, None] + np.arange(size + allowed)
                 inside = at < words.first[rows + 1][:, None]
                 windows = np.where(inside, own[np.minimum(at, len(own) - 1)], np.uint64(0))
                 yield size, rows, starts - words.first[rows], windows
 
+    def _judge_by_pairs(
+        self, size: int, own: np.ndarray, pairs: np.ndarray, first: np.ndarray, rows: np.ndarray,
+        starts: np.ndarray, low: int, hits: dict[tuple[int, int], tuple[int, int]],
+    ) -> None:
+        """Distances of the windows at ``starts`` to the items that share enough pairs with them."""
+        keys, items = self.tables[size]
+        allowed = edits_allowed(size)
+        need = size - 1 - 2 * allowed
+        new = (starts[1:] - starts[:-1] > size) | (rows[1:] != rows[:-1]) | (np.arange(1, len(starts)) % WINDOWS == 0)
+        at = np.concatenate(([0], np.flatnonzero(new) + 1, [len(starts)]))
+        for a, b in zip(at[:-1], at[1:]):  # windows that overlap or nearly do are looked up together
+            row, begin, last = int(rows[a]), int(starts[a]), int(starts[b - 1])
+            edge = int(first[row + 1])
+            asked = pairs[begin : min(last + size - 1, edge - 1)]
+            left, right = np.searchsorted(keys, asked), np.searchsorted(keys, asked, side="right")
+            lengths = right - left
+            place = np.repeat(left - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+            item, place = items[place], np.repeat(np.arange(len(asked)), lengths) + begin
+            order = np.argsort(item, kind="stable")
+            item, place = item[order], place[order]
+            ahead, behind = place[: 1 - need], place[need - 1 :]
+            enough = np.flatnonzero((item[: 1 - need] == item[need - 1 :]) & (behind - ahead <= size - 2))
+            for one in np.unique(item[enough]):
+                mine = enough[item[enough] == one]
+                start = max(begin, int(behind[mine[0]]) - size + 2)
+                stop = min(last, int(ahead[mine[-1]]))
+                text = own[start : min(stop + size + allowed, edge)].tolist()
+                found = distances_from(self.words[one].tolist(), text)[: stop - start + 1]
+                nearest = min(found, default=size)
+                if nearest <= allowed:
+                    key = low + row, int(one)
+                    value = nearest, start - int(first[row]) + found.index(nearest)
+                    if key not in hits or value < hits[key]:
+                        hits[key] = value
+
     def _judge(self, size: int, parts: list, hits: dict[tuple[int, int], tuple[int, int]]) -> None:
         rows, starts, windows = (np.concatenate(p) for p in zip(*parts))
         keys, items = self.tables[size]

@@ -11,7 +11,9 @@ import pyarrow as pa
 import pytest
 
 from bikenet.llm import cgk, components, jaccard_join, licenses
-from bikenet.llm.decontamination import ItemIndex, edits_allowed, find_leaks, passage_distances, without_leaks
+from bikenet.llm.decontamination import (
+    KEYED_WORDS, ItemIndex, edits_allowed, find_leaks, passage_distances, without_leaks,
+)
 from bikenet.llm.rtree import CountTree
 
 
@@ -135,6 +137,41 @@ def test_recall_at_the_full_distance(small):
     assert all(d <= edits_allowed(len(index.words[item])) for (_, item), (d, _) in hits.items())
 
 
+@pytest.mark.parametrize("size", [5, 15, 30, 31, 60, 120, 250, 500, 1000])
+def test_recall_by_size_at_the_full_distance(size):
+    draw = random.Random(size)
+    voc = [f"w{i}" for i in range(3000)]
+    items = [draw.choices(voc, k=size) for _ in range(60)]
+    index = ItemIndex([" ".join(item) for item in items])
+    texts = [
+        " ".join([*draw.choices(voc, k=30), *_edited(item, edits_allowed(size), voc, draw), *draw.choices(voc, k=30)])
+        for item in items]
+    hits = index.match(pa.array(texts))
+    found = sum((i, i) in hits for i in range(len(items)))
+    assert found == len(items) if size > KEYED_WORDS else found >= 0.97 * len(items)
+    assert all(row == item and d <= edits_allowed(size) for (row, item), (d, _) in hits.items())
+
+
+def test_long_items_equal_brute_force(monkeypatch):
+    draw = random.Random(2)
+    voc = [f"w{i}" for i in range(40)]
+    items = [draw.choices(voc, k=n) for n in (5, 9, 9, 16)]
+    texts = []
+    for _ in range(60):
+        item = draw.choice(items)
+        words = [*draw.choices(voc, k=draw.randrange(9)), *_edited(item, draw.randrange(5), voc, draw), *draw.choices(voc, k=9)]
+        texts.append(words + words[:7] * draw.randrange(2))
+    monkeypatch.setattr("bikenet.llm.decontamination.KEYED_WORDS", 0)
+    hits = ItemIndex([" ".join(i) for i in items]).match(pa.array([" ".join(t) for t in texts]))
+    expected = {}
+    for r, text in enumerate(texts):
+        for k, item in enumerate(items):
+            best = min((_best_beginning(item, text[s:]), s) for s in range(len(text)))
+            if best[0] <= edits_allowed(len(item)):
+                expected[r, k] = best
+    assert expected and hits == expected
+
+
 def _best_beginning(item, text):
     row = list(range(len(text) + 1))
     for x in item:
