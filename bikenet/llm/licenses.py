@@ -61,17 +61,29 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _common(a: list, b: list) -> list[tuple[int, int]]:
-    """A longest common subsequence."""
-    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    """A longest common subsequence.
+
+    Bit j of ``rows[i]`` tells that the longest of ``a[i:]`` and ``b[j:]`` is one longer than that
+    without ``b[j]``; a row takes a few operations on integers of ``len(b)`` bits.
+    """
+    width = len(b)
+    whole = (1 << width) - 1
+    places: dict = {}
+    for j, word in enumerate(reversed(b)):
+        places[word] = places.get(word, 0) | 1 << j
+    rows, left = [0], whole
+    for word in reversed(a):
+        same = left & places.get(word, 0)
+        left = ((left + same) | (left - same)) & whole
+        rows.append(whole & ~left)
+    rows.reverse()
     out, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i] == b[j] and best[i][j] == best[i + 1][j + 1] + 1:
+    while i < len(a) and j < width:
+        rest = (1 << (width - j)) - 1
+        if a[i] == b[j]:
             out.append((i, j))
             i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
+        elif (rows[i + 1] & rest).bit_count() >= (rows[i] & rest >> 1).bit_count():
             i += 1
         else:
             j += 1
@@ -96,6 +108,34 @@ def align(template: list, text: list) -> list[tuple[int, int]]:
     return out[:-1]
 
 
+def occurrences(template: list, text: list, least: float) -> Iterator[list[int]]:
+    """Places of the aligned words of each occurrence with ``least`` of them, over less than two templates' length.
+
+    Of equally many aligned words those that begin last are taken, so that a statement borrows no words
+    of the one before it. On both sides of an occurrence, or of the widest gap in it, others are sought.
+    """
+    waiting = [(0, len(text))]
+    while waiting:
+        low, high = waiting.pop()
+        if high - low < least:
+            continue
+        pairs = align(template, text[low:high])
+        if len(pairs) < least:
+            continue
+        places = [low + at for _, at in pairs]
+        first, last = places[0], places[-1]
+        later = align(template[::-1], text[first : last + 1][::-1])
+        if len(later) >= len(pairs):
+            places = [last - at for _, at in reversed(later)]
+        if places[-1] - places[0] < 2 * len(template):
+            yield places
+        gap, before = max(((b - a, -a) for a, b in zip(places, places[1:])), default=(1, 0))
+        if gap > 1:
+            waiting += [(low, 1 - before), (gap - before, high)]
+        else:
+            waiting += [(low, places[0]), (places[-1] + 1, high)]
+
+
 class Templates:
     """Templates as word hashes, with a table that tells which of them a word belongs to."""
 
@@ -138,16 +178,11 @@ class Templates:
             found: dict[int, list[tuple[int, int, int, int]]] = {}
             for k, row, first, end in self.regions(words, own):
                 text = own[first:end].tolist()
-                while True:  # a region may hold the statement several times
-                    pairs = align(self.words[k], text)
-                    if len(pairs) < self.coverage * len(self.words[k]):
-                        break
-                    if pairs[-1][1] - pairs[0][1] < 2 * len(self.words[k]):
-                        found.setdefault(row, []).append((len(pairs), k, first + pairs[0][1], first + pairs[-1][1]))
-                    first, text = first + pairs[0][1] + 1, text[pairs[0][1] + 1 :]
+                for places in occurrences(self.words[k], text, self.coverage * len(self.words[k])):
+                    found.setdefault(row, []).append((len(places), k, first + places[0], first + places[-1]))
             for row, hits in found.items():
                 kept: list[tuple[int, int, int, int]] = []
-                for hit in sorted(hits, key=lambda h: (-h[0], len(self.words[h[1]]), h[2], h[1])):
+                for hit in sorted(hits, key=lambda h: (-h[0], len(self.words[h[1]]), h[3] - h[2], h[2], h[1])):
                     if all(hit[3] < k[2] or k[3] < hit[2] for k in kept):
                         kept.append(hit)
                 for size, k, first, last in sorted(kept, key=lambda h: h[2]):
@@ -161,8 +196,8 @@ def scan_licenses(
 ) -> DataFrame:
     """``(id, license, coverage, first_word, last_word)`` of every statement in every row.
 
-    Places count the words of the text from 0. Statements of one text do not overlap; of equally well
-    aligned ones the shorter template, then the first stays. Null and empty texts have none; equal
+    Places count the words of the text from 0. Statements of one text do not overlap; of those with equally
+    many aligned words the shorter template, then the shorter span, then the first stays. Null and empty texts have none; equal
     rows have equal statements; ids are only carried along. Up to 64 templates are kept apart by the
     search for regions; more share its bits and cost time only.
     """

@@ -253,3 +253,33 @@ def test_alignment_is_increasing_and_whole():
         assert all(a[i] == b[j] for i, j in pairs)
         assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
         assert licenses.align(a, a) == [(i, i) for i in range(len(a))]
+
+
+def test_longest_common_subsequence():
+    draw = random.Random(5)
+    for _ in range(300):
+        a = [draw.randrange(4) for _ in range(draw.randint(0, 9))]
+        b = [draw.randrange(4) for _ in range(draw.randint(0, 12))]
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, j in ((i, j) for i in range(len(a)) for j in range(len(b))):
+            best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+        pairs = licenses._common(a, b)
+        assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+
+
+def test_neighbouring_statements_keep_their_own_words(docs):
+    names = [n for n in licenses.TEMPLATES if n != "CC0-1.0"]
+    pairs = [(a, b) for a in names for b in names]
+    rows = docs(*[(i, f"{licenses.TEMPLATES[a]}. {licenses.TEMPLATES[b]}.") for i, (a, b) in enumerate(pairs)])
+    found = defaultdict(list)
+    for r in sorted(licenses.scan_licenses(rows).collect(), key=lambda r: r["first_word"]):
+        assert r["coverage"] == 1.0
+        found[r["doc_id"]].append(r["license"])
+    assert [(pairs[i], found[i]) for i in range(len(pairs)) if found[i] != list(pairs[i])] == []
+
+
+def test_a_cut_statement_behind_a_whole_one(docs):
+    whole, cut = licenses.TEMPLATES["GPL-3.0"], licenses.TEMPLATES["GPL-2.0"].removeprefix("This ")
+    rows = licenses.scan_licenses(docs((1, f"{whole}. {cut}"))).collect()
+    assert sorted((r["first_word"], r["license"], r["last_word"]) for r in rows) == [(0, "GPL-3.0", 11), (12, "GPL-2.0", 22)]
