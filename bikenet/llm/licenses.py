@@ -6,7 +6,8 @@ same way. A gap without anchors is aligned by its longest common subsequence. Th
 share of the template's words that are aligned.
 
 Only regions that can reach the coverage are aligned: a region that holds fewer of the template's
-words than the coverage asks for, over twice the template's length, cannot. What is found is compared
+words than the coverage asks for, over twice the template's length, cannot; nor can one that does not
+hold them as often as the template, which tells long templates from plain prose. What is found is compared
 at the end, and of statements that overlap the one with the most aligned words stays.
 """
 
@@ -21,9 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bikenet.llm.license_notices import NOTICES, whole_texts
 from bikenet.llm.text_arrays import PUNCTUATION, Words, column_words
 
-#: Statements of public licenses. Fixed values.
+#: One-line statements of public licenses. Fixed values; :func:`known` adds notices and whole texts.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "MIT": "Released under the MIT License",
@@ -40,6 +42,11 @@ TEMPLATES = {
 COVERAGE = 0.8
 
 
+def known() -> list[tuple[str, str]]:
+    """(license, words) of all statements, notices and whole texts."""
+    return [*TEMPLATES.items(), *NOTICES, *whole_texts()]
+
+
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of pairs, sorted by the first place, that grows in the second."""
     tails: list[int] = []
@@ -139,26 +146,30 @@ def occurrences(template: list, text: list, least: float) -> Iterator[list[int]]
 class Templates:
     """Templates as word hashes, with a table that tells which of them a word belongs to."""
 
-    def __init__(self, templates: dict[str, str], coverage: float):
-        self.names = list(templates)
+    def __init__(self, templates: dict[str, str] | list[tuple[str, str]], coverage: float):
+        listed = list(templates.items()) if isinstance(templates, dict) else templates
+        self.names = [name for name, _ in listed]
         self.coverage = coverage
         self.words: list[list[int]] = []
-        for _, _, words in column_words(pa.array(list(templates.values()), pa.string()), PUNCTUATION):
+        for _, _, words in column_words(pa.array([words for _, words in listed], pa.string()), PUNCTUATION):
             own = words.hashes()
             self.words += [own[a:b].tolist() for a, b in zip(words.first[:-1], words.first[1:])]
-        self.slots = np.zeros(1 << 16, dtype=np.uint64)
+        self.counts = [np.unique(np.array(own, dtype=np.uint64), return_counts=True) for own in self.words]
+        self.slots = np.zeros((-(-len(self.words) // 64), 1 << 16), dtype=np.uint64)
         for k, own in enumerate(self.words):
             for word in own:
-                self.slots[word & 0xFFFF] |= np.uint64(1 << (k % 64))
+                self.slots[k // 64, word & 0xFFFF] |= np.uint64(1 << (k % 64))
 
     def regions(self, words: Words, own: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(template, row, first, end): runs of words that may reach the coverage."""
-        seen = self.slots[own & np.uint64(0xFFFF)]
+        seen = self.slots[:, own & np.uint64(0xFFFF)]
         if not seen.any():
             return
         row_of = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
         for k, template in enumerate(self.words):
-            has = ((seen >> np.uint64(k % 64)) & np.uint64(1)).astype(bool)
+            if not template:
+                continue
+            has = (seen[k // 64] & np.uint64(1 << (k % 64))) != 0
             sums = np.concatenate(([0], np.cumsum(has)))
             starts = np.flatnonzero(has)
             ends = np.minimum(starts + 2 * len(template), words.first[row_of[starts] + 1])
@@ -169,7 +180,30 @@ class Templates:
                 new = np.concatenate(([True], (starts[1:] >= ends[:-1]) | (row_of[starts[1:]] != row_of[starts[:-1]])))
                 at = np.flatnonzero(new)
                 for a, b in zip(at, [*at[1:], len(starts)]):
-                    yield k, int(row_of[starts[a]]), int(starts[a]), int(ends[b - 1])
+                    for first, end in self._often_enough(k, own, int(starts[a]), int(ends[b - 1])):
+                        yield k, int(row_of[starts[a]]), first, end
+
+    def _often_enough(self, k: int, own: np.ndarray, first: int, end: int) -> Iterator[tuple[int, int]]:
+        """Parts of a region that hold enough words no more often counted than in the template.
+
+        Looked at in steps of twice the template's length, each with as many words behind it, so
+        that any occurrence lies in one; parts that touch are passed on as one.
+        """
+        words, counts = self.counts[k]
+        step = 2 * len(self.words[k])
+        place = np.minimum(np.searchsorted(words, own[first:end]), len(words) - 1)
+        place = np.where(words[place] == own[first:end], place, len(words))
+        begin = None
+        for low in range(first, end, step):
+            held = np.bincount(place[low - first : low - first + 2 * step], minlength=len(words))[: len(words)]
+            if np.minimum(held, counts).sum() >= self.coverage * len(self.words[k]):
+                begin = low if begin is None else begin
+                until = min(low + 2 * step, end)
+            elif begin is not None and low >= until:
+                yield begin, until
+                begin = None
+        if begin is not None:
+            yield begin, until
 
     def find(self, column: pa.Array) -> Iterator[tuple[int, str, int, int, int, int]]:
         """(row, name, aligned words, template's words, first word, last word) of what stays."""
@@ -191,19 +225,20 @@ class Templates:
 
 
 def scan_licenses(
-    docs: DataFrame, templates: dict[str, str] = TEMPLATES, coverage: float = COVERAGE,
+    docs: DataFrame, templates: dict[str, str] | list[tuple[str, str]] | None = None, coverage: float = COVERAGE,
     id_column: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """``(id, license, coverage, first_word, last_word)`` of every statement in every row.
 
     Places count the words of the text from 0. Statements of one text do not overlap; of those with equally
     many aligned words the shorter template, then the shorter span, then the first stays. Null and empty texts have none; equal
-    rows have equal statements; ids are only carried along. Up to 64 templates are kept apart by the
-    search for regions; more share its bits and cost time only.
+    rows have equal statements; ids are only carried along. Without ``templates`` those of :func:`known`
+    are sought; a license may have several.
     """
     rows = docs.select(F.col(id_column).alias("id"), F.lower(F.col(text)).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    own = Templates({name: words.lower() for name, words in templates.items()}, coverage)
+    listed = known() if templates is None else list(templates.items()) if isinstance(templates, dict) else templates
+    own = Templates([(name, words.lower()) for name, words in listed], coverage)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

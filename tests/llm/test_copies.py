@@ -283,3 +283,33 @@ def test_a_cut_statement_behind_a_whole_one(docs):
     whole, cut = licenses.TEMPLATES["GPL-3.0"], licenses.TEMPLATES["GPL-2.0"].removeprefix("This ")
     rows = licenses.scan_licenses(docs((1, f"{whole}. {cut}"))).collect()
     assert sorted((r["first_word"], r["license"], r["last_word"]) for r in rows) == [(0, "GPL-3.0", 11), (12, "GPL-2.0", 22)]
+
+
+def test_notices_and_whole_texts(docs):
+    listed = licenses.known()[len(licenses.TEMPLATES):]
+    assert {"MIT", "BSD-3-Clause", "Apache-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "ISC", "EPL-2.0"} <= {n for n, _ in listed}
+    texts = [(i, f"Copyright (c) 2020 Some One. All rights reserved.\n\n{words}\n\ndef main(): pass") for i, (_, words) in enumerate(listed)]
+    found = defaultdict(list)
+    for r in licenses.scan_licenses(docs(*texts)).collect():
+        found[r["doc_id"]].append((r["license"], r["coverage"]))
+    assert {i: found[i] for i in range(len(listed)) if found[i] != [(listed[i][0], 1.0)]} == {}
+
+
+def test_an_edited_body_in_long_prose(docs):
+    draw = random.Random(1)
+    body = dict(licenses.known())["GPL-3.0"].split()
+    prose = draw.choices(body, k=9000)
+    kept = [w for w in body if draw.random() > 0.05]
+    rows = licenses.scan_licenses(docs((1, " ".join([*prose, *kept, *prose])), (2, " ".join(prose)))).collect()
+    assert [(r["doc_id"], r["license"]) for r in rows if r["coverage"] > 0.9] == [(1, "GPL-3.0")]
+
+
+def test_regions_lose_no_occurrence():
+    draw = random.Random(3)
+    template = " ".join(draw.choices("abcdefgh", k=12))
+    own = licenses.Templates([("x", template)], 0.8)
+    for _ in range(50):
+        before = draw.choices("abpqrstuv", k=draw.randrange(120))
+        text = [*before, *_edited(template.split(), 2, ["z"], draw), *draw.choices("cdpqrstuv", k=draw.randrange(120))]
+        if len(licenses.align(template.split(), text[len(before):])) >= 0.8 * 12:
+            assert list(own.find(pa.array([" ".join(text)])))
