@@ -5,7 +5,9 @@ Everything is a DataFrame expression; no Python runs in tasks.
 **Base kinds** are found by their patterns, leftmost and without overlap within a kind; matches
 that are too short are dropped afterwards.
 
-**Random strings** are other runs of twenty or more characters of an encoding. The encoding is
+**Random strings** are runs of twenty or more characters of an encoding. What base spans cover is
+cut out of a run, and each remaining piece of that length is tested; so are its parts between ``/``,
+``_`` and ``-``, since words in front of a token would dilute it. The encoding is
 inferred (decimal, hexadecimal, base 32, else base 64), and under the hypothesis that the characters
 are independent and uniform over its alphabet these tests give a p-value each:
 
@@ -18,7 +20,7 @@ are independent and uniform over its alphabet these tests give a p-value each:
 The least, times four, is the string's p-value. Long strings tell words from noise better than
 short ones, so the Benjamini-Hochberg procedure is applied within bands of length over the whole
 corpus: randomness is rejected so that at most ``FALSE_SHARE`` of the rejected strings are expected
-to be random. What is not rejected is reported as ``random``. The procedure needs only a histogram
+to be random. What is not rejected is reported as ``random``, a part only if its piece is not. The procedure needs only a histogram
 of p-values, a few hundred rows a band.
 """
 
@@ -38,6 +40,9 @@ BASE = {
 _HEX_SEARCH = r"[0-9a-f]{24,}"
 #: Maximal runs, tried only where one begins.
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
+LEAST_RUN = 20
+#: Parts of a run between the signs that also separate words.
+PART = r"[A-Za-z0-9+]{20,}={0,2}"
 RANDOM = "random"
 KINDS = (*BASE, RANDOM)
 
@@ -160,12 +165,38 @@ def _banded(value: Column) -> Column:
     return F.struct(band.alias("band"), F.least(steps.cast("int"), F.lit(LAST_BIN)).alias("bin"))
 
 
+def _outside(run: Column, base: Column) -> Column:
+    """Pieces of a run, long enough to be tested, that no base span covers."""
+    touching = F.array_sort(F.transform(
+        F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"])),
+        lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))
+    nothing = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    gaps = F.aggregate(
+        touching, F.struct(run["start"].alias("at"), nothing.alias("out")),
+        lambda s, b: F.struct(
+            F.greatest(s["at"], b["end"]).alias("at"),
+            F.concat(s["out"], F.array(F.struct(s["at"].alias("start"), b["start"].alias("end")))).alias("out")),
+        lambda s: F.concat(s["out"], F.array(F.struct(s["at"].alias("start"), run["end"].alias("end")))),
+    )
+    pieces = F.transform(F.filter(gaps, lambda g: g["end"] - g["start"] >= LEAST_RUN), lambda g: F.struct(
+        g["start"].alias("start"), g["end"].alias("end"),
+        F.substring(run["value"], g["start"] - run["start"] + 1, g["end"] - g["start"]).alias("value")))
+    return F.filter(pieces, lambda p: F.length(F.regexp_replace(p["value"], "=+$", "")) >= LEAST_RUN)
+
+
+def _with_parts(piece: Column) -> Column:
+    """A piece, and the parts of it that are long enough to be tested by themselves."""
+    parts = F.filter(_found(piece["value"], PART, 0, LEAST_RUN), lambda p: p["value"] != piece["value"])
+    return F.concat(F.array(piece), F.transform(parts, lambda p: F.struct(
+        (piece["start"] + p["start"]).alias("start"), (piece["start"] + p["end"]).alias("end"),
+        p["value"].alias("value"))))
+
+
 def _runs(text: Column, base: Column) -> Column:
-    """Long runs that touch no base span, with band and bin."""
-    alone = F.filter(
-        _found(text, RUN, 0, 20),
-        lambda r: ~F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    return F.transform(alone, lambda r: F.struct(
+    """Long runs outside base spans, and their long parts, with band and bin."""
+    pieces = F.flatten(F.transform(_found(text, RUN, 0, LEAST_RUN), lambda r: _outside(r, base)))
+    tested = F.flatten(F.transform(pieces, _with_parts))
+    return F.transform(tested, lambda r: F.struct(
         r["start"].alias("start"), r["end"].alias("end"), _banded(r["value"]).alias("place")))
 
 
@@ -212,7 +243,11 @@ def with_spans(docs: DataFrame, rejected: dict[int, int], text: str = "text") ->
             s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
 
     found = _with_found(docs, text)
-    random = F.filter("runs", lambda r: r["place"]["bin"] < limit(r["place"]["band"]))
+    kept = F.filter("runs", lambda r: r["place"]["bin"] < limit(r["place"]["band"]))
+    # one struct in an array, so that the runs are filtered once
+    random = F.transform(F.array(F.struct(kept.alias("runs"))), lambda s: F.filter(s["runs"], lambda r: ~F.exists(
+        s["runs"], lambda o: (o["start"] <= r["start"]) & (r["end"] <= o["end"])
+        & (o["end"] - o["start"] > r["end"] - r["start"]))))[0]
     base = F.array_sort(F.concat(*[listed(F.col(f"found.{kind}"), kind) for kind in BASE]))
     return (
         found.withColumn("base", base)

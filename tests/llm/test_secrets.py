@@ -84,3 +84,33 @@ def test_masking(docs):
     assert clean.columns == frame.columns
     assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str) == sorted(
         [(1, "a [SECRET], b"), (2, "é [SECRET]"), (3, None), (4, "plain"), (4, "plain")], key=str)
+
+
+def test_runs_are_cut_at_base_spans_and_tested_in_parts(docs):
+    draw = Random(12)
+    plain, mixed = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"
+    texts, wanted, n = [], [], 40
+    for i in range(n):
+        access = "AKIA" + "".join(draw.choices(string.ascii_uppercase + string.digits, k=16))
+        digest = "".join(draw.choices("0123456789abcdef", k=32))
+        for before, length, alphabet in (
+                (f"{access}{'/-_'[i % 3]}", 40, mixed), (f"{digest}{'/-_'[i % 3]}", 40, mixed),
+                ("/some/long/words/of/the/usual/path/", 24, plain)):
+            key = "".join(draw.choices(alphabet, k=length))
+            texts.append(f"see {before}{key} end")
+            wanted.append((4 + len(before), 4 + len(before) + length))
+    # paths of words make the bands' randomness be rejected for what is none
+    texts += ["see /some/long/words/of/the/usual/path/and_another-name/internationalization end"] * n
+    frame = docs(*enumerate(texts))
+    rows = sorted(secrets.find_secrets(frame).collect(), key=lambda r: r["doc_id"])
+    hidden = {r["doc_id"]: r["text"] for r in secrets.without_secrets(frame).collect()}
+    found = []
+    for r, (start, end) in zip(rows, wanted):
+        spans = [s.split(":") for s in r["spans"].split(",") if s.startswith("random")]
+        found.append(any(int(a) <= start and end <= int(b) for _, a, b in spans))
+        if found[-1]:
+            assert texts[r["doc_id"]][start:end] not in hidden[r["doc_id"]]
+            assert len(spans) == 1
+    for kind in range(3):
+        assert sum(found[kind::3]) >= 0.85 * n, kind
+    assert not any(r["n_random"] for r in rows[len(wanted):])
