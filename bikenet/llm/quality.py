@@ -3,7 +3,7 @@
 Of a pair of texts, one labelled good and one not, the good one is preferred with the probability
 ``sigmoid(s(good) - s(bad))``. A text's score s is linear in its features, so the logistic loss is
 on feature differences. The share of bad labels gives the quantile of scores at which texts are
-told apart.
+told apart; it is taken over the scores of all rows, a sample only teaches the weights.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bikenet.llm.labelled import held_out, labelled_sample
+from bikenet.llm.store import written
 from bikenet.llm.text_arrays import WHITE, row_runs, texts_of, words_of
 
 #: Labelled rows that teach, at most, of each class.
@@ -30,6 +31,8 @@ DECAY = 1e-3
 CUT = 0.3
 #: Words of a passage, the unit of the features that look for the worst part of a text.
 PASSAGE = 40
+#: Bins of a histogram of scores.
+BINS = 4096
 
 _LINES = np.zeros(256, dtype=bool)
 _LINES[10] = True
@@ -47,6 +50,8 @@ class Model(NamedTuple):
     spread: np.ndarray
     weights: np.ndarray
     threshold: float
+    #: share of label 1 among all that may teach
+    share: float = 0.5
 
 
 def _distinct(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -119,7 +124,7 @@ def train(texts: list[str | None], labels: np.ndarray, share: float) -> Model:
     x = features(pa.array(texts, pa.string()))
     if not 0 < labels.sum() < len(labels):
         width = x.shape[1]
-        return Model(np.zeros(width), np.ones(width), np.zeros(width), 0.0)
+        return Model(np.zeros(width), np.ones(width), np.zeros(width), 0.0, share)
     middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-6
     x = np.clip((x - middle) / spread, -8, 8)
     draw = np.random.default_rng(11)
@@ -139,13 +144,16 @@ def train(texts: list[str | None], labels: np.ndarray, share: float) -> Model:
     order = np.argsort(scores, kind="stable")
     below = int(np.searchsorted(np.cumsum(weight[order]), 1 - share + 1e-9, side="right"))
     around = scores[order][max(below - 1, 0) : below + 1]  # the rows on both sides of the quantile
-    return Model(middle, spread, weights, float(around.mean()))
+    return Model(middle, spread, weights, float(around.mean()), share)
+
+
+def raw_scores(column: pa.Array, model: Model) -> np.ndarray:
+    return np.clip((features(column) - model.middle) / model.spread, -8, 8) @ model.weights
 
 
 def score_column(column: pa.Array, model: Model) -> np.ndarray:
     """Scores from 0 to 1; the threshold quantile comes out as ``CUT``."""
-    x = np.clip((features(column) - model.middle) / model.spread, -8, 8)
-    logits = x @ model.weights - model.threshold + np.log(CUT / (1 - CUT))
+    logits = raw_scores(column, model) - model.threshold + np.log(CUT / (1 - CUT))
     return 1 / (1 + np.exp(-np.clip(logits, -500, 500)))
 
 
@@ -154,18 +162,50 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     return train(*labelled_sample(docs, labels, label, per_class))
 
 
+def _ranked(scores: DataFrame, rank: int) -> float:
+    """The score with ``rank`` smaller ones or equals before it; exact, by histograms of ever smaller ranges."""
+    low, high = scores.agg(F.min("raw"), F.max("raw")).first()
+    while low < high:
+        step = F.floor((F.col("raw") - low) / (high - low) * BINS)
+        bins = (
+            scores.filter(F.col("raw").between(low, high)).groupBy(step.alias("bin"))
+            .agg(F.count("*").alias("rows"), F.min("raw").alias("low"), F.max("raw").alias("high"))
+            .orderBy("bin").collect()
+        )
+        for one in bins:
+            if rank < one["rows"]:
+                low, high = one["low"], one["high"]
+                break
+            rank -= one["rows"]
+    return low
+
+
+def threshold(scores: DataFrame, share: float) -> float:
+    """Between the rows around the quantile of all ``raw`` scores at the share of bad texts; 0 without rows."""
+    rows = scores.count()
+    if not rows:
+        return 0.0
+    below = int((1 - share) * rows + 1e-6)
+    return (_ranked(scores, max(below - 1, 0)) + _ranked(scores, min(below, rows - 1))) / 2
+
+
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` of every row; null texts score as empty ones."""
+    """``(doc_id, held_out, score, predicted)`` of every row; null texts score as empty ones.
+
+    All rows are scored once and their scores written, since the threshold is a quantile of them.
+    """
     model = fit(docs, labels)
     rows = docs.select("doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array(score_column(batch.column(1), model))
-            yield pa.RecordBatch.from_arrays([batch.column(0), scores], ["doc_id", "score"])
-
-    return rows.mapInArrow(run, f"doc_id {kind}, score double").select(
-        "doc_id", held_out("doc_id").alias("held_out"), "score",
-        (F.col("score") >= CUT).cast("int").alias("predicted"),
-    )
+            scores = pa.array(raw_scores(batch.column(1), model))
+            yield pa.RecordBatch.from_arrays([batch.column(0), scores], ["doc_id", "raw"])
+
+    scores = written(rows.mapInArrow(run, f"doc_id {kind}, raw double"), "quality-scores")
+    cut = threshold(scores, model.share)
+    logit = F.col("raw") - F.lit(cut) + F.lit(float(np.log(CUT / (1 - CUT))))
+    score = 1 / (1 + F.exp(-F.greatest(F.least(logit, F.lit(500.0)), F.lit(-500.0))))
+    return scores.select("doc_id", held_out("doc_id").alias("held_out"), score.alias("score")).withColumn(
+        "predicted", (F.col("score") >= CUT).cast("int"))

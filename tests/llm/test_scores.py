@@ -68,3 +68,22 @@ def test_preferred_texts_score_higher():
     model = quality.train(texts, np.array([1] * 20 + [0] * 20), 0.5)
     good, bad = quality.score_column(pa.array(["Other words in a row.", "Xy### z### w###"]), model)
     assert good >= quality.CUT > bad
+
+
+def test_threshold_is_the_quantile_of_all_rows(spark, small, monkeypatch):
+    draw = np.random.default_rng(2)
+    raw = np.round(draw.normal(size=5000), 2)
+    frame = spark.createDataFrame([(float(x),) for x in raw], "raw double")
+    monkeypatch.setattr(quality, "BINS", 7)
+    for share in (0.0, 0.31, 0.5, 1.0):
+        below = int((1 - share) * len(raw) + 1e-6)
+        expected = np.sort(raw)[[max(below - 1, 0), min(below, len(raw) - 1)]].mean()
+        assert quality.threshold(frame, share) == pytest.approx(expected, abs=1e-12)
+    monkeypatch.undo()
+    # a teaching sample of five rows a class must not move the share that is predicted
+    labels = small("labels")
+    monkeypatch.setattr(quality.fit, "__defaults__", ("quality", 5))
+    rows = quality.quality(small("documents"), labels).toPandas()
+    teaching = labels.toPandas()
+    teaching = teaching[[zlib.crc32(str(i).encode()) % 5 != 0 for i in teaching["doc_id"]]]
+    assert abs(rows["predicted"].mean() - teaching["quality"].mean()) <= 1.5 / len(rows)
