@@ -15,7 +15,7 @@ from bikenet.plans.analytics import QUERIES, Tables, run_analytics
 from bikenet.plans.layers import STAGES, LayerPaths, read_gold, run_batch
 from bikenet.schema import MICRO_BATCH_INTERVAL
 from bikenet.session import get_spark
-from bikenet.sources.archives import ingest_range
+from bikenet.sources.archives import archive_states, ingest_range
 from bikenet.sources.feeds import (
     read_station_info, read_status_snapshots, read_status_stream_kafka,
 )
@@ -81,6 +81,9 @@ def _ingest(spark: SparkSession, args) -> int:
     landed = ingest_range(spark, args.archives, args.raw, args.start_year, args.end_year)
     months = [row["yyyymm"] for row in landed.orderBy("yyyymm").collect()]
     print(f"{len(months)} months landed: {', '.join(months)}")
+    states = archive_states(spark, args.archives, args.start_year, args.end_year)
+    for row in states.where("state <> 'landed'").orderBy("archive", "path").collect():
+        print(" ".join(filter(None, (row["archive"], row["state"], row["path"], row["reason"]))))
     return 0 if months else 1
 
 

@@ -118,13 +118,14 @@ def land_raw(lines: DataFrame, root: str) -> DataFrame:
     """Write member lines by month, archive and member, and list the months present at ``root``.
 
     A member's lines are all in one task; sorting by line number there keeps its header in front
-    of its one file. A checksum of the path tells archives of the same name apart.
+    of its one file. A member without a month is an error, and nothing lands. A checksum of the path tells archives of the same name apart.
     """
     name = F.substring_index("archive", "/", -1)
+    nameless = F.raise_error(F.concat(F.lit("no month in the name of "), "member", F.lit(" in "), "archive"))
     folders = ("yyyymm", "archive", "member")
     (
         lines.withColumns({
-            "yyyymm": member_month(F.col("member"), F.col("archive")),
+            "yyyymm": F.coalesce(member_month(F.col("member"), F.col("archive")), nameless),
             "archive": F.concat_ws("-", name, F.hex(F.crc32(F.col("archive").cast("binary")))),
             "member": F.replace("member", F.lit("/"), F.lit("__")),
         })
@@ -152,23 +153,56 @@ def ingest_range(
     Archives are known by the four or six digits that their names begin with, so a brand between
     those and the ending makes no difference. Each archive is read once, also a yearly one; with
     ``months`` only the archives of those months are. Absent or broken archives are skipped, and
-    :func:`missing_months` tells which months they leave open. ``monthly_mode="first"`` takes
+    :func:`missing_months` tells which months they leave open, :func:`archive_states` which they are. ``monthly_mode="first"`` takes
     only the first file of a monthly archive.
     """
+    manifest, wanted = _wanted(spark, archive_path, start_year, end_year, suffix, months)
+    wanted = wanted.where("path IS NOT NULL")
+    members = list_members(wanted.where("yearly"), "all", skip_broken=True).unionByName(
+        list_members(wanted.where("not yearly"), monthly_mode, skip_broken=True),
+    )
+    landed = land_raw(read_members(members), raw)
+    return landed.join(manifest.select("yyyymm"), "yyyymm", "left_semi")
+
+
+def archive_states(
+    spark: SparkSession, archive_path: str, start_year: int, end_year: int,
+    suffix: str = ARCHIVE_SUFFIX, months: list[str] | None = None,
+) -> DataFrame:
+    """``archive, path, state, reason`` of each archive that :func:`ingest_range` is asked for.
+
+    ``state`` is landed, absent or broken; the whole archives are checked as the ingest does.
+    """
+    def states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for archive, path in zip(batch["archive"], batch["path"], strict=True):
+                state, reason = "landed", None
+                try:
+                    _trip_files(path, check=True)
+                except (ValueError, zipfile.BadZipFile, zlib.error) as error:
+                    state, reason = "broken", str(error)
+                yield pd.DataFrame({"archive": [archive], "path": [path], "state": [state], "reason": [reason]})
+
+    wanted = _wanted(spark, archive_path, start_year, end_year, suffix, months)[1].select("archive", "path")
+    found = spread(wanted.where("path IS NOT NULL")).mapInPandas(
+        states, "archive string, path string, state string, reason string")
+    return found.unionByName(wanted.where("path IS NULL").select(
+        "archive", "path", F.lit("absent").alias("state"), F.lit(None).cast("string").alias("reason")))
+
+
+def _wanted(
+    spark: SparkSession, archive_path: str, start_year: int, end_year: int, suffix: str, months: list[str] | None,
+) -> tuple[DataFrame, DataFrame]:
+    """The month manifest, and ``archive, yearly, path`` of the archives asked for; no path: absent."""
     manifest = month_manifest(spark, start_year, end_year, "")
     asked = manifest if months is None else manifest.where(F.col("yyyymm").isin(months))
     name = F.substring_index("path", "/", -1)
     expected = archives_to_fetch(asked).withColumn("yearly", F.length("archive") == 4)
-    wanted = (
+    files = (
         list_archives(spark, archive_path).where(name.endswith(suffix.rsplit("-", 1)[-1]))
         .withColumn("archive", F.regexp_extract(name, r"^(\d{6}|\d{4})(?!\d)", 1))
-        .join(expected, "archive")
-    )
-    members = list_members(wanted.where("yearly"), "all", skip_broken=True).unionByName(
-        list_members(wanted.where("not yearly"), monthly_mode, skip_broken=True),
     )
-    landed = land_raw(read_members(members), raw)
-    return landed.join(manifest.select("yyyymm"), "yyyymm", "left_semi")
+    return manifest, expected.join(files, "archive", "left")
 
 
 def missing_months(manifest: DataFrame, landed: DataFrame) -> DataFrame:

@@ -181,6 +181,21 @@ def test_published_names_and_single_months(spark, tmp_path):
     assert [r["yyyymm"] for r in archives.landed_months(spark, own).collect()] == ["202402"]
 
 
+def test_ingest_states_and_members_without_a_month(spark, tmp_path):
+    zips = tmp_path / "zips"
+    zips.mkdir()
+    text = csv_text([CURRENT_ROW], S.CURRENT_COLUMNS)
+    _zip(zips / "202401-tripdata.zip", {"202401.csv": text})
+    (zips / "202402-tripdata.zip").write_bytes(b"not a zip")
+    states = {r["archive"]: (r["state"], bool(r["reason"]))
+              for r in archives.archive_states(spark, str(zips), 2024, 2024).collect()}
+    assert len(states) == 12 and states["202403"] == ("absent", False)
+    assert states["202401"] == ("landed", False) and states["202402"] == ("broken", True)
+    _zip(zips / "2023-tripdata.zip", {"202301.csv": text, "extra.csv": text})
+    with pytest.raises(Exception, match="no month in the name of extra.csv"):
+        archives.ingest_range(spark, str(zips), str(tmp_path / "raw"), 2023, 2023)
+
+
 SNAPSHOT = {
     "last_updated": 1712000000, "ttl": 60,
     "data": {"stations": [
