@@ -12,6 +12,7 @@ from bikenet.llm import bpe
 from bikenet.llm.decontamination import find_leaks
 from bikenet.llm.jaccard_join import similar_texts
 from bikenet.llm.licenses import scan_licenses
+from bikenet.llm.merkle import manifest, manifest_sql, without_line_ends
 from bikenet.llm.permutation_index import nearest_neighbours
 from bikenet.llm.quality import quality
 from bikenet.llm.revisits import PAGES_SQL, captures_of_pages, header_lines, resolve_revisits
@@ -105,3 +106,13 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof and check of every document against the root of all; every other one is shown without line ends."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return manifest(table(spark, sf_dir, "documents"), without_line_ends(tampered))
+
+
+ORACLE["op11_merkle_manifest"] = manifest_sql()
