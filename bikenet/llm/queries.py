@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from bikenet.llm import bpe
 from bikenet.llm.decontamination import find_leaks
 from bikenet.llm.jaccard_join import similar_texts
+from bikenet.llm.lexical_search import SEARCH_SQL, search
 from bikenet.llm.licenses import scan_licenses
 from bikenet.llm.merkle import manifest, manifest_sql, without_line_ends
 from bikenet.llm.permutation_index import nearest_neighbours
@@ -116,3 +117,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op11_merkle_manifest"] = manifest_sql()
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that rank highest for each benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_lexical_search"] = SEARCH_SQL
