@@ -15,6 +15,7 @@ from bikenet.llm.lexical_search import SEARCH_SQL, search
 from bikenet.llm.licenses import scan_licenses
 from bikenet.llm.merkle import manifest, manifest_sql, without_line_ends
 from bikenet.llm.permutation_index import nearest_neighbours
+from bikenet.llm.personal_data import personal_data
 from bikenet.llm.quality import quality
 from bikenet.llm.revisits import PAGES_SQL, captures_of_pages, header_lines, resolve_revisits
 from bikenet.llm.secrets import find_secrets
@@ -119,6 +120,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_merkle_manifest"] = manifest_sql()
 
 
+@query
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spans of personal data in every document."""
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 documents that rank highest for each benchmark item."""
