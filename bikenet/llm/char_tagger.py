@@ -138,27 +138,27 @@ class Tagger:
         np.add.at(gradients["chars"], codes.ravel(), d_x.reshape(-1, x.shape[2]))
         return loss, gradients
 
-    def train(self, codes: np.ndarray, tags: np.ndarray, epochs: int, batch: int, rate: float, seed: int = 0) -> list[float]:
-        """Adam over shuffled batches; ``codes`` and ``tags`` are led by text. The mean loss of each epoch comes back."""
+    def train(self, codes: np.ndarray, tags: np.ndarray, steps: int, batch: int, rate: float, seed: int = 0) -> list[float]:
+        """Adam over batches of shuffled rounds; ``codes`` and ``tags`` are led by text. The loss of each step comes back."""
         rng = np.random.default_rng(seed)
         mean = {k: np.zeros_like(v) for k, v in self.weights.items()}
         square = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        step, told = 0, []
-        for epoch in range(epochs):
-            losses = []
-            for chosen in np.array_split(rng.permutation(len(codes)), max(1, len(codes) // batch)):
-                loss, gradients = self.loss_and_gradients(codes[chosen].T, tags[chosen].T)
-                losses.append(loss)
-                step += 1
-                norm = np.sqrt(sum(float((g ** 2).sum()) for g in gradients.values()))
-                for name, gradient in gradients.items():
-                    gradient = gradient * min(1.0, 5.0 / (norm + 1e-9))
-                    mean[name] = 0.9 * mean[name] + 0.1 * gradient
-                    square[name] = 0.99 * square[name] + 0.01 * gradient ** 2
-                    move = mean[name] / (1 - 0.9 ** step) / (np.sqrt(square[name] / (1 - 0.99 ** step)) + 1e-8)
-                    self.weights[name] = (self.weights[name] - rate * (1 - 0.8 * epoch / epochs) * move).astype(self.weights[name].dtype)
-            told.append(float(np.mean(losses)))
-        return told
+        losses, order = [], np.zeros(0, dtype=np.int64)
+        for step in range(1, steps + 1):
+            while len(order) < batch:
+                order = np.concatenate([order, rng.permutation(len(codes))])
+            chosen, order = order[:batch], order[batch:]
+            loss, gradients = self.loss_and_gradients(codes[chosen].T, tags[chosen].T)
+            losses.append(loss)
+            norm = np.sqrt(sum(float((g ** 2).sum()) for g in gradients.values()))
+            now = rate * (1 - 0.8 * step / steps)
+            for name, gradient in gradients.items():
+                gradient = gradient * min(1.0, 5.0 / (norm + 1e-9))
+                mean[name] = 0.9 * mean[name] + 0.1 * gradient
+                square[name] = 0.99 * square[name] + 0.01 * gradient ** 2
+                move = mean[name] / (1 - 0.9 ** step) / (np.sqrt(square[name] / (1 - 0.99 ** step)) + 1e-8)
+                self.weights[name] = (self.weights[name] - now * move).astype(self.weights[name].dtype)
+        return losses
 
     def decode(self, scores: np.ndarray) -> np.ndarray:
         """The likeliest tags by Viterbi; scores and tags are led by time."""

@@ -36,7 +36,10 @@ EMAIL, IP, CARD, PHONE = range(4)
 PER_KIND = 500
 #: Characters of a window, and around a digit or mark.
 WINDOW, REACH = 96, 40
-EPOCHS, BATCH, RATE = 10, 60, 0.012
+#: Batches that teach, whatever the sample's size, windows of one, and Adam's rate at first.
+STEPS, BATCH, RATE = 350, 60, 0.012
+#: Windows that teach with those made of them, at least.
+LEAST_TAUGHT = 2000
 #: Windows of one pass through the LSTM, and stretches of one Viterbi pass.
 PASS = 256
 
@@ -163,8 +166,8 @@ def windows_that_teach(text: str) -> Iterator[tuple[int, str, str]]:
             yield kind, text[low:high], "".join(tags)
 
 
-def _reshaped(kind: int, text: str, rng: np.random.Generator) -> str:
-    """The same kind of datum in a form that the patterns need not know."""
+def _reshaped(kind: int, rng: np.random.Generator) -> str:
+    """Another datum of the kind, in a form that the patterns need not know."""
     letters = "abcdefghijklmnopqrstuvwxyz0123456789"
 
     def word(low: int, high: int) -> str:
@@ -179,43 +182,46 @@ def _reshaped(kind: int, text: str, rng: np.random.Generator) -> str:
         at = "@" if form < 0.4 else f"{gap}{left}at{right}{gap}"
         dot = "." if form < 0.7 else f"{gap}{left}dot{right}{gap}"
         return local + at + dot.join(names)
-    digits = "".join(_DIGITS.findall(text))
     if kind == IP:
         parts = [str(p) for p in rng.integers(0, 256, 4)]
         return ("." if rng.random() < 0.5 else "[.]").join(parts)
+    digits = "".join(letters[26 + k] for k in rng.integers(0, 10, 10 if kind == PHONE else 16))
     if kind == CARD:
         gap = " -./"[rng.integers(4)]
-        return gap.join(digits[k : k + 4] for k in range(0, len(digits), 4)) if rng.random() < 0.7 else digits
-    digits = "".join(letters[26 + k] for k in rng.integers(0, 10, 10))
+        return gap.join(digits[k : k + 4] for k in range(0, 16, 4)) if rng.random() < 0.7 else digits
     a, b, c = digits[:3], digits[3:6], digits[6:]
     body = (f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"{a} {b} {c}", f"({a}){b}-{c}")[rng.integers(5)]
     return (f"+{rng.integers(1, 99)}{' -'[rng.integers(2)]}" if rng.random() < 0.5 else "") + body
 
 
 def taught_forms(windows: list[tuple[str, str]], seed: int = 1) -> list[tuple[str, str]]:
-    """The windows, each also with its spans reshaped and with a second datum behind one."""
+    """The windows, each also with a span reshaped and with a second datum behind one.
+
+    Few windows go round several times, each time made anew.
+    """
     rng = np.random.default_rng(seed)
-    out = list(windows)
+    out = []
     pool = [(int(tags[a]) // 2, text[a:b]) for text, tags in windows for a, b in _runs(tags)]
-    for text, tags in windows:
+    rounds = -(-LEAST_TAUGHT // max(1, 3 * len(windows)))
+    for text, tags in windows * rounds:
         runs = _runs(tags)
         if not runs:
             continue
         for follow in (False, True):
             a, b = runs[rng.integers(len(runs))]
             kind = int(tags[a]) // 2
-            data = [(kind, text[a:b] if follow and rng.random() < 0.7 else _reshaped(kind, text[a:b], rng))]
+            data = [(kind, text[a:b] if follow and rng.random() < 0.7 else _reshaped(kind, rng))]
             if follow:
                 other, value = pool[rng.integers(len(pool))]
-                data.append((other, value if rng.random() < 0.7 else _reshaped(other, value, rng)))
+                data.append((other, value if rng.random() < 0.7 else _reshaped(other, rng)))
             middle = " ".join(value for _, value in data)
             marks = "0".join(str(2 * k + 1) + str(2 * k + 2) * (len(value) - 1) for k, value in data)
             whole, all_tags = text[:a] + middle + text[b:], tags[:a] + marks + tags[b:]
             low = max(0, min(a + len(middle) // 2 - WINDOW // 2, len(whole) - WINDOW))
             cut = all_tags[low : low + WINDOW]
-            if cut[0] in "1357 0" and (len(all_tags) <= low + WINDOW or all_tags[low + WINDOW] in "01357"):
+            if cut[0] in "01357" and (len(all_tags) <= low + WINDOW or all_tags[low + WINDOW] in "01357"):
                 out.append((whole[low : low + WINDOW], cut))
-    return out
+    return windows * rounds + out
 
 
 def _runs(tags: str) -> list[tuple[int, int]]:
@@ -248,7 +254,7 @@ def fit(docs: DataFrame, text: str = "text") -> Tagger | None:
         codes[k, : len(window)] = codes_of(window)
         tags[k, : len(own)] = [int(tag) for tag in own]
     tagger = Tagger(len(KINDS))
-    tagger.train(codes, tags, EPOCHS, BATCH, RATE)
+    tagger.train(codes, tags, STEPS, BATCH, RATE)
     return tagger
 
 
