@@ -34,6 +34,7 @@ EMAIL, IP, CARD, PHONE = range(4)
 
 #: Windows that teach, at most, of each kind and of stretches without a find.
 PER_KIND = 500
+SHARES = 64
 #: Characters of a window, and around a digit or mark.
 WINDOW, REACH = 96, 40
 #: Batches that teach, whatever the sample's size, windows of one, and Adam's rate at first.
@@ -242,8 +243,11 @@ def fit(docs: DataFrame, text: str = "text") -> Tagger | None:
                  pa.array([r[2] for r in rows], pa.string())], ["kind", "window", "tags"])
 
     found = docs.select(F.col(text).alias("text")).mapInArrow(run, "kind int, window string, tags string").distinct()
-    order = Window.partitionBy("kind").orderBy(F.xxhash64("window"), "window")
-    sample = found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PER_KIND)
+    # first within shares, so that no task gets more of a kind than the shares' bounds
+    sample = found.withColumn("hash", F.xxhash64("window"))
+    for keys in (["kind", F.pmod("hash", F.lit(SHARES))], ["kind"]):
+        order = Window.partitionBy(*keys).orderBy("hash", "window")
+        sample = sample.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PER_KIND)
     rows = sample.orderBy("kind", "place").toArrow().to_pylist()
     if not any(r["kind"] < len(KINDS) for r in rows):
         return None
