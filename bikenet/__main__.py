@@ -15,11 +15,11 @@ from bikenet.plans.analytics import QUERIES, Tables, run_analytics
 from bikenet.plans.layers import STAGES, LayerPaths, read_gold, run_batch
 from bikenet.schema import MICRO_BATCH_INTERVAL
 from bikenet.session import get_spark
-from bikenet.sources.archives import archive_states, ingest_range
 from bikenet.sources.feeds import (
     read_station_info, read_status_snapshots, read_status_stream_kafka,
 )
 from bikenet.sources.geo import read_neighborhoods
+from bikenet.sources.landing import ingest_archives
 from bikenet.sources.layers import read_scores, read_status_layer
 from bikenet.streaming.status import build_status_stream, start_message_job, start_status_sink
 
@@ -78,12 +78,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
 
 
 def _ingest(spark: SparkSession, args) -> int:
-    landed = ingest_range(spark, args.archives, args.raw, args.start_year, args.end_year)
-    months = [row["yyyymm"] for row in landed.orderBy("yyyymm").collect()]
+    states = ingest_archives(spark, args.archives, args.raw, args.start_year, args.end_year).collect()
+    months = sorted({row["yyyymm"] for row in states if row["state"] == "landed"})
     print(f"{len(months)} months landed: {', '.join(months)}")
-    states = archive_states(spark, args.archives, args.start_year, args.end_year)
-    for row in states.where("state <> 'landed'").orderBy("archive", "path").collect():
-        print(" ".join(filter(None, (row["archive"], row["state"], row["path"], row["reason"]))))
+    for row in sorted(states, key=lambda r: (r["archive"], r["path"] or "", r["member"] or "")):
+        if row["state"] != "landed":
+            print(" ".join(filter(None, (row["archive"], row["state"], row["path"], row["member"], row["reason"]))))
     return 0 if months else 1
 
 

@@ -14,9 +14,9 @@ from bikenet.operators.quality import require_valid, validate_csv
 from bikenet.operators.serving import gold_smoke
 from bikenet.operators.spatial import compute_accessibility_scores, geo_scores
 from bikenet.sinks import write_bronze, write_geo_scores, write_gold, write_silver
-from bikenet.sources.archives import ingest_range, land_raw, read_zipped_trips
-from bikenet.sources.geo import read_neighborhoods
 from bikenet.sources.feeds import read_station_info
+from bikenet.sources.geo import read_neighborhoods
+from bikenet.sources.landing import ingest_range, land_all
 from bikenet.sources.layers import read_bronze, read_layer, read_silver
 from bikenet.sources.trips import read_raw_trips
 
@@ -97,9 +97,9 @@ def score_neighborhoods(spark: SparkSession, paths: LayerPaths) -> DataFrame:
 
 
 def ingest(spark: SparkSession, paths: LayerPaths, yyyymm: str | None = None) -> DataFrame:
-    """Unpack all archives, or land the archive of one month and insist on that month."""
+    """Land all archives and tell each member's state, or land one month's archive and insist on that month."""
     if yyyymm is None:
-        return land_raw(read_zipped_trips(spark, paths.archives), paths.raw)
+        return land_all(spark, paths.archives, paths.raw)
     year = int(yyyymm[:4])
     landed = ingest_range(spark, paths.archives, paths.raw, year, year, months=[yyyymm])
     if landed.where(landed["yyyymm"] == yyyymm).isEmpty():

@@ -5,8 +5,10 @@ Intermediate tables are written to the shared folder that the session names.
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark import TaskContext
@@ -24,7 +26,7 @@ from bikenet.registry.sql import area, using
 from bikenet.registry.tables import DriverTables
 from bikenet.session import shared_folder
 from bikenet.sinks import write_gold, write_result_csv, write_silver
-from bikenet.sources import archives, feeds
+from bikenet.sources import archives, feeds, landing
 from bikenet.sources.files import locate
 from bikenet.sources.geo import read_neighborhoods
 from bikenet.sources.layers import (
@@ -312,6 +314,66 @@ def zipped_trips(t: DriverTables) -> DataFrame:
     )
 
 
+def write_odd_archives(t: DriverTables, root: str) -> None:
+    """Per task with rows: two sound archives, one of them in Latin-1, a yearly one with a nameless member, and a damaged one."""
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task = f"{TaskContext.get().partitionId():05d}"
+        system, folder = locate(root)
+        system.create_dir(folder)
+        members = {
+            "202401": [(f"202401-{task}.csv", "utf-8", "\n")], "202402": [(f"in/202402-{task}.csv", "latin-1", "\r\n")],
+            "2023": [(f"202312-{task}.csv", "utf-8", "\n"), (f"extra-{task}.csv", "utf-8", "\n")],
+        }
+        lines = [line for batch in batches for line in batch["line"]]
+        for month, own in members.items() if lines else ():
+            with system.open_output_stream(f"{folder}/{month}-{task}-tripdata.zip") as out, zipfile.ZipFile(out, "w") as archive:
+                for name, encoding, end in own:
+                    with archive.open(name, "w") as member:
+                        for line in lines:
+                            member.write((line + end).encode(encoding))
+        if lines:
+            damaged = io.BytesIO()
+            with zipfile.ZipFile(damaged, "w") as archive:
+                archive.writestr(f"202403-{task}.csv", "x" * 1000)
+            with system.open_output_stream(f"{folder}/202403-{task}-tripdata.zip") as out:
+                out.write(damaged.getvalue().replace(b"xxx", b"xyx", 1))
+        yield pd.DataFrame({"rows": [len(lines)]})
+
+    lines = t.event_trips().select(F.concat_ws(",", "ride_id", "start_station_id", F.lit("Montréal")).alias("line"))
+    lines.repartition(_ARCHIVES, "line").mapInPandas(pack, "rows long").write.format("noop").mode("overwrite").save()
+
+
+#: Archives of each kind; a zip archive is written by one task.
+_ARCHIVES = 16
+
+
+@query(using("""
+SELECT kind, state, CASE WHEN state = 'landed' THEN CAST(sum(octet_length(encode(line)) + extra) AS BIGINT) END AS bytes,
+  CASE WHEN state = 'landed' THEN CAST(count(*) AS BIGINT) END AS rows_read,
+  CASE WHEN state = 'landed' THEN CAST(sum(length(line)) AS BIGINT) END AS characters
+FROM (SELECT concat_ws(',', ride_id, start_station_id, 'Montréal') AS line FROM event_trips),
+  (VALUES ('202401', 'landed', 1), ('202402', 'landed', 1), ('202312', 'landed', 1), ('extra', 'rejected', 0),
+    ('202403', 'broken', 0)) AS kinds(kind, state, extra)
+GROUP BY kind, state
+"""))
+def landed_bytes(t: DriverTables) -> DataFrame:
+    """Archives landed in two phases: members byte by byte, damaged and nameless ones told, the others in place."""
+    zips, raw = shared_folder(t.spark, "zips"), shared_folder(t.spark, "raw")
+    write_odd_archives(t, zips)
+    states = landing.ingest_archives(t.spark, zips, raw, 2023, 2024).where("state <> 'absent'").withColumn(
+        "kind", F.split_part(F.substring_index("member", "/", -1), F.lit("-"), F.lit(1)))
+    told = states.groupBy("kind", "state").agg(F.sum("bytes").alias("bytes"))
+    read = [
+        t.spark.read.option("encoding", encoding).option("recursiveFileLookup", True)
+        .schema("ride string, station string, city string").csv(f"{raw}/yyyymm={kind}")
+        .select(F.lit(kind).alias("kind"), F.concat_ws(",", "ride", "station", "city").alias("line"))
+        for kind, encoding in (("202401", "UTF-8"), ("202402", "ISO-8859-1"), ("202312", "UTF-8"))
+    ]
+    counts = reduce(DataFrame.unionByName, read).groupBy("kind").agg(
+        F.count("*").alias("rows_read"), F.sum(F.length("line")).alias("characters"))
+    return told.join(counts, "kind", "left").select("kind", "state", "bytes", "rows_read", "characters")
+
+
 _MONTHS = """
 SELECT strftime(m, '%Y%m') AS yyyymm,
   CASE WHEN year(m) <= 2023 THEN strftime(m, '%Y') ELSE strftime(m, '%Y%m') END

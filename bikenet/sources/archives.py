@@ -68,7 +68,7 @@ def list_members(
         for batch in batches:
             for path in batch["path"]:
                 try:
-                    names = _trip_files(path, check=skip_broken)
+                    names = csv_members(path, check=skip_broken)
                 except (ValueError, zipfile.BadZipFile, zlib.error):
                     if not skip_broken:
                         raise
@@ -144,65 +144,23 @@ def landed_months(spark: SparkSession, root: str) -> DataFrame:
     return files.select(key.alias("yyyymm")).where(F.col("yyyymm") != "").distinct()
 
 
-def ingest_range(
-    spark: SparkSession, archive_path: str, raw: str, start_year: int, end_year: int,
-    suffix: str = ARCHIVE_SUFFIX, monthly_mode: str = "all", months: list[str] | None = None,
-) -> DataFrame:
-    """Unpack the archives of the years given into the raw area; returns the months landed.
-
-    Archives are known by the four or six digits that their names begin with, so a brand between
-    those and the ending makes no difference. Each archive is read once, also a yearly one; with
-    ``months`` only the archives of those months are. Absent or broken archives are skipped, and
-    :func:`missing_months` tells which months they leave open, :func:`archive_states` which they are. ``monthly_mode="first"`` takes
-    only the first file of a monthly archive.
-    """
-    manifest, wanted = _wanted(spark, archive_path, start_year, end_year, suffix, months)
-    wanted = wanted.where("path IS NOT NULL")
-    members = list_members(wanted.where("yearly"), "all", skip_broken=True).unionByName(
-        list_members(wanted.where("not yearly"), monthly_mode, skip_broken=True),
-    )
-    landed = land_raw(read_members(members), raw)
-    return landed.join(manifest.select("yyyymm"), "yyyymm", "left_semi")
-
-
-def archive_states(
+def wanted_archives(
     spark: SparkSession, archive_path: str, start_year: int, end_year: int,
-    suffix: str = ARCHIVE_SUFFIX, months: list[str] | None = None,
+    suffix: str | None = None, months: list[str] | None = None,
 ) -> DataFrame:
-    """``archive, path, state, reason`` of each archive that :func:`ingest_range` is asked for.
+    """``archive, yearly, path`` of the archives of the years (or months) given; no path: absent.
 
-    ``state`` is landed, absent or broken; the whole archives are checked as the ingest does.
+    ``archive`` are the four or six digits that the file's name begins with.
     """
-    def states(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for archive, path in zip(batch["archive"], batch["path"], strict=True):
-                state, reason = "landed", None
-                try:
-                    _trip_files(path, check=True)
-                except (ValueError, zipfile.BadZipFile, zlib.error) as error:
-                    state, reason = "broken", str(error)
-                yield pd.DataFrame({"archive": [archive], "path": [path], "state": [state], "reason": [reason]})
-
-    wanted = _wanted(spark, archive_path, start_year, end_year, suffix, months)[1].select("archive", "path")
-    found = spread(wanted.where("path IS NOT NULL")).mapInPandas(
-        states, "archive string, path string, state string, reason string")
-    return found.unionByName(wanted.where("path IS NULL").select(
-        "archive", "path", F.lit("absent").alias("state"), F.lit(None).cast("string").alias("reason")))
-
-
-def _wanted(
-    spark: SparkSession, archive_path: str, start_year: int, end_year: int, suffix: str, months: list[str] | None,
-) -> tuple[DataFrame, DataFrame]:
-    """The month manifest, and ``archive, yearly, path`` of the archives asked for; no path: absent."""
     manifest = month_manifest(spark, start_year, end_year, "")
     asked = manifest if months is None else manifest.where(F.col("yyyymm").isin(months))
     name = F.substring_index("path", "/", -1)
     expected = archives_to_fetch(asked).withColumn("yearly", F.length("archive") == 4)
     files = (
-        list_archives(spark, archive_path).where(name.endswith(suffix.rsplit("-", 1)[-1]))
+        list_archives(spark, archive_path).where(name.endswith((suffix or ARCHIVE_SUFFIX).rsplit("-", 1)[-1]))
         .withColumn("archive", F.regexp_extract(name, r"^(\d{6}|\d{4})(?!\d)", 1))
     )
-    return manifest, expected.join(files, "archive", "left")
+    return expected.join(files, "archive", "left")
 
 
 def missing_months(manifest: DataFrame, landed: DataFrame) -> DataFrame:
@@ -210,7 +168,8 @@ def missing_months(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     return manifest.join(landed, "yyyymm", "left_anti")
 
 
-def _trip_files(path: str, check: bool) -> list[str]:
+def csv_members(path: str, check: bool = False) -> list[str]:
+    """Names of an archive's CSV files; none, or with ``check`` a damaged one, is an error."""
     with open_file(path) as stream, zipfile.ZipFile(stream) as archive:
         names = [
             n for n in archive.namelist()

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 import zipfile
+import zlib
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from bikenet import schema as S
 from bikenet.functions import geometry as G
-from bikenet.sources import archives, feeds, geo, layers
+from bikenet.sources import archives, feeds, geo, landing, layers
 from bikenet.sources.trips import header_groups, read_raw_trips, read_uniform_trips
 from helpers import CURRENT_ROW, LEGACY_ROW, csv_text
 
@@ -152,11 +154,11 @@ def test_range_ingest_skips_what_is_absent_or_broken(spark, tmp_path):
     (zips / "202404-tripdata.zip").write_bytes(whole[:60] + b"XXXX" + whole[64:])
     _zip(zips / "unrelated.zip", {"202405.csv": text})
     raw = str(tmp_path / "raw")
-    landed = archives.ingest_range(spark, str(zips), raw, 2023, 2024)
+    landed = landing.ingest_range(spark, str(zips), raw, 2023, 2024)
     months = sorted(r["yyyymm"] for r in landed.collect())
     assert months == [f"2023{m:02d}" for m in range(1, 13)] + ["202401"]
     assert read_raw_trips(spark, raw).count() == 14
-    first = archives.ingest_range(
+    first = landing.ingest_range(
         spark, str(zips), str(tmp_path / "first"), 2024, 2024, monthly_mode="first")
     assert first.count() == 1 and read_raw_trips(spark, str(tmp_path / "first")).count() == 1
     missing = archives.missing_months(archives.month_manifest(spark, 2023, 2024), landed)
@@ -172,28 +174,80 @@ def test_published_names_and_single_months(spark, tmp_path):
         _zip(zips / f"{month}-somebike-tripdata.zip", {f"{month}-part_1.csv": text})
     _zip(zips / "JC-202403-somebike-tripdata.zip", {"202403.csv": text})
     raw = str(tmp_path / "raw")
-    landed = archives.ingest_range(spark, str(zips), raw, 2023, 2024)
+    landed = landing.ingest_range(spark, str(zips), raw, 2023, 2024)
     months = sorted(r["yyyymm"] for r in landed.collect())
     assert months == [f"2023{m:02d}" for m in range(1, 13)] + ["202401", "202402"]
     own = str(tmp_path / "one")
-    one = archives.ingest_range(spark, str(zips), own, 2024, 2024, months=["202402"])
+    one = landing.ingest_range(spark, str(zips), own, 2024, 2024, months=["202402"])
     assert [r["yyyymm"] for r in one.collect()] == ["202402"]
     assert [r["yyyymm"] for r in archives.landed_months(spark, own).collect()] == ["202402"]
 
 
-def test_ingest_states_and_members_without_a_month(spark, tmp_path):
-    zips = tmp_path / "zips"
+def test_states_of_archives_and_members(spark, tmp_path):
+    """A broken archive, a nameless member and other bytes than UTF-8: the rest lands, byte for byte."""
+    zips, raw = tmp_path / "zips", tmp_path / "raw"
     zips.mkdir()
     text = csv_text([CURRENT_ROW], S.CURRENT_COLUMNS)
-    _zip(zips / "202401-tripdata.zip", {"202401.csv": text})
+    odd = "\ufeffride_id,name\r\n1,Montr\u00e9al".encode("latin-1", errors="replace") + b"\xff\x00 no line end"
+    with zipfile.ZipFile(zips / "202401-tripdata.zip", "w", zipfile.ZIP_DEFLATED) as archive:
+        archive.writestr("202401.csv", odd)
+        archive.writestr("deep/202401 [b] 50%.csv", b"")
     (zips / "202402-tripdata.zip").write_bytes(b"not a zip")
-    states = {r["archive"]: (r["state"], bool(r["reason"]))
-              for r in archives.archive_states(spark, str(zips), 2024, 2024).collect()}
-    assert len(states) == 12 and states["202403"] == ("absent", False)
-    assert states["202401"] == ("landed", False) and states["202402"] == ("broken", True)
     _zip(zips / "2023-tripdata.zip", {"202301.csv": text, "extra.csv": text})
-    with pytest.raises(Exception, match="no month in the name of extra.csv"):
-        archives.ingest_range(spark, str(zips), str(tmp_path / "raw"), 2023, 2023)
+    _zip(zips / "202403-tripdata.zip", {"202403_1.csv": text, "202403_2.csv": text})
+    whole = (zips / "202403-tripdata.zip").read_bytes()
+    second = whole.index(b"202403_2.csv") + 30
+    (zips / "202403-tripdata.zip").write_bytes(whole[:second] + b"XXXX" + whole[second + 4:])
+    states = landing.ingest_archives(spark, str(zips), str(raw), 2023, 2024).collect()
+    told = {(r["archive"], r["member"]): (r["state"], bool(r["reason"])) for r in states}
+    assert told[("202404", None)] == ("absent", False) and sum(s == "absent" for s, _ in told.values()) == 9
+    assert told[("2023", "202301.csv")] == ("landed", False) and told[("2023", "extra.csv")] == ("rejected", True)
+    assert told[("202402", None)] == ("broken", True)
+    assert told[("202403", "202403_1.csv")] == ("withheld", True) and told[("202403", "202403_2.csv")] == ("broken", True)
+    assert told[("202401", "deep/202401 [b] 50%.csv")] == ("landed", False)
+    for row in states:
+        if row["state"] == "landed":
+            with zipfile.ZipFile(row["path"]) as archive:
+                landed = Path(row["target"].removeprefix("file:")).read_bytes()
+                assert landed == archive.read(row["member"]) and row["bytes"] == len(landed)
+                assert row["crc32"] == zlib.crc32(landed)
+    assert not list(raw.glob("yyyymm=202403/**/part*")) and not list(raw.glob("_landing/*/staged"))
+    assert landing.last_states(spark, str(raw)).where("state = 'landed'").count() == 3
+    assert sorted(r["yyyymm"] for r in archives.landed_months(spark, str(raw)).collect()) == ["202301", "202401"]
+
+
+def test_landing_again_replaces(spark, tmp_path):
+    zips, raw = tmp_path / "zips", str(tmp_path / "raw")
+    zips.mkdir()
+    for rides in (3, 2):
+        rows = [{**CURRENT_ROW, "ride_id": str(i)} for i in range(rides)]
+        _zip(zips / "202401-tripdata.zip", {"202401.csv": csv_text(rows, S.CURRENT_COLUMNS)})
+        assert landing.ingest_range(spark, str(zips), raw, 2024, 2024, months=["202401"]).count() == 1
+        assert read_raw_trips(spark, raw).count() == rides
+
+
+def test_a_rename_done_before_counts_as_done(tmp_path):
+    staged, target = tmp_path / "s" / "x", tmp_path / "t" / "part-00000.csv"
+    staged.parent.mkdir()
+    staged.write_bytes(b"abc")
+    landing._rename(str(staged), str(target), 3)
+    landing._rename(str(staged), str(target), 3)
+    assert target.read_bytes() == b"abc"
+    with pytest.raises(FileNotFoundError, match="gone"):
+        landing._rename(str(staged), str(target), 4)
+
+
+def test_a_lost_attempt_is_never_published(spark, tmp_path):
+    """Staged files that the table of members does not name stay out of the raw area."""
+    zips, raw = tmp_path / "zips", str(tmp_path / "raw")
+    zips.mkdir()
+    _zip(zips / "202401-tripdata.zip", {"202401.csv": "a,b\n1,2\n"})
+    wanted = archives.wanted_archives(spark, str(zips), 2024, 2024, months=["202401"])
+    staged = landing.stage(landing.list_contents(wanted), raw, "run1")
+    copy = Path(raw) / "_landing/run1/staged/stray"
+    copy.write_bytes(b"half")
+    assert [r["state"] for r in landing.publish(staged, raw, "run1").collect()] == ["landed"]
+    assert [p.read_bytes() for p in Path(raw).glob("yyyymm=*/**/part*")] == [b"a,b\n1,2\n"] and not copy.exists()
 
 
 SNAPSHOT = {
