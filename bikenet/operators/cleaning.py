@@ -118,7 +118,7 @@ def dedupe_rides(
     """
     if strict_ref:
         return df.dropDuplicates([key])
-    names = order_by or [c for c in S.CURRENT_COLUMNS if c in df.columns and c != key]
+    names = order_by or [c for c in (*S.CURRENT_COLUMNS, "year_month") if c in df.columns and c != key]
     first = ("started_at", "ended_at")
     names = [c for c in first if c in names] + [c for c in names if c not in first]
     window = Window.partitionBy(key).orderBy(*(F.col(c).asc_nulls_last() for c in names))
@@ -153,6 +153,11 @@ def temporal_features(df: DataFrame) -> DataFrame:
     })
 
 
+def with_features(rides: DataFrame) -> DataFrame:
+    """Deduplicated trips of plausible length, with their features."""
+    return temporal_features(duration_filter(trip_duration(rides)))
+
+
 def to_silver(bronze: DataFrame, strict_ref: bool = False) -> DataFrame:
     """The cleaning steps in their order: complete, deduplicated, plausible, with features.
 
@@ -160,7 +165,7 @@ def to_silver(bronze: DataFrame, strict_ref: bool = False) -> DataFrame:
     copy is implausible is dropped with all its copies.
     """
     rides = dedupe_rides(drop_null_critical(bronze), strict_ref=strict_ref)
-    return temporal_features(duration_filter(trip_duration(rides)))
+    return with_features(rides)
 
 
 _TYPED = {f.name for f in S.TRIP_SCHEMA if f.dataType.simpleString() != "string"}

@@ -13,6 +13,7 @@ from bikenet.operators.gold import gold_tables
 from bikenet.operators.quality import require_valid, validate_csv
 from bikenet.operators.serving import gold_smoke
 from bikenet.operators.spatial import compute_accessibility_scores, geo_scores
+from bikenet.plans import monthly
 from bikenet.sinks import write_bronze, write_geo_scores, write_gold, write_silver
 from bikenet.sources.feeds import read_station_info
 from bikenet.sources.geo import read_neighborhoods
@@ -41,10 +42,11 @@ class LayerPaths:
     station_info: str | None = None
     neighborhoods: str | None = None
     scores: str | None = None
+    state: str | None = None
 
     @classmethod
     def below(cls, root: str, **extra: str) -> LayerPaths:
-        names = ("raw", "bronze", "silver", "gold")
+        names = ("raw", "bronze", "silver", "gold", "state")
         return cls(**{n: f"{root.rstrip('/')}/{n}" for n in names}, **extra)
 
     def raw_files(self, yyyymm: str | None = None) -> str:
@@ -111,7 +113,11 @@ def run_batch(
     spark: SparkSession, paths: LayerPaths, yyyymm: str | None = None,
     stages: Iterable[str] = ("bronze", "silver", "gold"),
 ) -> dict[str, DataFrame]:
-    """Run the stages asked for, in their fixed order; an invalid file stops the batch."""
+    """Run the stages asked for, in their fixed order; an invalid file stops the batch.
+
+    A month given goes through silver and gold alone (see :mod:`bikenet.plans.monthly`) once the layers
+    have their state; the first such run, and one without a month, builds them whole.
+    """
     wanted = set(stages)
     if wanted - set(STAGES):
         raise ValueError(f"unknown stages {sorted(wanted - set(STAGES))}, expected {STAGES}")
@@ -122,10 +128,19 @@ def run_batch(
         out["validate"] = require_valid(validate_csv(spark, paths.raw_files(yyyymm)))
     if "bronze" in wanted:
         out["bronze"] = raw_to_bronze(spark, paths.raw_files(yyyymm), paths.bronze, yyyymm)
-    if "silver" in wanted:
-        out["silver"] = bronze_to_silver(spark, paths.bronze, paths.silver)
-    if "gold" in wanted:
-        out.update(silver_to_gold(spark, paths.silver, paths.gold))
+    alone = yyyymm is not None and paths.state is not None and {"silver", "gold"} <= wanted
+    if alone and monthly.has_state(spark, paths.state):
+        monthly.load_month(spark, paths.bronze, paths.silver, paths.gold, paths.state, yyyymm)
+        out.update({"silver": read_silver(spark, paths.silver), **read_gold(spark, paths.gold)})
+    else:
+        if "silver" in wanted:
+            out["silver"] = bronze_to_silver(spark, paths.bronze, paths.silver)
+        if "gold" in wanted:
+            out.update(silver_to_gold(spark, paths.silver, paths.gold))
+        if alone:
+            monthly.index_months(spark, paths.bronze, paths.silver, paths.state)
+        elif paths.state is not None and "silver" in wanted:
+            monthly.forget_state(spark, paths.state)
     if "spatial" in wanted:
         out["spatial"] = score_neighborhoods(spark, paths)
     if "smoke" in wanted:

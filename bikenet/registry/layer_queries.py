@@ -18,14 +18,16 @@ from pyspark.sql import functions as F
 from bikenet import schema as S
 from bikenet.functions import geometry as G
 from bikenet.operators import quality, serving, spatial
-from bikenet.plans.layers import LayerPaths, run_batch
+from bikenet.operators.cleaning import conform
+from bikenet.plans import monthly
+from bikenet.plans.layers import LayerPaths, read_gold, run_batch
 from bikenet.registry.cleaning_queries import text_times
 from bikenet.registry.core import query
 from bikenet.registry.serving_queries import rounded
-from bikenet.registry.sql import area, using
+from bikenet.registry.sql import COMPLETE, SECONDS, area, using
 from bikenet.registry.tables import DriverTables
 from bikenet.session import shared_folder
-from bikenet.sinks import write_gold, write_result_csv, write_silver
+from bikenet.sinks import write_bronze, write_gold, write_result_csv, write_silver
 from bikenet.sources import archives, feeds, landing
 from bikenet.sources.files import locate
 from bikenet.sources.geo import read_neighborhoods
@@ -147,6 +149,60 @@ def silver_by_month(t: DriverTables) -> DataFrame:
     )
 
 
+def _station_totals_sql(trips: str) -> str:
+    return using(f"""
+SELECT start_station_id, start_station_name, CAST(sum(n) AS BIGINT) AS total_trips,
+  round(avg(seconds), 6) AS avg_duration_seconds,
+  round(sum(total_seconds) / sum(n), 6) AS weighted_avg_duration_seconds,
+  CAST(sum(ebikes) AS BIGINT) AS total_ebike_trips, CAST(sum(members) AS BIGINT) AS total_member_trips
+FROM (SELECT start_station_id, start_station_name, CAST(started_at AS DATE) AS trip_date, count(*) AS n,
+  avg({SECONDS}) AS seconds, sum({SECONDS}) AS total_seconds,
+  count(*) FILTER (rideable_type = 'electric_bike') AS ebikes, count(*) FILTER (member_casual = 'member') AS members
+  FROM ({trips}) WHERE {SECONDS} BETWEEN 60 AND 86400 GROUP BY ALL)
+GROUP BY ALL
+""")
+
+
+def _load_months(t: DriverTables, *months: tuple[str, DataFrame]) -> DataFrame:
+    """Months of typed trips loaded one after the other; the totals of each station."""
+    paths = LayerPaths.below(shared_folder(t.spark, "months"))
+    for month, trips in months:
+        write_bronze(conform(trips), paths.bronze, month)
+        monthly.load_month(t.spark, paths.bronze, paths.silver, paths.gold, paths.state, month)
+    totals = serving.station_totals(read_gold(t.spark, paths.gold)["trips_per_station"])
+    return rounded(totals, 6, "avg_duration_seconds", "weighted_avg_duration_seconds")
+
+
+@query(_station_totals_sql(f"SELECT * FROM event_trips WHERE {COMPLETE}"))
+def two_months(t: DriverTables) -> DataFrame:
+    """Two months, each through silver and gold alone; gold is put together from their parts."""
+    even = F.col("ride_id").cast("bigint") % 2 == 0
+    return _load_months(t, ("202401", t.event_trips().where(even)), ("202402", t.event_trips().where(~even)))
+
+
+@query(_station_totals_sql(f"""
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ride_id ORDER BY started_at) AS copy FROM (
+    SELECT * FROM event_trips UNION ALL
+    SELECT * REPLACE (started_at + to_seconds(shift) AS started_at, ended_at + to_seconds(shift) AS ended_at,
+      'electric_bike' AS rideable_type)
+    FROM event_trips, (VALUES (-1), (1)) AS s(shift)
+    WHERE CAST(ride_id AS BIGINT) % 10 = CASE WHEN shift < 0 THEN 0 ELSE 4 END) x
+    WHERE {COMPLETE}) WHERE copy = 1
+""".replace("SELECT * REPLACE", "SELECT event_trips.* REPLACE")))
+def late_copy(t: DriverTables) -> DataFrame:
+    """A month that brings copies of rides of the month before: a tenth that replace them, a tenth that don't."""
+    number = F.col("ride_id").cast("bigint")
+
+    def copies(digit: int, seconds: int) -> DataFrame:
+        shift = F.make_dt_interval(secs=F.lit(seconds))
+        return t.event_trips().where(number % 10 == digit).withColumns({
+            "started_at": F.col("started_at") + shift, "ended_at": F.col("ended_at") + shift,
+            "rideable_type": F.lit("electric_bike")})
+
+    later = t.event_trips().where(number % 2 == 1).unionByName(copies(0, -1)).unionByName(copies(4, 1))
+    return _load_months(t, ("202401", t.event_trips().where(number % 2 == 0)), ("202402", later))
+
+
 @query(using("""
 SELECT 'hive' AS reader, day_of_week, CAST(count(*) AS BIGINT) AS cells,
   CAST(sum(trip_count) AS BIGINT) AS trips FROM pattern GROUP BY day_of_week

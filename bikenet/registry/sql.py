@@ -32,13 +32,13 @@ _COPY_ORDER = ", ".join(
         c for c in CURRENT_COLUMNS if c not in ("ride_id", "started_at", "ended_at")
     ))
 )
-_SECONDS = "CAST(floor(epoch(ended_at)) - floor(epoch(started_at)) AS BIGINT)"
+SECONDS = "CAST(floor(epoch(ended_at)) - floor(epoch(started_at)) AS BIGINT)"
 _FEATURES = f"""
-    {_SECONDS} AS trip_duration_seconds,
+    {SECONDS} AS trip_duration_seconds,
     CAST(hour(started_at) AS INTEGER) AS hour_of_day,
     CAST(dayofweek(started_at) + 1 AS INTEGER) AS day_of_week,
     CAST(started_at AS DATE) AS trip_date"""
-_COMPLETE = """started_at IS NOT NULL AND ended_at IS NOT NULL AND start_lat IS NOT NULL
+COMPLETE = """started_at IS NOT NULL AND ended_at IS NOT NULL AND start_lat IS NOT NULL
     AND start_lng IS NOT NULL AND start_station_id IS NOT NULL"""
 
 SIDE = 0.25
@@ -103,8 +103,8 @@ _CTES = {
     "silver": f"""
   SELECT *, {_FEATURES}
   FROM (SELECT *, row_number() OVER (PARTITION BY ride_id ORDER BY {_COPY_ORDER}) AS copy
-        FROM trips WHERE {_COMPLETE})
-  WHERE copy = 1 AND {_SECONDS} BETWEEN 60 AND 86400""",
+        FROM trips WHERE {COMPLETE})
+  WHERE copy = 1 AND {SECONDS} BETWEEN 60 AND 86400""",
     "event_trips": f"""
   SELECT CAST(event_id AS VARCHAR) AS ride_id,
     CASE WHEN event_type = 'click' THEN 'electric_bike' ELSE 'classic_bike' END AS rideable_type,
@@ -116,7 +116,7 @@ _CTES = {
   FROM events""",
     "event_silver": f"""
   SELECT *, {_FEATURES} FROM event_trips
-  WHERE {_COMPLETE} AND {_SECONDS} BETWEEN 60 AND 86400""",
+  WHERE {COMPLETE} AND {SECONDS} BETWEEN 60 AND 86400""",
     "daily": """
   SELECT start_station_id, start_station_name, trip_date,
     CAST(count(*) AS BIGINT) AS trips_started,

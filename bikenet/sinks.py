@@ -41,11 +41,20 @@ def write_silver(df: DataFrame, path: str, months: list[str] | None = None) -> N
         _write(rebalanced(df, "year_month"), path, "year_month")
         return
     for month in months:
-        own = df.where(F.col("year_month") == month).drop("year_month")
-        _write(own.hint("rebalance"), f"{path}/year_month={month}", None)
+        write_month(df.where(F.col("year_month") == month).hint("rebalance"), path, month)
 
 
-def write_gold(df: DataFrame, path: str, partition_col: str | None = None) -> None:
+def write_month(df: DataFrame, path: str, month: str) -> None:
+    """Replace exactly one month's directory of a table."""
+    _write(df.drop("year_month"), f"{path}/year_month={month}", None)
+
+
+def write_gold(df: DataFrame, path: str, partition_col: str | None = None, only_those: bool = False) -> None:
+    """Replace the whole table, or with ``only_those`` the partitions that have rows in ``df``."""
+    if only_those:
+        (rebalanced(df, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
+        return
     _write(rebalanced(df, partition_col), path, partition_col)
 
 
