@@ -21,6 +21,7 @@ from bikenet.sources.feeds import (
 from bikenet.sources.geo import read_neighborhoods
 from bikenet.sources.landing import ingest_archives
 from bikenet.sources.layers import read_scores, read_status_layer
+from bikenet.streaming.lag import follow, read_reports, stored_lag
 from bikenet.streaming.status import build_status_stream, start_message_job, start_status_sink
 
 
@@ -65,10 +66,13 @@ def parser() -> argparse.ArgumentParser:
     for name in ("servers", "topic", "layer", "checkpoint"):
         stream.add_argument(f"--{name}", required=True)
     stream.add_argument("--interval", default=MICRO_BATCH_INTERVAL)
+    stream.add_argument("--log", help="folder of progress reports, by default beside the checkpoint")
 
-    health = commands.add_parser("health", help="freshness and empty stations of the status layer")
+    health = commands.add_parser("health", help="freshness, empty stations and lag of the status layer")
     health.add_argument("layer")
     health.add_argument("--lookback-minutes", type=int, default=15)
+    health.add_argument("--log", help="folder of progress reports of the stream, adds its lag to the checks")
+    health.add_argument("--topic")
     return top
 
 
@@ -137,7 +141,7 @@ def _stream(spark: SparkSession, args) -> int:
     job = start_status_sink(
         build_status_stream(records), args.layer, args.checkpoint, args.interval,
     )
-    job.awaitTermination()
+    follow(job, args.log or f"{args.checkpoint.rstrip('/')}-reports")
     return 0
 
 
@@ -145,7 +149,8 @@ def _health(spark: SparkSession, args) -> int:
     status = current_station_availability(
         read_status_layer(spark, args.layer), args.lookback_minutes,
     )
-    checks = health_report(file_freshness(spark, args.layer), status).collect()
+    lag = stored_lag(read_reports(spark, args.log), args.topic) if args.log else None
+    checks = health_report(file_freshness(spark, args.layer), status, lag).collect()
     for check in checks:
         print(check.asDict())
     return 0 if all(check["ok"] for check in checks) else 1

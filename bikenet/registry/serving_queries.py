@@ -10,6 +10,8 @@ from bikenet.registry.cleaning_queries import text_times
 from bikenet.registry.core import query
 from bikenet.registry.sql import stamp, using
 from bikenet.registry.tables import DriverTables
+from bikenet.session import shared_folder
+from bikenet.streaming import lag
 
 LOOKBACK = 2880  # minutes
 
@@ -224,10 +226,43 @@ FROM (SELECT date_diff('microsecond', max(ts),
 UNION ALL
 SELECT 'empty_stations', CAST(count(*) FILTER (num_bikes_available = 0) AS DOUBLE), NULL, true
 FROM available
+UNION ALL
+SELECT 'stream_lag', CAST(sum(lag) AS DOUBLE), 10000, sum(lag) <= 10000 FROM offsets
 """))
 def health_report(t: DriverTables) -> DataFrame:
+    """The three checks; the lag is read from stored progress reports."""
     now = status.current_station_availability(t.status(), LOOKBACK, t.status_end())
-    return rounded(monitoring.health_report(_freshness(t), now), 6, "value")
+    return rounded(monitoring.health_report(_freshness(t), now, lag.stored_lag(_reports(t))), 6, "value")
+
+
+def _reports(t: DriverTables) -> DataFrame:
+    """Progress reports of a stream over the events, one a day: what has come and what of it is processed.
+
+    A partition has the events of every eighth user; errors are not processed yet.
+    """
+    path = shared_folder(t.spark, "reports")
+    key = (F.col("user_id") % 8).cast("string")
+    daily = t.table("events").groupBy(F.to_date("ts").alias("report_date"), key.alias("p")).agg(
+        F.max("event_id").alias("latest"), F.max(F.when(F.col("event_type") != "error", F.col("event_id"))).alias("end"))
+    entries = F.collect_list(F.struct("p", "latest")).alias("latest"), F.collect_list(
+        F.when(F.col("end").isNotNull(), F.struct("p", "end"))).alias("ends")
+    offsets = [F.create_map(F.lit("status"), F.map_from_entries(c)).alias(n) for c, n in (("ends", "endOffset"), ("latest", "latestOffset"))]
+    source = F.struct(F.lit("KafkaV2[Subscribe[status]]").alias("description"), *offsets)
+    (
+        daily.groupBy("report_date").agg(*entries)
+        .select(F.lit("q").alias("query"), F.lit("r").alias("run"), F.lit(0).cast("bigint").alias("batch"),
+                F.col("report_date").cast("timestamp").alias("reported_at"),
+                F.to_json(F.struct(F.array(source).alias("sources"))).alias("report"), "report_date")
+        .write.partitionBy("report_date").parquet(path)
+    )
+    last = t.table("events").agg(F.max("ts")).scalar()
+    return lag.read_reports(t.spark, path, days=3, as_of=last)
+
+
+@query(using("SELECT 'status' AS topic, p AS partition, end_offset, latest_offset, lag FROM offsets"))
+def stream_lag(t: DriverTables) -> DataFrame:
+    """The lag of every partition by the newest stored report that has it."""
+    return lag.reported_offsets(_reports(t)).select("topic", "partition", "end_offset", "latest_offset", "lag")
 
 
 # --- reporting ----------------------------------------------------------------

@@ -149,6 +149,12 @@ _CTES = {
   SELECT rideable_type, CAST(sum(trip_count) AS BIGINT) AS total_trips,
     round(100.0::DOUBLE * sum(trip_count) / sum(sum(trip_count)) OVER (), 2) AS pct
   FROM split GROUP BY rideable_type""",
+    "offsets": """
+  SELECT p, coalesce(end_offset, 0) AS end_offset, latest_offset, latest_offset - coalesce(end_offset, 0) AS lag
+  FROM (SELECT CAST(user_id % 8 AS VARCHAR) AS p, CAST(ts AS DATE) AS day, max(event_id) AS latest_offset,
+      max(event_id) FILTER (event_type <> 'error') AS end_offset FROM events
+    WHERE CAST(ts AS DATE) > (SELECT CAST(max(ts) AS DATE) - 3 FROM events) GROUP BY ALL)
+  QUALIFY row_number() OVER (PARTITION BY p ORDER BY day DESC) = 1""",
     "status": """
   SELECT CAST(user_id AS VARCHAR) AS station_id,
     CAST(floor(value) AS INTEGER) % 10 AS num_bikes_available,

@@ -11,6 +11,7 @@ from bikenet.operators import monitoring
 from bikenet.sinks import message_values, write_status_messages
 from bikenet.sources import feeds, layers
 from bikenet.streaming import lag, status
+from helpers import plan_of
 from test_sources import SNAPSHOT
 
 
@@ -140,6 +141,45 @@ def test_lag_of_a_running_query(spark, tmp_path):
     assert lag.stream_lag(spark, lag.query_progress(query)).first()["ok"] is True
 
 
+def test_lag_from_stored_reports(spark, tmp_path):
+    """Read by a process that has no query: the same lag as from the reports themselves."""
+    log = str(tmp_path / "log")
+    stamped = [{**r, "id": "q", "runId": "r", "batchId": k, "timestamp": f"2024-05-0{k + 1}T10:00:00.000Z"}
+               for k, r in enumerate(KAFKA_PROGRESS)]
+    stamped[1]["sources"][0] = {**stamped[1]["sources"][0], "endOffset": {"status": {"0": 140}},
+                                "latestOffset": {"status": {"0": 160, "1": 12000}, "other": {"0": 5}}}
+    stamped[0]["sources"].append({"description": "FileStreamSource[x]", "endOffset": {"logOffset": 3}, "latestOffset": None})
+    lag.append_reports(spark, stamped[:1], log)
+    lag.append_reports(spark, stamped[1:], log)
+    lag.append_reports(spark, [], log)
+    reports = lag.read_reports(spark, log, as_of=F.lit("2024-05-02"))
+    rows = {(r["topic"], r["partition"]): r["lag"] for r in lag.reported_offsets(reports).collect()}
+    assert rows == {("status", "0"): 20, ("status", "1"): 12000, ("other", "0"): 5}
+    assert tuple(lag.stored_lag(reports, "status").first()) == (12020, 10000, False)
+    assert lag.stored_lag(lag.read_reports(spark, log, days=1, as_of=F.lit("2024-05-01"))).first()["total_lag"] == 59
+    assert tuple(lag.stored_lag(reports.limit(0)).first()) == (None, 10000, True)
+    later = lag.read_reports(spark, log, as_of=F.lit("2024-06-01"))
+    assert later.count() == 0 and "PartitionFilters: [isnotnull(report_date" in plan_of(later)
+
+
+def test_a_followed_query_files_its_reports(spark, tmp_path):
+    _put(spark, tmp_path, [GOOD])
+    query = status.start_status_sink(
+        status.build_status_stream(_records(spark, tmp_path)), str(tmp_path / "layer"), str(tmp_path / "cp"), once=True)
+    lag.follow(query, str(tmp_path / "log"), seconds=1)
+    reports = spark.read.parquet(str(tmp_path / "log"))
+    assert reports.where("report like '%numInputRows%'").count() == reports.distinct().count() >= 1
+    assert {r["query"] for r in reports.collect()} == {str(query.id)}
+
+
+def test_reports_of_a_failed_query_are_filed(spark, tmp_path):
+    _put(spark, tmp_path, [GOOD])
+    broken = _records(spark, tmp_path).select(F.raise_error(F.lit("no good")).cast("string").alias("value"))
+    query = broken.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "cp")).start()
+    with pytest.raises(Exception, match="no good"):
+        lag.follow(query, str(tmp_path / "log"), seconds=1)
+
+
 def test_file_freshness_and_health(spark, tmp_path):
     _put(spark, tmp_path, [GOOD])
     _, layer = _run(spark, tmp_path)
