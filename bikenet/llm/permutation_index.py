@@ -2,9 +2,9 @@
 
 Pivots are a small sample of the vectors. Every vector is represented by its ``LISTED`` nearest pivots
 in their order, and posted under each of them, with its place in that order, in the pivots' inverted
-files. A query reads the files of its own nearest pivots and ranks what it finds by the footrule: the
-sum over all pivots of the distance between the two places, where a pivot that is not listed counts
-as if it came right behind the list. The first ``SHARE`` of the rows, at least ``LEAST_CANDIDATES``,
+files. A query reads only the files of its own ``VISITED`` nearest pivots and ranks what it finds by the
+footrule: the sum over the pivots of the distance between the two places, where a pivot that is not listed
+counts as if it came right behind the list. The first ``SHARE`` of the rows, at least ``LEAST_CANDIDATES``,
 are reranked by the exact inner product. A crowd of near copies would take all these places, so rows
 are taken on until those taken have half as many different sets of three nearest pivots.
 
@@ -22,12 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PIVOTS = 256
+from bikenet.llm.store import written
+
+#: The more pivots, the shorter their files: a row is in ``LISTED`` of them, a query reads ``VISITED``.
+PIVOTS = 1024
 LISTED = 96
+VISITED = 64
 #: Rows among which the pivots are chosen: those with the least hash of their id.
-PIVOT_SAMPLE = 2048
-SHARE = 0.08
-LEAST_CANDIDATES = 1500
+PIVOT_SAMPLE = 4096
+SHARE = 0.04
+LEAST_CANDIDATES = 1000
 NEAREST = 20
 #: Rows of the index that one task searches, and queries that it answers.
 BLOCK_ROWS = 32_768
@@ -53,13 +57,14 @@ def spread_pivots(sample: np.ndarray) -> np.ndarray:
     Close is half the median distance to the first; pivots side by side would count one place twice.
     """
     close = np.median(np.linalg.norm(sample - sample[0], axis=1)) / 2
-    chosen = np.zeros((0, sample.shape[1]))
+    chosen, count = np.zeros((min(PIVOTS, len(sample)), sample.shape[1])), 0
     for vector in sample:
-        if not len(chosen) or np.linalg.norm(chosen - vector, axis=1).min() > close:
-            chosen = np.vstack((chosen, vector))
-        if len(chosen) == PIVOTS:
+        if not count or np.linalg.norm(chosen[:count] - vector, axis=1).min() > close:
+            chosen[count] = vector
+            count += 1
+        if count == len(chosen):
             break
-    return chosen
+    return chosen[:count]
 
 
 class PivotOrder:
@@ -76,10 +81,15 @@ class PivotOrder:
     def nearest(self, vectors: np.ndarray, query: bool = False) -> np.ndarray:
         """The nearest pivots of each vector, nearest first, ties to the earlier pivot."""
         own = np.concatenate((vectors, np.zeros((len(vectors), 1))), axis=1) if query else self._even(vectors)
-        near = own @ self.pivots.T
-        if query:
-            return np.argsort(-near, axis=1, kind="stable")[:, : min(LISTED, near.shape[1])]
-        return np.argsort((self.pivots**2).sum(axis=1) - 2 * near, axis=1, kind="stable")[:, : min(LISTED, near.shape[1])]
+        away = -own @ self.pivots.T if query else (self.pivots**2).sum(axis=1) - 2 * own @ self.pivots.T
+        listed = min(VISITED if query else LISTED, away.shape[1])
+        first = np.sort(np.argpartition(away, listed - 1, axis=1)[:, :listed], axis=1)
+        order = np.argsort(np.take_along_axis(away, first, axis=1), axis=1, kind="stable")
+        return np.take_along_axis(first, order, axis=1)
+
+    def all_nearest(self, vectors: np.ndarray, step: int = 4096) -> np.ndarray:
+        """As :func:`nearest`, some thousand vectors at a time."""
+        return np.concatenate([self.nearest(vectors[a : a + step]) for a in range(0, len(vectors), step)])
 
 
 class InvertedFiles:
@@ -96,7 +106,8 @@ class InvertedFiles:
 
     def footrule(self, order: np.ndarray) -> np.ndarray:
         """The footrule between an order and that of every row."""
-        total = np.full(self.size, self.listed * (self.listed + 1), dtype=np.int32)  # nothing in common
+        apart = self.listed * (self.listed + 1) // 2 + (self.listed - np.arange(len(order))).sum()  # nothing in common
+        total = np.full(self.size, apart, dtype=np.int32)
         for place, pivot in enumerate(order):
             low, high = self.cuts[pivot], self.cuts[pivot + 1]
             there = self.places[low:high]
@@ -125,7 +136,7 @@ def search_block(
         return_index=True, return_inverse=True)
     members = np.argsort(point, kind="stable")
     begins = np.searchsorted(point[members], np.arange(len(first) + 1))
-    orders = order.nearest(vectors[first])
+    orders = order.all_nearest(vectors[first])
     files = InvertedFiles(orders, len(order.pivots))
     corner = np.sort(orders[:, :3], axis=1) @ len(order.pivots) ** np.arange(min(3, orders.shape[1]))
     wanted = max(LEAST_CANDIDATES, int(np.ceil(SHARE * len(first)))) + 1  # and the query itself
@@ -163,12 +174,12 @@ def nearest_neighbours(
     """
     spark = rows.sparkSession
     schema = "query_id bigint, vec_id bigint, score double"
-    sound = (
-        rows.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"),
-                    is_query.alias("asks"))
+    sound = written(
+        rows.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).alias("v"), is_query.alias("asks"))
         .filter(F.col("id").isNotNull() & usable(F.col("v")))
-        .groupBy("id").agg(F.max("v").alias("v"), F.max("asks").alias("asks"))
-    )
+        .groupBy("id").agg(F.max("v").alias("v"), F.max("asks").alias("asks")),
+        "vectors",
+    ).withColumn("v", F.col("v").cast("array<double>"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     shapes = (
         sound.groupBy(F.size("v").alias("width"))
