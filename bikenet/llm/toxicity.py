@@ -38,9 +38,11 @@ SCALE = 100.0
 LEAST_TEXTS = 5
 #: if the classes' shares of such texts are so many standard errors apart,
 LEAST_EVIDENCE = 3.0
-#: and if they are among so many of the farthest apart. Others say nothing: with few labelled texts
-#: a table of all n-grams learns the texts by heart.
+#: and if they are among so many of the farthest apart: a bound on the features, which all texts' labels in the
+#: sample decide. Others say nothing: with few labelled texts a table of all n-grams learns the texts by heart.
 TAUGHT = 4096
+#: Texts whose averages are laid out as a matrix at once.
+ROWS_AT_ONCE = 512
 
 _OPEN, _CLOSE = 60, 62  # marks that no word holds
 
@@ -99,11 +101,28 @@ def _evidence(texts: list[str | None], labels: np.ndarray) -> np.ndarray:
     return np.sort(best[distance[best] >= LEAST_EVIDENCE])
 
 
-def _averages(texts: list[str | None], taught: np.ndarray) -> np.ndarray:
-    """The share of each taught bucket in the average over each text's words."""
+class Averages(NamedTuple):
+    """The shares of taught buckets in the averages over each text's words, row after row: few of all are not 0."""
+
+    first: np.ndarray
+    bucket: np.ndarray
+    share: np.ndarray
+
+    def blocks(self, columns: int) -> Iterator[tuple[slice, np.ndarray]]:
+        """The same as matrices of ``ROWS_AT_ONCE`` rows."""
+        for low in range(0, len(self.first) - 1, ROWS_AT_ONCE):
+            high = min(low + ROWS_AT_ONCE, len(self.first) - 1)
+            a, b = self.first[low], self.first[high]
+            block = np.zeros((high - low, columns), dtype=np.float32)
+            row = np.repeat(np.arange(high - low), np.diff(self.first[low : high + 1]))
+            block[row, self.bucket[a:b]] = self.share[a:b]
+            yield slice(low, high), block
+
+
+def _averages(texts: list[str | None], taught: np.ndarray) -> Averages:
     column = np.full(BUCKETS, -1)
     column[taught] = np.arange(len(taught))
-    out = np.zeros((len(texts), len(taught)), dtype=np.float32)
+    rows, buckets_met, shares = [], [], []
     for low, _, words in column_words(pa.array(texts, pa.string()), PUNCTUATION):
         count = np.diff(words.first)
         row = np.repeat(np.arange(len(count)), count)
@@ -111,20 +130,26 @@ def _averages(texts: list[str | None], taught: np.ndarray) -> np.ndarray:
         size = np.bincount(owner, minlength=len(words.start))
         kept = column[buckets] >= 0
         owner, place = owner[kept], column[buckets[kept]]
-        np.add.at(out, (low + row[owner], place), (1 / size[owner] / count[row[owner]]).astype(np.float32))
-    return out
+        cells, at = np.unique(row[owner] * len(taught) + place, return_inverse=True)
+        share = np.bincount(at, weights=SCALE / size[owner] / count[row[owner]], minlength=len(cells))
+        rows.append((low + cells // max(len(taught), 1)).astype(np.int32))
+        buckets_met.append((cells % max(len(taught), 1)).astype(np.int32))
+        shares.append(share.astype(np.float32))
+    row = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int32)
+    return Averages(np.searchsorted(row, np.arange(len(texts) + 1)),
+                    np.concatenate(buckets_met) if rows else row, np.concatenate(shares) if rows else row)
 
 
 def train(texts: list[str | None], labels: np.ndarray, share: float) -> Model:
     """Fit on lowered texts. ``share`` is the share of label 1 among all rows, whatever the sample's.
 
-    With rows of one class only, every text gets that class' smoothed share.
+    Rows of one class only, or none, teach nothing: every text gets the score 1/3, and none is rejected.
     """
     n, ones = len(texts), int(labels.sum())
     if not 0 < ones < n:
-        return Model(np.zeros(BUCKETS, dtype=np.float32), float(np.log((ones + 1) / (n - ones + 1))))
+        return Model(np.zeros(BUCKETS, dtype=np.float32), float(np.log(0.5)))
     taught = _evidence(texts, labels)
-    averages = _averages(texts, taught) * SCALE
+    averages = _averages(texts, taught)
     table = np.zeros((len(taught), DIMENSIONS), dtype=np.float32)
     layer = np.random.default_rng(7).normal(0, 1, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, dtype=np.float32)
@@ -132,13 +157,16 @@ def train(texts: list[str | None], labels: np.ndarray, share: float) -> Model:
     target = np.eye(2, dtype=np.float32)[labels]
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (table, layer, bias)]
     for epoch in range(1, EPOCHS + 1):
-        hidden = averages @ table
-        logits = hidden @ layer + bias
-        chance = np.exp(logits - logits.max(axis=1, keepdims=True))
-        chance /= chance.sum(axis=1, keepdims=True)
-        error = (chance - target) * weight
-        gradients = (
-            averages.T @ (error @ layer.T) + DECAY * table, hidden.T @ error + DECAY * layer, error.sum(axis=0))
+        gradients = [DECAY * table, DECAY * layer, np.zeros_like(bias)]
+        for rows, block in averages.blocks(len(taught)):
+            hidden = block @ table
+            logits = hidden @ layer + bias
+            chance = np.exp(logits - logits.max(axis=1, keepdims=True))
+            chance /= chance.sum(axis=1, keepdims=True)
+            error = (chance - target[rows]) * weight[rows]
+            gradients[0] += block.T @ (error @ layer.T)
+            gradients[1] += hidden.T @ error
+            gradients[2] += error.sum(axis=0)
         for parameter, gradient, (mean, square) in zip((table, layer, bias), gradients, moments):  # Adam
             mean += 0.1 * (gradient - mean)
             square += 0.001 * (gradient**2 - square)

@@ -88,6 +88,44 @@ def test_hot_groups_and_long_texts(docs, monkeypatch):
     assert _components(docs(*rows)) == _expected(rows)
 
 
+@pytest.mark.parametrize("original", [True, False])
+def test_candidates_are_as_many_as_the_members(docs, monkeypatch, original):
+    """Near copies of one text, 0.75 alike among themselves: neither links nor open pairs grow with the square."""
+    made = {}
+    for name in ("_links", "_across_homes", "_possible"):
+        def counted(members, build=getattr(jaccard_join, name), name=name):
+            frame = build(members)
+            made[name] = made.get(name, 0) + frame.count()
+            return frame
+        monkeypatch.setattr(jaccard_join, name, counted)
+    draw = random.Random(9)
+    base = [f"w{draw.randrange(10_000)}" for _ in range(300)]
+    counts = []
+    for size in (30, 150):
+        made.clear()
+        rows = [(0, " ".join(base))] if original else []
+        for i in range(1, size):
+            own = list(base)
+            for at in draw.sample(range(300), 9):
+                own[at] = f"x{draw.randrange(10_000)}"
+            rows.append((i, " ".join(own)))
+        assert _components(docs(*rows)) == _expected(rows)
+        counts.append(dict(made))
+        assert made["_links"] < size and made["_across_homes"] <= 2 * size and made["_possible"] <= size
+
+
+def test_rows_without_an_id_are_no_product(docs):
+    draw = random.Random(2)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        own[draw.randrange(60)] = f"x{i % 40}"
+        rows.append((None, " ".join(own)))
+    rows += [(7, " ".join(base)), (5, " ".join([*base, "y"])), (None, " ".join(base))]
+    assert _components(docs(*rows)) == _expected(rows)
+
+
 def test_tree_loses_no_pair():
     draw = np.random.default_rng(4)
     points = draw.poisson(2, (500, 16)) + draw.poisson(2, (500, 1)) * draw.integers(0, 3, (500, 1))

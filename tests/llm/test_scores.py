@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 
 from bikenet.llm import quality, toxicity
+from bikenet.llm.text_arrays import prefix_hash, span_hashes
 
 
 @pytest.mark.parametrize(
@@ -63,6 +65,54 @@ def test_misspellings_share_subwords():
     assert scores[0] < 0.5 < scores[1]
 
 
+def _by_hand(text, model):
+    """The score of one text from a fitted model, n-gram by n-gram."""
+    words = re.findall(r"[0-9a-z\x80-\xff]+", text.lower().encode().decode("latin-1"))
+    total = 0.0
+    for word in words:
+        marked = f"<{word}>".encode("latin-1")
+        grams = [marked] + [marked[a : a + n] for n in toxicity.GRAMS if len(marked) > n for a in range(len(marked) - n + 1)]
+        total += sum(float(model.weights[_bucket(g)]) for g in grams) / len(grams)
+    logit = total / max(len(words), 1) + model.bias
+    return 1 / (1 + np.exp(-logit))
+
+
+def _bucket(gram):
+    data = np.frombuffer(gram, dtype=np.uint8)
+    return int(span_hashes(prefix_hash(data), np.array([0]), np.array([len(gram)]))[0]) & (toxicity.BUCKETS - 1)
+
+
+def test_scores_by_hand(small):
+    texts = [r.text for r in small("documents").select("text").limit(60).collect()] + ["", "  ", "a", "É b-c", "x" * 5000]
+    model = toxicity.train([t.lower() for t in texts], np.arange(len(texts)) % 2, 0.3)
+    model = model._replace(weights=np.random.default_rng(3).normal(size=toxicity.BUCKETS).astype(np.float32))
+    scores = toxicity.score_column(pa.array([t.lower() for t in texts]), model)
+    assert np.allclose(scores, [_by_hand(t, model) for t in texts], atol=1e-6)
+
+
+def test_averages_by_hand():
+    texts, taught = ["ab abc", "", "abc abc abc x"], np.sort(np.array([_bucket(b"<ab"), _bucket(b"<abc>"), _bucket(b"<x>")]))
+    blocks = list(toxicity._averages(texts, taught).blocks(3))
+    dense = np.concatenate([block for _, block in blocks])
+    place = {b: k for k, b in enumerate(taught.tolist())}
+    want = np.zeros((3, 3))
+    for row, text in enumerate(texts):
+        for word in text.split():
+            marked = f"<{word}>".encode()
+            grams = [marked] + [marked[a : a + n] for n in toxicity.GRAMS if len(marked) > n for a in range(len(marked) - n + 1)]
+            for gram in grams:
+                if _bucket(gram) in place:
+                    want[row, place[_bucket(gram)]] += toxicity.SCALE / len(grams) / len(text.split())
+    assert np.allclose(dense, want)
+
+
+@pytest.mark.parametrize("labels", ["false", "toxic = 1", "toxic = 0"])
+def test_without_both_classes_no_document_goes(spark, small, labels):
+    rows = small("documents")
+    model = toxicity.fit(rows, small("labels").filter(labels))
+    assert toxicity.without_toxic(rows, model).count() == rows.count()
+
+
 def test_preferred_texts_score_higher():
     texts = ["Some words in a plain row."] * 20 + ["Ab### c### d###"] * 20
     model = quality.train(texts, np.array([1] * 20 + [0] * 20), 0.5)
