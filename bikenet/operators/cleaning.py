@@ -48,8 +48,7 @@ def cast_current(df: DataFrame) -> DataFrame:
     Times keep a type they already have, so a table that is read typed passes through.
     """
     df = _lower_case(df)
-    typed = {name: _typed(df, name, name) for name in S.CURRENT_COLUMNS if name in df.columns}
-    return df.withColumns({n: c for n, c in typed.items() if n in _TYPED})
+    return df.withColumns({n: c for n, c in _current_columns(df).items() if n in _TYPED})
 
 
 def normalise_legacy(df: DataFrame, legacy_key: str = "ride") -> DataFrame:
@@ -59,6 +58,23 @@ def normalise_legacy(df: DataFrame, legacy_key: str = "ride") -> DataFrame:
     ``"bike"`` takes the bike id itself, which lets a later deduplication keep one trip per bike.
     """
     df = _lower_case(df)
+    derived = _legacy_columns(df, legacy_key)
+    return df.select(*(derived[name].alias(name) for name in S.CURRENT_COLUMNS))
+
+
+def canonical_trips(rows: DataFrame, legacy_key: str = "ride") -> DataFrame:
+    """Rows of both formats side by side, told apart by ``schema_version``, in canonical columns."""
+    current, legacy = _current_columns(rows), _legacy_columns(rows, legacy_key)
+    is_current = F.col("schema_version") == "current"
+    return conform(rows.select(*(
+        F.when(is_current, current[name]).otherwise(legacy[name]).alias(name) for name in S.CURRENT_COLUMNS)))
+
+
+def _current_columns(df: DataFrame) -> dict[str, Column]:
+    return {name: _typed(df, name, name) for name in S.CURRENT_COLUMNS if name in df.columns}
+
+
+def _legacy_columns(df: DataFrame, legacy_key: str) -> dict[str, Column]:
     if legacy_key == "bike":
         ride_id = F.col("bikeid").cast("string")
     else:
@@ -67,13 +83,12 @@ def normalise_legacy(df: DataFrame, legacy_key: str = "ride") -> DataFrame:
             F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in identity
         )), 256)
     subscriber = F.lower(F.col("usertype")) == "subscriber"
-    derived = {
+    return {
         "ride_id": ride_id,
         "rideable_type": F.lit("classic_bike"),
         "member_casual": F.when(subscriber, "member").otherwise("casual"),
         **{name: _typed(df, source, name) for name, source in _LEGACY_NAMES.items()},
     }
-    return df.select(*(derived[name].alias(name) for name in S.CURRENT_COLUMNS))
 
 
 def normalise(df: DataFrame, legacy_key: str = "ride") -> DataFrame:

@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bikenet import schema as S
-from bikenet.operators.cleaning import detect_schema, missing_columns
+from bikenet.operators.cleaning import detect_schema
 from bikenet.sources.files import FILE_COLUMN
-from bikenet.sources.trips import header_groups, read_header_group
+from bikenet.sources.trips import PLACED, header_catalogue, placed_rows
 
+_ALL_COORDINATES = (*S.COORDINATE_COLUMNS["current"], *S.COORDINATE_COLUMNS["legacy"])
 
 
 @dataclass
@@ -45,7 +45,8 @@ def validate_dataframe(df: DataFrame, rsd: float | None = None) -> DataFrame:
     Counting duplicates exactly shuffles the distinct ride ids. With ``rsd``, a relative standard
     deviation, they are estimated from a sketch instead and nothing but sketches is shuffled.
     """
-    return _report(df.agg(*_measures(df, rsd)), df.columns)
+    version = F.lit(detect_schema(df.columns))
+    return _report(df.agg(*_measures(df, rsd)), version, F.array(*(F.lit(c.lower()) for c in df.columns)).cast("array<string>"))
 
 
 def null_rates(df: DataFrame) -> DataFrame:
@@ -71,19 +72,23 @@ def validate_csv(
 ) -> DataFrame:
     """One report per CSV file below ``path``, with ``source_file``.
 
-    Files with the same header are measured in one grouped aggregation; a file of which only the
-    header line exists still gets its report.
+    All files are measured in one grouped aggregation, whatever their headers. A file of which only the
+    header line exists still gets its report, and so does one of zero bytes.
     """
-    reports = []
-    for group in header_groups(spark, path):
-        columns = group.columns
-        rows = read_header_group(spark, group).select(FILE_COLUMN, *(
-            F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")).alias(c) for c in columns
-        ))
-        measured = rows.groupBy(FILE_COLUMN).agg(*_measures(rows.drop(FILE_COLUMN)))
-        stats = group.files.join(measured, FILE_COLUMN, "left").fillna(0, ["row_count"])
-        reports.append(_report(stats, columns, FILE_COLUMN))
-    return reduce(DataFrame.unionByName, reports)
+    catalogue = header_catalogue(spark, path)
+    if catalogue.isEmpty():
+        raise ValueError(f"no files below {path}")
+    measures: list[Column] = [F.count("*").alias("row_count")]
+    if not catalogue.where(F.size("header") > 0).isEmpty():
+        rows = placed_rows(spark, path, catalogue)
+        given = {c: F.when(~F.col(f"`{c}`").isin(*na_tokens), F.col(f"`{c}`")) for c in PLACED}
+        rows = rows.select(FILE_COLUMN, *(c.alias(n) for n, c in given.items()))
+        measures += [F.avg(_missing(rows, name).cast("int")).alias(f"_null {name}") for name in _ALL_COORDINATES]
+        measured = rows.groupBy(FILE_COLUMN).agg(*measures, _duplicates(F.col("ride_id")).alias("_duplicates"))
+        stats = catalogue.join(measured, FILE_COLUMN, "left").fillna(0, ["row_count"])
+    else:
+        stats = catalogue.withColumn("row_count", F.lit(0).cast("bigint"))
+    return _report(stats, F.col("schema_version"), F.col("columns"), FILE_COLUMN)
 
 
 def require_valid(reports: DataFrame) -> DataFrame:
@@ -129,14 +134,21 @@ def _measures(df: DataFrame, rsd: float | None = None) -> list[Column]:
     return measures
 
 
-def _report(stats: DataFrame, columns: list[str], *keep: str) -> DataFrame:
-    """Turn measured counts and rates into the report row."""
-    version = detect_schema(columns)
-    absent = missing_columns(columns, version)
-    rows = F.col("row_count")
-    rates = {c.removeprefix("_null "): F.col(f"`{c}`") for c in stats.columns if "_null " in c}
-    known = F.lit(version != "unknown")
-
+def _report(stats: DataFrame, version: Column, columns: Column, *keep: str) -> DataFrame:
+    """Turn measured counts and rates into report rows, each by its own version and columns."""
+    def by_version(values: dict[str, tuple[str, ...]]) -> Column:
+        lists = {v: F.array(*map(F.lit, names)).cast("array<string>") for v, names in values.items()}
+        return F.when(version == "current", lists["current"]).when(version == "legacy", lists["legacy"]).otherwise(lists["unknown"])
+
+    stats = stats.withColumns({
+        "_version": version, "_absent": F.sort_array(F.array_except(by_version(S.REQUIRED_COLUMNS), columns)),
+        "_watched": F.array_intersect(by_version(S.COORDINATE_COLUMNS), columns), "_named": F.size(columns) > 0,
+    })
+    rows, absent, known = F.col("row_count"), F.col("_absent"), F.col("_version") != "unknown"
+    rates = {
+        name: F.when(F.array_contains("_watched", name), F.col(f"`_null {name}`"))
+        for name in _ALL_COORDINATES if f"_null {name}" in stats.columns
+    }
     warnings = [
         F.when(rate > S.MAX_NULL_RATE, F.format_string(S.NULLS_MESSAGE, F.lit(name), rate * 100))
         for name, rate in rates.items()
@@ -146,24 +158,23 @@ def _report(stats: DataFrame, columns: list[str], *keep: str) -> DataFrame:
     )))
     copies = F.lit(0).cast("long")
     if "_duplicates" in stats.columns:
-        copies = F.coalesce("_duplicates", F.lit(0))
+        copies = F.when(F.col("_version") == "current", F.coalesce("_duplicates", F.lit(0))).otherwise(0)
         warnings.append(F.when(copies > 0, F.format_string(S.DUPLICATES_MESSAGE, copies)))
     errors = [
-        F.when(~known, F.lit(S.UNKNOWN_MESSAGE)),
-        F.when(F.lit(bool(absent)), F.lit(S.MISSING_MESSAGE % absent)),
+        F.when(~known & F.col("_named"), F.lit(S.UNKNOWN_MESSAGE)),
+        F.when(~F.col("_named"), F.lit(S.ZERO_BYTES_MESSAGE)),
+        F.when(F.size(absent) > 0, F.format_string(S.MISSING_MESSAGE, F.array_join(absent, ", "))),
         F.when(known & (rows == 0), F.lit(S.EMPTY_MESSAGE)),
     ]
-    rate_map = F.create_map(*(
-        part for name, rate in rates.items() for part in (F.lit(name), F.bround(rate, 4))
-    )) if rates else F.create_map().cast("map<string,double>")
+    pairs = [F.struct(F.lit(name).alias("key"), F.bround(rate, 4).alias("value")) for name, rate in rates.items()]
+    measured = F.filter(F.array(*pairs), lambda p: F.array_contains("_watched", p["key"])) if pairs else None
     return stats.select(
         *keep,
-        F.lit(version).alias("schema_version"),
+        F.col("_version").alias("schema_version"),
         rows.alias("row_count"),
-        F.array(*(F.lit(c) for c in absent)).cast("array<string>")
-        .alias("missing_required_columns"),
-        rate_map.alias("null_rate"),
-        copies.alias("duplicate_count"),
+        absent.alias("missing_required_columns"),
+        (F.map_from_entries(measured) if pairs else F.create_map().cast("map<string,double>")).alias("null_rate"),
+        copies.cast("long").alias("duplicate_count"),
         F.array_compact(F.array(*warnings)).alias("warnings"),
         F.array_compact(F.array(*errors)).alias("errors"),
     ).withColumn("is_valid", F.size("errors") == 0)

@@ -201,7 +201,7 @@ def _rates_sql(columns: list[tuple[str, str]]) -> str:
 
 def _null_warning_sql(column: str) -> str:
     share = f"printf('%.1f', 100 * {_rate_sql(column)})"
-    return f"'Column ''{column}'' has ' || {share} || '% null values'"
+    return f"'{column} is missing in ' || {share} || ' % of the rows'"
 
 
 @query(using(f"""
@@ -210,8 +210,8 @@ SELECT 'current' AS schema_version, CAST(count(*) AS BIGINT) AS row_count,
   '' AS missing_required_columns,
   {_rates_sql([(c, c) for c in ('start_lat', 'start_lng', 'end_lat', 'end_lng')])} AS null_rate,
   concat_ws('|',
-    CASE WHEN count(*) < 1000 THEN 'Suspiciously low row count: ' || count(*) END,
-    (count(*) - count(DISTINCT ride_id)) || ' duplicate ride_id values detected') AS warnings,
+    CASE WHEN count(*) < 1000 THEN 'only ' || count(*) || ' rows' END,
+    (count(*) - count(DISTINCT ride_id)) || ' rows repeat a ride_id (duplicates)') AS warnings,
   '' AS errors, true AS is_valid
 FROM trips
 """))
@@ -227,8 +227,8 @@ SELECT 'current' AS schema_version, CAST(count(*) AS BIGINT) AS row_count,
   concat_ws('|',
     {_null_warning_sql('start_lat')},
     {_null_warning_sql('start_lng')},
-    CASE WHEN count(*) < 1000 THEN 'Suspiciously low row count: ' || count(*) END) AS warnings,
-  'Missing required columns: [''end_lat'', ''end_lng'', ''end_station_id'', ''end_station_name'']' AS errors,
+    CASE WHEN count(*) < 1000 THEN 'only ' || count(*) || ' rows' END) AS warnings,
+  'columns not found: end_lat, end_lng, end_station_id, end_station_name' AS errors,
   false AS is_valid
 FROM event_trips
 """))
@@ -245,7 +245,7 @@ SELECT 'legacy' AS schema_version, CAST(count(*) AS BIGINT) AS row_count,
       ('start station longitude', '1'),
       ('end station latitude', '1'), ('end station longitude', '1'),
   ])} AS null_rate,
-  concat_ws('|', CASE WHEN count(*) < 1000 THEN 'Suspiciously low row count: ' || count(*) END)
+  concat_ws('|', CASE WHEN count(*) < 1000 THEN 'only ' || count(*) || ' rows' END)
     AS warnings,
   '' AS errors, true AS is_valid
 FROM orders
@@ -257,7 +257,7 @@ def validate_legacy(t: DriverTables) -> DataFrame:
 @query("""
 SELECT 'unknown' AS schema_version, CAST(count(*) AS BIGINT) AS row_count,
   CAST(0 AS BIGINT) AS duplicate_count, '' AS missing_required_columns, '' AS null_rate,
-  '' AS warnings, 'Could not detect schema version — unrecognised columns' AS errors,
+  '' AS warnings, 'the columns fit no known trip format' AS errors,
   false AS is_valid
 FROM customer
 """)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE_COLUMN = "source_file"
+_ARROW_SCHEMES = ("file", "s3", "s3a", "s3n", "gs", "gcs", "hdfs", "abfs", "abfss")
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}  # Hadoop's names of a scheme, and Arrow's
 
 
@@ -25,13 +26,41 @@ def plain_path() -> Column:
     return F.regexp_replace(F.url_decode(uri), "^file:/+", "/")
 
 
+def file_uri() -> Column:
+    """The file as Spark names it, cheap enough for every row."""
+    return F.col("_metadata.file_path")
+
+
+def empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """``source_file, file_uri`` of files of zero bytes below ``path``, which Spark's readers leave out.
+
+    The store is listed through Hadoop, whatever store it is; only such files are kept. Names that begin
+    with a dot or an underscore are hidden, as for Spark.
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = []
+    if "*" not in path and store.exists(root):
+        files = store.listFiles(root, True)
+        above = len(store.makeQualified(root).toString())
+        while files.hasNext():
+            status = files.next()
+            if status.getLen() == 0:
+                uri = status.getPath().toUri().toString()
+                inner = status.getPath().toString()[above:]
+                if not re.search(r"/[._]", inner):
+                    found.append((re.sub("^file:/+", "/", status.getPath().toString()), uri))
+    return spark.createDataFrame(found, f"{FILE_COLUMN} string, file_uri string")
+
+
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """``source_file`` and ``modified`` of every file of some length below ``path``."""
+    """``source_file``, ``file_uri`` and ``modified`` of every file of some length below ``path``."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True).load(path)
     )
-    return files.select(plain_path().alias(FILE_COLUMN), F.col("modificationTime").alias("modified"))
+    return files.select(
+        plain_path().alias(FILE_COLUMN), file_uri().alias("file_uri"), F.col("modificationTime").alias("modified"))
 
 
 def spread(rows: DataFrame) -> DataFrame:
@@ -43,6 +72,12 @@ def spread(rows: DataFrame) -> DataFrame:
     return rows.repartition(partitions)
 
 
+def arrow_knows(path: str) -> bool:
+    """Whether tasks can open files of that store themselves."""
+    scheme, colon, _ = path.partition(":")
+    return not colon or "/" in scheme or scheme in _ARROW_SCHEMES
+
+
 def locate(path: str):
     """Arrow's file system for ``path``, and the path within it."""
     from pyarrow import fs
@@ -60,13 +95,20 @@ def open_file(path: str, stream: bool = False):
 
 
 def first_lines(files: DataFrame) -> DataFrame:
-    """``source_file`` and its first line as ``header``; only the head of each file is read."""
+    """``source_file, file_uri`` and the first line as ``header``; only the head of each file is read."""
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            heads = [_first_line(path) for path in batch[FILE_COLUMN]]
-            yield pd.DataFrame({FILE_COLUMN: batch[FILE_COLUMN], "header": heads})
+            yield batch.assign(header=[_first_line(path) for path in batch[FILE_COLUMN]])
+
+    return files.select(FILE_COLUMN, "file_uri").mapInPandas(read, f"{FILE_COLUMN} string, file_uri string, header string")
+
 
-    return files.select(FILE_COLUMN).mapInPandas(read, f"{FILE_COLUMN} string, header string")
+def first_lines_below(spark: SparkSession, path: str) -> DataFrame:
+    """As :func:`first_lines` for a folder in a store that only Spark reads, by one scan of its lines."""
+    lines = spark.read.option("recursiveFileLookup", True).text(path).where("_metadata.file_block_start = 0").select(
+        plain_path().alias(FILE_COLUMN), file_uri().alias("file_uri"), "value", F.monotonically_increasing_id().alias("at"))
+    first = F.min_by("value", "at").alias("header")
+    return lines.groupBy(FILE_COLUMN, "file_uri").agg(first)
 
 
 def _first_line(path: str, step: int = 4096) -> str:

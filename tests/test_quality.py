@@ -4,7 +4,7 @@ import pytest
 
 from bikenet import schema as S
 from bikenet.operators import quality
-from helpers import CURRENT_ROW, LEGACY_ROW, csv_text, current, legacy
+from helpers import CURRENT_ROW, LEGACY_ROW, csv_text, current, legacy, plan_of
 
 
 def report(df) -> quality.ValidationReport:
@@ -17,7 +17,7 @@ def test_valid_current(spark):
     r = report(current(spark, *({} for _ in range(200))))
     assert r.is_valid and r.schema_version == "current" and r.row_count == 200
     assert r.missing_required_columns == []
-    assert r.warnings == ["Suspiciously low row count: 200"]
+    assert r.warnings == ["only 200 rows"]
     assert r.null_rate == {"start_lat": 0, "start_lng": 0, "end_lat": 0, "end_lng": 0}
 
 
@@ -32,12 +32,12 @@ def test_missing_column(spark):
     columns = [c for c in S.CURRENT_COLUMNS if c != "member_casual"]
     r = report(current(spark, *({} for _ in range(100)), columns=columns))
     assert not r.is_valid and r.missing_required_columns == ["member_casual"]
-    assert r.errors == ["Missing required columns: ['member_casual']"]
+    assert r.errors == ["columns not found: member_casual"]
 
 
 def test_empty(spark):
     r = report(current(spark))
-    assert not r.is_valid and r.errors == ["DataFrame is empty"]
+    assert not r.is_valid and r.errors == ["no rows, the file is empty"]
     assert r.warnings == []
     assert r.row_count == 0
 
@@ -49,7 +49,7 @@ def test_unknown_columns_stop_the_checks(spark):
 
 def test_null_rate_warning_uses_the_unrounded_rate(spark):
     r = report(current(spark, *({"start_lat": None} for _ in range(100))))
-    assert "Column 'start_lat' has 100.0% null values" in r.warnings
+    assert "start_lat is missing in 100.0 % of the rows" in r.warnings
     exactly = report(current(spark, *({"end_lat": None if i < 5 else "1"} for i in range(100))))
     assert exactly.null_rate["end_lat"] == 0.05
     assert not any("end_lat" in w for w in exactly.warnings)
@@ -62,9 +62,9 @@ def test_nan_counts_as_missing(spark):
 
 def test_duplicates(spark):
     r = report(current(spark, *({"ride_id": "DUPE"} for _ in range(100))))
-    assert "99 duplicate ride_id values detected" in r.warnings and r.is_valid
+    assert "99 rows repeat a ride_id (duplicates)" in r.warnings and r.is_valid
     with_null = report(current(spark, {"ride_id": None}, {"ride_id": None}, {"ride_id": "a"}))
-    assert "1 duplicate ride_id values detected" in with_null.warnings
+    assert "1 rows repeat a ride_id (duplicates)" in with_null.warnings
 
 
 def test_column_names_in_any_case(spark):
@@ -80,17 +80,22 @@ def test_one_report_per_csv_file(spark, tmp_path):
     (tmp_path / "legacy.csv").write_text(csv_text([LEGACY_ROW] * 2, list(LEGACY_ROW)))
     (tmp_path / "only_header.csv").write_text(csv_text([], S.CURRENT_COLUMNS))
     (tmp_path / "other.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "nothing.csv").write_text("")
+    (tmp_path / "_hidden.csv").write_text("")
     reports = {
         r["source_file"].rsplit("/", 1)[1]: r
         for r in quality.validate_csv(spark, str(tmp_path)).collect()
     }
-    assert len(reports) == 5
+    assert len(reports) == 6
+    assert reports["nothing.csv"]["errors"] == ["the file is empty, not even a header"]
+    assert reports["nothing.csv"]["row_count"] == 0 and not reports["nothing.csv"]["is_valid"]
+    assert reports["legacy.csv"]["duplicate_count"] == 0 and set(reports["legacy.csv"]["null_rate"]) == set(S.COORDINATE_COLUMNS["legacy"])
     assert reports["current.csv"]["row_count"] == 3
     assert reports["current.csv"]["null_rate"]["start_lat"] == 0.6667
     assert reports["same header +1.csv"]["row_count"] == 1
     assert reports["same header +1.csv"]["null_rate"]["start_lat"] == 0.0
     assert reports["legacy.csv"]["schema_version"] == "legacy"
-    assert reports["only_header.csv"]["errors"] == ["DataFrame is empty"]
+    assert reports["only_header.csv"]["errors"] == ["no rows, the file is empty"]
     assert reports["other.csv"]["schema_version"] == "unknown"
 
 
@@ -113,14 +118,14 @@ def test_duplicates_from_a_sketch(spark):
 
 
 def test_folder_with_one_header_is_read_as_a_whole(spark, tmp_path):
-    from bikenet.sources.trips import header_groups
+    from bikenet.sources.trips import header_catalogue, placed_rows
 
     for name, n in (("a.csv", 2), ("b c.csv", 1), ("sub/d.csv", 0)):
         path = tmp_path / name
         path.parent.mkdir(exist_ok=True)
         path.write_text(csv_text([CURRENT_ROW] * n, S.CURRENT_COLUMNS))
-    groups = header_groups(spark, str(tmp_path))
-    assert [g.paths for g in groups] == [[str(tmp_path)]]
+    plan = plan_of(placed_rows(spark, str(tmp_path), header_catalogue(spark, str(tmp_path))))
+    assert "Join" not in plan
     rows = quality.validate_csv(spark, str(tmp_path)).collect()
     counts = {r["source_file"].rsplit("/", 1)[1]: r["row_count"] for r in rows}
     assert counts == {"a.csv": 2, "b c.csv": 1, "d.csv": 0}

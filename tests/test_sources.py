@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from bikenet import schema as S
 from bikenet.functions import geometry as G
 from bikenet.sources import archives, feeds, geo, landing, layers
-from bikenet.sources.trips import header_groups, read_raw_trips, read_uniform_trips
-from helpers import CURRENT_ROW, LEGACY_ROW, csv_text
+from bikenet.sources import files as files_module
+from bikenet.sources.trips import header_catalogue, placed_rows, read_raw_trips, read_uniform_trips
+from helpers import CURRENT_ROW, LEGACY_ROW, csv_text, plan_of
 
 
 def test_files_with_different_headers_are_read_by_name(spark, tmp_path):
@@ -22,7 +23,10 @@ def test_files_with_different_headers_are_read_by_name(spark, tmp_path):
     (tmp_path / "b.csv").write_text(
         csv_text([{**row, "ride_id": "b"}], list(reversed(S.CURRENT_COLUMNS))))
     (tmp_path / "c.csv").write_text("﻿" + csv_text([LEGACY_ROW], list(LEGACY_ROW)))
-    assert len(header_groups(spark, str(tmp_path))) == 3
+    catalogue = header_catalogue(spark, str(tmp_path))
+    assert catalogue.select("positions").distinct().count() == 3
+    plan = plan_of(placed_rows(spark, str(tmp_path), catalogue))
+    assert plan.count("Scan csv") == 2 and "BroadcastHashJoin" in plan  # one scan, told in the tree and in the details
     rows = {r["start_station_name"] + r["rideable_type"] + str(r["ride_id"])[:1]: r
             for r in read_raw_trips(spark, str(tmp_path)).collect()}
     assert len(rows) == 3
@@ -341,6 +345,26 @@ def test_first_lines_read_only_the_head(spark, tmp_path):
                    "z.csv.gz": "ride_id,started_at"}
 
 
+def test_headers_of_a_store_that_only_spark_reads(spark, tmp_path):
+    """By a scan of the lines: the same heads as by opening each file."""
+    (tmp_path / "a.csv").write_text("\ufeffride_id,x\r\n1,2\n")
+    (tmp_path / "b c%.csv").write_text("tripduration,\"q,r\"\n" + "5,6\n" * 50)
+    opened = files_module.first_lines(files_module.list_files(spark, str(tmp_path)))
+    scanned = files_module.first_lines_below(spark, str(tmp_path))
+    assert sorted(map(tuple, opened.collect())) == sorted((r[0], r[1], r[2].removeprefix("\ufeff")) for r in scanned.collect())
+    assert files_module.arrow_knows("s3a://b/x") and files_module.arrow_knows("/a:b") and not files_module.arrow_knows("viewfs://c/x")
+
+
+def test_rows_longer_or_shorter_than_their_header(spark, tmp_path):
+    head, row = list(S.CURRENT_COLUMNS), [CURRENT_ROW[c] for c in S.CURRENT_COLUMNS]
+    (tmp_path / "a.csv").write_text("\n".join([",".join(head), ",".join(row), ",".join([*row, "extra"]), ",".join(row[:5])]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join([",".join(head[:8] + ["note"]), ",".join([*row[:8], "n"])]) + "\n")
+    (tmp_path / "empty.csv").write_text("")
+    rows = read_raw_trips(spark, str(tmp_path)).collect()
+    assert len(rows) == 4 and sum(r["member_casual"] == "member" for r in rows) == 2
+    assert sum(r["start_lat"] is None for r in rows) == 2 and all(r["start_station_name"] for r in rows)
+
+
 def test_directory_pattern(spark, tmp_path):
     df = spark.createDataFrame([(1, 1), (2, 1), (3, 2), (4, 12)], "v int, day int")
     df.write.partitionBy("day").parquet(str(tmp_path / "t"))
