@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from bikenet.sources.geo import geometry_json
 AREA_COLUMNS = ("neighborhood_id", "neighborhood_name", "borough")
 BROADCAST_LIMIT = 64 * 1024 * 1024
 ROWS_PER_WIDTH = 8
+#: Polygons whose sizes are within this factor share a level of cells.
+LEVEL_STEP = 8
 _BOX = ("min_x", "max_x", "min_y", "max_y")
 _EDGE_BYTES = 80  # seven 8-byte fields, null bits and the array slot
 _CELL_BYTES = 160  # cell, box, offsets and alignment; the area's texts come on top
@@ -40,42 +43,62 @@ def stations_to_points(stations: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Grid:
-    """Cell width and height for a polygon table, and a bound on the bytes of its cell table."""
+    """Cell width and height for a polygon table, and a bound on the bytes of its cell table.
+
+    Polygons of very unequal sizes have ``levels``: a grid for each power of :data:`LEVEL_STEP` in which
+    the size of some polygons lies. ``level`` tells which polygons a grid is for, all of them if ``None``.
+    """
 
     width: float
     height: float
     cell_table_bytes: float
+    level: int | None = None
+    levels: tuple[Grid, ...] = ()
+
+
+def _level() -> Column:
+    """The power of :data:`LEVEL_STEP` that a polygon's longer extent reaches; none for one without an inside."""
+    wide, high = F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y")
+    size = F.greatest(wide, high)
+    return F.when((wide > 0) & (high > 0), F.ceil(F.log(size) / F.log(F.lit(float(LEVEL_STEP))))).cast("int")
 
 
 def measure_grid(neighborhoods: DataFrame) -> Grid:
-    """Choose the cells by one aggregation over the polygons; one row reaches the driver.
+    """Choose the cells by one aggregation over the polygons; a row for each level reaches the driver.
 
-    The width W is the root mean square extent of the bounding boxes and the height H an eighth
+    Small and large polygons have cells of their own size, or the small ones would crowd the cells that suit a large one.
+    Within a level the width W is the root mean square extent of the bounding boxes and the height H an eighth
     of it, so that a cell keeps few of its polygon's edges. A polygon of width w and height h lies
     in at most (w/W + 2)(h/H + 2) cells, and an edge that rises by dy is kept in at most dy/H + 2
     rows of at most w/W + 2 columns. Summed up, this bounds the cell table by a multiple of the
     polygon table, however the polygons vary in size.
     """
-    measured = _with_box(_with_edges(neighborhoods)).select(
+    boxed = _with_box(_with_edges(neighborhoods))
+    measured = boxed.select(
+        _level().alias("level"),
         (F.col("max_x") - F.col("min_x")).alias("w"),
         (F.col("max_y") - F.col("min_y")).alias("h"),
         F.aggregate("_edges", F.lit(0.0), lambda acc, e: acc + e["dy"]).alias("rise"),
         F.size("_edges").alias("n"),
         F.octet_length(F.concat_ws("", *AREA_COLUMNS)).alias("text"),
-    )
+    ).where("level IS NOT NULL")
     sums = ("w * h", "w", "h", "w * rise", "w * n", "rise", "n")
-    row = measured.agg(
+    rows = measured.groupBy("level").agg(
         F.sqrt(F.avg(F.expr("w * w + h * h"))), F.count("*"), F.max("text"),
         *(F.sum(F.expr(x)) for x in sums),
-    ).first()
-    width, polygons, text, *totals = row
-    if not width:
-        return Grid(1.0, 1.0, 0.0)
+    ).orderBy("level").collect()
+    grids = tuple(_grid_of(*row) for row in rows)
+    if len(grids) < 2:
+        return replace(grids[0], level=None) if grids else Grid(1.0, 1.0, 0.0)
+    return Grid(grids[-1].width, grids[-1].height, sum(g.cell_table_bytes for g in grids), levels=grids)
+
+
+def _grid_of(level: int, width: float, polygons: int, text: int, *totals: float) -> Grid:
     wh, w, h, w_rise, w_n, rise, n = totals
     height = width / ROWS_PER_WIDTH
     cells = wh / (width * height) + 2 * (w / width + h / height) + 4 * polygons
     copies = w_rise / (width * height) + 2 * (w_n / width + rise / height) + 4 * n
-    return Grid(width, height, cells * (_CELL_BYTES + text) + copies * _EDGE_BYTES)
+    return Grid(width, height, cells * (_CELL_BYTES + text) + copies * _EDGE_BYTES, level)
 
 
 def polygon_cells(neighborhoods: DataFrame, grid: Grid) -> DataFrame:
@@ -84,6 +107,9 @@ def polygon_cells(neighborhoods: DataFrame, grid: Grid) -> DataFrame:
     For a point in the cell, a ray to the right meets only edges that reach the cell's row and
     do not end left of its column; all others are left out of the row. No shuffle is involved.
     """
+    if grid.levels:
+        return reduce(DataFrame.unionByName, (polygon_cells(neighborhoods, level) for level in grid.levels))
+
     def column_of(x: Column) -> Column:
         return F.floor(x / grid.width).cast("long")
 
@@ -94,6 +120,8 @@ def polygon_cells(neighborhoods: DataFrame, grid: Grid) -> DataFrame:
         return F.explode(F.sequence(cell(F.col(low)), cell(F.col(high))))
 
     boxed = _with_box(_with_edges(neighborhoods))
+    if grid.level is not None:
+        boxed = boxed.where(_level() == grid.level)
     rows = boxed.withColumn("cell_y", cover(row_of, "min_y", "max_y")).withColumn(
         "_edges", F.filter("_edges", lambda e: F.col("cell_y").between(
             row_of(e["y_lo"]), row_of(e["y_hi"]),
@@ -103,7 +131,7 @@ def polygon_cells(neighborhoods: DataFrame, grid: Grid) -> DataFrame:
         "_edges", F.filter("_edges", lambda e: column_of(e["x_max"]) >= F.col("cell_x")),
     )
     return cells.where(F.size("_edges") > 0).select(
-        *AREA_COLUMNS, "cell_x", "cell_y", *_BOX, "_edges",
+        *AREA_COLUMNS, F.lit(grid.level or 0).alias("cell_level"), "cell_x", "cell_y", *_BOX, "_edges",
     )
 
 
@@ -116,31 +144,44 @@ def join_stations_to_neighborhoods(
     A point on a boundary or outside gets NULLs, a point in several polygons several rows. The
     join is an equi-join on grid cells; the bounding box and then the inside test are extra
     conditions. The cells are broadcast when their measured bound keeps below ``broadcast_limit``
-    bytes; larger ones are shuffled by cell, where adaptive execution splits a crowded cell. A
-    point is in exactly one cell and is never copied. Pass a ``grid`` to reuse a measurement.
+    bytes; larger ones are shuffled by cell, where adaptive execution splits a crowded cell. Where
+    polygons are of one level, a point is in exactly one cell and is never copied; else it is looked up once on
+    each level, and those found on none follow from anti-joins. Pass a ``grid`` to reuse a measurement.
     """
     lat, lng = find_lat_lng(stations.columns)
     px, py = _number(lng), _number(lat)
     grid = grid or measure_grid(neighborhoods)
-    located = stations.withColumns({
-        "_x": px, "_y": py,
-        "_cell_x": F.floor(px / grid.width).cast("long"),
-        "_cell_y": F.floor(py / grid.height).cast("long"),
-    })
-    cells = polygon_cells(neighborhoods, grid)
+    levels = grid.levels or (grid,)
+    spots = F.array(*(F.struct(
+        F.lit(g.level or 0).alias("level"), F.floor(px / g.width).cast("long").alias("x"),
+        F.floor(py / g.height).cast("long").alias("y")) for g in levels))
+    located = stations.withColumns({"_x": px, "_y": py, "_spots": spots})
     # the planner's own estimate does not see the edges multiply over the cells, so both sides are told
     small = grid.cell_table_bytes <= broadcast_limit
-    cells = F.broadcast(cells) if small else cells.hint("merge")
+    columns = [F.col(f"`{c}`") for c in stations.columns]
+
+    def told(cells: DataFrame) -> DataFrame:
+        return F.broadcast(cells) if small else cells.hint("merge")
+
     inside = (
-        (F.col("_cell_x") == F.col("cell_x"))
-        & (F.col("_cell_y") == F.col("cell_y"))
+        (F.col("_spot.level") == F.col("cell_level"))
+        & (F.col("_spot.x") == F.col("cell_x"))
+        & (F.col("_spot.y") == F.col("cell_y"))
         & (F.col("_x") > F.col("min_x")) & (F.col("_x") < F.col("max_x"))
         & (F.col("_y") > F.col("min_y")) & (F.col("_y") < F.col("max_y"))
         & G.within(F.col("_x"), F.col("_y"), F.col("_edges"))
     )
-    return located.join(cells, inside, "left").select(
-        *(F.col(f"`{c}`") for c in stations.columns), *AREA_COLUMNS,
-    )
+    if len(levels) == 1:
+        spotted = located.withColumn("_spot", F.col("_spots")[0])
+        return spotted.join(told(polygon_cells(neighborhoods, levels[0])), inside, "left").select(*columns, *AREA_COLUMNS)
+    spotted = located.withColumn("_spot", F.explode("_spots"))
+    met = spotted.join(told(polygon_cells(neighborhoods, grid)), inside).select(*columns, *AREA_COLUMNS)
+    rest = located
+    for place, level in enumerate(levels):
+        rest = rest.withColumn("_spot", F.col("_spots")[place]).join(
+            told(polygon_cells(neighborhoods, level)), inside, "left_anti")
+    nowhere = (F.lit(None).cast(met.schema[c].dataType).alias(c) for c in AREA_COLUMNS)
+    return met.union(rest.select(*columns, *nowhere))
 
 
 def unmatched_count(placed: DataFrame) -> DataFrame:

@@ -41,11 +41,25 @@ SELECT s.station_id, n.neighborhood_id, n.borough
 FROM stations s LEFT JOIN catchments n ON {inside('s.lon', 's.lat')}
 """))
 def place_in_catchments(t: DriverTables) -> DataFrame:
-    """Stations in many overlapping polygons, a row for each."""
+    """Stations in some dozens of overlapping polygons, a row for each."""
     placed = spatial.join_stations_to_neighborhoods(t.stations(), t.catchments())
     return placed.select("station_id", "neighborhood_id", "borough")
 
 
+@query(using(f"""
+SELECT h.station_id, f.neighborhood_id FROM (SELECT c_custkey AS station_id FROM customer) h LEFT JOIN (
+  SELECT p.station_id, n.neighborhood_id FROM (
+    SELECT c_custkey AS station_id, -74.0::DOUBLE + (c_custkey % 4096) / 1024.0::DOUBLE AS lon,
+      40.0::DOUBLE + (c_custkey // 4096) / 1024.0::DOUBLE AS lat FROM customer) p
+  JOIN areas n ON {inside('p.lon', 'p.lat')}
+  UNION ALL SELECT c_custkey, 'k' || c_custkey FROM customer WHERE c_custkey % 10 = 0) f USING (station_id)
+"""))
+def place_in_levels(t: DriverTables) -> DataFrame:
+    """Points in areas and in kiosks of a thousandth of their size, on a level of cells each."""
+    areas = t.neighborhoods().unionByName(t.kiosks())
+    return spatial.join_stations_to_neighborhoods(t.homes(), areas).select("station_id", "neighborhood_id")
+
+
 @query(using(f"""
 SELECT n.neighborhood_id, n.borough, CAST(count(*) AS BIGINT) AS trips
 FROM trips t LEFT JOIN areas n ON {inside('t.start_lng', 't.start_lat')}

@@ -185,8 +185,8 @@ _CTES = {
   FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "catchments": f"""
   SELECT CAST(c_custkey AS VARCHAR) AS neighborhood_id, c_name AS neighborhood_name,
-    c_mktsegment AS borough, -74.0::DOUBLE + (c_custkey * 13 % 331) / 256.0::DOUBLE AS x0,
-    40.0::DOUBLE + (c_custkey * 29 % 337) / 256.0::DOUBLE AS y0, c_custkey % 4 AS shape
+    c_mktsegment AS borough, -74.0::DOUBLE + (c_custkey % 331) / 256.0::DOUBLE AS x0,
+    40.0::DOUBLE + (c_custkey // 331) * {SIDE} AS y0, c_custkey % 4 AS shape
   FROM customer""",
     "placed": f"""
   SELECT s.*, n.neighborhood_id, n.neighborhood_name, n.borough

@@ -27,6 +27,8 @@ SHAPES = {0: [[_CORNER]], 1: [[_SQUARE]], 2: [[_SQUARE, _HOLE]], 3: [[_WEST_STRI
 SIDE = 0.25
 WEST, SOUTH = -74.0, 40.0
 
+KIOSK = SIDE / 1024
+
 
 def once(build: Callable) -> Callable:
     """Build each (lazy) DataFrame once per query, so that a schema is not inferred again."""
@@ -209,9 +211,9 @@ class DriverTables:
 
     @once
     def catchments(self) -> DataFrame:
-        """One area per customer, many of them overlapping; their number grows with the data."""
+        """One area per customer, some dozens of them overlapping; the land that they cover grows with the data."""
         key = F.col("c_custkey")
-        geometry = _outline(key, WEST + (key * 13 % 331) / 256, SOUTH + (key * 29 % 337) / 256)
+        geometry = _outline(key, WEST + (key % 331) / 256, SOUTH + F.floor(key / 331) * SIDE)
         return self.table("customer").select(
             key.cast("string").alias("neighborhood_id"),
             F.col("c_name").alias("neighborhood_name"),
@@ -219,6 +221,22 @@ class DriverTables:
             geometry.alias("geometry"),
         )
 
+    @once
+    def kiosks(self) -> DataFrame:
+        """Squares of a thousandth of an area's side, one about every tenth point of :meth:`homes`."""
+        key, half = F.col("c_custkey"), KIOSK / 2
+        x, y = WEST + key % 4096 / 1024, SOUTH + F.floor(key / 4096) / 1024
+        ring = F.array(*(F.array(x + dx * half, y + dy * half) for dx, dy in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))))
+        return self.table("customer").where(key % 10 == 0).select(
+            F.concat(F.lit("k"), key.cast("string")).alias("neighborhood_id"), F.col("c_name").alias("neighborhood_name"),
+            F.col("c_mktsegment").alias("borough"), F.array(F.array(ring)).alias("geometry"))
+
+    def homes(self) -> DataFrame:
+        """One point per customer, no two the same."""
+        key = F.col("c_custkey")
+        return self.table("customer").select(
+            key.alias("station_id"), (SOUTH + F.floor(key / 4096) / 1024).alias("lat"), (WEST + key % 4096 / 1024).alias("lon"))
+
     @cached_property
     def grid(self) -> spatial.Grid:
         """Measured once for all joins of a query."""

@@ -5,6 +5,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bikenet import schema as S
 from bikenet.functions import geometry as G
@@ -232,3 +233,24 @@ def test_score_table_round_trip(spark, network, tmp_path):
     assert rows["Q"]["accessibility_score"] is None and rows["Q"]["neighborhood_name"] == "name Q"
     assert rows["L"]["accessibility_score"] is not None
     assert spatial.map_scores(areas, scores).where("station_count is null").count() == 1
+
+
+def test_polygons_of_very_unequal_sizes(spark):
+    """Sizes of 1 to 10 000 in one place: small polygons don't crowd the cells of a large one."""
+    squares = [("large", 0.0, 0.0, 10.0)] + [(f"s{i}", 1 + (i % 30) * 0.002, 1 + (i // 30) * 0.002, 0.001) for i in range(900)]
+    rows = [(n, n, "b", [[[[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]]]) for n, x, y, s in squares]
+    areas = spark.createDataFrame(rows, S._struct(
+        neighborhood_id=T.StringType(), neighborhood_name=T.StringType(), borough=T.StringType(), geometry=S.GEOMETRY))
+    grid = spatial.measure_grid(areas)
+    assert len(grid.levels) == 2
+    cells = spatial.polygon_cells(areas, grid)
+    assert cells.groupBy("cell_level", "cell_x", "cell_y").count().agg(F.max("count")).first()[0] <= 6
+    assert cells.count() <= 40 * len(rows)
+    points = [(i, 1 + (i % 30) * 0.002 + 0.0005, 1 + (i // 30) * 0.002 + 0.0005) for i in range(900)]
+    points += [(1000, 9.5, 9.5), (1001, 11.0, 1.0), (1002, None, 1.0), (1003, 1.0, 1.0)]
+    stations = spark.createDataFrame([(str(i), y, x) for i, x, y in points], "station_id string, lat double, lon double")
+    want = sorted([(str(i), "large") for i in range(900)] + [(str(i), f"s{i}") for i in range(900)]
+                  + [("1000", "large"), ("1001", ""), ("1002", ""), ("1003", "large")])
+    for limit in (spatial.BROADCAST_LIMIT, -1):
+        placed = spatial.join_stations_to_neighborhoods(stations, areas, broadcast_limit=limit)
+        assert sorted((r["station_id"], r["neighborhood_id"] or "") for r in placed.collect()) == want
