@@ -23,8 +23,21 @@ from bikenet.session import ship_package
 TOKENIZER = "byte_bpe_50k.json"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows that Spark hands to a Python worker at once. Its default of 10 000 makes batches of tens of megabytes of
+#: texts and as many again of what is worked out from them; a session that sets its own number keeps it.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def _ready(spark: SparkSession) -> None:
+    """The package on the executors, and batches that suit whole texts."""
     ship_package(spark)
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _ready(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -40,7 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows without an id are kept: nothing says which of their group they would stand for. Rows that
     repeat an id are kept or dropped together.
     """
-    ship_package(spark)
+    _ready(spark)
     groups = jaccard_join.similar_texts(docs)
     dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
@@ -53,7 +66,7 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts; ``n_chars`` follows."""
-    ship_package(spark)
+    _ready(spark)
     clean = secrets.without_secrets(docs)
     if "n_chars" not in docs.columns:
         return clean
@@ -63,7 +76,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, tokens)`` of every document."""
-    ship_package(spark)
+    _ready(spark)
     tokens = bpe.encode(docs.select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
     return tokens.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), "tokens")
 
