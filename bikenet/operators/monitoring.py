@@ -46,9 +46,43 @@ def file_freshness(
     spark: SparkSession, path: str, threshold: int = S.STALENESS_MINUTES,
     as_of: Column | dt.datetime | None = None,
 ) -> DataFrame:
-    """As :func:`freshness_minutes`, from the modification times of all data files at ``path``."""
-    files = list_files(spark, path, "*.parquet")
-    return freshness_minutes(files, as_of, threshold, "modified")
+    """As :func:`freshness_minutes`, from the modification times of the data files at ``path``.
+
+    Of a layer that a stream writes the sink's log tells them, and only files that it has committed count. The newest
+    batch of the log is read, however many files there are; earlier ones (back to the last compacted one, which has
+    all) only if it added none. Other folders are listed.
+    """
+    batches = _sink_batches(spark, path)
+    if not batches:
+        return freshness_minutes(list_files(spark, path, "*.parquet"), as_of, threshold, "modified")
+    added = committed_files(spark, batches[:1])
+    if len(batches) > 1 and added.isEmpty():
+        added = committed_files(spark, batches)
+    return freshness_minutes(added, as_of, threshold, "modified")
+
+
+def committed_files(spark: SparkSession, batches: list[str]) -> DataFrame:
+    """``path, modified`` of the files that these batches of a sink's log have added."""
+    # Spark's file sources leave the log's folder out, as they do all hidden ones
+    lines = spark.sparkContext.textFile(",".join(batches)).filter(lambda line: line.startswith("{"))
+    entries = spark.read.schema("path string, modificationTime bigint, action string").json(lines)
+    return entries.where("action = 'add'").select("path", F.timestamp_millis("modificationTime").alias("modified"))
+
+
+def _sink_batches(spark: SparkSession, path: str) -> list[str]:
+    """The files of the sink's log from the newest back to the last compacted one; Spark keeps few of them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    store = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not store.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in store.listStatus(folder)]
+    numbered = sorted(((int(n.split(".")[0]), n) for n in names if n.split(".")[0].isdigit()), reverse=True)
+    kept = []
+    for _, name in numbered:
+        kept.append(f"{path.rstrip('/')}/_spark_metadata/{name}")
+        if name.endswith(".compact"):
+            break
+    return kept
 
 
 def require_fresh(freshness: DataFrame) -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 
 from bikenet import schema as S
 from bikenet.functions import geometry as G
-from bikenet.operators import quality, serving, spatial
+from bikenet.operators import gold, quality, serving, spatial
 from bikenet.operators.cleaning import conform
 from bikenet.plans import monthly
+from bikenet.plans.analytics import Tables, run_analytics
 from bikenet.plans.layers import LayerPaths, read_gold, run_batch
 from bikenet.registry.cleaning_queries import text_times
 from bikenet.registry.core import query
@@ -27,7 +28,7 @@ from bikenet.registry.serving_queries import rounded
 from bikenet.registry.sql import COMPLETE, SECONDS, area, using
 from bikenet.registry.tables import DriverTables
 from bikenet.session import shared_folder
-from bikenet.sinks import write_bronze, write_gold, write_result_csv, write_silver
+from bikenet.sinks import write_bronze, write_gold, write_result_csv, write_silver, write_status_messages
 from bikenet.sources import archives, feeds, landing
 from bikenet.sources.files import locate
 from bikenet.sources.geo import read_neighborhoods
@@ -331,6 +332,53 @@ def status_feed(t: DriverTables) -> DataFrame:
     return build_messages(feeds.read_status_snapshots(t.spark, root, multi_line=False))
 
 
+@query(using("""
+SELECT station_id, num_bikes_available, num_docks_available, num_ebikes_available, 0 AS is_installed,
+  is_renting, last_reported, ingested_at FROM status
+"""))
+def batch_messages(t: DriverTables) -> DataFrame:
+    """Readings as messages, appended as text lines by one batch."""
+    root = shared_folder(t.spark, "messages")
+    rows = t.status().withColumn("last_updated", F.col("ingested_at")).drop("is_installed")
+    write_status_messages(build_messages(rows), root)
+    return t.spark.read.text(root).select(F.from_json("value", S.STATUS_SCHEMA).alias("m")).select("m.*")
+
+
+@query(using("""
+SELECT 'hourly_totals' AS query, hour_of_day || '/' || day_of_week AS key, total_trips FROM hourly
+UNION ALL SELECT 'rideable_split', rideable_type, total_trips FROM shares
+"""))
+def analytics_files(t: DriverTables) -> DataFrame:
+    """Serving queries written as CSV in one run; one of them lacks its table and does not stop the others."""
+    tables = Tables(
+        hourly_pattern=gold.hourly_pattern(t.event_silver()), rideable_split=gold.rideable_split(t.silver()))
+    written = run_analytics(tables, shared_folder(t.spark, "analytics"), ("realtime", "hourly_totals", "rideable_split"))
+    keys = {"hourly_totals": F.concat_ws("/", "hour_of_day", "day_of_week"), "rideable_split": F.col("rideable_type")}
+    parts = [
+        t.spark.read.option("header", True).csv(path).select(
+            F.lit(name).alias("query"), keys[name].alias("key"), F.col("total_trips").cast("bigint").alias("total_trips"))
+        for name, path in written.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(using("""
+SELECT 'trips' AS batch, CAST(count(*) AS BIGINT) AS row_count, true AS passed FROM trips
+UNION ALL SELECT 'event_trips', CAST(count(*) AS BIGINT), false FROM event_trips
+"""))
+def gated_batches(t: DriverTables) -> DataFrame:
+    """Batches that the validation lets through, and one that it stops for want of columns."""
+    outcomes = []
+    for name, rows in (("trips", t.trips()), ("event_trips", t.event_trips())):
+        reports, passed = quality.validate_dataframe(rows), True
+        try:
+            quality.require_valid(reports)
+        except quality.InvalidTripData:
+            passed = False
+        outcomes.append(reports.select(F.lit(name).alias("batch"), "row_count", F.lit(passed).alias("passed")))
+    return reduce(DataFrame.unionByName, outcomes)
+
+
 def write_archives(t: DriverTables, root: str) -> None:
     """Event trips as CSV in zip archives, one archive with one member per task."""
     trips = text_times(t.event_trips(), "started_at", "ended_at")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import os
 import shutil
 
 import pytest
@@ -180,6 +181,28 @@ def test_reports_of_a_failed_query_are_filed(spark, tmp_path):
         lag.follow(query, str(tmp_path / "log"), seconds=1)
 
 
+def test_freshness_from_the_log_of_the_sink(spark, tmp_path, monkeypatch):
+    """Committed files only, by the newest batch of the log, also when that added none."""
+    for k in range(3):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        _put(spark, tmp_path, [GOOD])
+        _run(spark, tmp_path)
+    layer = str(tmp_path / "layer")
+    newest = max(p.stat().st_mtime for p in (tmp_path / "layer").glob("processing_date=*/*.parquet"))
+    part = next((tmp_path / "layer").glob("processing_date=*/*.parquet"))
+    stray = part.with_name("part-stray.snappy.parquet")
+    shutil.copy(part, stray)
+    os.utime(stray, (newest + 500, newest + 500))
+    read = []
+    plain = monitoring.committed_files
+    monkeypatch.setattr(monitoring, "committed_files", lambda s, names: read.append(len(names)) or plain(s, names))
+    row = monitoring.file_freshness(spark, layer).first()
+    assert abs(row["latest"].timestamp() - newest) < 1.5 and read == [1]
+    log = sorted((tmp_path / "layer" / "_spark_metadata").glob("[0-9]*"), key=lambda p: int(p.name.split(".")[0]))
+    (log[-1].parent / str(int(log[-1].name.split(".")[0]) + 1)).write_text("v1")  # a batch without files
+    assert monitoring.file_freshness(spark, layer).first()["latest"] == row["latest"] and read[1:] == [1, len(log) + 1]
+
+
 def test_file_freshness_and_health(spark, tmp_path):
     _put(spark, tmp_path, [GOOD])
     _, layer = _run(spark, tmp_path)
