@@ -10,6 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from bikenet.functions.conic import CONICS, Conic
+
 EARTH_RADIUS_M = 6378137.0
 
 
@@ -44,8 +46,18 @@ def map_vertices(geometry: Column, x: Callable, y: Callable) -> Column:
     )
 
 
-def to_wgs84(geometry: Column, epsg: int) -> Column:
-    """Geometry in longitude/latitude; Web Mercator is the only projected input known."""
+def map_points(geometry: Column, move: Callable) -> Column:
+    """Apply ``move`` to every vertex as a whole."""
+    return F.transform(geometry, lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, move)))
+
+
+def to_wgs84(geometry: Column, epsg: int | Conic) -> Column:
+    """Geometry in longitude/latitude, from Web Mercator or a conic by its code or definition.
+
+    NAD83 is taken as WGS 84, which differs by a metre or two.
+    """
+    if isinstance(epsg, Conic) or epsg in CONICS:
+        return map_points(geometry, (CONICS[epsg] if isinstance(epsg, int) else epsg).inverse)
     if epsg == 4326:
         return geometry
     if epsg == 3857:

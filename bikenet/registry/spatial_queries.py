@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bikenet.functions import geometry as G
+from bikenet.functions.conic import CONICS
 from bikenet.operators import spatial
 from bikenet.registry.core import query
 from bikenet.registry.serving_queries import as_double, rounded
@@ -173,3 +174,14 @@ def reprojected_area(t: DriverTables) -> DataFrame:
     return t.catchments().select(
         "neighborhood_id", F.round(G.area_km2(restored), 5).alias("area_km2"),
     )
+
+
+@query(using(f"""
+SELECT neighborhood_id, round({area()}, 5) AS area_km2 FROM catchments
+"""))
+def conic_area(t: DriverTables) -> DataFrame:
+    """Polygons taken to New York's state plane in US feet and back before their area is measured."""
+    projected = G.map_points(F.col("geometry"), CONICS[2263].forward)
+    return t.catchments().select(
+        "neighborhood_id", F.round(G.area_km2(G.to_wgs84(projected, 2263)), 5).alias("area_km2"),
+    )

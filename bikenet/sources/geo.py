@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bikenet import schema as S
+from bikenet.functions.conic import Conic
 from bikenet.functions.geometry import to_wgs84
 
 
-def read_neighborhoods(spark: SparkSession, path: str, epsg: int = 4326) -> DataFrame:
+def read_neighborhoods(spark: SparkSession, path: str, epsg: int | Conic = 4326) -> DataFrame:
     """Features of a GeoJSON collection as id, name, borough and polygons in longitude/latitude.
 
     Property names vary between publications; the first alias present in a feature is taken.

@@ -312,7 +312,7 @@ def test_geojson_aliases_types_and_crs(spark, tmp_path):
     x, y = mercator.select(G.to_wgs84(F.col("geometry"), 3857)).first()[0][0][0][0]
     assert abs(x - 1) < 1e-9 and abs(y - 1) < 1e-9
     with pytest.raises(ValueError, match="coordinate system"):
-        geo.read_neighborhoods(spark, str(path), epsg=2263)
+        geo.read_neighborhoods(spark, str(path), epsg=27700)
 
 
 def test_alias_columns(spark):

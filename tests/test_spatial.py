@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from bikenet import schema as S
 from bikenet.functions import geometry as G
+from bikenet.functions.conic import CONICS, US_FOOT, Conic
 from bikenet.operators import spatial
 from bikenet.sinks import write_geo_scores
 from bikenet.sources.layers import read_scores
@@ -254,3 +255,20 @@ def test_polygons_of_very_unequal_sizes(spark):
     for limit in (spatial.BROADCAST_LIMIT, -1):
         placed = spatial.join_stations_to_neighborhoods(stations, areas, broadcast_limit=limit)
         assert sorted((r["station_id"], r["neighborhood_id"] or "") for r in placed.collect()) == want
+
+
+def test_conic_of_the_published_example(spark):
+    """The worked example that the registry of coordinate systems publishes for this projection, and round trips."""
+    texas = Conic(6378206.4, 294.978698214, 27 + 50 / 60, -99.0, (28 + 23 / 60, 30 + 17 / 60), 2_000_000.0, 0.0, US_FOOT)
+    one = spark.range(1).select(
+        texas.inverse(F.array(F.lit(2963503.91), F.lit(254759.80))).alias("back"),
+        texas.forward(F.array(F.lit(-96.0), F.lit(28.5))).alias("there")).first()
+    assert abs(one["back"][0] + 96) < 1e-7 and abs(one["back"][1] - 28.5) < 1e-7
+    assert abs(one["there"][0] - 2963503.91) < 0.006 and abs(one["there"][1] - 254759.80) < 0.006
+    south = Conic(6378160.0, 298.25, -37.0, 145.0, (-36.0, -38.0), 2_500_000.0, 4_500_000.0)
+    for conic, lng, lat in ((CONICS[2263], -74.0, 40.0), (CONICS[32118], -74.0, 40.0), (south, 144.0, -38.0)):
+        points = spark.range(400).select(F.array(lng + F.col("id") % 20 * 0.1, lat + F.floor(F.col("id") / 20) * 0.1).alias("p"))
+        off = points.select(F.zip_with("p", conic.inverse(conic.forward(F.col("p"))), lambda a, b: F.abs(a - b)).alias("d"))
+        assert off.agg(F.max(F.array_max("d"))).first()[0] < 1e-10
+    origin = spark.range(1).select(CONICS[2263].forward(F.array(F.lit(-74.0), F.lit(40 + 10 / 60))).alias("o")).first()["o"]
+    assert abs(origin[0] - 984250) < 0.01 and abs(origin[1]) < 1e-6
