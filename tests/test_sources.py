@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import json
 import zipfile
 import zlib
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from bikenet import schema as S
 from bikenet.functions import geometry as G
-from bikenet.sources import archives, feeds, geo, landing, layers
+from bikenet.sources import archives, feeds, geo, landing, layers, ranges
 from bikenet.sources import files as files_module
 from bikenet.sources.trips import header_catalogue, placed_rows, read_raw_trips, read_uniform_trips
 from helpers import CURRENT_ROW, LEGACY_ROW, csv_text, plan_of
@@ -315,6 +316,59 @@ def test_geojson_aliases_types_and_crs(spark, tmp_path):
         geo.read_neighborhoods(spark, str(path), epsg=27700)
 
 
+def _collection(count: int) -> dict:
+    """Features whose texts hold brackets, quotes, backslashes and letters of several bytes."""
+    odd = ['plain', '{"', '\\', '\\"}', ']]}', 'é{', 'end \\\\', '"type": "Feature"']
+    return {
+        "type": "FeatureCollection",
+        "crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:OGC:1.3:CRS84"}},
+        "features": [
+            {"type": "Feature", "properties": {"nta_code": str(i), "nta_name": odd[i % len(odd)] * (i % 5), "boro_name": "X"},
+             "geometry": {"type": "Polygon", "coordinates": [[[i, 0], [i + 1, 0], [i + 1, 1], [i, 1], [i, 0]]]}}
+            for i in range(count)],
+        "bbox": [0, 0, 1, 1],
+    }
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 1000])
+def test_ranges_of_any_size_cut_the_same_objects(spark, tmp_path, block):
+    wanted = _collection(30 if block > 1 else 3)
+    (tmp_path / "n.geojson").write_text(json.dumps(wanted, ensure_ascii=False, indent=1 if block == 64 else None))
+    (tmp_path / "none.geojson").write_text("")
+    found = ranges.nested_objects(spark, str(tmp_path), 2, block).collect()
+    features = [json.loads(r["value"]) for r in found]
+    assert features.pop(features.index(wanted["crs"]["properties"])) and len(features) == len(wanted["features"])
+    assert sorted(features, key=json.dumps) == sorted(wanted["features"], key=json.dumps)
+
+
+def test_one_collection_is_read_by_many_tasks(spark, tmp_path):
+    wanted = _collection(10_000)
+    whole = tmp_path / "n.geojson"
+    whole.write_text(json.dumps(wanted))
+    (tmp_path / "packed").mkdir()
+    (tmp_path / "packed" / "n.geojson.gz").write_bytes(gzip.compress(whole.read_bytes()))
+    one = geo._whole_features(spark, str(whole))
+    many = geo._split_features(spark, str(whole), 100_000)
+    counts = [r["n"] for r in many.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(counts) == 10_000 and len(counts) > 1 and max(counts) < 8000
+    areas = geo.read_neighborhoods(spark, str(whole), block_bytes=100_000)
+    packed = geo.read_neighborhoods(spark, str(tmp_path / "packed"), block_bytes=100_000)
+    named = one.select(F.col("f.properties")["nta_code"].alias("id"), F.col("f.properties")["nta_name"].alias("name"),
+                       geo.parse_geometry(F.col("f.geometry")).alias("g"))
+    expected = sorted(map(str, named.collect()))
+    for found in (areas, packed):
+        got = found.select(F.col("neighborhood_id").alias("id"), F.col("neighborhood_name").alias("name"), F.col("geometry").alias("g"))
+        assert sorted(map(str, got.collect())) == expected
+    with pytest.raises(ValueError, match="one byte"):
+        ranges.nested_objects(spark, str(whole), 2, 0)
+
+
+def test_a_cut_off_document_loses_the_last_object_only(spark, tmp_path):
+    text = json.dumps(_collection(3))
+    (tmp_path / "n.geojson").write_text(text[: text.index('"nta_code": "2"') + 20])
+    assert sorted(r["neighborhood_id"] for r in geo.read_neighborhoods(spark, str(tmp_path), block_bytes=50).collect()) == ["0", "1"]
+
+
 def test_alias_columns(spark):
     df = spark.createDataFrame([(1, "n", "b", None)], "NTACode int, NTAName string, boroname string, geometry string")
     assert geo.canonical_neighborhoods(df).columns == [
