@@ -12,6 +12,9 @@ from bikenet.registry.core import query
 from bikenet.registry.serving_queries import as_double, rounded
 from bikenet.registry.sql import area, inside, using
 from bikenet.registry.tables import DriverTables
+from bikenet.session import shared_folder
+from bikenet.sinks import write_geo_scores
+from bikenet.sources.layers import read_geo_scores, read_scores
 
 
 @query(using("SELECT * FROM placed"))
@@ -152,6 +155,22 @@ def geo_scores(t: DriverTables) -> DataFrame:
     )
 
 
+@query(using(f"""
+SELECT a.neighborhood_id, a.neighborhood_name, s.accessibility_score, round({area()}, 6) AS area_km2,
+  a.shape = 3 AS two_parts
+FROM areas a LEFT JOIN scores s USING (neighborhood_id)
+"""))
+def stored_scores(t: DriverTables) -> DataFrame:
+    """The score table written with binary polygons and read back, attributes and polygons apart."""
+    path = f"{shared_folder(t.spark, 'scores')}/table"
+    write_geo_scores(spatial.geo_scores(t.neighborhoods(), t.scores()), path)
+    shapes = read_geo_scores(t.spark, path).select(
+        "neighborhood_id", F.round(G.area_km2(F.col("geometry")), 6).alias("area_km2"),
+        (F.size("geometry") == 2).alias("two_parts"))
+    attributes = read_scores(t.spark, path).select("neighborhood_id", "neighborhood_name", "accessibility_score")
+    return attributes.join(shapes, "neighborhood_id")
+
+
 @query(using("""
 SELECT a.neighborhood_id, a.neighborhood_name, a.borough,
   CAST(s.total_capacity AS DOUBLE) AS total_capacity, s.accessibility_score

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bikenet.functions.wkb import COLUMN_METADATA, to_wkb
+
 
 def _write(df: DataFrame, path: str, partition: str | None) -> None:
     writer = df.write.mode("overwrite")
@@ -65,7 +67,14 @@ def write_result_csv(df: DataFrame, path: str) -> str:
 
 
 def write_geo_scores(geo: DataFrame, path: str) -> None:
-    geo.write.mode("overwrite").parquet(path)
+    """The score table with its polygons in well-known binary, which geometry tools read.
+
+    What GeoParquet tells of the column in the file's footer is in the column's metadata, since
+    Spark's writer takes no keys of others.
+    """
+    binary = to_wkb(F.col("geometry")).alias("geometry", metadata=COLUMN_METADATA)
+    geo.select(*(binary if c == "geometry" else F.col(f"`{c}`") for c in geo.columns)).write.mode(
+        "overwrite").parquet(path)
 
 
 def message_values(messages: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bikenet import schema as S
+from bikenet.functions.wkb import from_wkb
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -51,5 +53,12 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_geo_scores(spark: SparkSession, path: str) -> DataFrame:
+    """The score table with its polygons as nested arrays; other columns alone cost no decoding."""
+    table = spark.read.parquet(path)
+    return table.select(*(
+        from_wkb(F.col("geometry")).alias("geometry") if c == "geometry" else F.col(f"`{c}`") for c in table.columns))
+
+
 def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)

@@ -2,17 +2,20 @@ from __future__ import annotations
 
 import math
 import random
+import struct
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bikenet import schema as S
 from bikenet.functions import geometry as G
+from bikenet.functions import wkb
 from bikenet.functions.conic import CONICS, US_FOOT, Conic
 from bikenet.operators import spatial
 from bikenet.sinks import write_geo_scores
-from bikenet.sources.layers import read_scores
+from bikenet.sources.layers import read_geo_scores, read_scores
 from helpers import plan_of
 
 L_SHAPE = [(0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4)]
@@ -234,6 +237,58 @@ def test_score_table_round_trip(spark, network, tmp_path):
     assert rows["Q"]["accessibility_score"] is None and rows["Q"]["neighborhood_name"] == "name Q"
     assert rows["L"]["accessibility_score"] is not None
     assert spatial.map_scores(areas, scores).where("station_count is null").count() == 1
+    back = read_geo_scores(spark, str(tmp_path / "scores"))
+    assert sorted(back.collect()) == sorted(geo.collect())
+    stored = spark.read.parquet(str(tmp_path / "scores"))
+    assert stored.schema["geometry"].dataType == T.BinaryType()
+    assert stored.schema["geometry"].metadata == wkb.COLUMN_METADATA
+    assert plan_of(read_scores(spark, str(tmp_path / "scores"))).count("ArrowEvalPython") == 0
+
+
+def _plain_wkb(polygons, order="<"):
+    """The standard's words, one number after the other."""
+    flag = bytes([order == "<"])
+
+    def polygon(rings):
+        out = flag + struct.pack(order + "II", 3, len(rings))
+        for ring in rings:
+            out += struct.pack(order + "I", len(ring)) + b"".join(struct.pack(order + "dd", *v[:2]) for v in ring)
+        return out
+
+    if len(polygons) == 1:
+        return polygon(polygons[0])
+    return flag + struct.pack(order + "II", 6, len(polygons)) + b"".join(map(polygon, polygons))
+
+
+def test_binary_geometry_against_the_standard():
+    draw = random.Random(4)
+    ring = lambda: [[draw.uniform(-180, 180), draw.uniform(-90, 90)] for _ in range(draw.randrange(6))]
+    shapes = [[[ring() for _ in range(draw.randrange(4))] for _ in range(draw.randrange(4))] for _ in range(200)]
+    shapes += [[], [[]], [[[]]], [[], []]]
+    kind = pa.list_(pa.list_(pa.list_(pa.list_(pa.float64()))))
+    column = pa.array([None, *shapes, None], kind)
+    assert wkb.encoded(column).to_pylist() == [None, *map(_plain_wkb, shapes), None]
+    assert wkb.encoded(column.slice(3, 50)).to_pylist() == list(map(_plain_wkb, shapes[2:52]))
+    assert wkb.encoded(column.slice(0, 0)).to_pylist() == [] and wkb.encoded(column.slice(0, 1)).to_pylist() == [None]
+    assert wkb.decoded(wkb.encoded(column)).to_pylist() == column.to_pylist()
+    big = pa.array([_plain_wkb(s, ">") for s in shapes], pa.binary())
+    assert wkb.decoded(big).to_pylist() == shapes
+    high = [[[[1.0, 2.0, 9.0]]]]
+    assert wkb.decoded(wkb.encoded(pa.array([high], kind))).to_pylist() == [[[[[1.0, 2.0]]]]]
+    with pytest.raises(ValueError, match="two ordinates"):
+        wkb.encoded(pa.array([[[[[1.0]]]]], kind))
+
+
+def test_binary_geometry_of_others(spark):
+    point = struct.pack("<BIdd", 1, 1, 1.0, 2.0)
+    with_height = struct.pack("<BIIIddd", 1, 1003, 1, 1, 1.0, 2.0, 3.0)
+    extended = struct.pack("<BIIIIdddd", 1, 3 | 0x80000000 | 0x40000000 | 0x20000000, 4326, 1, 1, 1.0, 2.0, 3.0, 4.0)
+    whole = _plain_wkb([[[[1.0, 2.0], [3.0, 4.0]]]])
+    rows = [(i, v) for i, v in enumerate([point, with_height, extended, whole, whole[:-1], b"", b"\x01", None])]
+    read = spark.createDataFrame(rows, "i int, b binary").select("i", wkb.from_wkb(F.col("b")).alias("g"))
+    one = [[[[1.0, 2.0]]]]
+    assert [r["g"] for r in sorted(read.collect())] == [
+        None, one, one, [[[[1.0, 2.0], [3.0, 4.0]]]], None, None, None, None]
 
 
 def test_polygons_of_very_unequal_sizes(spark):
