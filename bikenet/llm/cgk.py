@@ -14,21 +14,26 @@ import numpy as np
 from bikenet.llm.text_arrays import mix
 
 REPETITIONS = 32
-SAMPLED = 3
+#: Steps that a key samples: (longest sequence, steps). The more edits a sequence may have, the less
+#: often two walks agree at a step, so fewer steps keep the chance of an equal key up.
+SAMPLED = ((60, 3), (250, 2), (None, 1))
+_MOST = max(steps for _, steps in SAMPLED)
 
 _RANDOM = mix(np.arange(1, 1 + 3 * REPETITIONS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-_PLACE = _RANDOM[:SAMPLED] | np.uint64(1)
+_PLACE = _RANDOM[:_MOST] | np.uint64(1)
 _OWN = _RANDOM[REPETITIONS : 2 * REPETITIONS]
 
 
 def sampled_steps(size: int) -> np.ndarray:
-    """For each repetition the steps of its key, (REPETITIONS, SAMPLED).
+    """For each repetition the steps of its key, (REPETITIONS, steps sampled at that size).
 
     Half the steps move on, so a walk of n symbols is over after 2n steps or so. Keys sample the
     first 1.6n of the 3n steps; later ones are padding in most walks and would tell nothing.
     """
-    draw = mix(np.arange(REPETITIONS * SAMPLED, dtype=np.uint64) + np.uint64(0xA5A5)) >> np.uint64(11)
-    return (draw.astype(np.float64) / 2.0**53 * 1.6 * size).astype(np.int64).reshape(REPETITIONS, SAMPLED)
+    sampled = next(steps for longest, steps in SAMPLED if longest is None or size <= longest)
+    draw = mix(np.arange(REPETITIONS * _MOST, dtype=np.uint64) + np.uint64(0xA5A5)) >> np.uint64(11)
+    places = (draw.astype(np.float64) / 2.0**53 * 1.6 * size).astype(np.int64)
+    return places.reshape(REPETITIONS, _MOST)[:, :sampled]
 
 
 def keys(windows: np.ndarray, size: int) -> np.ndarray:

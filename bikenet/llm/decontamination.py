@@ -5,13 +5,17 @@ item's words. Texts are lowered; words are runs of letters and digits.
 
 1. Windows of an item's size start at every word. Those that by the q-gram lemma cannot hold a hit
    are passed over: k edits leave at least n - 1 - 2k of an item's n - 1 word pairs. This loses
-   nothing, as pairs of all items of that size count.
-2. Up to ``KEYED_WORDS`` words the other windows get their CGK embedding (:mod:`cgk`); a window
-   whose key in any of the repetitions equals that of an item is a candidate. ``tests/llm`` measures
-   the recall at the full distance.
-3. Walks drift apart as edits add up, so for longer items the q-gram lemma is applied to each item
-   by itself: a window that holds enough of one item's word pairs is a candidate. This loses nothing.
-4. The exact edit distance of each candidate decides.
+   nothing, as pairs of all items of that size count. The others are gathered in runs of neighbours.
+2. Windows get their CGK embedding (:mod:`cgk`); one whose key in any of the repetitions equals that
+   of an item makes its run a candidate for that item. The longer an item, the fewer steps a key
+   samples; ``tests/llm`` measures the recall of keys at the full distance by size.
+3. What keys miss is found by a second pass, which loses nothing: a run that holds enough of one
+   item's word pairs is a candidate for it too.
+4. The exact edit distance of each candidate decides. ``by_keys`` tells which hits the keys found.
+
+Items of fewer than five words are phrases that turn up anywhere; such an item is found in a text
+that consists of its words alone. Scripts written without blanks (Han, kana, Thai, Lao, Khmer,
+Myanmar) count each letter as a word, in items and texts alike.
 
 Items are read in blocks of bounded size, each sent to all tasks; texts never move.
 """
@@ -20,10 +24,11 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bikenet.llm import cgk
@@ -31,15 +36,15 @@ from bikenet.llm.text_arrays import PUNCTUATION, column_words, mix
 
 #: Share of an item's words that may be edited: similarity 0.8.
 ALLOWED = 0.2
-#: Items of fewer words take no part; so short a phrase is no evidence of a leak.
+#: Items of fewer words are found only as whole texts; within a text so short a phrase is no evidence of a leak.
 LEAST_WORDS = 5
-#: Longer items are found by their own word pairs instead of keys, whose recall falls with length.
-KEYED_WORDS = 30
 #: UTF-8 bytes of items that are sent to the tasks at a time.
 BLOCK_BYTES = 4 << 20
-#: Windows of one size that are embedded together, or looked up by their pairs.
+#: Windows of one size that are embedded together, and the most of a run.
 WINDOWS = 2048
 
+#: Letters of scripts without blanks between words.
+_UNSEGMENTED = r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
 _SLOTS = 1 << 20
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
@@ -52,21 +57,6 @@ def _pairs(words: np.ndarray) -> np.ndarray:
     return mix(words[:-1] * _PAIR + words[1:]) & np.uint64(_SLOTS - 1)
 
 
-def passage_distances(items: np.ndarray, texts: np.ndarray) -> np.ndarray:
-    """For each row the least edit distance between the item and any beginning of the text."""
-    rows, size = items.shape
-    place = np.arange(size + 1, dtype=np.int32)
-    before = np.broadcast_to(place, (rows, size + 1)).copy()
-    best = before[:, -1].copy()
-    for t in range(texts.shape[1]):
-        now = np.empty_like(before)
-        now[:, 0] = t + 1
-        now[:, 1:] = np.minimum(before[:, :-1] + (items != texts[:, t : t + 1]), before[:, 1:] + 1)
-        before = np.minimum.accumulate(now - place, axis=1) + place  # words of the item left out
-        np.minimum(best, before[:, -1], out=best)
-    return best
-
-
 def distances_from(item: list[int], text: list[int]) -> list[int]:
     """For each place of the text the least edit distance between the item and a passage that starts there.
 
@@ -90,8 +80,39 @@ def distances_from(item: list[int], text: list[int]) -> list[int]:
     return out[::-1]
 
 
+class Run(NamedTuple):
+    """Neighbouring windows of one text that may hold a hit, with the words from the first to behind the last."""
+
+    row: int
+    first: int
+    words: np.ndarray
+    offsets: np.ndarray
+
+
+def _whole(own: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each place on."""
+    out = np.full(len(first), np.uint64(size))
+    for k in range(size):
+        out = mix(out * _PAIR + own[first + k])
+    return out
+
+
+def _sorted(keys: np.ndarray, items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    return keys[order], items[order]
+
+
+def _looked_up(table: tuple[np.ndarray, np.ndarray], asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``asked`` that a table knows, and the items there; a place for each of its items."""
+    keys, items = table
+    left, right = np.searchsorted(keys, asked), np.searchsorted(keys, asked, side="right")
+    lengths = right - left
+    place = np.repeat(left - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+    return np.repeat(np.arange(len(asked)), lengths), items[place]
+
+
 class ItemIndex:
-    """Word hashes, pair table and keys of a block of items."""
+    """Word hashes, keys and word pairs of a block of items."""
 
     def __init__(self, texts: list[str | None]):
         self.words: list[np.ndarray] = []
@@ -100,59 +121,66 @@ class ItemIndex:
             self.words += [own[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
         by_size = defaultdict(list)
         for i, own in enumerate(self.words):
-            if len(own) >= LEAST_WORDS:
-                by_size[len(own)].append(i)
-        self.sizes = sorted(by_size)
+            by_size[len(own)].append(i)
+        self.sizes = sorted(size for size in by_size if size >= LEAST_WORDS)
         self.slots = np.zeros(_SLOTS, dtype=np.uint64)  # a bit for each size that has the pair
-        #: by size the keys, or of longer items the pairs, in order, and the item of each
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        #: tables by size, in the order of their first column: (key, item), (pair, item), (hash of the whole, item)
+        self.keys: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.pairs: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for size in set(by_size) - {0} - set(self.sizes):
+            stacked = np.stack([self.words[i] for i in by_size[size]])
+            whole = _whole(stacked.ravel(), np.arange(len(stacked)) * size, size)
+            self.short[size] = _sorted(whole, np.array(by_size[size]))
         for k, size in enumerate(self.sizes):
             stacked = np.stack([self.words[i] for i in by_size[size]])
-            for own in stacked:
-                self.slots[_pairs(own)] |= np.uint64(1 << (k % 64))
-            if size > KEYED_WORDS:
-                pairs = [np.unique(_pairs(own)) for own in stacked]
-                found = np.concatenate(pairs)
-                order = np.argsort(found, kind="stable")
-                self.tables[size] = found[order], np.repeat(by_size[size], [len(p) for p in pairs])[order]
-                continue
-            found = cgk.keys(stacked, size).ravel()
-            order = np.argsort(found, kind="stable")
-            self.tables[size] = found[order], np.repeat(by_size[size], cgk.REPETITIONS)[order]
+            pairs = [np.unique(_pairs(own)) for own in stacked]
+            for own in pairs:
+                self.slots[own] |= np.uint64(1 << (k % 64))
+            self.pairs[size] = _sorted(np.concatenate(pairs), np.repeat(by_size[size], [len(p) for p in pairs]))
+            self.keys[size] = _sorted(cgk.keys(stacked, size).ravel(), np.repeat(by_size[size], cgk.REPETITIONS))
+
+    def match(self, column: pa.Array, keyed: set[tuple[int, int]] | None = None) -> dict[tuple[int, int], tuple[int, int]]:
+        """For (row, item) of all hits the least (distance, first word).
 
-    def match(self, column: pa.Array) -> dict[tuple[int, int], tuple[int, int]]:
-        """For (row, item) of all hits the least (distance, first word)."""
+        Those that keys alone would find are added to ``keyed``.
+        """
         hits: dict[tuple[int, int], tuple[int, int]] = {}
-        waiting: dict[int, list] = defaultdict(list)
+        keyed = set() if keyed is None else keyed
+        waiting: dict[int, list[Run]] = defaultdict(list)
         count = defaultdict(int)
         for low, _, words in column_words(column, PUNCTUATION):
-            for size, rows, starts, windows in self._windows(words, low, hits):
-                waiting[size].append((rows + low, starts, windows))
-                count[size] += len(rows)
+            own = words.hashes()
+            self._match_whole(own, words.first, low, hits)
+            for size, run in self._runs(own, words.first, low):
+                waiting[size].append(run)
+                count[size] += len(run.offsets)
                 if count[size] >= WINDOWS:
-                    self._judge(size, waiting.pop(size), hits)
+                    self._judge(size, waiting.pop(size), hits, keyed)
                     count[size] = 0
-        for size, parts in waiting.items():
-            self._judge(size, parts, hits)
+        for size, runs in waiting.items():
+            self._judge(size, runs, hits, keyed)
         return hits
 
-    def _windows(self, words, low: int, hits: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Windows that may hold a hit: size, row, first word in the row, words and some behind.
+    def _match_whole(self, own: np.ndarray, first: np.ndarray, low: int, hits: dict) -> None:
+        """Texts that are a short item, word by word."""
+        for size, table in self.short.items():
+            rows = np.flatnonzero(np.diff(first) == size)
+            for at, item in zip(*_looked_up(table, _whole(own, first[rows], size))):
+                hits[low + int(rows[at]), int(item)] = 0, 0
 
-        Those of longer items are judged at once.
-        """
-        own = words.hashes()
+    def _runs(self, own: np.ndarray, first: np.ndarray, low: int) -> Iterator[tuple[int, Run]]:
+        """Runs of windows that may hold a hit, each with its size."""
         if len(own) < 2 or not self.sizes:
             return
-        pairs = _pairs(own)
-        seen = self.slots[pairs]
-        last = words.first[1:] - 1
-        last = last[(words.first[1:] > words.first[:-1]) & (last < len(seen))]
+        seen = self.slots[_pairs(own)]
+        last = first[1:] - 1
+        last = last[(first[1:] > first[:-1]) & (last < len(seen))]
         seen[last] = 0  # no pair reaches into the next text
         sums = np.zeros(len(own) + 1, dtype=np.int32)
         np.cumsum(seen != 0, out=sums[1 : len(own)])
         sums[len(own) :] = sums[len(own) - 1]
-        row_of = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+        row_of = np.repeat(np.arange(len(first) - 1), np.diff(first))
         for g in range(0, len(self.sizes), 8):
             group = self.sizes[g : g + 8]
             need = min(size - 1 - 2 * edits_allowed(size) for size in group)
@@ -171,75 +199,79 @@ class ItemIndex:
                 if not len(starts):
                     continue
                 rows = row_of[starts]
-                if size > KEYED_WORDS:
-                    self._judge_by_pairs(size, own, pairs, words.first, rows, starts, low, hits)
-                    continue
-                at = starts[:, None] + np.arange(size + allowed)
-                inside = at < words.first[rows + 1][:, None]
-                windows = np.where(inside, own[np.minimum(at, len(own) - 1)], np.uint64(0))
-                yield size, rows, starts - words.first[rows], windows
-
-    def _judge_by_pairs(
-        self, size: int, own: np.ndarray, pairs: np.ndarray, first: np.ndarray, rows: np.ndarray,
-        starts: np.ndarray, low: int, hits: dict[tuple[int, int], tuple[int, int]],
+                # windows that overlap or nearly do belong together
+                new = (starts[1:] - starts[:-1] > size) | (rows[1:] != rows[:-1]) | (np.arange(1, len(starts)) % WINDOWS == 0)
+                at = np.concatenate(([0], np.flatnonzero(new) + 1, [len(starts)]))
+                for a, b in zip(at[:-1], at[1:]):
+                    row, begin = int(rows[a]), int(starts[a])
+                    words = own[begin : min(int(starts[b - 1]) + size + allowed, int(first[row + 1]))]
+                    yield size, Run(row + low, begin - int(first[row]), words.copy(), starts[a:b] - begin)
+
+    def _judge(
+        self, size: int, runs: list[Run], hits: dict[tuple[int, int], tuple[int, int]], keyed: set[tuple[int, int]],
     ) -> None:
-        """Distances of the windows at ``starts`` to the items that share enough pairs with them."""
-        keys, items = self.tables[size]
+        """Distances of runs to the items that keys name, then to those that share enough pairs besides."""
         allowed = edits_allowed(size)
-        need = size - 1 - 2 * allowed
-        new = (starts[1:] - starts[:-1] > size) | (rows[1:] != rows[:-1]) | (np.arange(1, len(starts)) % WINDOWS == 0)
-        at = np.concatenate(([0], np.flatnonzero(new) + 1, [len(starts)]))
-        for a, b in zip(at[:-1], at[1:]):  # windows that overlap or nearly do are looked up together
-            row, begin, last = int(rows[a]), int(starts[a]), int(starts[b - 1])
-            edge = int(first[row + 1])
-            asked = pairs[begin : min(last + size - 1, edge - 1)]
-            left, right = np.searchsorted(keys, asked), np.searchsorted(keys, asked, side="right")
-            lengths = right - left
-            place = np.repeat(left - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            item, place = items[place], np.repeat(np.arange(len(asked)), lengths) + begin
-            order = np.argsort(item, kind="stable")
-            item, place = item[order], place[order]
-            ahead, behind = place[: 1 - need], place[need - 1 :]
-            enough = np.flatnonzero((item[: 1 - need] == item[need - 1 :]) & (behind - ahead <= size - 2))
-            for one in np.unique(item[enough]):
-                mine = enough[item[enough] == one]
-                start = max(begin, int(behind[mine[0]]) - size + 2)
-                stop = min(last, int(ahead[mine[-1]]))
-                text = own[start : min(stop + size + allowed, edge)].tolist()
-                found = distances_from(self.words[one].tolist(), text)[: stop - start + 1]
+        for run, named in zip(runs, self._named_by_keys(size, runs)):
+            text = run.words.tolist()
+            last = int(run.offsets[-1])
+
+            def judge(item: int, low: int, high: int, run=run, text=text) -> list[int]:
+                found = distances_from(self.words[item].tolist(), text[low : high + size + allowed])[: high - low + 1]
                 nearest = min(found, default=size)
                 if nearest <= allowed:
-                    key = low + row, int(one)
-                    value = nearest, start - int(first[row]) + found.index(nearest)
-                    if key not in hits or value < hits[key]:
-                        hits[key] = value
-
-    def _judge(self, size: int, parts: list, hits: dict[tuple[int, int], tuple[int, int]]) -> None:
-        rows, starts, windows = (np.concatenate(p) for p in zip(*parts))
-        keys, items = self.tables[size]
-        for low in range(0, len(rows), WINDOWS):
-            block = windows[low : low + WINDOWS]
-            asked = cgk.keys(block, size).ravel()
-            first, behind = np.searchsorted(keys, asked), np.searchsorted(keys, asked, side="right")
-            some = np.flatnonzero(behind > first)
-            if not len(some):
-                continue
-            lengths = (behind - first)[some]
-            place = np.repeat(first[some] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
-            found = np.unique(np.stack([np.repeat(some // cgk.REPETITIONS, lengths), items[place]]), axis=1)
-            for a in range(0, found.shape[1], 4 * WINDOWS):
-                window, item = found[:, a : a + 4 * WINDOWS]
-                distance = passage_distances(np.stack([self.words[i] for i in item]), block[window])
-                for k in np.flatnonzero(distance <= edits_allowed(size)):
-                    key = int(rows[low + window[k]]), int(item[k])
-                    value = int(distance[k]), int(starts[low + window[k]])
+                    key, value = (run.row, item), (nearest, run.first + low + found.index(nearest))
                     if key not in hits or value < hits[key]:
                         hits[key] = value
+                return found
+
+            for item, offsets in named.items():
+                found = judge(item, 0, last)
+                if any(found[at] <= allowed for at in offsets if at < len(found)):
+                    keyed.add((run.row, item))
+            for item, low, high in self._named_by_pairs(size, run):
+                if item not in named:
+                    judge(item, low, high)
+
+    def _named_by_keys(self, size: int, runs: list[Run]) -> list[dict[int, list[int]]]:
+        """For each run the items of which a window has a key, with the windows' places."""
+        behind = np.zeros(size, dtype=np.uint64)
+        flat = np.concatenate([part for run in runs for part in (run.words, behind)])
+        base = np.cumsum([0, *(len(run.words) + size for run in runs)])
+        of = np.repeat(np.arange(len(runs)), [len(run.offsets) for run in runs])
+        offsets = np.concatenate([run.offsets for run in runs])
+        named: list[dict[int, list[int]]] = [{} for _ in runs]
+        for low in range(0, len(of), WINDOWS):
+            at = base[of[low : low + WINDOWS]] + offsets[low : low + WINDOWS]
+            asked = cgk.keys(flat[at[:, None] + np.arange(size)], size).ravel()
+            window, item = _looked_up(self.keys[size], asked)
+            for w, i in np.unique(np.stack([window // cgk.REPETITIONS + low, item]), axis=1).T.tolist():
+                named[of[w]].setdefault(i, []).append(int(offsets[w]))
+        return named
+
+    def _named_by_pairs(self, size: int, run: Run) -> Iterator[tuple[int, int, int]]:
+        """Items of whose pairs enough lie close together, and the first and last place to start from."""
+        need = size - 1 - 2 * edits_allowed(size)
+        last = int(run.offsets[-1])
+        place, item = _looked_up(self.pairs[size], _pairs(run.words)[: last + size - 1])
+        order = np.argsort(item, kind="stable")
+        item, place = item[order], place[order]
+        ahead, behind = place[: 1 - need], place[need - 1 :]
+        enough = np.flatnonzero((item[: 1 - need] == item[need - 1 :]) & (behind - ahead <= size - 2))
+        for one in np.unique(item[enough]):
+            mine = enough[item[enough] == one]
+            yield int(one), max(0, int(behind[mine[0]]) - size + 2), min(last, int(ahead[mine[-1]]))
+
+
+def _spaced(text: str) -> Column:
+    """A text lowered, with blanks around the letters of scripts that have none between words."""
+    low = F.lower(F.col(text))
+    return F.when(F.octet_length(low) == F.char_length(low), low).otherwise(F.regexp_replace(low, _UNSEGMENTED, " $1 "))
 
 
 def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[tuple[pa.Array, ItemIndex]]:
     """Blocks of items, each of about ``BLOCK_BYTES`` at most."""
-    own = items.select(F.col(item_id).alias("item_id"), F.lower(F.col(text)).alias("text"))
+    own = items.select(F.col(item_id).alias("item_id"), _spaced(text).alias("text"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = -(-int(total) // BLOCK_BYTES)
     for block in range(blocks):
@@ -251,27 +283,29 @@ def find_leaks(
     docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """``(id, item_id, distance, item_words, first_word)``: every item found in every row of ``docs``.
+    """``(id, item_id, distance, item_words, first_word, by_keys)``: every item found in every row of ``docs``.
 
     ``first_word`` counts the words of the text from 0; of several passages the nearest, then the
-    first is told. Null and empty texts and items, and items of fewer than five words, match
-    nothing. Equal rows give equal hits; equal items are told each. Ids are only carried along.
+    first is told. ``by_keys`` is false where only the second pass found the item. Null and empty
+    texts and items match nothing, items of fewer than five words only a text of the same words. Equal rows give equal hits; equal items are told each. Ids are only carried along.
     """
-    rows = docs.select(F.col(id_column).alias("id"), F.lower(F.col(text)).alias("text"))
+    rows = docs.select(F.col(id_column).alias("id"), _spaced(text).alias("text"))
     kinds = rows.schema["id"].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
-    schema = f"id {kinds[0]}, item_id {kinds[1]}, distance int, item_words int, first_word bigint"
+    schema = f"id {kinds[0]}, item_id {kinds[1]}, distance int, item_words int, first_word bigint, by_keys boolean"
     found = docs.sparkSession.createDataFrame([], schema)
     for names, index in _blocks(items, item_id, item_text):
         def run(batches: Iterator[pa.RecordBatch], names=names, index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                hits = sorted(index.match(batch.column(1)).items())
+                keyed: set[tuple[int, int]] = set()
+                hits = sorted(index.match(batch.column(1), keyed).items())
                 row, item = (pa.array([h[0][k] for h in hits], pa.int64()) for k in (0, 1))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(row), names.take(item),
                      pa.array([h[1][0] for h in hits], pa.int32()),
                      pa.array([len(index.words[h[0][1]]) for h in hits], pa.int32()),
-                     pa.array([h[1][1] for h in hits], pa.int64())],
-                    ["id", "item_id", "distance", "item_words", "first_word"],
+                     pa.array([h[1][1] for h in hits], pa.int64()),
+                     pa.array([h[0] in keyed for h in hits], pa.bool_())],
+                    ["id", "item_id", "distance", "item_words", "first_word", "by_keys"],
                 )
 
         found = found.union(rows.mapInArrow(run, schema))
@@ -290,6 +324,6 @@ def without_leaks(
                 clean[[row for row, _ in index.match(batch.column(batch.num_columns - 1))]] = False
                 yield batch.filter(pa.array(clean)).select(range(batch.num_columns - 1))
 
-        lowered = kept.select(*kept.columns, F.lower(F.col(text)).alias("lowered text"))
+        lowered = kept.select(*kept.columns, _spaced(text).alias("lowered text"))
         kept = lowered.mapInArrow(run, docs.schema)
     return kept

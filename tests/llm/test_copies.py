@@ -12,7 +12,7 @@ import pytest
 
 from bikenet.llm import cgk, components, jaccard_join, licenses
 from bikenet.llm.decontamination import (
-    KEYED_WORDS, ItemIndex, edits_allowed, find_leaks, passage_distances, without_leaks,
+    ItemIndex, distances_from, edits_allowed, find_leaks, without_leaks,
 )
 from bikenet.llm.rtree import CountTree
 
@@ -184,13 +184,14 @@ def test_recall_by_size_at_the_full_distance(size):
     texts = [
         " ".join([*draw.choices(voc, k=30), *_edited(item, edits_allowed(size), voc, draw), *draw.choices(voc, k=30)])
         for item in items]
-    hits = index.match(pa.array(texts))
-    found = sum((i, i) in hits for i in range(len(items)))
-    assert found == len(items) if size > KEYED_WORDS else found >= 0.97 * len(items)
+    keyed = set()
+    hits = index.match(pa.array(texts), keyed)
+    assert all((i, i) in hits for i in range(len(items)))  # keys and pairs together lose nothing
+    assert keyed <= set(hits) and len(keyed) >= 0.9 * len(items)
     assert all(row == item and d <= edits_allowed(size) for (row, item), (d, _) in hits.items())
 
 
-def test_long_items_equal_brute_force(monkeypatch):
+def test_items_equal_brute_force():
     draw = random.Random(2)
     voc = [f"w{i}" for i in range(40)]
     items = [draw.choices(voc, k=n) for n in (5, 9, 9, 16)]
@@ -199,7 +200,6 @@ def test_long_items_equal_brute_force(monkeypatch):
         item = draw.choice(items)
         words = [*draw.choices(voc, k=draw.randrange(9)), *_edited(item, draw.randrange(5), voc, draw), *draw.choices(voc, k=9)]
         texts.append(words + words[:7] * draw.randrange(2))
-    monkeypatch.setattr("bikenet.llm.decontamination.KEYED_WORDS", 0)
     hits = ItemIndex([" ".join(i) for i in items]).match(pa.array([" ".join(t) for t in texts]))
     expected = {}
     for r, text in enumerate(texts):
@@ -224,8 +224,8 @@ def test_distance_is_that_of_the_best_beginning():
     draw = np.random.default_rng(6)
     for _ in range(200):
         item, text = draw.integers(1, 4, 6), draw.integers(1, 4, 9)
-        got = passage_distances(item[None].astype(np.uint64), text[None].astype(np.uint64))[0]
-        assert got == _best_beginning(item.tolist(), text.tolist())
+        got = distances_from(item.tolist(), text.tolist())
+        assert got == [_best_beginning(item.tolist(), text[k:].tolist()) for k in range(len(text))]
 
 
 def test_keys_of_equal_windows_are_equal():
@@ -258,6 +258,19 @@ def test_edges_of_leaks(spark, docs, edge_rows):
     assert find_leaks(docs(*edge_rows), items.limit(0)).count() == find_leaks(docs(), items).count() == 0
 
 
+def test_short_items_and_scripts_without_blanks(spark, docs):
+    thai, han = "ภาษาไทยไม่เว้นวรรค", "春眠不觉晓处处闻啼鸟夜来风雨声"
+    items = spark.createDataFrame(
+        [(1, "Yes."), (2, "no, thanks"), (3, han), (4, thai), (5, "one two three four"), (6, "?!")], "item_id bigint, text string")
+    changed = han.replace("啼", "黄")
+    rows = docs((1, "yes!"), (2, "yes and no thanks"), (3, "NO thanks"), (4, f"前言{changed}，后记"), (5, f"a {thai} b"),
+                (6, "One, two; three (four)"), (7, "four three two one"), (8, "无关的文字在这里没有别的"), (9, "?!"), (10, None))
+    found = {(r["doc_id"], r["item_id"]): (r["distance"], r["first_word"]) for r in find_leaks(rows, items).collect()}
+    assert found == {(1, 1): (0, 0), (3, 2): (0, 0), (4, 3): (1, 2), (5, 4): (0, 1), (6, 5): (0, 0)}
+    kept = without_leaks(rows, items).collect()
+    assert sorted(r["doc_id"] for r in kept) == [2, 7, 8, 9, 10] and {r["text"] for r in kept} >= {"无关的文字在这里没有别的", None}
+
+
 def test_items_in_several_blocks(small, monkeypatch):
     whole = {tuple(r) for r in find_leaks(small("documents"), small("benchmark")).collect()}
     monkeypatch.setattr("bikenet.llm.decontamination.BLOCK_BYTES", 2000)
