@@ -26,6 +26,8 @@ of p-values, a few hundred rows a band.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +64,32 @@ BANDS = (20, 24, 32, 48, 64, 128)
 STEPS, LAST_BIN = 20, 400
 
 
+def _bound(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made(value)`` with the value worked out once, however often it is used."""
+    return F.transform(F.array(value), made)[0]
+
+
+def _chunks(array: Column) -> Column:
+    """An array cut into about as many arrays as each of them has elements; at least one, maybe empty.
+
+    What has to look at all elements, or to copy what it has so far, does so for each chunk alone.
+    So n matches of a text take some n times the root of n steps instead of n times n.
+    """
+    def cut(a: Column) -> Column:
+        return _bound(F.greatest(F.ceil(F.sqrt(F.size(a))), F.lit(1)).cast("int"), lambda k: F.transform(
+            F.sequence(F.lit(0), F.greatest(F.size(a) - 1, F.lit(0)), k), lambda at: F.slice(a, at + 1, k)))
+
+    return _bound(array, cut)
+
+
+def _before(values: Column, first: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """For each value of a short array what ``add`` makes of all that stand before it."""
+    return F.aggregate(
+        values, F.struct(first.alias("at"), F.expr("cast(array() as array<int>)").alias("out")),
+        lambda s, v: F.struct(add(s["at"], v).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
+        lambda s: s["out"])
+
+
 def _found(text: Column, pattern: str, group: int, least: int) -> Column:
     """array<struct<start, end, value>> of the matches, in code points.
 
@@ -77,16 +105,25 @@ def _found(text: Column, pattern: str, group: int, least: int) -> Column:
         lambda m, c: F.struct(m["value"].alias("value"), m["before"].alias("before"), F.length(c).alias("counted")),
     )
     nothing = F.expr("cast(array() as array<struct<start:int,end:int,value:string,counted:int>>)")
-    summed = F.aggregate(
-        placed, F.struct(F.lit(0).alias("at"), nothing.alias("out")),
-        lambda s, m: F.struct(
-            (s["at"] + m["before"] + F.length(m["value"])).alias("at"),
-            F.concat(s["out"], F.array(F.struct(
-                (s["at"] + m["before"]).alias("start"),
-                (s["at"] + m["before"] + F.length(m["value"])).alias("end"),
-                m["value"].alias("value"), m["counted"].alias("counted")))).alias("out")),
-        lambda s: s["out"],
-    )
+
+    def length(m: Column) -> Column:
+        return m["before"] + F.length(m["value"])
+
+    def summed_from(chunk: Column, at: Column) -> Column:
+        return F.aggregate(
+            chunk, F.struct(at.alias("at"), nothing.alias("out")),
+            lambda s, m: F.struct(
+                (s["at"] + length(m)).alias("at"),
+                F.concat(s["out"], F.array(F.struct(
+                    (s["at"] + m["before"]).alias("start"), (s["at"] + length(m)).alias("end"),
+                    m["value"].alias("value"), m["counted"].alias("counted")))).alias("out")),
+            lambda s: s["out"])
+
+    def summed_up(chunks: Column) -> Column:
+        lengths = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, m: n + length(m)))
+        return F.flatten(F.zip_with(chunks, _before(lengths, F.lit(0), lambda n, m: n + m), summed_from))
+
+    summed = _bound(_chunks(placed), summed_up)
     kept = F.filter(summed, lambda m: m["counted"] >= least)
     return F.when(text.rlike(pattern), F.transform(kept, lambda m: m.dropFields("counted"))).otherwise(
         F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)"))
@@ -193,11 +230,15 @@ def _with_parts(piece: Column) -> Column:
 
 
 def _runs(text: Column, base: Column) -> Column:
-    """Long runs outside base spans, and their long parts, with band and bin."""
-    pieces = F.flatten(F.transform(_found(text, RUN, 0, LEAST_RUN), lambda r: _outside(r, base)))
-    tested = F.flatten(F.transform(pieces, _with_parts))
-    return F.transform(tested, lambda r: F.struct(
-        r["start"].alias("start"), r["end"].alias("end"), _banded(r["value"]).alias("place")))
+    """Long runs outside base spans, each in an array with its long parts behind it, with band and bin."""
+    def outside_all(runs: Column) -> Column:
+        near = F.filter(base, lambda b: (b["start"] < F.get(runs, F.size(runs) - 1)["end"])
+                        & (F.get(runs, F.lit(0))["start"] < b["end"]))
+        return _bound(near, lambda n: F.flatten(F.transform(runs, lambda r: _outside(r, n))))
+
+    pieces = F.flatten(F.transform(_chunks(_found(text, RUN, 0, LEAST_RUN)), outside_all))
+    return F.transform(pieces, lambda p: F.transform(_with_parts(p), lambda r: F.struct(
+        r["start"].alias("start"), r["end"].alias("end"), _banded(r["value"]).alias("place"))))
 
 
 def _with_found(docs: DataFrame, text: str) -> DataFrame:
@@ -218,7 +259,7 @@ def rejection_bins(docs: DataFrame, text: str = "text") -> dict[int, int]:
     Benjamini-Hochberg on the bins' upper ends: the largest p with p <= share * (rows at most p) / rows.
     """
     found = _with_found(docs.select(F.col(text).alias("text")), "text")
-    places = found.select(F.explode("runs.place").alias("place"))
+    places = found.select(F.explode(F.flatten("runs")).alias("run")).select("run.place")
     counts = places.groupBy("place.band", "place.bin").count()
     smaller = Window.partitionBy("band").orderBy(F.desc("bin"))
     rows = (
@@ -243,11 +284,12 @@ def with_spans(docs: DataFrame, rejected: dict[int, int], text: str = "text") ->
             s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), s["end"].alias("end")))
 
     found = _with_found(docs, text)
-    kept = F.filter("runs", lambda r: r["place"]["bin"] < limit(r["place"]["band"]))
-    # one struct in an array, so that the runs are filtered once
-    random = F.transform(F.array(F.struct(kept.alias("runs"))), lambda s: F.filter(s["runs"], lambda r: ~F.exists(
-        s["runs"], lambda o: (o["start"] <= r["start"]) & (r["end"] <= o["end"])
-        & (o["end"] - o["start"] > r["end"] - r["start"]))))[0]
+    def passes(run: Column) -> Column:
+        return run["place"]["bin"] < limit(run["place"]["band"])
+
+    # a part counts only if the whole does not; parts lie side by side
+    random = F.flatten(F.transform("runs", lambda r: F.when(passes(r[0]), F.slice(r, 1, 1)).otherwise(
+        F.filter(F.slice(r, F.lit(2), F.size(r)), passes))))
     base = F.array_sort(F.concat(*[listed(F.col(f"found.{kind}"), kind) for kind in BASE]))
     return (
         found.withColumn("base", base)
@@ -284,16 +326,25 @@ def without_secrets(docs: DataFrame, text: str = "text", instead: str = "[SECRET
     columns = docs.columns
     found = with_spans(
         docs.select(F.struct("*").alias("row"), F.col(text).alias("text")), rejection_bins(docs, text), "text")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    masked = F.aggregate(
-        "all", start,
-        lambda s, span: F.struct(
-            F.when(span["start"] >= s["at"], F.concat(
-                s["out"], F.substring(F.col("text"), s["at"] + 1, span["start"] - s["at"]), F.lit(instead)))
-            .otherwise(s["out"]).alias("out"),
-            F.greatest(s["at"], span["end"]).alias("at")),
-        lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text"))),
-    )
+
+    def masked_from(chunk: Column, begin: Column) -> Column:
+        """The text from ``begin`` to the last span of a chunk, and what stands for that span."""
+        own = F.substring(F.col("text"), begin + 1, F.get(chunk, F.size(chunk) - 1)["start"] - begin)
+        return _bound(own, lambda part: F.aggregate(
+            chunk, F.struct(F.lit("").alias("out"), begin.alias("at")),
+            lambda s, span: F.struct(
+                F.when(span["start"] >= s["at"], F.concat(
+                    s["out"], F.substring(part, s["at"] - begin + 1, span["start"] - s["at"]), F.lit(instead)))
+                .otherwise(s["out"]).alias("out"),
+                F.greatest(s["at"], span["end"]).alias("at")),
+            lambda s: s["out"]))
+
+    def masked_all(chunks: Column) -> Column:
+        ends = F.transform(chunks, lambda c: F.array_max(F.transform(c, lambda span: span["end"])))
+        return F.array_join(F.zip_with(chunks, _before(ends, F.lit(0), F.greatest), masked_from), "")
+
+    last = F.array_max(F.transform("all", lambda span: span["end"]))
+    masked = F.concat(_bound(_chunks(F.col("all")), masked_all), F.substring(F.col("text"), last + 1, F.length("text")))
     clean = F.when(F.size("all") > 0, masked).otherwise(F.col("text"))
     return found.select("row", clean.alias("masked")).select(
         *[F.col("masked").alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in columns])

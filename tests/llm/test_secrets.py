@@ -114,3 +114,29 @@ def test_runs_are_cut_at_base_spans_and_tested_in_parts(docs):
     for kind in range(3):
         assert sum(found[kind::3]) >= 0.85 * n, kind
     assert not any(r["n_random"] for r in rows[len(wanted):])
+
+
+def test_thousands_of_spans_in_one_text(docs):
+    draw = Random(11)
+    values = ["".join(draw.choices("0123456789abcdef", k=24)) for _ in range(80_000)]
+    text = "é ".join(values)
+    _check(secrets.find_secrets(docs((1, text))).collect(), [(1, text)])
+    masked = secrets.without_secrets(docs((1, text), (2, "é" + text[:60]))).collect()
+    assert {r["doc_id"]: r["text"] for r in masked} == {
+        1: "é ".join(["[SECRET]"] * 80_000), 2: "é" + "é ".join(["[SECRET]"] * 2) + "é " + values[2][:8]}
+
+
+def test_many_spans_that_overlap_and_touch(docs):
+    draw = Random(12)
+    pieces = ["token=", "AKIA", "api_key:", "deadbeef", "0123456789abcdef01234567", "ABCDEFGHIJKLMNOPQR", " ", "/", "x", "é", "-"]
+    texts = [(i, "".join(draw.choices(pieces, k=draw.randrange(400)))) for i in range(60)]
+    rows = sorted(secrets.find_secrets(docs(*texts)).collect(), key=lambda r: r["doc_id"])
+    _check(rows, texts)
+    for r, masked in zip(rows, sorted(secrets.without_secrets(docs(*texts)).collect(), key=lambda r: r["doc_id"])):
+        text, out, at = texts[r["doc_id"]][1], "", 0
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r["spans"].split(",") if s]
+        for start, end in spans:
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        assert masked["text"] == out + text[at:]
