@@ -327,3 +327,24 @@ def test_conic_of_the_published_example(spark):
         assert off.agg(F.max(F.array_max("d"))).first()[0] < 1e-10
     origin = spark.range(1).select(CONICS[2263].forward(F.array(F.lit(-74.0), F.lit(40 + 10 / 60))).alias("o")).first()["o"]
     assert abs(origin[0] - 984250) < 0.01 and abs(origin[1]) < 1e-6
+
+
+def test_catchments_of_any_key_lie_where_the_stations_are(spark, tmp_path):
+    """The job is no smaller for large keys: areas go on to overlap in the stations' land."""
+    import duckdb
+
+    from bikenet.registry import load
+
+    con = duckdb.connect()
+    for name, rows in (
+        ("customer", "SELECT 500000 + r AS c_custkey, 'c' || r AS c_name, 'b' AS c_mktsegment FROM range(200) x(r)"),
+        ("supplier", "SELECT r AS s_suppkey, 's' || r AS s_name FROM range(60) x(r)"),
+    ):
+        con.execute(f"COPY ({rows}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    for name in ("lineitem", "events", "nation", "region"):  # named by expressions that the statement leaves out
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
+    want = con.execute(load().ORACLE["place_in_catchments"]).fetchall()
+    got = [tuple(r) for r in load().QUERIES["place_in_catchments"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(area is not None for _, area, _ in got) > 100
