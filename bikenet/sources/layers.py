@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bikenet import schema as S
-from bikenet.functions.wkb import from_wkb
+from bikenet.functions.wkb import decoded
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -54,10 +56,17 @@ def read_scores(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_geo_scores(spark: SparkSession, path: str) -> DataFrame:
-    """The score table with its polygons as nested arrays; other columns alone cost no decoding."""
+    """The score table with its polygons as nested arrays. For other columns alone there is :func:`read_scores`."""
     table = spark.read.parquet(path)
-    return table.select(*(
-        from_wkb(F.col("geometry")).alias("geometry") if c == "geometry" else F.col(f"`{c}`") for c in table.columns))
+    place = table.columns.index("geometry")
+    schema = T.StructType([T.StructField(f.name, S.GEOMETRY) if f.name == "geometry" else f for f in table.schema])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [decoded(c) if i == place else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return table.mapInArrow(decode, schema)
 
 
 def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

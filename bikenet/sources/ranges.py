@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,11 +44,12 @@ def nested_objects(spark: SparkSession, path: str, depth: int, block_bytes: int
     blocks = blocks.select(
         "file", ((F.col("block") - 1) * block_bytes).alias("begin"), (F.col("block") == F.col("blocks")).alias("last"))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums = [_sums(file, begin, block_bytes) if not last else (0, 0, 0)
-                    for file, begin, last in zip(batch["file"], batch["begin"], batch["last"])]
-            yield batch.assign(**{name: [s[k] for s in sums] for k, name in enumerate(("quotes", "outside", "inside"))})
+            sums = [_sums(row["file"], row["begin"], block_bytes) if not row["last"] else (0, 0, 0)
+                    for row in batch.to_pylist()]
+            columns = [pa.array([s[k] for s in sums], pa.int64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "quotes", "outside", "inside"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,7 +60,7 @@ def nested_objects(spark: SparkSession, path: str, depth: int, block_bytes: int
                     yield pa.RecordBatch.from_arrays([pa.array(values, pa.string())], ["value"])
 
     before = Window.partitionBy("file").orderBy("begin").rowsBetween(Window.unboundedPreceding, -1)
-    counted = spread(blocks).mapInPandas(
+    counted = spread(blocks).mapInArrow(
         count, "file string, begin bigint, last boolean, quotes bigint, outside bigint, inside bigint")
     begun = counted.withColumn("quoted", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2)
     steps = F.when(F.col("quoted") == 0, F.col("outside")).otherwise(F.col("inside"))
