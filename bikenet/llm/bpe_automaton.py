@@ -13,8 +13,9 @@ the same way: w is added where its left part is, so it is missing where that par
 :meth:`Automaton.arc` reads an arc off these tables.
 
 The automaton is deterministic and all its states accept, so each prefix of a word has exactly one
-path that spells it. :meth:`Automaton.encode` walks the word once, extending the paths of its
-prefixes by arcs whose labels match the next bytes; :meth:`Automaton.decode` emits arc labels.
+path that spells it. :meth:`Automaton.encode` follows the arcs of the longest matching labels first
+and goes back where none leads on. No prefix is reached twice, and what spells the whole word is its
+path; :meth:`Automaton.decode` emits arc labels.
 """
 
 from __future__ import annotations
@@ -95,23 +96,35 @@ class Automaton:
     def encode(self, word: bytes) -> list[int]:
         """The labels of the one path that spells the word."""
         size = len(word)
-        entered: list[int | None] = [None] * (size + 1)
-        origin = [0] * (size + 1)
-        step, emits, arc = self.step, self.emits, self.arc
-        for begin in range(size):
-            state, node = entered[begin], 0
-            for end in range(begin, size):
+        step, emits, arcs = self.step, self.emits, self._arcs
+        path: list[int] = []
+        begins: list[int] = []
+        untried: list[list[int]] = []  # for each arc of the path, the ends of shorter labels, as node and end in turn
+        at, state = 0, -1
+        while at < size:
+            node, fits = 0, []
+            for end in range(at, size):
                 node = step.get(node << 8 | word[end])
                 if node is None:
                     break
-                label = emits[node]
-                if label >= 0 and entered[end + 1] is None and (state is None or arc(state, label)):
-                    entered[end + 1], origin[end + 1] = label, begin
-        path, at = [], size
-        while at:
-            path.append(entered[at])
-            at = origin[at]
-        path.reverse()
+                if emits[node] >= 0:
+                    fits += node, end + 1
+            while True:
+                while not fits:  # no label leads on from here
+                    at, fits = begins.pop(), untried.pop()
+                    path.pop()
+                    state = path[-1] if path else -1
+                end = fits.pop()
+                label = emits[fits.pop()]
+                if state < 0:
+                    break
+                known = arcs.get(state << 32 | label)
+                if known or known is None and self.arc(state, label):
+                    break
+            path.append(label)
+            begins.append(at)
+            untried.append(fits)
+            at, state = end, label
         return path
 
     def decode(self, tokens: Sequence[int]) -> bytes:

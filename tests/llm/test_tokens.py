@@ -119,3 +119,24 @@ def test_token_counts_of_documents(spark, small):
     rows = token_counts.token_counts(small("documents"), shared_folder(spark, "cache"), PIECES).collect()
     assert {r["doc_id"]: r["n_tokens"] for r in rows} == {i: len(library.encode(t)) for i, t in texts.items()}
     assert all(r["over_limit"] == (r["n_tokens"] > 4096) for r in rows)
+
+
+def test_a_word_that_is_one_token_is_walked_once(monkeypatch):
+    """Longest labels lead; where they lead nowhere, shorter ones do, as the library has it."""
+    class Counting(dict):
+        looked = 0
+
+        def get(self, key):
+            Counting.looked += 1
+            return super().get(key)
+
+    automaton = bpe.tokenizer(BPE).automaton
+    monkeypatch.setattr(automaton, "step", Counting(automaton.step))
+    word = max((label for t, label in automaton.labels.items() if t in automaton.made), key=len)
+    assert len(automaton.encode(word)) == 1
+    assert Counting.looked == len(word)
+    library = Library.from_file(BPE)
+    random.seed(5)
+    for _ in range(2000):
+        letters = "".join(random.choice("aeiourstnlhe") for _ in range(random.randint(1, 30)))
+        assert automaton.encode(letters.encode()) == library.encode(letters, add_special_tokens=False).ids
