@@ -348,3 +348,40 @@ def test_catchments_of_any_key_lie_where_the_stations_are(spark, tmp_path):
     got = [tuple(r) for r in load().QUERIES["place_in_catchments"](spark, str(tmp_path)).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert sum(area is not None for _, area, _ in got) > 100
+
+
+def test_written_out_inside_test_agrees_with_the_general_one(spark):
+    """Corners, edges, holes, slanted and level edges, and points without coordinates."""
+    slanted = [(0.1, 0.3), (3.7, 0.9), (2.2, 3.9), (0.4, 2.0)]
+    areas = polygons(spark, {"L": [[L_SHAPE]], "slanted": [[slanted]], "holed": [[SQUARE, [(5, 1), (6, 2), (5, 3)]]]})
+    random.seed(3)
+    spots = [(x / 4, y / 4) for x in range(-2, 34) for y in range(-2, 18)] + [(None, 1.0), (math.nan, 1.0), (1.0, None)]
+    spots += slanted + [(random.uniform(0, 4), random.uniform(0, 4)) for _ in range(200)]
+    stations = points(spark, spots)
+    grid = spatial.measure_grid(areas)
+    assert grid.most_edges == 7
+    general = spatial.replace(grid, most_edges=None, levels=tuple(spatial.replace(g, most_edges=None) for g in grid.levels))
+    for limit in (spatial.BROADCAST_LIMIT, -1):
+        assert placed(stations, areas, grid=grid, broadcast_limit=limit) == placed(stations, areas, grid=general)
+
+
+def test_inside_test_is_compiled_with_the_join(spark):
+    """Java compiles no method beyond 8000 bytes, and Spark no plan step with a higher-order function."""
+    import re
+
+    areas = polygons(spark, {"L": [[L_SHAPE]], "holed": [[SQUARE, HOLE]]})
+    joined = spatial.join_stations_to_neighborhoods(points(spark, [(1.0, 1.0)]), areas, broadcast_limit=-1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(joined, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(size) for size, body in re.findall(
+        r"maxMethodCodeSize:(\d+)[^\n]*==\n((?:(?!Generated code:)[\s\S])*)", plan) if "SortMergeJoin" in body]
+    assert sizes and max(sizes) < 8000
+
+
+def test_polygons_with_missing_ordinates_take_the_general_test(spark):
+    broken = polygons(spark, {"L": [[L_SHAPE]]}).union(spark.sql(
+        "SELECT 'n', 'n', 'b', array(array(array(array(0D, 0D), array(CAST(NULL AS DOUBLE), 2D), array(2D, 0D))))"))
+    assert spatial.measure_grid(broken).most_edges > spatial.FEW_EDGES
