@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from bikenet.llm.bpe_automaton import Automaton
 from bikenet.llm.pretokens import split_words
+from bikenet.llm.worker_memory import frugal
 
 #: Words whose path a worker remembers; beyond it, those not met again since half as many give way.
 WORD_MEMORY = 200_000
@@ -146,7 +147,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", tokens: str = "tokens
                 yield pa.RecordBatch.from_arrays([*part.columns, column], names=schema.names)
                 done += len(texts)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run, tokenizer), schema)
 
 
 def decode(docs: DataFrame, path: str, tokens: str = "tokens", text: str = "decoded") -> DataFrame:
@@ -166,7 +167,7 @@ def decode(docs: DataFrame, path: str, tokens: str = "tokens", text: str = "deco
                 column = pa.array([own.decode(t or []).decode() for t in part.column(place).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*part.columns, column], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frugal(run, tokenizer), schema)
 
 
 def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -193,5 +194,5 @@ def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text: str = "
             )
 
     return rows.mapInArrow(
-        run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        frugal(run, tokenizer), f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     ).withColumnRenamed("id", id_column)

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from bikenet.llm import cgk
 from bikenet.llm.text_arrays import PUNCTUATION, column_words, mix
+from bikenet.llm.worker_memory import frugal
 
 #: Share of an item's words that may be edited: similarity 0.8.
 ALLOWED = 0.2
@@ -308,7 +309,7 @@ def find_leaks(
                     ["id", "item_id", "distance", "item_words", "first_word", "by_keys"],
                 )
 
-        found = found.union(rows.mapInArrow(run, schema))
+        found = found.union(rows.mapInArrow(frugal(run), schema))
     return found.withColumnRenamed("id", id_column)
 
 
@@ -325,5 +326,5 @@ def without_leaks(
                 yield batch.filter(pa.array(clean)).select(range(batch.num_columns - 1))
 
         lowered = kept.select(*kept.columns, _spaced(text).alias("lowered text"))
-        kept = lowered.mapInArrow(run, docs.schema)
+        kept = lowered.mapInArrow(frugal(run), docs.schema)
     return kept

@@ -35,6 +35,7 @@ from bikenet.llm.components import components
 from bikenet.llm.rtree import CountTree
 from bikenet.llm.shingles import column_shingles, long_lists, set_digest
 from bikenet.llm.store import Tables
+from bikenet.llm.worker_memory import frugal
 
 GROUPS = 256
 #: Texts of so many shingles have a point of ``FINE`` groups; modulo ``GROUPS`` they make the others'.
@@ -79,7 +80,7 @@ def frequent_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
     rows = (
         docs.select(F.col(text).alias("text"))
         .filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLE_ONE_IN)) == 0)
-        .mapInArrow(sampled, "shingle bigint")
+        .mapInArrow(frugal(sampled), "shingle bigint")
         .groupBy("shingle").count().filter(F.col("count") >= FREQUENT_FROM)
         .orderBy(F.desc("count"), "shingle").limit(FREQUENT_MOST)
         .collect()
@@ -118,7 +119,7 @@ def _described(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("id", F.xxhash64("text"), "text").mapInArrow(
-        describe, f"id {kind}, text_hash bigint, digest binary, n_shingles bigint, counts binary, post array<bigint>")
+        frugal(describe), f"id {kind}, text_hash bigint, digest binary, n_shingles bigint, counts binary, post array<bigint>")
 
 
 def _packed(point: np.ndarray) -> bytes:
@@ -154,7 +155,7 @@ def shared_tiles(posts: DataFrame) -> DataFrame:
         if opened is not None and len(tile):
             yield out(tile, node)
 
-    return posts.sortWithinPartitions("tile").mapInArrow(runs, "tile bigint, node bigint")
+    return posts.sortWithinPartitions("tile").mapInArrow(frugal(runs), "tile bigint, node bigint")
 
 
 def homes(tiles: DataFrame) -> DataFrame:
@@ -183,7 +184,7 @@ def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
     same = docs["id"].eqNullSafe(wanted["wanted_id"]) & (F.xxhash64(docs["text"]) == wanted["wanted_hash"])
     return (
         docs.join(wanted, same).select("text", "digest", "node")
-        .mapInArrow(build, "node bigint, shingles array<bigint>").dropDuplicates(["node"])
+        .mapInArrow(frugal(build), "node bigint, shingles array<bigint>").dropDuplicates(["node"])
     )
 
 
@@ -316,7 +317,7 @@ def _possible(members: DataFrame) -> DataFrame:
                     found[row] = found[hits] = True
             yield pa.RecordBatch.from_arrays([pa.array(trees.node[found])], ["node"])
 
-    return _segments(members, ["node", "n_shingles", "counts"]).mapInArrow(search, "node bigint").distinct()
+    return _segments(members, ["node", "n_shingles", "counts"]).mapInArrow(frugal(search), "node bigint").distinct()
 
 
 def _links(members: DataFrame) -> DataFrame:
@@ -351,7 +352,7 @@ def _links(members: DataFrame) -> DataFrame:
                             right.append(trees.node[hit])
             yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    return _segments(members, ["node", "n_shingles", "counts", "shingles"]).mapInArrow(search, "a bigint, b bigint")
+    return _segments(members, ["node", "n_shingles", "counts", "shingles"]).mapInArrow(frugal(search), "a bigint, b bigint")
 
 
 def _across_homes(members: DataFrame) -> DataFrame:
@@ -371,7 +372,7 @@ def _across_homes(members: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     carried = ["node", "label", "home", "n_shingles", "counts"]
-    return _segments(members, carried).mapInArrow(search, "a bigint, b bigint").distinct()
+    return _segments(members, carried).mapInArrow(frugal(search), "a bigint, b bigint").distinct()
 
 
 def _by_home(points: DataFrame, columns: list[str]) -> DataFrame:

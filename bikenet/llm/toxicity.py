@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from bikenet.llm.labelled import held_out, labelled_sample
 from bikenet.llm.text_arrays import PUNCTUATION, Words, column_words, prefix_hash, span_hashes
+from bikenet.llm.worker_memory import frugal
 
 #: Rows of the embedding table.
 BUCKETS = 1 << 19
@@ -211,7 +212,7 @@ def with_score(docs: DataFrame, model: Model, text: str = "text", score: str = "
             scores = pa.array(score_column(batch.column(batch.num_columns - 1), model))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], scores], names=schema.names)
 
-    return lowered.mapInArrow(run, schema)
+    return lowered.mapInArrow(frugal(run), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

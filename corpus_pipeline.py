@@ -23,17 +23,21 @@ from bikenet.session import ship_package
 TOKENIZER = "byte_bpe_50k.json"
 
 
-#: Rows that Spark hands to a Python worker at once. Its default of 10 000 makes batches of tens of megabytes of
-#: texts and as many again of what is worked out from them; a session that sets its own number keeps it.
-BATCH_ROWS = 2000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows and bytes that Spark hands to a Python worker at once. Its defaults of 10 000 and 64 MB make batches of tens of
+#: megabytes of texts and as many again of what is worked out from them; a session that sets its own numbers keeps them.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
+_BATCH = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", BATCH_ROWS),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", BATCH_BYTES),
+}
 
 
 def _ready(spark: SparkSession) -> None:
     """The package on the executors, and batches that suit whole texts."""
     ship_package(spark)
-    if spark.conf.get(_BATCH) == "10000":
-        spark.conf.set(_BATCH, BATCH_ROWS)
+    for key, (default, own) in _BATCH.items():
+        if spark.conf.get(key) == default:
+            spark.conf.set(key, own)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
