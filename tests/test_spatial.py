@@ -385,3 +385,54 @@ def test_polygons_with_missing_ordinates_take_the_general_test(spark):
     broken = polygons(spark, {"L": [[L_SHAPE]]}).union(spark.sql(
         "SELECT 'n', 'n', 'b', array(array(array(array(0D, 0D), array(CAST(NULL AS DOUBLE), 2D), array(2D, 0D))))"))
     assert spatial.measure_grid(broken).most_edges > spatial.FEW_EDGES
+
+
+def test_many_polygons_are_neither_shuffled_nor_sorted(spark, monkeypatch):
+    """Cells beyond the limit, points within: on one level and on several."""
+    random.seed(11)
+    corners = [(random.randint(0, 60) / 4, random.randint(0, 60) / 4) for _ in range(150)]
+    shapes = {f"a{i}": [[[(x + u, y + v) for u, v in (L_SHAPE if i % 2 else [(0, 0), (3, 1), (2, 4)])]]]
+              for i, (x, y) in enumerate(corners)}
+    spots = [(random.randint(-4, 90) / 4 + 0.125 * (i % 2), random.randint(-4, 90) / 4) for i in range(300)]
+    stations = points(spark, [*spots, *spots[:20], (None, 1.0), (math.nan, 1.0), (1.0, None), (90.0, 90.0), (-0.0, 0.0)])
+    tiny = {f"t{i}": [[[(x, y), (x + 0.05, y), (x + 0.05, y + 0.05), (x, y + 0.05)]]]
+            for i, (x, y) in enumerate((a - 0.025, b - 0.025) for a, b in spots[::3])}
+    for areas, part in ((polygons(spark, shapes), 2), (polygons(spark, shapes | tiny), 64)):
+        grid = spatial.measure_grid(areas)
+        limit = int(grid.cell_table_bytes) - 1
+        want = placed(stations, areas, grid=grid, broadcast_limit=limit + 2)
+        assert {"-"} < {area for _, area in want}
+        monkeypatch.setattr(spatial, "FIRST_PART", part)
+        assert placed(stations, areas, grid=grid, broadcast_limit=limit) == want
+        joined = spatial.join_stations_to_neighborhoods(stations, areas, grid, broadcast_limit=limit)
+        assert joined.schema.names == [*stations.columns, *spatial.AREA_COLUMNS]
+        plan = plan_of(joined, "simple")
+        assert "SortMergeJoin" not in plan and "NestedLoop" not in plan
+        assert not [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and ("cell_" in line or "neighborhood" in line)]
+
+
+def test_inside_test_is_compiled_with_the_join_in_place(spark):
+    import re
+
+    areas = polygons(spark, {str(i): [[L_SHAPE]] if i % 2 else [[SQUARE, HOLE]] for i in range(40)})
+    grid = spatial.measure_grid(areas)
+    joined = spatial.join_stations_to_neighborhoods(
+        points(spark, [(1.0, 1.0)]), areas, grid, broadcast_limit=int(grid.cell_table_bytes) - 1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(joined, "codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(size) for size, body in re.findall(
+        r"maxMethodCodeSize:(\d+)[^\n]*==\n((?:(?!Generated code:)[\s\S])*)", plan) if "BroadcastHashJoin [cell_x" in body]
+    assert sizes and max(sizes) < 8000
+
+
+def test_points_beyond_the_limit_are_shuffled(spark):
+    """Texts of a point count; a table of points too large to send is shuffled as before, and none is lost."""
+    areas = polygons(spark, {str(i): [[L_SHAPE]] for i in range(3)})
+    grid = spatial.measure_grid(areas)
+    stations = points(spark, [(1.0, 1.0), (9.0, 9.0)]).withColumn("note", F.repeat(F.lit("x"), int(grid.cell_table_bytes)))
+    limit = int(grid.cell_table_bytes) - 1
+    assert "SortMergeJoin" in plan_of(spatial.join_stations_to_neighborhoods(stations, areas, grid, broadcast_limit=limit), "simple")
+    assert placed(stations, areas, grid=grid, broadcast_limit=limit) == [("0", "0"), ("0", "1"), ("0", "2"), ("1", "-")]
